@@ -1 +1,196 @@
-"""placeholder"""
+"""Payload queries: events are landed as vendor-style JSON responses (one per
+user and day for options/futures, one per event type and hour for spot),
+parsed back with the declared schema, classified and flattened."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from marketbars.functions.timefmt import ntz_epoch_seconds
+from marketbars.operators import bars as B
+from marketbars.operators.report import date_status, outcome_counts, run_summary
+from marketbars.queries import query, table
+from marketbars.functions.symbols import continuous_ticker
+from marketbars.sources.readers import parse_bar_payload_text
+
+
+def _land(payloads):
+    """Serialise to JSON text and parse back: what a landed response file holds."""
+    text = F.to_json(F.struct("symbol", "trading_date", "s", "message", "candles"))
+    return payloads.select(parse_bar_payload_text(text).alias("p")).select("p.*")
+
+
+def _faults(k):
+    """(s, message) per injected case; k in 0..9 from the payload's first event id."""
+    s = (F.when(k == 0, F.lit("no_data")).when(k.isin(1, 2), F.lit("error"))
+          .when(k == 5, F.lit(None)).when(k == 6, F.lit("OK")).otherwise(F.lit("ok")))
+    msg = (F.when(k == 1, F.lit("No data for this symbol")).when(k == 2, F.lit("rate limited"))
+            .when(k == 5, F.lit("no candles in range")).otherwise(F.lit("")))
+    return s, msg
+
+
+def option_payloads(spark, sf, faults=False):
+    ev = table(spark, sf, "events")
+    epoch = ntz_epoch_seconds(F.col("ts")).cast("double")
+    v = F.col("value")
+    candle = F.array(epoch, v, v + 1, v - 1, v, F.col("event_id").cast("double"),
+                     F.col("user_id").cast("double"))
+    p = (ev.groupBy(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
+                    F.to_date("ts").alias("trading_date"))
+           .agg(F.array_sort(F.collect_list(candle)).alias("candles"),
+                (F.min("event_id") % 10).alias("k")))
+    k = F.col("k")
+    if faults:
+        s, msg = _faults(k)
+        candles = (F.when(k == 3, F.array().cast("array<array<double>>"))
+                    .when(k == 4, F.transform("candles", lambda c, i: F.when(i == 0, F.slice(c, 1, 6)).otherwise(c)))
+                    .otherwise(F.col("candles")))
+    else:
+        s, msg, candles = F.lit("ok"), F.lit(""), F.col("candles")
+    return _land(p.select("symbol", "trading_date", s.alias("s"), msg.alias("message"),
+                          candles.alias("candles")))
+
+
+def spot_payloads(spark, sf, faults=False):
+    ev = table(spark, sf, "events")
+    epoch = ntz_epoch_seconds(F.col("ts")).cast("double")
+    v = F.col("value")
+    candle = F.array(epoch, v, v + 1, v - 1, v, F.col("user_id").cast("double"))
+    p = (ev.groupBy(F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol"),
+                    F.date_trunc("hour", F.col("ts")).alias("hour"))
+           .agg(F.array_sort(F.collect_list(candle)).alias("candles"),
+                (F.min("event_id") % 10).alias("k"), F.min(F.to_date("ts")).alias("trading_date")))
+    k = F.col("k")
+    if faults:
+        s, msg = _faults(k)
+        candles = (F.when(k == 3, F.array().cast("array<array<double>>"))
+                    .when(k == 4, F.transform("candles", lambda c, i: F.when(i == 0, F.slice(c, 1, 5)).otherwise(c)))
+                    .otherwise(F.col("candles")))
+    else:
+        s, msg, candles = F.lit("ok"), F.lit(""), F.col("candles")
+    return _land(p.select("symbol", "trading_date", s.alias("s"), msg.alias("message"),
+                          candles.alias("candles")))
+
+
+def customer_contracts(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select(F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("Ticker"),
+                    F.col("c_mktsegment").alias("Underlying"),
+                    F.date_add(F.lit("2024-01-25").cast("date"), F.col("c_nationkey")).alias("Expiry"),
+                    (F.col("c_nationkey") * 100 + 100).cast("int").alias("Strike"),
+                    F.when(F.col("c_custkey") % 2 == 0, F.lit("CE")).otherwise(F.lit("PE")).alias("OptionType"))
+
+
+IST_EVENTS = """ev AS (SELECT *, (to_timestamp(epoch_us(ts) // 1000000) AT TIME ZONE 'Asia/Kolkata') AS w
+               FROM events)"""
+
+
+@query("bars_from_payload", f"""
+WITH {IST_EVENTS}
+SELECT 'U' || e.user_id AS Ticker, CAST(w AS DATE) AS Date, strftime(w, '%H:%M:%S') AS Time,
+  e.value AS Open, e.value + 1 AS High, e.value - 1 AS Low, e.value AS Close,
+  CAST(e.event_id AS BIGINT) AS Volume, CAST(e.user_id AS BIGINT) AS OpenInterest,
+  c.c_mktsegment AS Underlying, CAST(DATE '2024-01-25' + c.c_nationkey AS DATE) AS Expiry,
+  CAST(c.c_nationkey * 100 + 100 AS INTEGER) AS Strike,
+  CASE WHEN c.c_custkey % 2 = 0 THEN 'CE' ELSE 'PE' END AS OptionType
+FROM ev e JOIN customer c ON e.user_id = c.c_custkey
+""")
+def q_bars_from_payload(spark, sf):
+    return B.options_bars(option_payloads(spark, sf), customer_contracts(spark, sf))
+
+
+@query("futures_bars", f"""
+WITH {IST_EVENTS}
+SELECT c.c_mktsegment || '-' || (['I', 'II', 'III'])[c.c_nationkey % 3 + 1] || '.NFO' AS Ticker,
+  CAST(w AS DATE) AS Date, strftime(w, '%H:%M:%S') AS Time,
+  e.value AS Open, e.value + 1 AS High, e.value - 1 AS Low, e.value AS Close,
+  CAST(e.event_id AS BIGINT) AS Volume, CAST(e.user_id AS BIGINT) AS OpenInterest,
+  'daily_extraction' AS SourceFile, c.c_mktsegment AS Underlying,
+  (['I', 'II', 'III'])[c.c_nationkey % 3 + 1] AS ContractSeries
+FROM ev e JOIN customer c ON e.user_id = c.c_custkey
+""")
+def q_futures_bars(spark, sf):
+    c = table(spark, sf, "customer")
+    series = F.element_at(F.array(F.lit("I"), F.lit("II"), F.lit("III")), (F.col("c_nationkey") % 3 + 1).cast("int"))
+    contracts = c.select(F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("symbol"),
+                         continuous_ticker(F.col("c_mktsegment"), series).alias("ticker"),
+                         series.alias("contract_series"), F.col("c_mktsegment").alias("underlying"))
+    return B.futures_bars(option_payloads(spark, sf), contracts)
+
+
+@query("spot_bars", f"""
+WITH {IST_EVENTS},
+r AS (SELECT upper(event_type) AS "Index", date_trunc('second', w) AS timestamp, value, user_id,
+        row_number() OVER (PARTITION BY event_type, date_trunc('second', w) ORDER BY value, user_id) AS rn
+      FROM ev)
+SELECT "Index", timestamp, value AS Open, value + 1 AS High, value - 1 AS Low, value AS Close,
+       CAST(user_id AS BIGINT) AS Volume
+FROM r WHERE rn = 1
+""")
+def q_spot_bars(spark, sf):
+    p = spot_payloads(spark, sf)
+    idx = (table(spark, sf, "events").select("event_type").distinct()
+           .select(F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol"),
+                   F.upper("event_type").alias("Index")))
+    return B.spot_bars(p, idx)
+
+
+def all_outcomes(spark, sf):
+    o = B.payload_outcomes(option_payloads(spark, sf, faults=True), "options", 7)
+    s = B.payload_outcomes(spot_payloads(spark, sf, faults=True), "spot", 6)
+    return o.unionByName(s)
+
+
+OUTCOME_SQL = """
+g AS (
+  SELECT CAST(ts AS DATE) AS d, 'options' AS kind, count(*) AS n, min(event_id) % 10 AS k
+  FROM events GROUP BY user_id, CAST(ts AS DATE)
+  UNION ALL
+  SELECT min(CAST(ts AS DATE)), 'spot', count(*), min(event_id) % 10
+  FROM events GROUP BY event_type, date_trunc('hour', ts)),
+f AS (
+  SELECT d, kind, n,
+    CASE WHEN k = 0 THEN 'no_data' WHEN k IN (1, 2) THEN 'error' WHEN k = 5 THEN NULL
+         WHEN k = 6 THEN 'OK' ELSE 'ok' END AS s,
+    CASE WHEN k = 1 THEN 'No data for this symbol' WHEN k = 2 THEN 'rate limited'
+         WHEN k = 5 THEN 'no candles in range' ELSE '' END AS message,
+    CASE WHEN k = 3 THEN 0 ELSE n END AS ncandles, k = 4 AS short_bar FROM g),
+o AS (
+  SELECT d, kind, n, CASE
+    WHEN s = 'ok' THEN CASE WHEN ncandles = 0 THEN 'no_data' WHEN short_bar THEN 'failed' ELSE 'ok' END
+    WHEN lower(coalesce(s, '')) = 'no_data' OR lower(coalesce(message, '')) LIKE '%no data%'
+         OR lower(coalesce(message, '')) LIKE '%no candle%' THEN 'no_data'
+    ELSE 'failed' END AS outcome FROM f),
+counts AS (
+  SELECT d AS date, kind, CAST(count(*) AS BIGINT) AS contracts,
+    CAST(count(*) FILTER (WHERE outcome = 'ok') AS BIGINT) AS successful,
+    CAST(count(*) FILTER (WHERE outcome = 'no_data') AS BIGINT) AS no_data,
+    CAST(count(*) FILTER (WHERE outcome = 'failed') AS BIGINT) AS failed,
+    CAST(coalesce(sum(CASE WHEN outcome = 'ok' THEN n ELSE 0 END), 0) AS BIGINT) AS rows
+  FROM o GROUP BY d, kind)"""
+
+
+@query("payload_outcomes", "WITH " + OUTCOME_SQL + " SELECT * FROM counts")
+def q_payload_outcomes(spark, sf):
+    return outcome_counts(all_outcomes(spark, sf))
+
+
+@query("run_summary", "WITH " + OUTCOME_SQL + """
+SELECT kind, CAST(sum(contracts) AS BIGINT) AS contracts, CAST(sum(successful) AS BIGINT) AS successful,
+  CAST(sum(no_data) AS BIGINT) AS no_data, CAST(sum(failed) AS BIGINT) AS failed,
+  CAST(sum(rows) AS BIGINT) AS rows
+FROM counts GROUP BY kind
+""")
+def q_run_summary(spark, sf):
+    return run_summary(outcome_counts(all_outcomes(spark, sf)))
+
+
+@query("date_status", "WITH " + OUTCOME_SQL + """
+SELECT date, CAST(count(*) FILTER (WHERE rows > 0) AS BIGINT) AS kinds_produced,
+  CAST(count(*) FILTER (WHERE NOT rows > 0) AS BIGINT) AS kinds_with_errors,
+  CASE WHEN count(*) FILTER (WHERE rows > 0) = 0 THEN 'failed'
+       WHEN count(*) FILTER (WHERE NOT rows > 0) > 0 THEN 'partial' ELSE 'downloaded' END AS status
+FROM counts GROUP BY date
+""")
+def q_date_status(spark, sf):
+    return date_status(outcome_counts(all_outcomes(spark, sf)))

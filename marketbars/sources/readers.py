@@ -68,3 +68,9 @@ def parquet_columns(spark: SparkSession, path: str) -> list[str]:
 def valid_table(df: DataFrame, expected_columns) -> bool:
     """Readable, exact ordered columns, and not empty (one row fetched at most)."""
     return list(df.columns) == list(expected_columns) and not df.isEmpty()
+
+
+def parse_bar_payload_text(text) -> "Column":
+    """A landed JSON payload held in a string column -> BAR_PAYLOAD_SCHEMA struct
+    (same parser and schema as ``read_bar_payloads``)."""
+    return F.from_json(text, BAR_PAYLOAD_SCHEMA)
