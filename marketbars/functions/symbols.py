@@ -21,7 +21,7 @@ def first_match(cells: Column, pattern: str = FUT_SYMBOL_PATTERN) -> Column:
     stripped = F.transform(cells, lambda c: F.coalesce(_strip(c), F.lit("")))
     flags = F.transform(stripped, lambda c: c.rlike(pattern))
     pos = F.array_position(flags, True)
-    symbol = F.when(pos > 0, F.element_at(stripped, pos.cast("int")))
+    symbol = F.when(pos > 0, F.try_element_at(stripped, pos.cast("int")))
     return F.struct(symbol.alias("symbol"), pos.cast("int").alias("pos"))
 
 

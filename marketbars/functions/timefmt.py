@@ -44,7 +44,7 @@ def bar_timestamp_text(wall: Column) -> Column:
 
 def parse_dmy(text: Column) -> Column:
     """``d-M-yyyy`` date (non-padded accepted); blank or invalid -> NULL."""
-    return F.try_to_date(text, F.lit("d-M-yyyy"))
+    return F.try_to_date(text, "d-M-yyyy")
 
 
 def lenient_date(value: Column) -> Column:

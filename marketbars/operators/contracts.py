@@ -148,8 +148,8 @@ def master_candidates(cells: DataFrame) -> DataFrame:
     m = m.where(F.col("m.symbol").isNotNull())
     parts = fut_symbol_parts(F.col("m.symbol"))
     pos = F.col("m.pos")
-    before = F.when(pos > 1, expiry_epoch_to_date(F.element_at("cells", (pos - 1).cast("int"))))
-    any_cell = F.element_at(F.filter("cells", lambda c: plausible_expiry_epoch(c).isNotNull()), 1)
+    before = F.when(pos > 1, expiry_epoch_to_date(F.try_element_at("cells", (pos - 1).cast("int"))))
+    any_cell = F.try_element_at(F.filter("cells", lambda c: plausible_expiry_epoch(c).isNotNull()), F.lit(1))
     expiry = F.coalesce(before, expiry_epoch_to_date(any_cell),
                         month_expiry(parts["yy"], parts["mon"]))
     out = m.select(*extra, F.col("m.symbol").alias("symbol"), pos.alias("symbol_pos"),
@@ -177,7 +177,7 @@ def resolve_futures(cells: DataFrame, trading_date, specs: DataFrame,
     w = Window.partitionBy("underlying").orderBy(F.col("expiry").asc(), F.col("symbol").asc())
     ranked = per_symbol.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= count)
     labels = F.array(*[F.lit(s) for s in CONTRACT_SERIES[:count]])
-    series = F.element_at(labels, F.col("rank"))
+    series = F.try_element_at(labels, F.col("rank"))
     return ranked.select("underlying", "symbol",
                          continuous_ticker(F.col("root"), series).alias("ticker"),
                          series.alias("contract_series"), "expiry", "rank")

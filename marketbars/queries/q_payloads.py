@@ -111,7 +111,7 @@ FROM ev e JOIN customer c ON e.user_id = c.c_custkey
 """)
 def q_futures_bars(spark, sf):
     c = table(spark, sf, "customer")
-    series = F.element_at(F.array(F.lit("I"), F.lit("II"), F.lit("III")), (F.col("c_nationkey") % 3 + 1).cast("int"))
+    series = F.try_element_at(F.array(F.lit("I"), F.lit("II"), F.lit("III")), (F.col("c_nationkey") % 3 + 1).cast("int"))
     contracts = c.select(F.concat(F.lit("U"), F.col("c_custkey").cast("string")).alias("symbol"),
                          continuous_ticker(F.col("c_mktsegment"), series).alias("ticker"),
                          series.alias("contract_series"), F.col("c_mktsegment").alias("underlying"))
