@@ -34,6 +34,15 @@ def year_target(kind: str, date: Column) -> Column:
     return F.format_string(YEARLY_FILES[kind], F.year(date))
 
 
+def year_target_of(kind: Column, date: Column) -> Column:
+    """Per-year target name when the feed kind is a column."""
+    out = None
+    for k in YEARLY_FILES:
+        out = (F.when(kind == k, year_target(k, date)) if out is None
+               else out.when(kind == k, year_target(k, date)))
+    return out
+
+
 def spot_target(index: Column) -> Column:
     names = F.create_map(*[x for k, v in SPOT_FILES.items() for x in (F.lit(k), F.lit(v))])
     return F.try_element_at(names, index)

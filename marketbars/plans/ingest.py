@@ -33,9 +33,12 @@ def _read_history(spark: SparkSession, path: str) -> DataFrame | None:
 def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_path: str,
            target: str, keys: Sequence[str], dry_run: bool = False, repair: bool = False,
            repair_only: bool = False, archive_path: str | None = None,
-           sort_within: Sequence[str] = ()) -> DataFrame:
-    """Ingest ``incoming`` into ``history_path``; returns one decision row per date."""
-    incoming = incoming.withColumn(PART_COL, row_date(incoming))
+           sort_within: Sequence[str] = (), date_of=None) -> DataFrame:
+    """Ingest ``incoming`` into ``history_path``; returns one decision row per date.
+
+    ``date_of``: the row's date (default: ``Date``, else the date of ``timestamp``).
+    """
+    incoming = incoming.withColumn(PART_COL, row_date(incoming) if date_of is None else date_of)
     history = _read_history(spark, history_path)
     ledger_dates = L.parse_ledger(read_ledger(spark, ledger_path)).where(F.col("target") == target)
 

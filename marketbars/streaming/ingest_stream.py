@@ -22,7 +22,7 @@ from marketbars.plans.ingest import ingest
 def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
                   history_path: str, ledger_path: str, checkpoint_path: str,
                   target: str, keys: Sequence[str], fmt: str = "parquet",
-                  max_files_per_trigger: int | None = None) -> None:
+                  max_files_per_trigger: int | None = None, date_of=None) -> None:
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -31,7 +31,7 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        ingest(spark, batch, history_path, ledger_path, target, keys)
+        ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of)
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint_path)
