@@ -1,4 +1,10 @@
-"""Expiry epochs found in symbol-master cells."""
+"""Expiry epochs found in symbol-master cells.
+
+Written so that every intermediate value is referenced a bounded number of
+times (no nested re-use), which keeps the generated expression linear in size
+also inside higher-order functions, where Spark does no common-subexpression
+elimination.
+"""
 
 from __future__ import annotations
 
@@ -8,26 +14,36 @@ from pyspark.sql import functions as F
 from marketbars.functions.timefmt import epoch_to_market_time
 from marketbars.schemas import EPOCH_MS_RANGE, EPOCH_S_RANGE
 
+_DIGITS = r"^\s*([0-9]+)\s*$"
 
-def _strip(cell: Column) -> Column:
-    return F.regexp_replace(cell, r"^\s+|\s+$", "")
 
+def epoch_digits(cell: Column) -> Column:
+    """Stripped, digit-only text -> DECIMAL(38,0); anything else -> NULL."""
+    return F.regexp_extract(cell, _DIGITS, 1).try_cast("decimal(38,0)")
 
-def plausible_expiry_epoch(cell: Column) -> Column:
-    """Digit-only text -> epoch seconds, or NULL.
 
-    Values in the millisecond band are divided by 1000 (integer division);
-    larger values are internal ids, not times. The result must fall in the
-    plausible seconds range, else NULL.
+def plausible_seconds(raw: Column) -> Column:
+    """Epoch (seconds, or milliseconds in the ms band) -> plausible seconds or NULL.
+
+    Millisecond values ``[1e12, 1e13)`` are divided by 1000 (integer division);
+    the result must lie in the plausible seconds range. Larger values are ids.
     """
-    text = _strip(cell)
-    raw = F.when(text.rlike(r"^[0-9]+$"), text.try_cast("decimal(38,0)"))
-    ms_lo, ms_hi = EPOCH_MS_RANGE
-    secs = F.when((raw >= ms_lo) & (raw < ms_hi), F.floor(raw / 1000)).otherwise(raw)
     lo, hi = EPOCH_S_RANGE
-    return F.when((secs >= lo) & (secs <= hi), secs.cast("bigint"))
+    ms_lo, ms_hi = EPOCH_MS_RANGE
+    ms_top = min(ms_hi - 1, hi * 1000 + 999)     # floor(raw / 1000) <= hi
+    return (F.when(raw.between(lo, hi), raw)
+             .when(raw.between(ms_lo, ms_top), F.floor(raw / 1000))).cast("bigint")
+
+
+def plausible_expiry_epoch(cell: Column) -> Column:
+    """Symbol-master cell -> plausible epoch seconds (BIGINT) or NULL."""
+    return plausible_seconds(epoch_digits(cell))
 
 
 def expiry_epoch_to_date(cell: Column) -> Column:
     """Symbol-master expiry cell -> exchange-local DATE, or NULL."""
-    return F.to_date(epoch_to_market_time(plausible_expiry_epoch(cell)))
+    return seconds_to_market_date(plausible_expiry_epoch(cell))
+
+
+def seconds_to_market_date(secs: Column) -> Column:
+    return F.to_date(epoch_to_market_time(secs))

@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from marketbars.schemas import CONTINUOUS_SUFFIX, FUT_SYMBOL_PATTERN, MONTHS
 
 
-def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+_WS = " \t\n\r\x0b\x0c"
+
+
+def strip_ws(c: Column) -> Column:
+    """Leading/trailing ASCII whitespace removed (``str.strip`` on ASCII text)."""
+    return F.btrim(c, F.lit(_WS))
+
+
+_strip = strip_ws
 
 
 def first_match(cells: Column, pattern: str = FUT_SYMBOL_PATTERN) -> Column:

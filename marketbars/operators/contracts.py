@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketbars.functions.coerce import strike_to_int
-from marketbars.functions.epochs import expiry_epoch_to_date, plausible_expiry_epoch
-from marketbars.functions.symbols import continuous_ticker, first_match, fut_symbol_parts, month_expiry
+from marketbars.functions.epochs import epoch_digits, plausible_seconds, seconds_to_market_date
+from marketbars.functions.symbols import strip_ws, continuous_ticker, first_match, fut_symbol_parts, month_expiry
 from marketbars.functions.timefmt import parse_dmy
 from marketbars.schemas import (
-    CONTRACT_SERIES, EXPIRY_WINDOW_DAYS, FUTURES_SPECS, OPTION_TYPES, UNDERLYINGS,
+    FUT_SYMBOL_PATTERN, CONTRACT_SERIES, EXPIRY_WINDOW_DAYS, FUTURES_SPECS, OPTION_TYPES, UNDERLYINGS,
 )
 
 
@@ -141,21 +141,37 @@ def futures_spec_dim(spark: SparkSession, specs: dict | None = None) -> DataFram
 def master_candidates(cells: DataFrame) -> DataFrame:
     """Symbol-master rows (``cells`` array<string>) -> FUT symbol, parts and
     expiry by the fallback chain: the cell before the symbol, else the first
-    cell holding a plausible epoch, else the symbol's month. NULL expiry rows
-    are dropped."""
+    cell holding a plausible epoch, else the symbol's month. Rows without a
+    symbol or an expiry are dropped. Other input columns are passed through.
+
+    Every cell is stripped and classified once (text, is-symbol, plausible
+    epoch); the symbol, its position and both epoch fallbacks are then read
+    from that array through lambda variables, so no cell is parsed twice.
+    """
     extra = [c for c in cells.columns if c != "cells"]
-    m = cells.select(*extra, "cells", first_match(F.col("cells")).alias("m"))
-    m = m.where(F.col("m.symbol").isNotNull())
-    parts = fut_symbol_parts(F.col("m.symbol"))
-    pos = F.col("m.pos")
-    before = F.when(pos > 1, expiry_epoch_to_date(F.try_element_at("cells", (pos - 1).cast("int"))))
-    any_cell = F.try_element_at(F.filter("cells", lambda c: plausible_expiry_epoch(c).isNotNull()), F.lit(1))
-    expiry = F.coalesce(before, expiry_epoch_to_date(any_cell),
-                        month_expiry(parts["yy"], parts["mon"]))
-    out = m.select(*extra, F.col("m.symbol").alias("symbol"), pos.alias("symbol_pos"),
-                   parts["exch"].alias("exch"),
-                   parts["root"].alias("root"), expiry.alias("expiry"))
-    return out.where(F.col("expiry").isNotNull())
+    stripped = F.transform("cells", lambda c: strip_ws(F.coalesce(c, F.lit(""))))
+    info = F.transform(stripped, lambda t: F.struct(
+        t.alias("text"), t.rlike(FUT_SYMBOL_PATTERN).alias("is_symbol"),
+        plausible_seconds(epoch_digits(t)).alias("secs")))
+    a = cells.select(*extra, info.alias("info"))
+    b = a.select(*extra, "info",
+                 F.array_position(F.transform("info", lambda x: x["is_symbol"]), True)
+                  .cast("int").alias("symbol_pos"))
+    pos = F.col("symbol_pos")
+    before = F.when(pos > 1, F.try_element_at("info", pos - 1)["secs"])
+    first_epoch = F.try_element_at(F.filter("info", lambda x: x["secs"].isNotNull()), F.lit(1))["secs"]
+    c = b.select(
+        *extra, F.try_element_at("info", pos)["text"].alias("symbol"), "symbol_pos",
+        F.coalesce(before, first_epoch).alias("expiry_secs"))
+    sym = F.col("symbol")
+    parts = [F.regexp_extract(sym, FUT_SYMBOL_PATTERN, i) for i in (1, 2, 3, 4)]
+    expiry = F.coalesce(seconds_to_market_date(F.col("expiry_secs")), month_expiry(parts[2], parts[3]))
+    row = F.struct(sym.alias("symbol"), F.col("symbol_pos"), parts[0].alias("exch"),
+                   parts[1].alias("root"), expiry.alias("expiry"))
+    # keep-or-drop through a generator instead of a Filter: a Filter here would be
+    # pushed below the projections and re-evaluate every cell classification
+    kept = F.filter(F.array(row), lambda r: (r["symbol_pos"] > 0) & r["expiry"].isNotNull())
+    return c.select(*extra, F.inline(kept))
 
 
 def resolve_futures(cells: DataFrame, trading_date, specs: DataFrame,
