@@ -41,13 +41,13 @@ def fut_symbol_parts(symbol: Column) -> Column:
                     part(3).alias("yy"), part(4).alias("mon"))
 
 
-_MONTH_MAP = F.create_map(*[x for i, m in enumerate(MONTHS, 1)
-                            for x in (F.lit(m), F.lit(i))])
+def _month_map() -> Column:
+    return F.create_map(*[x for i, m in enumerate(MONTHS, 1) for x in (F.lit(m), F.lit(i))])
 
 
 def month_expiry(yy: Column, mon: Column) -> Column:
     """First day of the symbol's month (``2000+yy``); unknown month -> NULL."""
-    month = F.try_element_at(_MONTH_MAP, mon)
+    month = F.try_element_at(_month_map(), mon)
     return F.when(month.isNotNull(),
                   F.make_date(F.lit(2000) + yy.cast("int"), month, F.lit(1)))
 
