@@ -23,9 +23,19 @@ def epoch_to_market_time(epoch: Column, tz: str = MARKET_TZ) -> Column:
 
 
 def ntz_epoch_seconds(ts: Column) -> Column:
-    """TIMESTAMP_NTZ read as UTC wall clock -> whole epoch seconds (floor)."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
-    return F.floor(micros / F.lit(1_000_000)).cast("bigint")
+    """TIMESTAMP_NTZ read as UTC wall clock -> whole epoch seconds (floor).
+
+    Built from the value's own date and clock fields, so no conversion to a
+    session-zone TIMESTAMP happens anywhere.
+    """
+    days = F.unix_date(F.to_date(ts)).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+
+
+def hour_start(ts: Column) -> Column:
+    """Start of the hour of a TIMESTAMP_NTZ, built from its fields (zone-free)."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.lit(0), F.lit(0))
 
 
 def bar_date(wall: Column) -> Column:

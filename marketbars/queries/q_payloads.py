@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marketbars.functions.timefmt import ntz_epoch_seconds
 from marketbars.operators import bars as B
 from marketbars.operators.report import date_status, outcome_counts, run_summary
+from marketbars.functions.timefmt import hour_start
 from marketbars.queries import query, table
 from marketbars.functions.symbols import continuous_ticker
 from marketbars.sources.readers import parse_bar_payload_text
@@ -57,7 +58,7 @@ def spot_payloads(spark, sf, faults=False):
     v = F.col("value")
     candle = F.array(epoch, v, v + 1, v - 1, v, F.col("user_id").cast("double"))
     p = (ev.groupBy(F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol"),
-                    F.date_trunc("hour", F.col("ts")).alias("hour"))
+                    hour_start(F.col("ts")).alias("hour"))
            .agg(F.array_sort(F.collect_list(candle)).alias("candles"),
                 (F.min("event_id") % 10).alias("k"), F.min(F.to_date("ts")).alias("trading_date")))
     k = F.col("k")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from marketbars.operators.quality import duplicate_count, ohlc_violation, quality_report
 from marketbars.operators.routing import exchange_dim, exchange_split_counts, route_exchange
+from marketbars.functions.timefmt import hour_start
 from marketbars.queries import query, table
 from marketbars.schemas import OPTIONS_COLUMNS
 
@@ -22,7 +23,7 @@ TYPE_INDEX = {"click": "NIFTY", "view": "NIFTY", "purchase": "BANKNIFTY",
 
 def event_bars(spark, sf):
     ev = table(spark, sf, "events")
-    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
+    hour = hour_start(F.col("ts"))
     b = ev.groupBy("event_type", hour.alias("hour")).agg(
         F.min_by("value", "ts").alias("o"), F.max("value").alias("hi"),
         F.min("value").alias("lo"), F.max_by("value", "ts").alias("c"),

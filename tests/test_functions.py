@@ -25,9 +25,15 @@ def test_epoch_to_market_time_independent_of_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_ntz_epoch_seconds_floors(spark):
-    r = one(spark, ntz_epoch_seconds(F.col("ts")), dt.datetime(2024, 1, 1, 0, 0, 1, 500000), "ts timestamp_ntz")
-    assert r == 1704067201
+def test_ntz_epoch_seconds_floors_in_any_session_zone(spark):
+    for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        r = one(spark, ntz_epoch_seconds(F.col("ts")), dt.datetime(2024, 1, 1, 0, 0, 1, 500000), "ts timestamp_ntz")
+        assert r == 1704067201
+        r = one(spark, ntz_epoch_seconds(F.col("ts")), dt.datetime(1969, 12, 31, 23, 59, 59, 500000),
+                "ts timestamp_ntz")
+        assert r == -1
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def test_parse_dmy_accepts_unpadded_rejects_invalid(spark):
