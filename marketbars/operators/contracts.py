@@ -13,6 +13,7 @@ from marketbars.functions.coerce import strike_to_int
 from marketbars.functions.epochs import epoch_digits, plausible_seconds, seconds_to_market_date
 from marketbars.functions.symbols import strip_ws, continuous_ticker, first_match, fut_symbol_parts, month_expiry
 from marketbars.functions.timefmt import parse_dmy
+from marketbars.operators.calendar import date_span
 from marketbars.schemas import (
     FUT_SYMBOL_PATTERN, CONTRACT_SERIES, EXPIRY_WINDOW_DAYS, FUTURES_SPECS, OPTION_TYPES, UNDERLYINGS,
 )
@@ -199,6 +200,45 @@ def resolve_futures(cells: DataFrame, trading_date, specs: DataFrame,
                          series.alias("contract_series"), "expiry", "rank")
 
 
+def resolve_futures_range(cells: DataFrame, trading_dates: DataFrame, specs: DataFrame,
+                          count: int = len(CONTRACT_SERIES)) -> DataFrame:
+    """Near/next/far per index for every date of ``trading_dates`` (column
+    ``trading_date``) in one job, with the same result as ``resolve_futures``
+    run date by date.
+
+    For a date d a symbol counts with its earliest expiry on or after d, so the
+    pair (symbol, expiry_i) is the symbol's candidate exactly for the dates in
+    (expiry_{i-1}, expiry_i]. Each pair emits only those dates (a generator, no
+    join of all dates with all symbols), then the ``count`` nearest per
+    (index, date) are kept. Output: underlying, trading_date, symbol, ticker,
+    contract_series, expiry, rank.
+    """
+    c = master_candidates(cells)
+    # the spec dimension is one row per configured index: a proven-small broadcast
+    c = c.join(F.broadcast(specs.select("underlying", "root", F.col("exchange").alias("exch"))),
+               ["root", "exch"], "inner")
+    pairs = c.select("underlying", "root", "symbol", "expiry").distinct()
+    prev = F.lag("expiry").over(Window.partitionBy("underlying", "symbol").orderBy("expiry"))
+    pairs = pairs.withColumn("prev", prev)
+    span = trading_dates.agg(F.min("trading_date").alias("lo"), F.max("trading_date").alias("hi")).first()
+    if span["lo"] is None:
+        return trading_dates.sparkSession.createDataFrame(
+            [], "underlying string, trading_date date, symbol string, ticker string, "
+                "contract_series string, expiry date, rank int")
+    first_day = F.greatest(F.coalesce(F.date_add("prev", 1), F.lit(span["lo"])), F.lit(span["lo"]))
+    last_day = F.least(F.col("expiry"), F.lit(span["hi"]))
+    active = pairs.select("underlying", "root", "symbol", "expiry",
+                          F.explode(date_span(first_day, last_day)).alias("trading_date"))
+    active = active.join(trading_dates.select("trading_date").distinct(), "trading_date", "left_semi")
+    w = Window.partitionBy("underlying", "trading_date").orderBy(F.col("expiry").asc(), F.col("symbol").asc())
+    ranked = active.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= count)
+    labels = F.array(*[F.lit(x) for x in CONTRACT_SERIES[:count]])
+    series = F.try_element_at(labels, F.col("rank"))
+    return ranked.select("underlying", "trading_date", "symbol",
+                         continuous_ticker(F.col("root"), series).alias("ticker"),
+                         series.alias("contract_series"), "expiry", "rank")
+
+
 def unresolved_indexes(specs: DataFrame, resolved: DataFrame) -> DataFrame:
     """Configured indexes with no active contract, with the reason."""
     return (specs.join(resolved.select("underlying").distinct(), "underlying", "left_anti")
