@@ -217,14 +217,18 @@ def resolve_futures_range(cells: DataFrame, trading_dates: DataFrame, specs: Dat
     # the spec dimension is one row per configured index: a proven-small broadcast
     c = c.join(F.broadcast(specs.select("underlying", "root", F.col("exchange").alias("exch"))),
                ["root", "exch"], "inner")
-    pairs = c.select("underlying", "root", "symbol", "expiry").distinct()
-    prev = F.lag("expiry").over(Window.partitionBy("underlying", "symbol").orderBy("expiry"))
-    pairs = pairs.withColumn("prev", prev)
     span = trading_dates.agg(F.min("trading_date").alias("lo"), F.max("trading_date").alias("hi")).first()
     if span["lo"] is None:
         return trading_dates.sparkSession.createDataFrame(
             [], "underlying string, trading_date date, symbol string, ticker string, "
                 "contract_series string, expiry date, rank int")
+    # pairs expiring before the range are never candidates; dropping them only
+    # moves a "previous expiry" that lies before the range start, which the
+    # clamp to the range start below makes irrelevant
+    pairs = (c.where(F.col("expiry") >= F.lit(span["lo"]))
+              .select("underlying", "root", "symbol", "expiry").distinct())
+    prev = F.lag("expiry").over(Window.partitionBy("underlying", "symbol").orderBy("expiry"))
+    pairs = pairs.withColumn("prev", prev)
     first_day = F.greatest(F.coalesce(F.date_add("prev", 1), F.lit(span["lo"])), F.lit(span["lo"]))
     last_day = F.least(F.col("expiry"), F.lit(span["hi"]))
     active = pairs.select("underlying", "root", "symbol", "expiry",

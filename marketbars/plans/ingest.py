@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketbars.operators import ledger as L
 from marketbars.operators.merge import merge_first_wins
@@ -59,18 +60,26 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
     decisions = L.reconcile(inc_counts, hist_counts, ledger_dates, targets,
                             dry_run=dry_run, repair=repair, repair_only=repair_only)
     decided = decisions.collect()      # one row per date of this run
-    merge_dates = [r["date"] for r in decided if r["status"] in (L.CREATED, L.UPDATED)]
+    merge_statuses = (L.CREATED, L.UPDATED) + ((L.DRY_RUN,) if dry_run else ())
+    merge_dates = [r["date"] for r in decided if r["status"] in merge_statuses]
     repaired = [r["date"] for r in decided if r["status"] == L.REPAIRED]
 
+    after: dict[str, int] = {}
     if merge_dates:
         todo = incoming.where(F.col(PART_COL).cast("string").isin(merge_dates))
         affected = None
         if history is not None:
             affected = history.where(F.col(PART_COL).cast("string").isin(merge_dates))
         merged = merge_first_wins(affected, todo, keys)
-        stage_and_publish(spark, merged, scratch_path(spark, "stage"), history_path,
-                          sort_within=sort_within)
-    if merge_dates or repaired:
+        if dry_run:       # compute the merge and its statistics, write nothing
+            counted = merged
+        else:
+            staging = scratch_path(spark, "stage")
+            stage_and_publish(spark, merged, staging, history_path, sort_within=sort_within)
+            counted = spark.read.parquet(staging)
+        after = {r["d"]: r["n"] for r in counted.groupBy(F.col(PART_COL).cast("string").alias("d"))
+                 .agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not dry_run and (merge_dates or repaired):
         new_ledger = L.repaired_ledger(
             L.parse_ledger(read_ledger(spark, ledger_path)),
             spark.createDataFrame([(target, d, L.UPDATED) for d in merge_dates + repaired],
@@ -81,4 +90,10 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
         if archive_path is not None and merge_dates:
             archive_raw(incoming.where(F.col(PART_COL).cast("string").isin(merge_dates)).drop(PART_COL),
                         archive_path, _dt.date.today())
-    return spark.createDataFrame(decided, decisions.schema)
+    out = []
+    for r in decided:
+        rows_after = after.get(r["date"])
+        added = None if rows_after is None else rows_after - r["history_rows"]
+        out.append(tuple(r) + (rows_after, added))
+    schema = decisions.schema.add("rows_after", T.LongType()).add("rows_added", T.LongType())
+    return spark.createDataFrame(out, schema)

@@ -328,3 +328,38 @@ FROM k WHERE rank <= 3
 """)
 def q_near_next_far(spark, sf):
     return C.resolve_futures(segment_master(spark, sf), MASTER_DATE, segment_specs(spark))
+
+
+RANGE_START, RANGE_END = "2029-06-01", "2029-07-31"
+
+
+@query("futures_range", f"""
+WITH r AS (
+  SELECT c_mktsegment, CAST(CAST(o_orderdate AS DATE) + INTERVAL 31 YEAR AS DATE) AS d
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+m AS (
+  SELECT c_mktsegment AS root, 'NSE' AS exch, strftime(d, '%y') AS yy, upper(strftime(d, '%b')) AS mon,
+    'NSE:' || c_mktsegment || strftime(d, '%y') || upper(strftime(d, '%b')) || 'FUT' AS symbol,
+    date_diff('second', TIMESTAMP '1970-01-01', CAST(d AS TIMESTAMP)) + 36000 AS secs
+  FROM r),
+e AS (
+  SELECT *, CASE WHEN secs >= 1000000000 AND secs <= 2051222400
+                 THEN CAST(to_timestamp(secs) AT TIME ZONE 'Asia/Kolkata' AS DATE)
+                 ELSE make_date(2000 + CAST(yy AS INTEGER), {_MONTH_CASE}, 1) END AS expiry
+  FROM m),
+s AS (SELECT * FROM (VALUES {_SEG}) t(root, exch)),
+c AS (SELECT DISTINCT e.root AS underlying, symbol, expiry FROM e JOIN s ON e.root = s.root AND e.exch = s.exch),
+td AS (SELECT d AS trading_date FROM (
+         SELECT CAST(unnest(generate_series(DATE '{RANGE_START}', DATE '{RANGE_END}', INTERVAL 1 DAY)) AS DATE) AS d)
+       WHERE isodow(d) <= 5),
+p AS (SELECT underlying, trading_date, symbol, min(expiry) AS expiry
+      FROM td JOIN c ON c.expiry >= td.trading_date GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY underlying, trading_date ORDER BY expiry, symbol) AS rank FROM p)
+SELECT underlying, trading_date, symbol, underlying || '-' || (['I', 'II', 'III'])[rank] || '.NFO' AS ticker,
+       (['I', 'II', 'III'])[rank] AS contract_series, expiry, CAST(rank AS INTEGER) AS rank
+FROM k WHERE rank <= 3
+""")
+def q_futures_range(spark, sf):
+    from marketbars.plans.collect import trading_dates
+    days = trading_dates(spark, RANGE_START, RANGE_END)
+    return C.resolve_futures_range(segment_master(spark, sf), days, segment_specs(spark))

@@ -66,3 +66,15 @@ def test_driver_entry_points(spark):
     df = E.entry(spark)
     assert df.columns == ["event_id", "ts", "user_id", "event_type", "value", "props"]
     assert df.count() > 0
+
+
+def test_ingest_dry_run_reports_stats_and_writes_nothing(spark):
+    base = tempfile.mkdtemp(prefix="mb-dry-")
+    hist, led = os.path.join(base, "hist"), os.path.join(base, "ledger")
+    keys = DEDUP_KEYS["options"]
+    ingest(spark, _bars(spark, D1, ["09:15:00"]), hist, led, "T", keys)
+    r = ingest(spark, _bars(spark, D2, ["09:15:00", "09:15:00", "09:16:00"]), hist, led, "T", keys,
+               dry_run=True).first()
+    assert (r["status"], r["history_rows"], r["rows_after"], r["rows_added"]) == ("dry_run", 0, 2, 2)
+    assert spark.read.parquet(hist).count() == 1
+    assert [x["date"] for x in L.parse_ledger(read_ledger(spark, led)).collect()] == [D1.isoformat()]
