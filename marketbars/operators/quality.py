@@ -59,7 +59,8 @@ def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLU
     """
     group_by = list(group_by or [])
     present = [c for c in expected_columns if c in df.columns]
-    columns_ok = [c for c in df.columns if c not in group_by] == list(expected_columns)
+    extra = [g for g in group_by if g not in expected_columns]   # grouping-only columns
+    columns_ok = [c for c in df.columns if c not in extra] == list(expected_columns)
 
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.count_if(_missing(df, c)).alias(f"missing_{c}") for c in present]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from marketbars.operators import bars as B
 from marketbars.operators import contracts as C
 from marketbars.operators.calendar import TRADING, classify_days, date_span, holidays
+from marketbars.operators.quality import quality_report
 from marketbars.operators.report import date_status, outcome_counts
 from marketbars.operators.routing import exchange_dim, route_exchange
 from marketbars.schemas import FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS
@@ -83,10 +84,32 @@ def build_run(spark: SparkSession, *, start: str, end: str,
             "outcomes": outcomes, "counts": counts, "status": date_status(counts)}
 
 
-def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str) -> None:
+class ValidationError(RuntimeError):
+    pass
+
+
+def check_options_split(routed: DataFrame) -> DataFrame:
+    """Verdict per (exchange, date) subset; raises when a subset fails or when
+    no exchange has any row. Only verdict rows reach the driver."""
+    rep = quality_report(routed.select(*OPTIONS_COLUMNS, "exchange"), group_by=["exchange", "Date"])
+    verdicts = rep.select("exchange", "Date", "rows", "ok", "errors").collect()
+    if not verdicts:
+        raise ValidationError("no options rows to save for any exchange")
+    bad = [v for v in verdicts if not v["ok"]]
+    if bad:
+        raise ValidationError("; ".join(f"{v['exchange']} {v['Date']}: {', '.join(v['errors'])}" for v in bad))
+    return rep
+
+
+def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
+                  validate: bool = True) -> None:
     """Options split by exchange and date, futures by date (Parquet, zstd);
-    spot by index and date (CSV). Only the dates present are replaced."""
+    spot by index and date (CSV). Only the dates present are replaced. With
+    ``validate`` every options (exchange, date) subset must pass the quality
+    report first; an exchange without rows is simply not written."""
     routed = route_exchange(tables["options"], exchange_dim(spark))
+    if validate:
+        check_options_split(routed)
     write_parquet(routed.select(*OPTIONS_COLUMNS, "exchange", F.col("Date").alias(PART_COL)),
                   f"{out_dir}/options", ["exchange", PART_COL], "overwrite",
                   sort_within=["Underlying", "Expiry", "Strike", "OptionType", "Time"])

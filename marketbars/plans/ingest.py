@@ -97,3 +97,23 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
         out.append(tuple(r) + (rows_after, added))
     schema = decisions.schema.add("rows_after", T.LongType()).add("rows_added", T.LongType())
     return spark.createDataFrame(out, schema)
+
+
+def sync_date(spark: SparkSession, feeds: Sequence[dict], **flags) -> DataFrame:
+    """Ingest every feed of a run, isolating failures per target.
+
+    ``feeds``: dicts with incoming, history_path, ledger_path, target, keys (and
+    optionally date_of, archive_path). A failing target is reported with status
+    ``error`` and its message; the others proceed. Returns target, date,
+    status, message for every decision (one row per failed target).
+    """
+    out = []
+    for feed in feeds:           # a handful of feeds per run; each is a Spark job
+        try:
+            d = ingest(spark, feed["incoming"], feed["history_path"], feed["ledger_path"],
+                       feed["target"], feed["keys"], date_of=feed.get("date_of"),
+                       archive_path=feed.get("archive_path"), **flags)
+            out += [(r["target"], r["date"], r["status"], None) for r in d.collect()]
+        except Exception as error:  # noqa: BLE001 - isolate this target
+            out.append((feed["target"], None, "error", str(error)[:1000]))
+    return spark.createDataFrame(out, "target string, date string, status string, message string")

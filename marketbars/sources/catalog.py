@@ -39,3 +39,11 @@ def feed_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         rows, "ord int, kind string, feed string, file_name string, fmt string, target string, keys array<string>")
 
+
+
+def present_feeds(catalog: DataFrame, produced: DataFrame) -> DataFrame:
+    """Expected feeds of the run flagged by whether their per-day file was
+    produced (``produced``: file_name). Missing feeds are the ``present = false`` rows."""
+    p = produced.select("file_name").distinct().withColumn("present", F.lit(True))
+    return (catalog.join(p, "file_name", "left")
+                   .withColumn("present", F.coalesce("present", F.lit(False))))

@@ -2,6 +2,8 @@ import datetime as dt
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from marketbars.operators import contracts as C
 from marketbars.plans.collect import build_run, pending_dates, run_dates, write_outputs
 from marketbars.plans.day_report import day_report
@@ -98,3 +100,36 @@ def test_range_resolution_matches_single_date(spark):
     for d in (MON, TUE):
         single = {(d, r["rank"]): r["symbol"] for r in C.resolve_futures(cells, d, specs).collect()}
         assert single == {k: v for k, v in rng.items() if k[0] == d}
+
+
+def test_split_validation_and_feed_presence(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from marketbars.plans.collect import ValidationError, check_options_split
+    from marketbars.operators.routing import exchange_dim, route_exchange
+    from marketbars.sources.catalog import feed_catalog, present_feeds
+    t = build_run(spark, start="2026-08-24", end="2026-08-25", **inputs(spark))
+    routed = route_exchange(t["options"], exchange_dim(spark))
+    assert check_options_split(routed).count() == 3
+    with pytest.raises(ValidationError):
+        check_options_split(routed.withColumn("High", F.lit(0.0)))
+    with pytest.raises(ValidationError):
+        check_options_split(routed.where("false"))
+    produced = spark.createDataFrame([("options_nse.parquet",), ("futures.parquet",)], "file_name string")
+    got = {r["file_name"]: r["present"] for r in present_feeds(feed_catalog(spark), produced).collect()}
+    assert got["options_nse.parquet"] and not got["options_bse.parquet"] and len(got) == 6
+
+
+def test_sync_date_isolates_failures(spark):
+    from marketbars.plans.ingest import sync_date
+    from marketbars.schemas import DEDUP_KEYS
+    base = tempfile.mkdtemp(prefix="mb-sync-")
+    t = build_run(spark, start="2026-08-24", end="2026-08-25", **inputs(spark))
+    feeds = [
+        dict(incoming=t["futures"], history_path=os.path.join(base, "fut"),
+             ledger_path=os.path.join(base, "fut.led"), target="INDEX_FUTURES_2026", keys=DEDUP_KEYS["futures"]),
+        dict(incoming=t["options"].withColumn("Date", F.lit("x")), history_path=os.path.join(base, "bad"),
+             ledger_path=os.path.join(base, "bad.led"), target="BROKEN", keys=DEDUP_KEYS["options"]),
+    ]
+    res = {(r["target"], r["status"]) for r in sync_date(spark, feeds).collect()}
+    assert ("INDEX_FUTURES_2026", "created") in res and ("BROKEN", "error") in res
