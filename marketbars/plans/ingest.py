@@ -24,6 +24,10 @@ from marketbars.sinks.writers import PART_COL, archive_raw, stage_and_publish
 from marketbars.sources.readers import read_ledger
 
 
+def _as_dates(values):
+    return [_dt.date.fromisoformat(v) for v in values if v is not None]
+
+
 def _read_history(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -49,7 +53,7 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
     # only the dates being ingested are counted in history (partition pruned)
     dates = [r["date"] for r in inc_counts.select("date").collect()]   # bounded: days in this run
     if history is not None:
-        hist_counts = (history.where(F.col(PART_COL).cast("string").isin(dates))
+        hist_counts = (history.where(F.col(PART_COL).isin(_as_dates(dates)))
                        .groupBy(F.col(PART_COL).cast("string").alias("date"))
                        .agg(F.count(F.lit(1)).alias("history_rows"))
                        .withColumn("target", F.lit(target)))
@@ -66,10 +70,10 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
 
     after: dict[str, int] = {}
     if merge_dates:
-        todo = incoming.where(F.col(PART_COL).cast("string").isin(merge_dates))
+        todo = incoming.where(F.col(PART_COL).isin(_as_dates(merge_dates)))
         affected = None
         if history is not None:
-            affected = history.where(F.col(PART_COL).cast("string").isin(merge_dates))
+            affected = history.where(F.col(PART_COL).isin(_as_dates(merge_dates)))   # partition pruning
         merged = merge_first_wins(affected, todo, keys)
         if dry_run:       # compute the merge and its statistics, write nothing
             counted = merged
