@@ -11,15 +11,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from marketbars.functions.symbols import strip_ws
 from marketbars.functions.timefmt import epoch_to_market_time
 from marketbars.schemas import EPOCH_MS_RANGE, EPOCH_S_RANGE
 
-_DIGITS = r"^\s*([0-9]+)\s*$"
+_DIGITS = r"^\s*[0-9]+\s*$"
 
 
 def epoch_digits(cell: Column) -> Column:
-    """Stripped, digit-only text -> DECIMAL(38,0); anything else -> NULL."""
-    return F.regexp_extract(cell, _DIGITS, 1).try_cast("decimal(38,0)")
+    """Stripped, digit-only text -> BIGINT; anything else -> NULL.
+
+    A digit string beyond the BIGINT range gives NULL, which is the same
+    verdict as "implausible" (the plausible range ends far below it).
+    """
+    return F.when(cell.rlike(_DIGITS), strip_ws(cell).try_cast("bigint"))
+
+
+def stripped_epoch_digits(text: Column) -> Column:
+    """``epoch_digits`` for text that is already stripped."""
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
 
 
 def plausible_seconds(raw: Column) -> Column:

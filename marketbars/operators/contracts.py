@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketbars.functions.coerce import strike_to_int
-from marketbars.functions.epochs import epoch_digits, plausible_seconds, seconds_to_market_date
+from marketbars.functions.epochs import plausible_seconds, seconds_to_market_date, stripped_epoch_digits
 from marketbars.functions.symbols import strip_ws, continuous_ticker, first_match, fut_symbol_parts, month_expiry
 from marketbars.functions.timefmt import parse_dmy
 from marketbars.operators.calendar import date_span
@@ -151,9 +151,14 @@ def master_candidates(cells: DataFrame) -> DataFrame:
     """
     extra = [c for c in cells.columns if c != "cells"]
     stripped = F.transform("cells", lambda c: strip_ws(F.coalesce(c, F.lit(""))))
-    info = F.transform(stripped, lambda t: F.struct(
+    # two passes: the regex tests run once per cell; the epoch arithmetic then
+    # reads the parsed digits through a field reference instead of re-parsing
+    raw = F.transform(stripped, lambda t: F.struct(
         t.alias("text"), t.rlike(FUT_SYMBOL_PATTERN).alias("is_symbol"),
-        plausible_seconds(epoch_digits(t)).alias("secs")))
+        stripped_epoch_digits(t).alias("digits")))
+    info = F.transform(raw, lambda x: F.struct(
+        x["text"].alias("text"), x["is_symbol"].alias("is_symbol"),
+        plausible_seconds(x["digits"]).alias("secs")))
     a = cells.select(*extra, info.alias("info"))
     b = a.select(*extra, "info",
                  F.array_position(F.transform("info", lambda x: x["is_symbol"]), True)
@@ -167,12 +172,13 @@ def master_candidates(cells: DataFrame) -> DataFrame:
     sym = F.col("symbol")
     parts = [F.regexp_extract(sym, FUT_SYMBOL_PATTERN, i) for i in (1, 2, 3, 4)]
     expiry = F.coalesce(seconds_to_market_date(F.col("expiry_secs")), month_expiry(parts[2], parts[3]))
-    row = F.struct(sym.alias("symbol"), F.col("symbol_pos"), parts[0].alias("exch"),
-                   parts[1].alias("root"), expiry.alias("expiry"))
+    d = c.select(*extra, "symbol", "symbol_pos", parts[0].alias("exch"), parts[1].alias("root"),
+                 expiry.alias("expiry"))
+    out = ["symbol", "symbol_pos", "exch", "root", "expiry"]
     # keep-or-drop through a generator instead of a Filter: a Filter here would be
     # pushed below the projections and re-evaluate every cell classification
-    kept = F.filter(F.array(row), lambda r: (r["symbol_pos"] > 0) & r["expiry"].isNotNull())
-    return c.select(*extra, F.inline(kept))
+    kept = F.filter(F.array(F.struct(*out)), lambda r: (r["symbol_pos"] > 0) & r["expiry"].isNotNull())
+    return d.select(*extra, F.inline(kept))
 
 
 def resolve_futures(cells: DataFrame, trading_date, specs: DataFrame,
