@@ -1,6 +1,7 @@
-"""Payload queries: events are landed as vendor-style JSON responses (one per
-user and day for options/futures, one per event type and hour for spot),
-parsed back with the declared schema, classified and flattened."""
+"""Payload queries: events are ticks, rolled up into 1-minute bars and landed
+as vendor-style JSON responses (one per user and day for options/futures, one
+per event type and day for spot, so a response never holds more than 1,440
+bars), parsed back with the declared schema, classified and flattened."""
 
 from __future__ import annotations
 
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 from marketbars.functions.timefmt import ntz_epoch_seconds
 from marketbars.operators import bars as B
 from marketbars.operators.report import date_status, outcome_counts, run_summary
-from marketbars.functions.timefmt import hour_start
 from marketbars.queries import query, table
 from marketbars.functions.symbols import continuous_ticker
 from marketbars.sources.readers import parse_bar_payload_text
@@ -30,21 +30,38 @@ def _faults(k):
     return s, msg
 
 
-def option_payloads(spark, sf, faults=False):
-    ev = table(spark, sf, "events")
-    epoch = ntz_epoch_seconds(F.col("ts")).cast("double")
-    v = F.col("value")
-    candle = F.array(epoch, v, v + 1, v - 1, v, F.col("event_id").cast("double"),
-                     F.col("user_id").cast("double"))
-    p = (ev.groupBy(F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
-                    F.to_date("ts").alias("trading_date"))
-           .agg(F.array_sort(F.collect_list(candle)).alias("candles"),
-                (F.min("event_id") % 10).alias("k")))
+def minute_bars(ev, symbol):
+    """Events as ticks -> one 1-minute OHLC bar per (symbol, minute).
+
+    Every aggregate is partial (map-side), so a symbol holding a third of all
+    events still sends at most one row per minute per map task. Open/close
+    are the first/last value by (ts, event_id); volume is the tick count.
+    """
+    minute = (ntz_epoch_seconds(F.col("ts")) / 60).cast("bigint") * 60
+    order = F.struct("ts", "event_id")
+    return ev.groupBy(symbol.alias("symbol"), F.to_date("ts").alias("trading_date"),
+                      minute.alias("epoch")).agg(
+        F.min_by("value", order).alias("o"), F.max("value").alias("h"),
+        F.min("value").alias("l"), F.max_by("value", order).alias("c"),
+        F.count(F.lit(1)).alias("v"), F.max("event_id").alias("oi"),
+        F.min("event_id").alias("first_id"))
+
+
+def _payloads(bars, candle):
+    """Minute bars -> one response per (symbol, trading_date): at most 1,440
+    bars a day whatever the data volume; ``k`` (0..9) picks the injected case."""
+    return (bars.groupBy("symbol", "trading_date")
+                .agg(F.array_sort(F.collect_list(candle)).alias("candles"),
+                     (F.min("first_id") % 10).alias("k")))
+
+
+def _finish(p, faults, fields):
     k = F.col("k")
     if faults:
         s, msg = _faults(k)
         candles = (F.when(k == 3, F.array().cast("array<array<double>>"))
-                    .when(k == 4, F.transform("candles", lambda c, i: F.when(i == 0, F.slice(c, 1, 6)).otherwise(c)))
+                    .when(k == 4, F.transform("candles", lambda c, i: F.when(i == 0, F.slice(c, 1, fields - 1))
+                                              .otherwise(c)))
                     .otherwise(F.col("candles")))
     else:
         s, msg, candles = F.lit("ok"), F.lit(""), F.col("candles")
@@ -52,25 +69,25 @@ def option_payloads(spark, sf, faults=False):
                           candles.alias("candles")))
 
 
+def option_payloads(spark, sf, faults=False):
+    """One options response per user and day: [epoch, o, h, l, c, v, oi] bars."""
+    ev = table(spark, sf, "events")
+    b = minute_bars(ev, F.concat(F.lit("U"), F.col("user_id").cast("string")))
+    candle = F.array(*[F.col(c).cast("double") for c in ("epoch", "o", "h", "l", "c", "v", "oi")])
+    return _finish(_payloads(b, candle), faults, 7)
+
+
 def spot_payloads(spark, sf, faults=False):
+    """One spot response per event type and day: [epoch, o, h, l, c, v] bars,
+    followed by a re-sent copy (close + 1) of every bar whose volume is even,
+    which keep-first must drop."""
     ev = table(spark, sf, "events")
-    epoch = ntz_epoch_seconds(F.col("ts")).cast("double")
-    v = F.col("value")
-    candle = F.array(epoch, v, v + 1, v - 1, v, F.col("user_id").cast("double"))
-    p = (ev.groupBy(F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol"),
-                    hour_start(F.col("ts")).alias("hour"))
-           .agg(F.array_sort(F.collect_list(candle)).alias("candles"),
-                (F.min("event_id") % 10).alias("k"), F.min(F.to_date("ts")).alias("trading_date")))
-    k = F.col("k")
-    if faults:
-        s, msg = _faults(k)
-        candles = (F.when(k == 3, F.array().cast("array<array<double>>"))
-                    .when(k == 4, F.transform("candles", lambda c, i: F.when(i == 0, F.slice(c, 1, 5)).otherwise(c)))
-                    .otherwise(F.col("candles")))
-    else:
-        s, msg, candles = F.lit("ok"), F.lit(""), F.col("candles")
-    return _land(p.select("symbol", "trading_date", s.alias("s"), msg.alias("message"),
-                          candles.alias("candles")))
+    b = minute_bars(ev, F.concat(F.lit("IDX:"), F.upper("event_type")))
+    candle = F.array(*[F.col(c).cast("double") for c in ("epoch", "o", "h", "l", "c", "v")])
+    p = _payloads(b, candle)
+    resent = F.transform(F.filter("candles", lambda c: c[5] % 2 == 0),
+                         lambda c: F.array(c[0], c[1], c[2], c[3], c[4] + 1, c[5]))
+    return _finish(p.withColumn("candles", F.concat("candles", resent)), faults, 6)
 
 
 def customer_contracts(spark, sf):
@@ -82,15 +99,20 @@ def customer_contracts(spark, sf):
                     F.when(F.col("c_custkey") % 2 == 0, F.lit("CE")).otherwise(F.lit("PE")).alias("OptionType"))
 
 
-IST_EVENTS = """ev AS (SELECT *, (to_timestamp(epoch_us(ts) // 1000000) AT TIME ZONE 'Asia/Kolkata') AS w
-               FROM events)"""
+MINUTE_BARS = """mb AS (
+  SELECT user_id, event_type, m, arg_min(value, (ts, event_id)) AS o, max(value) AS h, min(value) AS l,
+         arg_max(value, (ts, event_id)) AS c, count(*) AS v, max(event_id) AS oi
+  FROM (SELECT *, date_trunc('minute', ts) AS m FROM events) GROUP BY {key}, m),
+ev AS (SELECT *, (to_timestamp(epoch_us(m) // 1000000) AT TIME ZONE 'Asia/Kolkata') AS w FROM mb)"""
+USER_BARS = MINUTE_BARS.replace("user_id, event_type, m,", "user_id, m,").format(key="user_id")
+TYPE_BARS = MINUTE_BARS.replace("user_id, event_type, m,", "event_type, m,").format(key="event_type")
 
 
 @query("bars_from_payload", f"""
-WITH {IST_EVENTS}
+WITH {USER_BARS}
 SELECT 'U' || e.user_id AS Ticker, CAST(w AS DATE) AS Date, strftime(w, '%H:%M:%S') AS Time,
-  e.value AS Open, e.value + 1 AS High, e.value - 1 AS Low, e.value AS Close,
-  CAST(e.event_id AS BIGINT) AS Volume, CAST(e.user_id AS BIGINT) AS OpenInterest,
+  e.o AS Open, e.h AS High, e.l AS Low, e.c AS Close,
+  CAST(e.v AS BIGINT) AS Volume, CAST(e.oi AS BIGINT) AS OpenInterest,
   c.c_mktsegment AS Underlying, CAST(DATE '2024-01-25' + c.c_nationkey AS DATE) AS Expiry,
   CAST(c.c_nationkey * 100 + 100 AS INTEGER) AS Strike,
   CASE WHEN c.c_custkey % 2 = 0 THEN 'CE' ELSE 'PE' END AS OptionType
@@ -101,11 +123,11 @@ def q_bars_from_payload(spark, sf):
 
 
 @query("futures_bars", f"""
-WITH {IST_EVENTS}
+WITH {USER_BARS}
 SELECT c.c_mktsegment || '-' || (['I', 'II', 'III'])[c.c_nationkey % 3 + 1] || '.NFO' AS Ticker,
   CAST(w AS DATE) AS Date, strftime(w, '%H:%M:%S') AS Time,
-  e.value AS Open, e.value + 1 AS High, e.value - 1 AS Low, e.value AS Close,
-  CAST(e.event_id AS BIGINT) AS Volume, CAST(e.user_id AS BIGINT) AS OpenInterest,
+  e.o AS Open, e.h AS High, e.l AS Low, e.c AS Close,
+  CAST(e.v AS BIGINT) AS Volume, CAST(e.oi AS BIGINT) AS OpenInterest,
   'daily_extraction' AS SourceFile, c.c_mktsegment AS Underlying,
   (['I', 'II', 'III'])[c.c_nationkey % 3 + 1] AS ContractSeries
 FROM ev e JOIN customer c ON e.user_id = c.c_custkey
@@ -120,13 +142,10 @@ def q_futures_bars(spark, sf):
 
 
 @query("spot_bars", f"""
-WITH {IST_EVENTS},
-r AS (SELECT upper(event_type) AS "Index", date_trunc('second', w) AS timestamp, value, user_id,
-        row_number() OVER (PARTITION BY event_type, date_trunc('second', w) ORDER BY value, user_id) AS rn
-      FROM ev)
-SELECT "Index", timestamp, value AS Open, value + 1 AS High, value - 1 AS Low, value AS Close,
-       CAST(user_id AS BIGINT) AS Volume
-FROM r WHERE rn = 1
+WITH {TYPE_BARS}
+SELECT upper(event_type) AS "Index", w AS timestamp, o AS Open, h AS High, l AS Low, c AS Close,
+       CAST(v AS BIGINT) AS Volume
+FROM ev
 """)
 def q_spot_bars(spark, sf):
     p = spot_payloads(spark, sf)
@@ -143,12 +162,16 @@ def all_outcomes(spark, sf):
 
 
 OUTCOME_SQL = """
+m AS (
+  SELECT user_id, event_type, CAST(ts AS DATE) AS d, date_trunc('minute', ts) AS m, event_id AS first_id
+  FROM events),
 g AS (
-  SELECT CAST(ts AS DATE) AS d, 'options' AS kind, count(*) AS n, min(event_id) % 10 AS k
-  FROM events GROUP BY user_id, CAST(ts AS DATE)
+  SELECT d, 'options' AS kind, count(*) AS n, min(first_id) % 10 AS k
+  FROM (SELECT user_id, d, m, min(first_id) AS first_id FROM m GROUP BY ALL) GROUP BY user_id, d
   UNION ALL
-  SELECT min(CAST(ts AS DATE)), 'spot', count(*), min(event_id) % 10
-  FROM events GROUP BY event_type, date_trunc('hour', ts)),
+  SELECT d, 'spot', count(*) + count(*) FILTER (WHERE v % 2 = 0), min(first_id) % 10
+  FROM (SELECT event_type, d, m, min(first_id) AS first_id, count(*) AS v FROM m GROUP BY ALL)
+  GROUP BY event_type, d),
 f AS (
   SELECT d, kind, n,
     CASE WHEN k = 0 THEN 'no_data' WHEN k IN (1, 2) THEN 'error' WHEN k = 5 THEN NULL
