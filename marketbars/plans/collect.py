@@ -115,8 +115,8 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
                   sort_within=["Underlying", "Expiry", "Strike", "OptionType", "Time"])
     write_parquet(tables["futures"].withColumn(PART_COL, F.col("Date")), f"{out_dir}/futures",
                   [PART_COL], "overwrite", sort_within=["Underlying", "ContractSeries", "Time"])
-    write_csv(tables["spot"].withColumn(PART_COL, F.to_date("timestamp")).sortWithinPartitions("timestamp"),
-              f"{out_dir}/spot", ["Index", PART_COL], "overwrite")
+    write_csv(tables["spot"].withColumn(PART_COL, F.to_date("timestamp")),
+              f"{out_dir}/spot", ["Index", PART_COL], "overwrite", sort_within=["timestamp"])
 
 
 def completed_dates(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -26,8 +26,10 @@ def q_sink_roundtrip(spark, sf):
 def q_stream_ingest(spark, sf):
     ev = table(spark, sf, "events")
     landing = scratch_path(spark, "landing")
-    # land the table as one file per day: the stream picks them up as new files
-    ev.repartition(F.to_date("ts")).write.parquet(landing)
+    # land the table as files of about one day each (a large day is split by
+    # AQE): the stream picks them up as new files
+    (ev.withColumn("_day", F.to_date("ts")).hint("rebalance", "_day").drop("_day")
+       .write.parquet(landing))
     history = scratch_path(spark, "history")
     ledger = scratch_path(spark, "ledger")
     ckpt = scratch_path(spark, "stream-ckpt")

@@ -23,17 +23,27 @@ class WriteError(RuntimeError):
     pass
 
 
+def _layout(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[str]) -> DataFrame:
+    """Rows laid out for a partitioned write.
+
+    ``rebalance`` on the partition columns (not ``repartition``): a day that
+    holds a third of all rows is split over several tasks by AQE instead of
+    landing in one, and small days are merged. Each task then sorts by the
+    partition columns first, which is the order the file writer needs (so it
+    adds no sort of its own that would undo ``sort_within``).
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
+    order = [*partition_by, *sort_within]
+    return df.sortWithinPartitions(*order) if order else df
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                   mode: str = "errorifexists", sort_within: Sequence[str] = ()) -> None:
     """zstd Parquet. ``errorifexists`` is the no-clobber guard; ``overwrite``
     with dynamic partition overwrite replaces only the partitions written.
     ``sort_within`` clusters rows inside each file (better row-group stats)."""
-    w = df
-    if partition_by:
-        w = w.repartition(*[F.col(c) for c in partition_by])
-    if sort_within:
-        w = w.sortWithinPartitions(*sort_within)
-    writer = (w.write.mode(mode).option("compression", "zstd")
+    writer = (_layout(df, partition_by, sort_within).write.mode(mode).option("compression", "zstd")
               .option("partitionOverwriteMode", "dynamic"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -41,11 +51,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-              mode: str = "errorifexists") -> None:
+              mode: str = "errorifexists", sort_within: Sequence[str] = ()) -> None:
     """CSV with header; NTZ timestamps as ``yyyy-MM-dd HH:mm:ss``."""
-    out = df.select(*[bar_timestamp_text(F.col(f.name)).alias(f.name)
-                      if f.dataType.typeName() == "timestamp_ntz" else F.col(f.name)
-                      for f in df.schema.fields])
+    out = _layout(df, partition_by, sort_within)
+    out = out.select(*[bar_timestamp_text(F.col(f.name)).alias(f.name)
+                       if f.dataType.typeName() == "timestamp_ntz" else F.col(f.name)
+                       for f in df.schema.fields])
     writer = out.write.mode(mode).option("header", True).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -78,6 +89,6 @@ def stage_and_publish(spark: SparkSession, df: DataFrame, staging: str, target:
 
 def archive_raw(df: DataFrame, archive_path: str, ingest_date) -> None:
     """Append the incoming rows unchanged under ``ingest_date=YYYY-MM-DD``."""
-    (df.withColumn("ingest_date", F.lit(str(ingest_date)))
+    (_layout(df.withColumn("ingest_date", F.lit(str(ingest_date))), ["ingest_date"], ())
        .write.mode("append").option("compression", "zstd")
        .partitionBy("ingest_date").parquet(archive_path))
