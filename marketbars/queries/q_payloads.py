@@ -30,21 +30,23 @@ def _faults(k):
     return s, msg
 
 
-def minute_bars(ev, symbol):
-    """Events as ticks -> one 1-minute OHLC bar per (symbol, minute).
-
-    Every aggregate is partial (map-side), so a symbol holding a third of all
-    events still sends at most one row per minute per map task. Open/close
-    are the first/last value by (ts, event_id); volume is the tick count.
+def minute_bars(ev, key, symbol):
+    """Events as ticks -> one 1-minute OHLC bar per (key, minute).
+
+    Ticks are ordered by their sequence number (``event_id``): open/close are
+    the values of the first/last tick of the minute, volume is the tick count.
+    Every aggregate has a fixed-width buffer, so Spark plans a hash aggregate
+    with a map-side partial step: a key holding a third of all events still
+    sends at most one row per minute per map task. ``symbol`` (an expression
+    over ``key``) is applied after the aggregation.
     """
     minute = (ntz_epoch_seconds(F.col("ts")) / 60).cast("bigint") * 60
-    order = F.struct("ts", "event_id")
-    return ev.groupBy(symbol.alias("symbol"), F.to_date("ts").alias("trading_date"),
-                      minute.alias("epoch")).agg(
-        F.min_by("value", order).alias("o"), F.max("value").alias("h"),
-        F.min("value").alias("l"), F.max_by("value", order).alias("c"),
+    b = ev.groupBy(key, F.to_date("ts").alias("trading_date"), minute.alias("epoch")).agg(
+        F.min_by("value", "event_id").alias("o"), F.max("value").alias("h"),
+        F.min("value").alias("l"), F.max_by("value", "event_id").alias("c"),
         F.count(F.lit(1)).alias("v"), F.max("event_id").alias("oi"),
         F.min("event_id").alias("first_id"))
+    return b.select(symbol.alias("symbol"), *[c for c in b.columns if c != key])
 
 
 def _payloads(bars, candle):
@@ -72,7 +74,7 @@ def _finish(p, faults, fields):
 def option_payloads(spark, sf, faults=False):
     """One options response per user and day: [epoch, o, h, l, c, v, oi] bars."""
     ev = table(spark, sf, "events")
-    b = minute_bars(ev, F.concat(F.lit("U"), F.col("user_id").cast("string")))
+    b = minute_bars(ev, "user_id", F.concat(F.lit("U"), F.col("user_id").cast("string")))
     candle = F.array(*[F.col(c).cast("double") for c in ("epoch", "o", "h", "l", "c", "v", "oi")])
     return _finish(_payloads(b, candle), faults, 7)
 
@@ -82,7 +84,7 @@ def spot_payloads(spark, sf, faults=False):
     followed by a re-sent copy (close + 1) of every bar whose volume is even,
     which keep-first must drop."""
     ev = table(spark, sf, "events")
-    b = minute_bars(ev, F.concat(F.lit("IDX:"), F.upper("event_type")))
+    b = minute_bars(ev, "event_type", F.concat(F.lit("IDX:"), F.upper("event_type")))
     candle = F.array(*[F.col(c).cast("double") for c in ("epoch", "o", "h", "l", "c", "v")])
     p = _payloads(b, candle)
     resent = F.transform(F.filter("candles", lambda c: c[5] % 2 == 0),
@@ -100,8 +102,8 @@ def customer_contracts(spark, sf):
 
 
 MINUTE_BARS = """mb AS (
-  SELECT user_id, event_type, m, arg_min(value, (ts, event_id)) AS o, max(value) AS h, min(value) AS l,
-         arg_max(value, (ts, event_id)) AS c, count(*) AS v, max(event_id) AS oi
+  SELECT user_id, event_type, m, arg_min(value, event_id) AS o, max(value) AS h, min(value) AS l,
+         arg_max(value, event_id) AS c, count(*) AS v, max(event_id) AS oi
   FROM (SELECT *, date_trunc('minute', ts) AS m FROM events) GROUP BY {key}, m),
 ev AS (SELECT *, (to_timestamp(epoch_us(m) // 1000000) AT TIME ZONE 'Asia/Kolkata') AS w FROM mb)"""
 USER_BARS = MINUTE_BARS.replace("user_id, event_type, m,", "user_id, m,").format(key="user_id")
