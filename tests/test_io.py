@@ -35,3 +35,21 @@ def test_csv_spot_roundtrip_and_verified_parquet(spark):
     pq = spark.read.parquet(os.path.join(base, "pq"))
     assert valid_table(pq.drop("trade_date"), [f.name for f in SPOT_SCHEMA.fields])
     assert not valid_table(pq, [f.name for f in SPOT_SCHEMA.fields])
+
+
+def test_partitioned_write_rebalances_and_keeps_order(spark):
+    from marketbars.sinks.writers import _layout, write_parquet
+    # one hot day holding most rows, plus two small days
+    df = spark.range(3000).select(
+        F.when(F.col("id") < 2500, F.lit("2026-08-25")).when(F.col("id") < 2800, F.lit("2026-08-26"))
+         .otherwise(F.lit("2026-08-27")).alias("trade_date"),
+        (F.col("id") * 7919 % 3001).alias("k"))
+    plan = _layout(df, ["trade_date"], ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    out = os.path.join(tempfile.mkdtemp(prefix="mb-layout-"), "t")
+    write_parquet(df, out, ["trade_date"], sort_within=["k"])
+    files = spark.read.parquet(out).select(F.input_file_name().alias("f"), "k")
+    for (f,) in files.select("f").distinct().collect():
+        ks = [r["k"] for r in spark.read.parquet(f).collect()]
+        assert ks == sorted(ks)          # the writer kept the requested order
+    assert spark.read.parquet(out).count() == 3000
