@@ -72,6 +72,13 @@ def keep_first(df: DataFrame, keys: Sequence[str],
         return first.select(*[F.col(k) for k in keys],
                             *[F.col(f"{_FIRST}.{c}").alias(c) for c in payload]
                             ).select(*df.columns)
+    if order_by is None and not [c for c in df.columns if c not in keys and c != SRC]:
+        # the key is the whole row: rows of one key are identical apart from the
+        # source rank, so a hash aggregate (map-side partial, no sort of wide
+        # text keys) gives the same answer as the window
+        if SRC not in df.columns:
+            return df.dropDuplicates(keys)
+        return df.groupBy(*keys).agg(F.min(SRC).alias(SRC)).select(*df.columns)
     order = _order_exprs(df, keys, order_by)
     if SRC in df.columns:
         order = [F.col(SRC).asc()] + order
