@@ -20,7 +20,7 @@ from marketbars.operators import ledger as L
 from marketbars.operators.merge import merge_first_wins
 from marketbars.operators.routing import row_date
 from marketbars.session import scratch_path
-from marketbars.sinks.writers import PART_COL, archive_raw, stage_and_publish
+from marketbars.sinks.writers import PART_COL, archive_raw, stage_and_publish, write_parquet
 from marketbars.sources.readers import read_ledger
 
 
@@ -38,10 +38,14 @@ def _read_history(spark: SparkSession, path: str) -> DataFrame | None:
 def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_path: str,
            target: str, keys: Sequence[str], dry_run: bool = False, repair: bool = False,
            repair_only: bool = False, archive_path: str | None = None,
-           sort_within: Sequence[str] = (), date_of=None) -> DataFrame:
+           sort_within: Sequence[str] = (), date_of=None,
+           quarantine_path: str | None = None) -> DataFrame:
     """Ingest ``incoming`` into ``history_path``; returns one decision row per date.
 
     ``date_of``: the row's date (default: ``Date``, else the date of ``timestamp``).
+    ``quarantine_path``: incoming rows of a date refused as ``mismatch`` (the
+    history already holds a different number of rows for it) are appended
+    there, partitioned by date, instead of being dropped; history is untouched.
     """
     incoming = incoming.withColumn(PART_COL, row_date(incoming) if date_of is None else date_of)
     history = _read_history(spark, history_path)
@@ -67,6 +71,11 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
     merge_statuses = (L.CREATED, L.UPDATED) + ((L.DRY_RUN,) if dry_run else ())
     merge_dates = [r["date"] for r in decided if r["status"] in merge_statuses]
     repaired = [r["date"] for r in decided if r["status"] == L.REPAIRED]
+    refused = [r["date"] for r in decided if r["status"] == L.MISMATCH]
+    if quarantine_path is not None and refused and not dry_run:
+        write_parquet(incoming.where(F.col(PART_COL).isin(_as_dates(refused)))
+                              .withColumn("target", F.lit(target)),
+                      quarantine_path, ["target", PART_COL], "append")
 
     after: dict[str, int] = {}
     if merge_dates:

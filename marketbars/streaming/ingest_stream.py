@@ -4,7 +4,9 @@ A file-source stream picks up only files it has not seen (tracked in the
 checkpoint), ``trigger(availableNow=True)`` processes everything landed so
 far and stops, and each micro-batch runs the exact batch merge (existing rows
 win, history-wide per natural key) through ``foreachBatch``. Running the
-stream twice adds nothing the second time. Executor loss is covered by the
+stream twice adds nothing the second time. A late file for a day that history
+already holds with a different row count is refused (``mismatch``) and its
+rows go to ``quarantine_path``, never merged silently. Executor loss is covered by the
 checkpoint: a batch that did not commit is replayed, and the merge is
 idempotent.
 """
@@ -22,7 +24,8 @@ from marketbars.plans.ingest import ingest
 def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
                   history_path: str, ledger_path: str, checkpoint_path: str,
                   target: str, keys: Sequence[str], fmt: str = "parquet",
-                  max_files_per_trigger: int | None = None, date_of=None) -> None:
+                  max_files_per_trigger: int | None = None, date_of=None,
+                  quarantine_path: str | None = None) -> None:
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -31,7 +34,8 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of)
+        ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
+               quarantine_path=quarantine_path)
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint_path)

@@ -78,3 +78,20 @@ def test_ingest_dry_run_reports_stats_and_writes_nothing(spark):
     assert (r["status"], r["history_rows"], r["rows_after"], r["rows_added"]) == ("dry_run", 0, 2, 2)
     assert spark.read.parquet(hist).count() == 1
     assert [x["date"] for x in L.parse_ledger(read_ledger(spark, led)).collect()] == [D1.isoformat()]
+
+
+def test_stream_late_conflicting_day_is_quarantined(spark):
+    base = tempfile.mkdtemp(prefix="mb-late-")
+    landing, quarantine = os.path.join(base, "landing"), os.path.join(base, "quarantine")
+    args = (landing, OPTIONS_SCHEMA, os.path.join(base, "hist"), os.path.join(base, "led"),
+            os.path.join(base, "ckpt"), "T", DEDUP_KEYS["options"])
+    _bars(spark, D1, ["09:15:00", "09:16:00"]).write.mode("append").parquet(landing)
+    stream_ingest(spark, *args, quarantine_path=quarantine)
+    # the ledger is lost, then a late file re-delivers D1 with another row count
+    spark.createDataFrame([("T", "[]")], "target string, dates_json string").write.mode("overwrite").json(args[3])
+    _bars(spark, D1, ["09:15:00", "09:16:00", "09:17:00"], close=5.0).write.mode("append").parquet(landing)
+    stream_ingest(spark, *args, quarantine_path=quarantine)
+    hist = spark.read.parquet(args[2])
+    assert hist.count() == 2 and hist.where(F.col("Close") == 5.0).count() == 0
+    q = spark.read.parquet(quarantine)
+    assert q.count() == 3 and {r["target"] for r in q.select("target").distinct().collect()} == {"T"}
