@@ -15,20 +15,51 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a rebalanced write splits a hot partition value over several tasks
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # executors may be lost at any time: a decommissioning executor hands its
+    # shuffle and cached blocks to the others instead of forcing recomputation
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
 }
 
+# target bytes per shuffle partition and per scan split
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle sizing for a job reading ``input_bytes`` on ``cores`` task slots.
+
+    AQE can merge small shuffle partitions but cannot split a large one (only
+    skewed join sides and rebalances), so the initial partition count is sized
+    from the input: about one partition per 128 MB, never fewer than two per
+    core. At 100 TB that is ~800k initial partitions, coalesced by AQE to
+    128 MB each at run time.
+    """
+    n = max(2 * cores, -(-input_bytes // PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+    }
+
 
 def get_session(master: str | None = None, app: str = "marketbars",
                 shuffle_partitions: int | None = None,
-                extra: dict | None = None) -> SparkSession:
+                extra: dict | None = None, input_bytes: int | None = None,
+                cores: int | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes:
+        conf.update(scale_conf(input_bytes, cores or os.cpu_count() or 1))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
