@@ -33,16 +33,21 @@ DEFAULT_CONF = {
 PARTITION_BYTES = 128 * 1024 * 1024
 
 
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
 def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
     """Shuffle sizing for a job reading ``input_bytes`` on ``cores`` task slots.
 
     AQE can merge small shuffle partitions but cannot split a large one (only
     skewed join sides and rebalances), so the initial partition count is sized
     from the input: about one partition per 128 MB, never fewer than two per
-    core. At 100 TB that is ~800k initial partitions, coalesced by AQE to
-    128 MB each at run time.
+    core. Map-status metadata on the driver grows with maps x reducers, so the
+    count stops at 100k: at 100 TB that is ~1 GB of input per partition before
+    projection and partial aggregation, which sort and aggregation spill handle.
+    AQE coalesces the partitions towards 128 MB each at run time.
     """
-    n = max(2 * cores, -(-input_bytes // PARTITION_BYTES))
+    n = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // PARTITION_BYTES)))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
