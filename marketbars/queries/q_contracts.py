@@ -302,9 +302,7 @@ def segment_master(spark, sf):
 
 _SEG = ", ".join(f"('{s}', '{'BSE' if s == 'MACHINERY' else 'NSE'}')" for s in SEGMENTS)
 
-
-@query("near_next_far", f"""
-WITH r AS (
+NEAR_CTES = f"""WITH r AS (
   SELECT c_mktsegment, CAST(CAST(o_orderdate AS DATE) + INTERVAL 31 YEAR AS DATE) AS d
   FROM orders JOIN customer ON o_custkey = c_custkey),
 m AS (
@@ -320,7 +318,11 @@ e AS (
 s AS (SELECT * FROM (VALUES {_SEG}) t(root, exch)),
 c AS (SELECT e.root AS underlying, symbol, min(expiry) AS expiry
       FROM e JOIN s ON e.root = s.root AND e.exch = s.exch
-      WHERE expiry >= DATE '{MASTER_DATE}' GROUP BY e.root, symbol),
+      WHERE expiry >= DATE '{MASTER_DATE}' GROUP BY e.root, symbol)"""
+
+
+@query("near_next_far", f"""
+{NEAR_CTES},
 k AS (SELECT *, row_number() OVER (PARTITION BY underlying ORDER BY expiry, symbol) AS rank FROM c)
 SELECT underlying, symbol, underlying || '-' || (['I', 'II', 'III'])[rank] || '.NFO' AS ticker,
        (['I', 'II', 'III'])[rank] AS contract_series, expiry, CAST(rank AS INTEGER) AS rank
@@ -363,3 +365,16 @@ def q_futures_range(spark, sf):
     from marketbars.plans.collect import trading_dates
     days = trading_dates(spark, RANGE_START, RANGE_END)
     return C.resolve_futures_range(segment_master(spark, sf), days, segment_specs(spark))
+
+
+@query("unresolved_futures", f"""
+{NEAR_CTES}
+SELECT s.root AS underlying, 'no active futures on or after the date' AS reason
+FROM s WHERE s.root NOT IN (SELECT underlying FROM c)
+""")
+def q_unresolved_futures(spark, sf):
+    """Configured indexes with no active contract (the spec says BSE for one
+    segment while every master row of it is NSE: exact exchange match)."""
+    specs = segment_specs(spark)
+    resolved = C.resolve_futures(segment_master(spark, sf), MASTER_DATE, specs)
+    return C.unresolved_indexes(specs, resolved)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketbars.functions.timefmt import ntz_epoch_seconds
 from marketbars.operators import bars as B
-from marketbars.operators.report import date_status, outcome_counts, run_summary
+from marketbars.operators.report import date_status, outcome_counts, run_summary, run_verdict
 from marketbars.queries import query, table
 from marketbars.functions.symbols import continuous_ticker
 from marketbars.sources.readers import parse_bar_payload_text
@@ -220,3 +220,18 @@ FROM counts GROUP BY date
 """)
 def q_date_status(spark, sf):
     return date_status(outcome_counts(all_outcomes(spark, sf)))
+
+
+@query("run_verdict", "WITH " + OUTCOME_SQL + """,
+ds AS (SELECT date, CASE WHEN count(*) FILTER (WHERE rows > 0) = 0 THEN 'failed'
+                         WHEN count(*) FILTER (WHERE NOT rows > 0) > 0 THEN 'partial'
+                         ELSE 'downloaded' END AS status
+       FROM counts GROUP BY date)
+SELECT CAST(count(*) FILTER (WHERE status = 'downloaded') AS BIGINT) AS dates_downloaded,
+       CAST(count(*) FILTER (WHERE status = 'partial') AS BIGINT) AS dates_partial,
+       CAST(count(*) FILTER (WHERE status = 'failed') AS BIGINT) AS dates_failed,
+       CASE WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 1 ELSE 0 END AS exit_code
+FROM ds
+""")
+def q_run_verdict(spark, sf):
+    return run_verdict(date_status(outcome_counts(all_outcomes(spark, sf))))

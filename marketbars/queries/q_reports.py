@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marketbars.functions.text import ledger_name
+from marketbars.functions.text import ledger_name, spot_stem_from_name
 from marketbars.operators.calendar import date_span
 from marketbars.operators.report import duplicate_targets, feed_presence, file_summary
-from marketbars.operators.routing import rows_per_date, year_target_of
+from marketbars.operators.routing import rows_per_date, spot_target, year_target_of
 from marketbars.queries import query, table
+from marketbars.queries.q_quality import TYPE_INDEX
+from marketbars.schemas import SPOT_FILENAME_PATTERN, SPOT_FILES, SPOT_STEMS
 
 ALLOWED_TYPES = ["click", "view", "purchase"]
 SELECTED_REGIONS = ["AMERICA", "ASIA", "EUROPE"]
@@ -136,3 +138,30 @@ def q_rows_per_date(spark, sf):
     a = rows_per_date(dated).select(F.lit("orders").alias("source"), "date", "rows")
     b = rows_per_date(ev).select(F.lit("events").alias("source"), "date", "rows")
     return a.unionByName(b)
+
+
+_TYPE_INDEX_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in TYPE_INDEX.items())
+_STEM_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPOT_STEMS.items())
+_SPOT_FILE_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPOT_FILES.items())
+
+
+@query("spot_targets", f"""
+WITH g AS (SELECT CASE event_type {_TYPE_INDEX_SQL} END AS "Index", CAST(count(*) AS BIGINT) AS rows
+           FROM events GROUP BY 1),
+f AS (SELECT *, CASE "Index" {_SPOT_FILE_SQL} END AS target,
+             'spot_' || (CASE "Index" {_STEM_SQL} END) || '.csv' AS day_file FROM g)
+SELECT "Index", target, day_file, regexp_extract(day_file, '^spot_(.*)\\.csv$', 1) AS stem, rows FROM f
+""")
+def q_spot_targets(spark, sf):
+    """Spot rows per index routed to the cumulative per-index target; the
+    per-day file name and the stem read back from it (an index without a
+    spot feed has no target)."""
+    ev = table(spark, sf, "events")
+    idx = F.create_map(*[x for k, i in TYPE_INDEX.items() for x in (F.lit(k), F.lit(i))])
+    g = ev.groupBy(F.try_element_at(idx, F.col("event_type")).alias("Index")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    stems = F.create_map(*[x for k, v in SPOT_STEMS.items() for x in (F.lit(k), F.lit(v))])
+    stem = F.try_element_at(stems, F.col("Index"))
+    day_file = F.when(stem.isNotNull(), F.format_string(SPOT_FILENAME_PATTERN, stem))
+    return g.select("Index", spot_target(F.col("Index")).alias("target"), day_file.alias("day_file"),
+                    spot_stem_from_name(day_file).alias("stem"), "rows")
