@@ -212,13 +212,24 @@ def resolve_futures_range(cells: DataFrame, trading_dates: DataFrame, specs: Dat
     ``trading_date``) in one job, with the same result as ``resolve_futures``
     run date by date.
 
-    For a date d a symbol counts with its earliest expiry on or after d, so the
-    pair (symbol, expiry_i) is the symbol's candidate exactly for the dates in
-    (expiry_{i-1}, expiry_i]. Each pair emits only those dates (a generator, no
-    join of all dates with all symbols), then the ``count`` nearest per
-    (index, date) are kept. Output: underlying, trading_date, symbol, ticker,
+    For a date d a symbol counts with its earliest expiry on or after d. Take
+    all (symbol, expiry) pairs of an index sorted by (expiry, symbol): the
+    answer for d is the first ``count`` distinct symbols of the suffix that
+    starts at the first expiry >= d. So a pair can only be in the answer for
+    the dates after (a) the previous expiry of its own symbol and (b) the
+    expiry at which ``count`` other distinct symbols lie between it and the
+    suffix start. (b) is found with window functions over symbol runs (a run
+    is a stretch of consecutive pairs of one symbol; the third distinct
+    symbol back is the last run before a two-symbol alternation). Each pair
+    emits only those dates, so at most ``count`` rows per index and date are
+    generated: no pairing of every date with every symbol.
+
+    The windows are per index over its distinct contracts (a few dozen
+    listed futures). Output: underlying, trading_date, symbol, ticker,
     contract_series, expiry, rank.
     """
+    if count != 3:
+        raise ValueError("the run/alternation bound is written for three series")
     c = master_candidates(cells)
     # the spec dimension is one row per configured index: a proven-small broadcast
     c = c.join(F.broadcast(specs.select("underlying", "root", F.col("exchange").alias("exch"))),
@@ -228,15 +239,33 @@ def resolve_futures_range(cells: DataFrame, trading_dates: DataFrame, specs: Dat
         return trading_dates.sparkSession.createDataFrame(
             [], "underlying string, trading_date date, symbol string, ticker string, "
                 "contract_series string, expiry date, rank int")
-    # pairs expiring before the range are never candidates; dropping them only
-    # moves a "previous expiry" that lies before the range start, which the
-    # clamp to the range start below makes irrelevant
-    pairs = (c.where(F.col("expiry") >= F.lit(span["lo"]))
+    lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
+    # pairs expiring before the range never count on a date of the range, and
+    # they are never between a later pair and a suffix start inside the range
+    pairs = (c.where(F.col("expiry") >= lo)
               .select("underlying", "root", "symbol", "expiry").distinct())
-    prev = F.lag("expiry").over(Window.partitionBy("underlying", "symbol").orderBy("expiry"))
-    pairs = pairs.withColumn("prev", prev)
-    first_day = F.greatest(F.coalesce(F.date_add("prev", 1), F.lit(span["lo"])), F.lit(span["lo"]))
-    last_day = F.least(F.col("expiry"), F.lit(span["hi"]))
+    by_index = Window.partitionBy("underlying").orderBy("expiry", "symbol")
+    upto = by_index.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    new_run = F.coalesce(F.lag("symbol").over(by_index) != F.col("symbol"), F.lit(True))
+    pairs = (pairs
+             .withColumn("prev", F.lag("expiry").over(
+                 Window.partitionBy("underlying", "symbol").orderBy("expiry")))
+             .withColumn("run", F.sum(new_run.cast("int")).over(upto)))
+    # one row per run: its symbol and last expiry
+    runs = pairs.groupBy("underlying", "run").agg(
+        F.min("symbol").alias("run_symbol"), F.max("expiry").alias("last_e"))
+    by_run = Window.partitionBy("underlying").orderBy("run")
+    alternates = F.coalesce(F.col("run_symbol") == F.lag("run_symbol", 2).over(by_run), F.lit(False))
+    # for run r: last expiry of the latest run before the alternation that ends
+    # at r (NULL inside the struct when that run does not exist)
+    third = F.last(F.when(~alternates, F.struct(F.lag("last_e", 2).over(by_run).alias("z"))),
+                   ignorenulls=True).over(by_run.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = runs.withColumn("z_run", third["z"])
+    runs = runs.select("underlying", "run", F.lag("z_run").over(by_run).alias("z"))
+    pairs = pairs.join(runs, ["underlying", "run"], "inner")
+    after = F.greatest(F.col("prev"), F.col("z"))          # NULLs are ignored
+    first_day = F.greatest(F.coalesce(F.date_add(after, 1), lo), lo)
+    last_day = F.least(F.col("expiry"), hi)
     active = pairs.select("underlying", "root", "symbol", "expiry",
                           F.explode(date_span(first_day, last_day)).alias("trading_date"))
     active = active.join(trading_dates.select("trading_date").distinct(), "trading_date", "left_semi")

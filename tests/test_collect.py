@@ -133,3 +133,52 @@ def test_sync_date_isolates_failures(spark):
     ]
     res = {(r["target"], r["status"]) for r in sync_date(spark, feeds).collect()}
     assert ("INDEX_FUTURES_2026", "created") in res and ("BROKEN", "error") in res
+
+
+def _brute_force_range(master, specs, days):
+    """Per date, exactly as the single-date resolver: earliest expiry >= d per
+    symbol, sorted by (expiry, symbol), three nearest."""
+    out = set()
+    for d in days:
+        for und, (root, exch) in specs.items():
+            best = {}
+            for sym, r, e, exp in master:
+                if r == root and e == exch and exp >= d and (sym not in best or exp < best[sym]):
+                    best[sym] = exp
+            ordered = sorted(best.items(), key=lambda kv: (kv[1], kv[0]))[:3]
+            out |= {(und, d, sym, exp, i + 1) for i, (sym, exp) in enumerate(ordered)}
+    return out
+
+
+def test_range_resolution_matches_brute_force_on_messy_masters(spark):
+    """Symbols listed with several expiries, interleaved (A B A B ...) so that
+    the third distinct symbol lies far back, expiry ties across symbols."""
+    import random
+    rnd = random.Random(7)
+    base = dt.date(2029, 6, 1)
+    specs = {"IX": ("IX", "NSE"), "JY": ("JY", "NSE")}
+    spec_df = spark.createDataFrame([(u, r, e, "FO") for u, (r, e) in specs.items()],
+                                    "underlying string, root string, exchange string, segment string")
+    for trial in range(3):
+        master, rows = [], []
+        for root in ("IX", "JY"):
+            months = ["JAN", "FEB", "MAR", "APR", "MAY", "JUN"][: rnd.randint(2, 6)]
+            for mon in months:
+                sym = f"NSE:{root}29{mon}FUT"
+                for _ in range(rnd.randint(1, 4)):
+                    exp = base + dt.timedelta(days=rnd.randint(-5, 45))
+                    master.append((sym, root, "NSE", exp))
+        # a long two-symbol alternation for IX
+        for k in range(8):
+            for mon in ("JUL", "AUG"):
+                exp = base + dt.timedelta(days=3 * k + (1 if mon == "AUG" else 0))
+                master.append((f"NSE:IX29{mon}FUT", "IX", "NSE", exp))
+        for sym, _, exch, exp in master:
+            secs = (exp - dt.date(1970, 1, 1)).days * 86400 + 36000
+            rows.append(([str(9 * 10**15 + len(rows)), str(secs), sym],))
+        cells = spark.createDataFrame(rows, "cells array<string>")
+        days = [base + dt.timedelta(days=i) for i in range(0, 40) if (base + dt.timedelta(days=i)).weekday() < 5]
+        day_df = spark.createDataFrame([(d,) for d in days], "trading_date date")
+        got = {(r["underlying"], r["trading_date"], r["symbol"], r["expiry"], r["rank"])
+               for r in C.resolve_futures_range(cells, day_df, spec_df).collect()}
+        assert got == _brute_force_range(master, specs, days), trial
