@@ -252,8 +252,8 @@ def resolve_futures_range(cells: DataFrame, trading_dates: DataFrame, specs: Dat
                  Window.partitionBy("underlying", "symbol").orderBy("expiry")))
              .withColumn("run", F.sum(new_run.cast("int")).over(upto)))
     # one row per run: its symbol and last expiry
-    runs = pairs.groupBy("underlying", "run").agg(
-        F.min("symbol").alias("run_symbol"), F.max("expiry").alias("last_e"))
+    runs = (pairs.groupBy("underlying", "run", F.col("symbol").alias("run_symbol"))
+                 .agg(F.max("expiry").alias("last_e")))
     by_run = Window.partitionBy("underlying").orderBy("run")
     alternates = F.coalesce(F.col("run_symbol") == F.lag("run_symbol", 2).over(by_run), F.lit(False))
     # for run r: last expiry of the latest run before the alternation that ends
