@@ -97,11 +97,12 @@ def tag_sources(history: DataFrame | None, incoming: DataFrame) -> DataFrame:
     return history.withColumn(SRC, F.lit(0)).unionByName(new, allowMissingColumns=True)
 
 
-def _date_bounds(incoming: DataFrame, date_of: Column):
-    """min/max date of the incoming rows and whether any has no date (one small job)."""
-    r = incoming.agg(F.min(date_of).alias("lo"), F.max(date_of).alias("hi"),
-                     F.count_if(date_of.isNull()).alias("nulls")).first()
-    return r["lo"], r["hi"], r["nulls"] > 0
+def _incoming_dates(incoming: DataFrame, date_of: Column):
+    """Distinct dates of the incoming rows and whether any row has no date
+    (one small job; the list is bounded by the days being ingested)."""
+    rows = incoming.select(date_of.alias("d")).distinct().collect()
+    dates = sorted(r["d"] for r in rows if r["d"] is not None)
+    return dates, len(dates) < len(rows)
 
 
 def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
@@ -116,8 +117,8 @@ def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
     any new columns.
 
     ``date_of``: an expression over key columns that yields the row's date.
-    Given it, only history rows whose date lies in the incoming date range take
-    part in the shuffle; the rest are passed through. This assumes history is
+    Given it, only history rows on a date of the incoming rows take part in
+    the shuffle; the rest are passed through. This assumes history is
     already unique by key (every write of this package keeps it so); use
     ``compact`` to make an old history unique first.
     """
@@ -128,12 +129,13 @@ def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
         merged = keep_first(tag_sources(history, incoming), resolved, order_by, strategy)
         return merged if keep_src else merged.drop(SRC)
 
-    lo, hi, has_null = _date_bounds(incoming, date_of)
-    if lo is None and not has_null:
+    dates, has_null = _incoming_dates(incoming, date_of)
+    if not dates and not has_null:
         return history
-    touched = F.lit(False)
-    if lo is not None:
-        touched = date_of.between(F.lit(lo), F.lit(hi))
+    # the exact set, not a range: a sparse backfill leaves the history dates
+    # between its days out of the shuffle (static partition pruning when the
+    # history is partitioned by date)
+    touched = date_of.isin(dates) if dates else F.lit(False)
     if has_null:
         touched = touched | date_of.isNull()
     touched = F.coalesce(touched, F.lit(False))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -32,10 +33,15 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
     stream = reader.load(source_path)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
-               quarantine_path=quarantine_path)
+        # the ingest reads the batch several times (counts, merge, archive):
+        # keep it instead of re-reading the files; a lost block is recomputed
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not batch.isEmpty():
+                ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
+                       quarantine_path=quarantine_path)
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint_path)
