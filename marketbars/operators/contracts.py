@@ -120,6 +120,46 @@ def option_contracts(rows: DataFrame) -> DataFrame:
                        F.col("c.OptionType").alias("OptionType"))
 
 
+DISCOVERED, NO_EXPIRIES, NO_CONTRACTS = "ok", "no_expiries", "no_contracts"
+
+
+def discovery_status(index_days: DataFrame, targets: DataFrame, contracts: DataFrame,
+                     failed: DataFrame | None = None) -> DataFrame:
+    """Per (underlying, trading_date) of the run: expiries inside the window,
+    contracts kept, rejected per-expiry requests and the status: no expiry in
+    the window, no usable contract, or ok (the non-empty guards, as rows).
+
+    ``index_days``: underlying, trading_date (the indexes and days the run was
+    asked for). Every input is a grouped count per index-day: small joins.
+    """
+    keys = ["underlying", "trading_date"]
+    t = targets.groupBy(*keys).agg(F.count(F.lit(1)).alias("expiries"))
+    c = (contracts.groupBy(F.col("Underlying").alias("underlying"), "trading_date")
+                  .agg(F.count(F.lit(1)).alias("contracts")))
+    j = index_days.select(*keys).distinct().join(t, keys, "left").join(c, keys, "left")
+    if failed is not None:
+        f = failed.groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_requests"))
+        j = j.join(f, keys, "left")
+    else:
+        j = j.withColumn("failed_requests", F.lit(None).cast("bigint"))
+    e = F.coalesce(F.col("expiries"), F.lit(0)).cast("bigint")
+    n = F.coalesce(F.col("contracts"), F.lit(0)).cast("bigint")
+    status = (F.when(e == 0, F.lit(NO_EXPIRIES)).when(n == 0, F.lit(NO_CONTRACTS))
+               .otherwise(F.lit(DISCOVERED)))
+    return j.select(*keys, e.alias("expiries"), n.alias("contracts"),
+                    F.coalesce(F.col("failed_requests"), F.lit(0)).cast("bigint").alias("failed_requests"),
+                    status.alias("status"))
+
+
+def discovery_outcomes(discovery: DataFrame) -> DataFrame:
+    """A discovery that found nothing to fetch is one failed options outcome
+    of its day (no contract is counted for it)."""
+    return (discovery.where(F.col("status") != DISCOVERED)
+                     .select(F.col("trading_date").alias("date"), F.lit("options").alias("kind"),
+                             F.lit(None).cast("string").alias("symbol"), F.lit("failed").alias("outcome"),
+                             F.lit(0).cast("bigint").alias("rows")))
+
+
 def expiry_stats(rows: DataFrame) -> DataFrame:
     """Per requested expiry: usable rows (duplicates included) and raw rows."""
     return (rows.groupBy("underlying", "trading_date", "expiry")

@@ -21,7 +21,7 @@ from marketbars.operators.calendar import TRADING, classify_days, date_span, hol
 from marketbars.operators.quality import quality_report
 from marketbars.operators.report import date_status, outcome_counts
 from marketbars.operators.routing import exchange_dim, route_exchange
-from marketbars.schemas import FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS
+from marketbars.schemas import DEFAULT_UNDERLYINGS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS
 from marketbars.sinks.writers import PART_COL, write_csv, write_parquet
 from marketbars.sources.catalog import index_dim
 
@@ -75,13 +75,20 @@ def build_run(spark: SparkSession, *, start: str, end: str,
     idx = _only(index_dim(spark), "index", selected).select("symbol", F.col("index").alias("Index"))
     spot = B.spot_bars(on_days(spot_payloads), idx)
 
+    # one discovery row per requested index and trading day (a generator over
+    # the fixed index list, no join): days without expiries or contracts fail
+    wanted = list(selected) if selected else list(DEFAULT_UNDERLYINGS)
+    index_days = days.select("trading_date", F.explode(F.array(*[F.lit(u) for u in wanted])).alias("underlying"))
+    discovery = C.discovery_status(index_days, targets, contracts, C.failed_requests(items))
+
     outcomes = (B.payload_outcomes(on_days(option_payloads), "options", 7)
+                .unionByName(C.discovery_outcomes(discovery))
                 .unionByName(B.payload_outcomes(on_days(futures_payloads), "futures", 7))
                 .unionByName(B.payload_outcomes(on_days(spot_payloads), "spot", 6)))
     counts = outcome_counts(outcomes)
     return {"options": options, "futures": futures, "spot": spot, "contracts": contracts,
             "futures_contracts": fut_contracts, "expiry_stats": C.expiry_stats(rows),
-            "outcomes": outcomes, "counts": counts, "status": date_status(counts)}
+            "discovery": discovery, "outcomes": outcomes, "counts": counts, "status": date_status(counts)}
 
 
 class ValidationError(RuntimeError):

@@ -12,7 +12,7 @@ from marketbars.functions.symbols import fut_symbol_parts, month_expiry
 from marketbars.functions.timefmt import ntz_epoch_seconds
 from marketbars.operators import contracts as C
 from marketbars.queries import query, table
-from marketbars.schemas import FUT_SYMBOL_PATTERN, MONTHS
+from marketbars.schemas import DEFAULT_UNDERLYINGS, FUT_SYMBOL_PATTERN, MONTHS
 
 LISTING_DATE = "1998-01-01"
 CHAIN_DATE = "2026-08-03"
@@ -57,6 +57,11 @@ def q_expiry_window(spark, sf):
 # ---------------------------------------------------------- option discovery
 
 def chain_from_part(spark, sf):
+    return chain_parts(spark, sf)[0]
+
+
+def chain_parts(spark, sf):
+    """(chain rows, expiry targets, per-expiry chain items) from ``part``."""
     p = table(spark, sf, "part")
     k = F.col("p_partkey")
     i = (k % 3 + 1).cast("int")
@@ -79,7 +84,7 @@ def chain_from_part(spark, sf):
     targets = items.select("underlying", "trading_date", F.col("_exp").alias("expiry"),
                            F.col("requested_expiry").alias("epoch")).distinct()
     tagged = C.tag_requested_expiry(items.drop("_exp"), targets)
-    return C.chain_rows(tagged, C.prefix_dim(spark))
+    return C.chain_rows(tagged, C.prefix_dim(spark)), targets, items.drop("_exp")
 
 
 CHAIN_SQL = f"""
@@ -138,6 +143,37 @@ def q_contracts_per_expiry(spark, sf):
                     stats.usable, stats.raw, F.coalesce(per.contracts, F.lit(0)).alias("contracts"))
 
 
+_IDX_SQL = ", ".join(f"('{u}')" for u in DEFAULT_UNDERLYINGS)
+
+
+@query("discovery_status", "WITH " + CHAIN_SQL + f""",
+idx AS (SELECT u.underlying, d.trading_date
+        FROM (VALUES {_IDX_SQL}) u(underlying),
+             (SELECT DISTINCT trading_date FROM base
+              UNION SELECT DISTINCT CAST(trading_date + 1 AS DATE) FROM base) d),
+tg AS (SELECT underlying, trading_date, count(DISTINCT expiry) AS expiries FROM base GROUP BY ALL),
+fr AS (SELECT underlying, trading_date, count(DISTINCT expiry) AS failed_requests FROM items
+       WHERE coalesce(s, '') <> 'ok' GROUP BY ALL),
+ct AS (SELECT Underlying AS underlying, trading_date, count(*) AS contracts FROM contracts GROUP BY ALL)
+SELECT idx.underlying, idx.trading_date, CAST(coalesce(expiries, 0) AS BIGINT) AS expiries,
+  CAST(coalesce(contracts, 0) AS BIGINT) AS contracts,
+  CAST(coalesce(failed_requests, 0) AS BIGINT) AS failed_requests,
+  CASE WHEN coalesce(expiries, 0) = 0 THEN 'no_expiries' WHEN coalesce(contracts, 0) = 0 THEN 'no_contracts'
+       ELSE 'ok' END AS status
+FROM idx LEFT JOIN tg USING (underlying, trading_date) LEFT JOIN fr USING (underlying, trading_date)
+LEFT JOIN ct USING (underlying, trading_date)
+""")
+def q_discovery_status(spark, sf):
+    """Per index and day asked for (the chain's day and the day after, which
+    has no listing): expiries, contracts, rejected requests and the verdict."""
+    rows, targets, items = chain_parts(spark, sf)
+    days = items.select("trading_date").distinct()
+    days = days.unionByName(days.select(F.date_add("trading_date", 1).alias("trading_date"))).distinct()
+    index_days = days.select("trading_date", F.explode(F.array(*[F.lit(u) for u in DEFAULT_UNDERLYINGS]))
+                             .alias("underlying"))
+    return C.discovery_status(index_days, targets, C.option_contracts(rows), C.failed_requests(items))
+
+
 # ------------------------------------------------------------ futures symbols
 
 _MONTH_CASE = "CASE mon " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(MONTHS, 1)) + " END"

@@ -80,6 +80,14 @@ def test_build_run_write_and_report(spark):
     assert t["spot"].count() == 2
     st = {r["date"]: r["status"] for r in t["status"].collect()}
     assert st == {MON: "downloaded", TUE: "downloaded"}
+    disc = {(r["underlying"], r["trading_date"]): (r["expiries"], r["contracts"], r["status"])
+            for r in t["discovery"].collect()}
+    assert disc[("NIFTY", TUE)] == (2, 3, "ok") and disc[("SENSEX", TUE)] == (2, 1, "ok")
+    assert disc[("SENSEX", MON)] == (0, 0, "no_expiries") and disc[("BANKNIFTY", TUE)][2] == "no_expiries"
+    assert len(disc) == 6
+    # a failed discovery counts as one failed options outcome of its day, no contract
+    opt = {r["date"]: (r["contracts"], r["failed"]) for r in t["counts"].where("kind = 'options'").collect()}
+    assert opt[MON] == (1, 2) and opt[TUE][1] == 1
     out = tempfile.mkdtemp(prefix="mb-collect-")
     write_outputs(spark, t, out)
     assert sorted(p for p in os.listdir(os.path.join(out, "options")) if p.startswith("exchange=")) == \
