@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -95,5 +96,4 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for staged writes and stream state."""
     base = shared_dir(spark).rstrip("/")
-    token = next(tempfile._get_candidate_names())  # noqa: SLF001 - short unique token
-    return f"{base}/{name}-{os.getpid()}-{token}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
