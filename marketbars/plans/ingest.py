@@ -28,11 +28,30 @@ def _as_dates(values):
     return [_dt.date.fromisoformat(v) for v in values if v is not None]
 
 
-def _read_history(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no history yet
+def _read_history(spark: SparkSession, path: str, dates: Sequence[str]) -> DataFrame | None:
+    """The history partitions of ``dates`` only, or None when there is no history.
+
+    Only the partition directories of the days being ingested are listed and
+    read (``basePath`` keeps ``trade_date`` as a column), so the cost does not
+    grow with the history: the top level is listed once to find which of those
+    days exist. With none of them present, one existing partition supplies the
+    schema of an empty frame.
+    """
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    present = {st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()}
+    parts = sorted(p for p in present if p.startswith(f"{PART_COL}="))
+    if not parts:
         return None
+    wanted = [f"{path.rstrip('/')}/{PART_COL}={d}" for d in sorted(set(dates))
+              if f"{PART_COL}={d}" in present]
+    reader = spark.read.option("basePath", path)
+    if wanted:
+        return reader.parquet(*wanted)
+    return reader.parquet(f"{path.rstrip('/')}/{parts[-1]}").where(F.lit(False))
 
 
 def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_path: str,
@@ -48,14 +67,14 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
     there, partitioned by date, instead of being dropped; history is untouched.
     """
     incoming = incoming.withColumn(PART_COL, row_date(incoming) if date_of is None else date_of)
-    history = _read_history(spark, history_path)
     ledger_dates = L.parse_ledger(read_ledger(spark, ledger_path)).where(F.col("target") == target)
 
     inc_counts = (incoming.groupBy(F.col(PART_COL).cast("string").alias("date"))
                   .agg(F.count(F.lit(1)).alias("incoming_rows"))
                   .withColumn("target", F.lit(target)))
-    # only the dates being ingested are counted in history (partition pruned)
+    # only the dates being ingested are read and counted in history
     dates = [r["date"] for r in inc_counts.select("date").collect()]   # bounded: days in this run
+    history = _read_history(spark, history_path, [d for d in dates if d is not None])
     if history is not None:
         hist_counts = (history.where(F.col(PART_COL).isin(_as_dates(dates)))
                        .groupBy(F.col(PART_COL).cast("string").alias("date"))
