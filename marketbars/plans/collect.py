@@ -24,6 +24,7 @@ from marketbars.operators.routing import exchange_dim, route_exchange
 from marketbars.schemas import DEFAULT_UNDERLYINGS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS
 from marketbars.sinks.writers import PART_COL, write_csv, write_parquet
 from marketbars.sources.catalog import index_dim
+from marketbars.sources.readers import partition_dirs
 
 
 def run_dates(spark: SparkSession, start: str, end: str, holiday_table: DataFrame | None = None) -> DataFrame:
@@ -126,17 +127,34 @@ def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], out_dir: st
               f"{out_dir}/spot", ["Index", PART_COL], "overwrite", sort_within=["timestamp"])
 
 
-def completed_dates(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Dates whose options output exists, is non-empty, for every exchange."""
+def completed_dates(spark: SparkSession, out_dir: str, start: str | None = None,
+                    end: str | None = None) -> DataFrame:
+    """Dates (within ``start``..``end``) whose options output exists and is
+    non-empty for every exchange.
+
+    Only the ``exchange=`` and ``trade_date=`` directories are listed, and only
+    the days of the range are read, so the check does not grow with the
+    stored history.
+    """
     n_exchanges = len({v[1] for v in UNDERLYINGS.values()})
-    try:
-        done = spark.read.parquet(f"{out_dir}/options")
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return spark.createDataFrame([], "trading_date date")
+    base = f"{out_dir}/options"
+    empty = spark.createDataFrame([], "trading_date date")
+    exchanges = partition_dirs(spark, base, "exchange")
+    if not exchanges:
+        return empty
+    dirs = []
+    for ex_dir in exchanges.values():
+        for day, day_dir in (partition_dirs(spark, ex_dir, PART_COL) or {}).items():
+            if (start is None or day >= start) and (end is None or day <= end):
+                dirs.append(day_dir)
+    if not dirs:
+        return empty
+    done = spark.read.option("basePath", base).parquet(*dirs)
     return (done.groupBy(PART_COL).agg(F.count_distinct("exchange").alias("n"))
-                .where(F.col("n") == n_exchanges).select(F.col(PART_COL).alias("trading_date")))
+                .where(F.col("n") == n_exchanges).select(F.col(PART_COL).cast("date").alias("trading_date")))
 
 
 def pending_dates(spark: SparkSession, start: str, end: str, out_dir: str) -> DataFrame:
     """Trading dates of the range that still need collecting."""
-    return trading_dates(spark, start, end).join(completed_dates(spark, out_dir), "trading_date", "left_anti")
+    return trading_dates(spark, start, end).join(completed_dates(spark, out_dir, start, end),
+                                                 "trading_date", "left_anti")

@@ -21,7 +21,7 @@ from marketbars.operators.merge import merge_first_wins
 from marketbars.operators.routing import row_date
 from marketbars.session import scratch_path
 from marketbars.sinks.writers import PART_COL, archive_raw, stage_and_publish, write_parquet
-from marketbars.sources.readers import read_ledger
+from marketbars.sources.readers import partition_dirs, read_ledger
 
 
 def _as_dates(values):
@@ -31,27 +31,20 @@ def _as_dates(values):
 def _read_history(spark: SparkSession, path: str, dates: Sequence[str]) -> DataFrame | None:
     """The history partitions of ``dates`` only, or None when there is no history.
 
-    Only the partition directories of the days being ingested are listed and
-    read (``basePath`` keeps ``trade_date`` as a column), so the cost does not
-    grow with the history: the top level is listed once to find which of those
+    Only the partition directories of the days being ingested are read
+    (``basePath`` keeps ``trade_date`` as a column), so the cost does not grow
+    with the history: the top level is listed once to find which of those
     days exist. With none of them present, one existing partition supplies the
     schema of an empty frame.
     """
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    present = {st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()}
-    parts = sorted(p for p in present if p.startswith(f"{PART_COL}="))
+    parts = partition_dirs(spark, path, PART_COL)
     if not parts:
         return None
-    wanted = [f"{path.rstrip('/')}/{PART_COL}={d}" for d in sorted(set(dates))
-              if f"{PART_COL}={d}" in present]
+    wanted = [parts[d] for d in sorted(set(dates)) if d in parts]
     reader = spark.read.option("basePath", path)
     if wanted:
         return reader.parquet(*wanted)
-    return reader.parquet(f"{path.rstrip('/')}/{parts[-1]}").where(F.lit(False))
+    return reader.parquet(parts[max(parts)]).where(F.lit(False))
 
 
 def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_path: str,

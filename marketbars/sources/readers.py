@@ -74,3 +74,21 @@ def parse_bar_payload_text(text) -> "Column":
     """A landed JSON payload held in a string column -> BAR_PAYLOAD_SCHEMA struct
     (same parser and schema as ``read_bar_payloads``)."""
     return F.from_json(text, BAR_PAYLOAD_SCHEMA)
+
+
+def partition_dirs(spark: SparkSession, path: str, column: str) -> dict[str, str] | None:
+    """``{value: directory}`` of the ``column=value`` directories directly under
+    ``path`` (one directory listing, no file listing); None when ``path`` does
+    not exist. Works on any Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    prefix = f"{column}="
+    out = {}
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            out[name[len(prefix):]] = f"{path.rstrip('/')}/{name}"
+    return out
