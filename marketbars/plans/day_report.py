@@ -12,34 +12,44 @@ from marketbars.operators.report import file_summary
 from marketbars.schemas import FILE_LABELS, OPTIONS_FILENAMES, SPOT_FILENAME_PATTERN, SPOT_STEMS
 from marketbars.sinks.writers import PART_COL
 from marketbars.sources.catalog import expected_files
+from marketbars.sources.readers import partition_dirs
 
 
-def _read(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    try:
-        if fmt == "csv":
-            return spark.read.option("header", True).csv(path)
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - kind not produced
+def _read_day(spark: SparkSession, base: str, outer: str | None, day: str,
+              fmt: str = "parquet") -> DataFrame | None:
+    """The ``trade_date=day`` partitions of one output (under each ``outer=``
+    directory when the output has an outer partition column), or None. Only
+    directories are listed; other days are never touched."""
+    tops = {"": base} if outer is None else (partition_dirs(spark, base, outer) or {})
+    dirs = []
+    for top in tops.values():
+        days = partition_dirs(spark, top, PART_COL) or {}
+        if day in days:
+            dirs.append(days[day])
+    if not dirs:
         return None
+    reader = spark.read.option("basePath", base)
+    if fmt == "csv":
+        return reader.option("header", True).csv(*dirs)
+    return reader.parquet(*dirs)
 
 
 def day_report(spark: SparkSession, out_dir: str, day: str) -> DataFrame:
     d = _dt.date.fromisoformat(day)
     parts = []
-    opts = _read(spark, f"{out_dir}/options")
+    opts = _read_day(spark, f"{out_dir}/options", "exchange", day)
     if opts is not None:
         names = F.create_map(*[x for k, v in OPTIONS_FILENAMES.items() for x in (F.lit(k), F.lit(v))])
-        o = opts.where(F.col(PART_COL) == F.lit(d)).withColumn("file_name", names[F.col("exchange")])
+        o = opts.withColumn("file_name", names[F.col("exchange")])
         parts.append(file_summary(o.select("file_name", "Underlying", "Ticker"), ["file_name"]))
-    fut = _read(spark, f"{out_dir}/futures")
+    fut = _read_day(spark, f"{out_dir}/futures", None, day)
     if fut is not None:
-        f = fut.where(F.col(PART_COL) == F.lit(d)).withColumn("file_name", F.lit("futures.parquet"))
+        f = fut.withColumn("file_name", F.lit("futures.parquet"))
         parts.append(file_summary(f.select("file_name", "Underlying", "Ticker"), ["file_name"]))
-    spot = _read(spark, f"{out_dir}/spot", "csv")
+    spot = _read_day(spark, f"{out_dir}/spot", "Index", day, "csv")
     if spot is not None:
         stems = F.create_map(*[x for k, v in SPOT_STEMS.items() for x in (F.lit(k), F.lit(v))])
-        s = (spot.where(F.col(PART_COL).cast("date") == F.lit(d))
-                 .withColumn("file_name", F.format_string(SPOT_FILENAME_PATTERN, stems[F.col("Index")])))
+        s = spot.withColumn("file_name", F.format_string(SPOT_FILENAME_PATTERN, stems[F.col("Index")]))
         parts.append(file_summary(s.select("file_name"), ["file_name"]))
     expected = spark.createDataFrame(list(enumerate(expected_files(), 1)), "ord int, file_name string")
     labels = F.create_map(*[x for k, v in FILE_LABELS.items() for x in (F.lit(k), F.lit(v))])
