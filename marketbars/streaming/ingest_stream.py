@@ -26,10 +26,16 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
                   history_path: str, ledger_path: str, checkpoint_path: str,
                   target: str, keys: Sequence[str], fmt: str = "parquet",
                   max_files_per_trigger: int | None = None, date_of=None,
-                  quarantine_path: str | None = None) -> None:
+                  quarantine_path: str | None = None, processed_dir: str | None = None) -> None:
+    """``processed_dir``: committed source files are moved there (the file
+    source's ``cleanSource=archive``), so the landing folder, and the listing
+    the stream repeats on every trigger, stays the size of the unprocessed
+    backlog instead of growing with everything ever landed."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if processed_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", processed_dir)
     stream = reader.load(source_path)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:

@@ -95,3 +95,16 @@ def test_stream_late_conflicting_day_is_quarantined(spark):
     assert hist.count() == 2 and hist.where(F.col("Close") == 5.0).count() == 0
     q = spark.read.parquet(quarantine)
     assert q.count() == 3 and {r["target"] for r in q.select("target").distinct().collect()} == {"T"}
+
+
+def test_stream_moves_processed_files_out_of_the_landing_folder(spark):
+    base = tempfile.mkdtemp(prefix="mb-clean-")
+    landing = os.path.join(base, "landing")
+    _bars(spark, D1, ["09:15:00", "09:16:00"]).write.mode("append").parquet(landing)
+    args = (landing, OPTIONS_SCHEMA, os.path.join(base, "hist"), os.path.join(base, "led"),
+            os.path.join(base, "ckpt"), "T", DEDUP_KEYS["options"])
+    stream_ingest(spark, *args, processed_dir=os.path.join(base, "processed"))
+    _bars(spark, D2, ["09:15:00"]).write.mode("append").parquet(landing)
+    stream_ingest(spark, *args, processed_dir=os.path.join(base, "processed"))
+    assert spark.read.parquet(args[2]).count() == 3
+    assert os.path.isdir(os.path.join(base, "processed"))      # the first run's files were moved
