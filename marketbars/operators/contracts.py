@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marketbars.functions.coerce import strike_to_int
 from marketbars.functions.epochs import plausible_seconds, seconds_to_market_date, stripped_epoch_digits
-from marketbars.functions.symbols import strip_ws, continuous_ticker, first_match, fut_symbol_parts, month_expiry
+from marketbars.functions.symbols import continuous_ticker, month_expiry, strip_ws
 from marketbars.functions.timefmt import parse_dmy
 from marketbars.operators.calendar import date_span
 from marketbars.schemas import (
