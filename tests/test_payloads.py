@@ -41,3 +41,27 @@ def test_payload_size_bounded_by_minutes(spark):
     assert len(p["U1"]["candles"]) == 3          # 900 ticks, three minutes
     assert [c[0] for c in p["U1"]["candles"]] == sorted(c[0] for c in p["U1"]["candles"])
     assert p["U1"]["k"] == 0 and p["U2"]["k"] == 5000 % 10
+
+
+def test_minute_bars_match_a_plain_python_rollup(spark):
+    """Random ticks (one hot user, ties in time) against a direct rollup."""
+    import random
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 5, 9, 0, 0)
+    rows = []
+    for i in range(2000):
+        user = 1 if rnd.random() < 0.6 else rnd.randint(2, 6)
+        ts = base + dt.timedelta(seconds=rnd.randint(0, 600), microseconds=rnd.choice([0, 500000]))
+        rows.append((i, ts, user, "click", float(rnd.randint(1, 50)), "{}"))
+    rnd.shuffle(rows)
+    ev = spark.createDataFrame(
+        rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string")
+    got = {(r["symbol"], r["epoch"]): (r["o"], r["h"], r["l"], r["c"], r["v"], r["oi"], r["first_id"])
+           for r in minute_bars(ev, "user_id", F.concat(F.lit("U"), F.col("user_id").cast("string"))).collect()}
+    want = {}
+    epoch0 = dt.datetime(1970, 1, 1)
+    for eid, ts, user, _, value, _ in sorted(rows):
+        key = (f"U{user}", int((ts - epoch0).total_seconds()) // 60 * 60)
+        o, h, lo, c, v, oi, first = want.get(key, (value, value, value, value, 0, eid, eid))
+        want[key] = (o, max(h, value), min(lo, value), value, v + 1, eid, first)
+    assert got == want
