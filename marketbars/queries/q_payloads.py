@@ -40,7 +40,7 @@ def minute_bars(ev, key, symbol):
     sends at most one row per minute per map task. ``symbol`` (an expression
     over ``key``) is applied after the aggregation.
     """
-    minute = (ntz_epoch_seconds(F.col("ts")) / 60).cast("bigint") * 60
+    minute = F.floor(ntz_epoch_seconds(F.col("ts")) / 60) * 60    # floor: also before 1970
     b = ev.groupBy(key, F.to_date("ts").alias("trading_date"), minute.alias("epoch")).agg(
         F.min_by("value", "event_id").alias("o"), F.max("value").alias("h"),
         F.min("value").alias("l"), F.max_by("value", "event_id").alias("c"),
