@@ -52,3 +52,19 @@ def test_no_cartesian_or_nested_loop_join_in_registered_queries(spark):
             continue
         plan = _plan(fn(spark, E.SMOKE_DIR))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_broadcast_hints_only_on_fixed_dimensions():
+    """Every explicit broadcast is one of the fixed-size dimensions (holiday
+    calendar, exchange / prefix / futures-spec dims, nation and region); any
+    data-derived side is left to AQE's runtime size check."""
+    import pathlib
+    import re
+    allowed = {("calendar.py", "h"), ("routing.py", "exchanges"), ("contracts.py", "prefixes"),
+               ("contracts.py", "specs"), ("q_reports.py", "nat"), ("q_reports.py", "reg")}
+    root = pathlib.Path(__file__).resolve().parent.parent / "marketbars"
+    found = set()
+    for path in root.rglob("*.py"):
+        for m in re.finditer(r"F\.broadcast\((\w+)", path.read_text()):
+            found.add((path.name, m.group(1)))
+    assert found and found <= allowed, found - allowed
