@@ -94,6 +94,10 @@ def test_build_run_write_and_report(spark):
         ["exchange=BSE", "exchange=NSE"]
     pend = [r["trading_date"] for r in pending_dates(spark, "2026-08-24", "2026-08-25", out).collect()]
     assert pend == [MON]         # Monday has no BSE options: not complete
+    from marketbars.plans.collect import completed_dates
+    assert [r["trading_date"] for r in completed_dates(spark, out, "2026-08-25", "2026-08-25").collect()] == [TUE]
+    assert completed_dates(spark, out, "2026-09-01", "2026-09-30").count() == 0     # no day of the range read
+    assert completed_dates(spark, os.path.join(out, "absent")).count() == 0
     rep = {r["file_name"]: (r["present"], r["summary"]) for r in day_report(spark, out, "2026-08-25").collect()}
     assert rep["options_nse.parquet"] == (True, "3 rows | indexes: NIFTY | 2 contracts")
     assert rep["options_bse.parquet"] == (True, "1 rows | indexes: SENSEX | 1 contracts")
