@@ -139,8 +139,10 @@ def q_contracts_per_expiry(spark, sf):
     stats = C.expiry_stats(rows)
     per = C.contracts_per_expiry(C.option_contracts(rows))
     j = stats.join(per, (stats.underlying == per.Underlying) & (stats.expiry == per.Expiry), "left")
-    return j.select(stats.underlying.alias("Underlying"), stats.expiry.alias("Expiry"),
-                    stats.usable, stats.raw, F.coalesce(per.contracts, F.lit(0)).alias("contracts"))
+    # a report of one row per listed expiry: shown in key order (a tiny sort)
+    return (j.select(stats.underlying.alias("Underlying"), stats.expiry.alias("Expiry"),
+                     stats.usable, stats.raw, F.coalesce(per.contracts, F.lit(0)).alias("contracts"))
+             .orderBy("Underlying", "Expiry"))
 
 
 _IDX_SQL = ", ".join(f"('{u}')" for u in DEFAULT_UNDERLYINGS)
