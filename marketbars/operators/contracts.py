@@ -130,18 +130,22 @@ def discovery_status(index_days: DataFrame, targets: DataFrame, contracts: DataF
     the window, no usable contract, or ok (the non-empty guards, as rows).
 
     ``index_days``: underlying, trading_date (the indexes and days the run was
-    asked for). Every input is a grouped count per index-day: small joins.
+    asked for); ``failed``: one row per rejected request.
     """
     keys = ["underlying", "trading_date"]
-    t = targets.groupBy(*keys).agg(F.count(F.lit(1)).alias("expiries"))
-    c = (contracts.groupBy(F.col("Underlying").alias("underlying"), "trading_date")
-                  .agg(F.count(F.lit(1)).alias("contracts")))
-    j = index_days.select(*keys).distinct().join(t, keys, "left").join(c, keys, "left")
+    # one tagged union and one grouped count instead of a count and a join per input
+    parts = [targets.select(*keys, F.lit("e").alias("_kind")),
+             contracts.select(F.col("Underlying").alias("underlying"), "trading_date", F.lit("c").alias("_kind"))]
     if failed is not None:
-        f = failed.groupBy(*keys).agg(F.count(F.lit(1)).alias("failed_requests"))
-        j = j.join(f, keys, "left")
-    else:
-        j = j.withColumn("failed_requests", F.lit(None).cast("bigint"))
+        parts.append(failed.select(*keys, F.lit("f").alias("_kind")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    kind = F.col("_kind")
+    counts = u.groupBy(*keys).agg(F.count_if(kind == "e").alias("expiries"),
+                                  F.count_if(kind == "c").alias("contracts"),
+                                  F.count_if(kind == "f").alias("failed_requests"))
+    j = index_days.select(*keys).distinct().join(counts, keys, "left")
     e = F.coalesce(F.col("expiries"), F.lit(0)).cast("bigint")
     n = F.coalesce(F.col("contracts"), F.lit(0)).cast("bigint")
     status = (F.when(e == 0, F.lit(NO_EXPIRIES)).when(n == 0, F.lit(NO_CONTRACTS))
