@@ -63,13 +63,26 @@ def reconcile(incoming_counts: DataFrame, history_counts: DataFrame,
     history_rows. ledger_dates: target, date. targets: target (existing
     targets; defaults to the targets that have history rows).
     """
-    facts = incoming_counts.join(history_counts, ["target", "date"], "full_outer")
+    keys = ["target", "date"]
+    none = F.lit(None).cast("bigint")
+    # the full outer join of the two counts and the ledger lookup as one tagged
+    # union and one grouped aggregate (a single shuffle on (target, date));
+    # ledger-only dates are not facts of this run and are dropped
+    parts = [incoming_counts.select(*keys, F.col("incoming_rows").cast("bigint").alias("n"),
+                                    none.alias("h"), F.lit(False).alias("led"), F.lit(True).alias("fact")),
+             history_counts.select(*keys, none.alias("n"), F.col("history_rows").cast("bigint").alias("h"),
+                                   F.lit(False).alias("led"), F.lit(True).alias("fact")),
+             ledger_dates.select(*keys, none.alias("n"), none.alias("h"),
+                                 F.lit(True).alias("led"), F.lit(False).alias("fact"))]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    facts = (u.groupBy(*keys)
+              .agg(F.sum("n").alias("incoming_rows"), F.sum("h").alias("history_rows"),
+                   F.bool_or("led").alias("in_ledger"), F.bool_or("fact").alias("fact"))
+              .where("fact"))
     if targets is None:
         targets = history_counts.select("target")
     exists = targets.select("target").distinct().withColumn("target_exists", F.lit(True))
     facts = facts.join(exists, "target", "left")
-    facts = facts.join(ledger_dates.select("target", "date").distinct()
-                       .withColumn("in_ledger", F.lit(True)), ["target", "date"], "left")
     n = F.coalesce(F.col("incoming_rows"), F.lit(0)).cast("bigint")
     h = F.coalesce(F.col("history_rows"), F.lit(0)).cast("bigint")
     t = F.coalesce(F.col("target_exists"), F.lit(False))
