@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from marketbars.queries import query, table
 from marketbars.session import scratch_path
 from marketbars.sinks.writers import PART_COL, verified_write
-from marketbars.sources.readers import parquet_columns
 from marketbars.streaming.ingest_stream import stream_ingest
 
 
@@ -50,13 +49,15 @@ TABLE_COLUMNS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part":
     f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows, {n} AS n_columns FROM {t}"
     for t, n in TABLE_COLUMNS.items()))
 def q_table_probe(spark, sf):
-    """Row count through one SQL statement straight over the Parquet paths
-    (only row counts are read, no column), and each table's column list from
-    its footer (no job over the rows)."""
+    """Each table through SQL straight over its Parquet path: the column list
+    comes from the footer (no job over the rows) and the row count from row
+    group metadata (no column is read); one grouped count for all tables."""
     parts = []
     for t in TABLE_COLUMNS:
-        path = f"{sf.rstrip('/')}/{t}.parquet"
-        n = len(parquet_columns(spark, path))
-        parts.append(f"SELECT '{t}' AS table_name, {n} AS n_columns FROM parquet.`{path}`")
-    return spark.sql("SELECT table_name, count(*) AS rows, n_columns FROM ("
-                     + " UNION ALL ".join(parts) + ") GROUP BY table_name, n_columns")
+        rel = spark.sql(f"SELECT * FROM parquet.`{sf.rstrip('/')}/{t}.parquet`")
+        parts.append(rel.select(F.lit(t).alias("table_name"), F.lit(len(rel.columns)).alias("n_columns")))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return (u.groupBy("table_name", "n_columns").agg(F.count(F.lit(1)).alias("rows"))
+             .select("table_name", "rows", "n_columns"))
