@@ -118,7 +118,9 @@ def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
 
     ``date_of``: an expression over key columns that yields the row's date.
     Given it, only history rows on a date of the incoming rows take part in
-    the shuffle; the rest are passed through. This assumes history is
+    the shuffle; the rest are passed through. When ``date_of`` is the
+    partition column of a date-partitioned history, the two parts are read
+    from disjoint partitions; on a flat table each part scans it. This assumes history is
     already unique by key (every write of this package keeps it so); use
     ``compact`` to make an old history unique first.
     """
