@@ -6,9 +6,11 @@ returns the columns of ``documents``; the last returns what its token files hold
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from marketbars.llm.common import stage, table
+from marketbars.llm.common import ship_package, stage, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +47,17 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(docs, tokenizer_file(), folder), folder)
 
 
+def _shipped(function):
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, docs, sf_dir)
+    return run_stage
+
+
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates),
           ("decontaminate", decontaminate), ("mix", mix), ("token_files", token_files)]
+STAGES = [(name, _shipped(function)) for name, function in STAGES]
 
 ORACLE_SQL = None       # a fitted classifier, Newton's iterations and a tokenizer
 

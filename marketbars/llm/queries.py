@@ -4,19 +4,24 @@ can state the same result."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import table
+from marketbars.llm.common import ship_package, table
 
 LLM_QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
 def query(name: str, sql: str | None = None):
     def wrap(fn):
-        LLM_QUERIES[name] = (fn, sql)
-        return fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+        LLM_QUERIES[name] = (run, sql)
+        return run
     return wrap
 
 
@@ -139,3 +144,54 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketbars.llm.url_filter import judge_urls
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+# ---- 6: n-gram Jaccard join ------------------------------------------------------
+
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.jaccard_join import link_texts
+    return (link_texts(table(spark, sf_dir, "documents"), words=4, percent=85)
+            .select("doc_id", "n_shingles", "component_id"))
+
+
+# ---- 1: line dedup -----------------------------------------------------------------
+
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.line_dedup import dedup_report
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
+# ---- 7: license scans ----------------------------------------------------------------
+
+def document_path():
+    """A file tree for the documents, which have no paths: four levels by source,
+    language and id, in which every tenth document is its directory's licence file
+    (those of round numbers stand one and two levels up)."""
+    i = F.col("doc_id")
+    top = F.concat_ws("/", F.coalesce("source", F.lit("_")), F.coalesce("lang", F.lit("_")))
+    block = F.floor(i / 1000).cast("string")
+    leaf = F.floor(i / 100).cast("string")
+    return (F.when(i % 1000 == 0, F.concat_ws("/", top, F.concat(F.lit("LICENSE."), i)))
+            .when(i % 100 == 0, F.concat_ws("/", top, block, F.concat(F.lit("LICENSE."), i)))
+            .when(i % 10 == 0, F.concat_ws("/", top, block, leaf, F.concat(F.lit("LICENSE."), i)))
+            .when(i.isNotNull(), F.concat_ws("/", top, block, leaf, F.concat(i, F.lit(".txt")))))
+
+
+@query("op7_license_scan")
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.license_scan import scan_licenses
+    files = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), document_path().alias("path"), "text")
+    return scan_licenses(files).select(
+        F.col("id").alias("doc_id"), "path", "own", F.round("score", 9).alias("score"),
+        "license", "from_dir")
+
+
+# ---- 8: substring dedup ---------------------------------------------------------------
+
+@query("op8_sentence_spans")
+def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.sentence_spans import span_report
+    return span_report(table(spark, sf_dir, "documents"))
