@@ -25,5 +25,5 @@ def strike_to_int(x: Column) -> Column:
 
     -1 and NULL mean "no strike"; non-finite values are rejected.
     """
-    d = nan_to_null(x.cast("double"))
+    d = to_double(x)
     return F.when(d.isNotNull() & (d != -1), d.try_cast("int"))

@@ -43,13 +43,14 @@ def bar_date(wall: Column) -> Column:
 
 
 def bar_time(wall: Column) -> Column:
-    """``HH:mm:ss`` text; sorts correctly as a string."""
-    return F.date_format(wall, "HH:mm:ss")
+    """``HH:mm:ss`` text; sorts correctly as a string. Cut from the NTZ's own
+    text: ``date_format`` would go through a session-zone timestamp."""
+    return F.substring(wall.cast("string"), 12, 8)
 
 
 def bar_timestamp_text(wall: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text, used only at the CSV edge."""
-    return F.date_format(wall, "yyyy-MM-dd HH:mm:ss")
+    return F.substring(wall.cast("string"), 1, 19)
 
 
 def parse_dmy(text: Column) -> Column:

@@ -27,11 +27,10 @@ def classify_days(dates: DataFrame, holiday_table: DataFrame, date_col: str = "d
     """Adds weekday (0 = Monday), status and holiday_name.
 
     A weekend is tested before a holiday, so a holiday that falls on a
-    Saturday or Sunday counts as a weekend. The holiday table is a calendar
-    of a few dozen rows per year, so it is broadcast.
+    Saturday or Sunday counts as a weekend.
     """
     h = holiday_table.withColumnRenamed("date", date_col)
-    j = dates.join(F.broadcast(h), date_col, "left")
+    j = dates.join(h, date_col, "left")
     wd = F.weekday(F.col(date_col))
     status = (F.when(wd >= 5, F.lit(WEEKEND))
                .when(F.col("holiday_name").isNotNull(), F.lit(HOLIDAY))

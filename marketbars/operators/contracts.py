@@ -19,6 +19,15 @@ from marketbars.schemas import (
 )
 
 
+_SEP = "\u0001"
+_BLANKS = r"[ \t\n\r\x0b\x0c]*"
+_SYMBOL = FUT_SYMBOL_PATTERN.strip("^$").replace("(", "").replace(")", "")
+# what stands before the first cell that is a symbol, and the symbol
+_SYMBOL_CELL = rf"(?s)^((?:.*?{_SEP})??){_BLANKS}({_SYMBOL}){_BLANKS}(?:{_SEP}|\z)"
+_LAST_CELL = rf"([^{_SEP}]*){_SEP}\z"
+_DIGIT_CELL = rf"(?:^|{_SEP}){_BLANKS}([0-9]+){_BLANKS}(?={_SEP}|\z)"
+
+
 def _date_lit(d) -> Column:
     if isinstance(d, Column):
         return d
@@ -92,8 +101,7 @@ def chain_rows(tagged: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Adds the parsed Strike and ``usable``: non-empty symbol, CE/PE, a strike
     that is present, not -1 and integral-convertible, and an upper-cased symbol
     starting with one of the index's prefixes (no prefixes: no filter)."""
-    # the prefix dimension is one short row per index: a proven-small broadcast
-    x = tagged.join(F.broadcast(prefixes), "underlying", "left")
+    x = tagged.join(prefixes, "underlying", "left")
     sym, otype = F.col("symbol"), F.col("option_type")
     strike = strike_to_int(F.col("strike_price"))
     up = F.upper(sym)
@@ -183,50 +191,42 @@ def futures_spec_dim(spark: SparkSession, specs: dict | None = None) -> DataFram
                                  "underlying string, root string, exchange string, segment string")
 
 
-def master_candidates(cells: DataFrame) -> DataFrame:
+def master_candidates(cells: DataFrame, specs: DataFrame | None = None) -> DataFrame:
     """Symbol-master rows (``cells`` array<string>) -> FUT symbol, parts and
     expiry by the fallback chain: the cell before the symbol, else the first
     cell holding a plausible epoch, else the symbol's month. Rows without a
     symbol or an expiry are dropped. Other input columns are passed through.
 
-    Every cell is stripped and classified once (text, is-symbol, plausible
-    epoch); the symbol, its position and both epoch fallbacks are then read
-    from that array through lambda variables, so no cell is parsed twice.
+    The row is joined to one line, on which a compiled regular expression finds
+    the first symbol cell and what stands before it. ``specs`` (root, exch and
+    columns to add): only these roots on their exchanges are kept, before any
+    epoch is read; the epochs are then parsed for the rows that are left.
     """
     extra = [c for c in cells.columns if c != "cells"]
-    # a row can only hold a FUT symbol if some cell contains "FUT": this
-    # whole-stage-compiled test drops the option rows (nearly all of a real
-    # master) before any per-cell parsing; the separator cannot form "FUT"
-    cells = cells.where(F.concat_ws("\u0001", "cells").contains("FUT"))
-    stripped = F.transform("cells", lambda c: strip_ws(F.coalesce(c, F.lit(""))))
-    # two passes: the regex tests run once per cell; the epoch arithmetic then
-    # reads the parsed digits through a field reference instead of re-parsing
-    raw = F.transform(stripped, lambda t: F.struct(
-        t.alias("text"), t.rlike(FUT_SYMBOL_PATTERN).alias("is_symbol"),
-        stripped_epoch_digits(t).alias("digits")))
-    info = F.transform(raw, lambda x: F.struct(
-        x["text"].alias("text"), x["is_symbol"].alias("is_symbol"),
-        plausible_seconds(x["digits"]).alias("secs")))
-    a = cells.select(*extra, info.alias("info"))
-    b = a.select(*extra, "info",
-                 F.array_position(F.transform("info", lambda x: x["is_symbol"]), True)
-                  .cast("int").alias("symbol_pos"))
-    pos = F.col("symbol_pos")
-    before = F.when(pos > 1, F.try_element_at("info", pos - 1)["secs"])
-    first_epoch = F.try_element_at(F.filter("info", lambda x: x["secs"].isNotNull()), F.lit(1))["secs"]
-    c = b.select(
-        *extra, F.try_element_at("info", pos)["text"].alias("symbol"), "symbol_pos",
-        F.coalesce(before, first_epoch).alias("expiry_secs"))
-    sym = F.col("symbol")
-    parts = [F.regexp_extract(sym, FUT_SYMBOL_PATTERN, i) for i in (1, 2, 3, 4)]
-    expiry = F.coalesce(seconds_to_market_date(F.col("expiry_secs")), month_expiry(parts[2], parts[3]))
-    d = c.select(*extra, "symbol", "symbol_pos", parts[0].alias("exch"), parts[1].alias("root"),
-                 expiry.alias("expiry"))
-    out = ["symbol", "symbol_pos", "exch", "root", "expiry"]
-    # keep-or-drop through a generator instead of a Filter: a Filter here would be
-    # pushed below the projections and re-evaluate every cell classification
-    kept = F.filter(F.array(F.struct(*out)), lambda r: (r["symbol_pos"] > 0) & r["expiry"].isNotNull())
-    return d.select(*extra, F.inline(kept))
+    line = F.array_join("cells", _SEP, "")
+    a = (cells.select(*extra, line.alias("line")).where(F.col("line").contains("FUT"))
+         .withColumn("before", F.regexp_extract("line", _SYMBOL_CELL, 1))
+         .withColumn("symbol", F.regexp_extract("line", _SYMBOL_CELL, 2))
+         .where(F.col("symbol") != ""))
+    parts = [F.regexp_extract("symbol", FUT_SYMBOL_PATTERN, i) for i in (1, 2, 3, 4)]
+    b = a.select(*extra, "line", "before", "symbol", parts[0].alias("exch"),
+                 parts[1].alias("root"), parts[2].alias("yy"), parts[3].alias("mon"))
+    more = []
+    if specs is not None:
+        more = [c for c in specs.columns if c not in ("root", "exch")]
+        b = b.join(specs, ["root", "exch"], "inner")
+    preceding = plausible_seconds(stripped_epoch_digits(
+        strip_ws(F.regexp_extract("before", _LAST_CELL, 1))))
+    anywhere = F.try_element_at(F.filter(
+        F.transform(F.regexp_extract_all("line", F.lit(_DIGIT_CELL), F.lit(1)),
+                    lambda t: plausible_seconds(t.try_cast("bigint"))),
+        lambda x: x.isNotNull()), F.lit(1))
+    n_before = F.length("before") - F.length(F.replace(F.col("before"), F.lit(_SEP), F.lit("")))
+    expiry = F.coalesce(seconds_to_market_date(F.coalesce(preceding, anywhere)),
+                        month_expiry(F.col("yy"), F.col("mon")))
+    return (b.select(*extra, *more, "symbol", (n_before + 1).cast("int").alias("symbol_pos"),
+                     "exch", "root", expiry.alias("expiry"))
+            .where(F.col("expiry").isNotNull()))
 
 
 def resolve_futures(cells: DataFrame, trading_date, specs: DataFrame,
@@ -239,10 +239,8 @@ def resolve_futures(cells: DataFrame, trading_date, specs: DataFrame,
     contract_series, expiry, rank.
     """
     d = _date_lit(trading_date)
-    c = master_candidates(cells)
-    # the spec dimension is one row per configured index: a proven-small broadcast
-    c = c.join(F.broadcast(specs.select("underlying", "root", F.col("exchange").alias("exch"))),
-               ["root", "exch"], "inner")
+    c = master_candidates(cells, specs.select("underlying", "root",
+                                              F.col("exchange").alias("exch")))
     c = c.where(F.col("expiry") >= d)
     per_symbol = c.groupBy("underlying", "root", "symbol").agg(F.min("expiry").alias("expiry"))
     w = Window.partitionBy("underlying").orderBy(F.col("expiry").asc(), F.col("symbol").asc())
@@ -278,10 +276,8 @@ def resolve_futures_range(cells: DataFrame, trading_dates: DataFrame, specs: Dat
     """
     if count != 3:
         raise ValueError("the run/alternation bound is written for three series")
-    c = master_candidates(cells)
-    # the spec dimension is one row per configured index: a proven-small broadcast
-    c = c.join(F.broadcast(specs.select("underlying", "root", F.col("exchange").alias("exch"))),
-               ["root", "exch"], "inner")
+    c = master_candidates(cells, specs.select("underlying", "root",
+                                              F.col("exchange").alias("exch")))
     span = trading_dates.agg(F.min("trading_date").alias("lo"), F.max("trading_date").alias("hi")).first()
     if span["lo"] is None:
         return trading_dates.sparkSession.createDataFrame(
@@ -330,3 +326,15 @@ def unresolved_indexes(specs: DataFrame, resolved: DataFrame) -> DataFrame:
     """Configured indexes with no active contract, with the reason."""
     return (specs.join(resolved.select("underlying").distinct(), "underlying", "left_anti")
                  .select("underlying", F.lit("no active futures on or after the date").alias("reason")))
+
+
+def unresolved_by_day(days: DataFrame, specs: DataFrame, resolved: DataFrame) -> DataFrame:
+    """(trading_date, underlying, reason) of the indexes that a run has to skip.
+    The configured indexes are a short list: each day is exploded into them."""
+    names = specs.agg(F.sort_array(F.collect_set("underlying")).alias("names"))
+    wanted = (days.withColumn("_one", F.lit(1)).join(names.withColumn("_one", F.lit(1)), "_one")
+              .select("trading_date", F.explode("names").alias("underlying")))
+    return (wanted.join(resolved.select("trading_date", "underlying").distinct(),
+                        ["trading_date", "underlying"], "left_anti")
+            .select("trading_date", "underlying",
+                    F.lit("no active futures on or after the date").alias("reason")))

@@ -16,6 +16,7 @@ NOT_PRESENT = "not_present"
 DRY_RUN = "dry_run"
 CREATED = "created"
 UPDATED = "updated"
+UNDATED = "undated"              # rows without a date: quarantined
 
 
 def parse_ledger(ledger: DataFrame, text_col: str = "dates_json") -> DataFrame:

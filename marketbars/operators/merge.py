@@ -15,6 +15,7 @@ is partitioned by date). The cost is O(days ingested), not O(history).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -108,7 +109,7 @@ def _incoming_dates(incoming: DataFrame, date_of: Column):
 def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
                      keys: Sequence[str], order_by: Sequence[str | Column] | None = None,
                      date_of: Column | None = None, strategy: str = "window",
-                     keep_src: bool = False) -> DataFrame:
+                     keep_src: bool = False, raw_date_col: str | None = None) -> DataFrame:
     """History ∪ incoming, one row per natural key, history rows win.
 
     ``keys`` are resolved against the history columns (the incoming columns when
@@ -123,6 +124,9 @@ def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
     from disjoint partitions; on a flat table each part scans it. This assumes history is
     already unique by key (every write of this package keeps it so); use
     ``compact`` to make an old history unique first.
+    ``raw_date_col``: the stored column that ``date_of`` is computed from. Its range
+    is then tested too, on the column itself, so that the scan of the affected part
+    skips files and row groups by their statistics.
     """
     cols = history.columns if history is not None else incoming.columns
     resolved = resolve_keys(keys, cols)
@@ -142,6 +146,11 @@ def merge_first_wins(history: DataFrame | None, incoming: DataFrame,
         touched = touched | date_of.isNull()
     touched = F.coalesce(touched, F.lit(False))
     affected = history.where(touched)
+    if raw_date_col is not None and dates and not has_null:
+        raw = F.col(raw_date_col)
+        affected = affected.where((raw >= F.lit(dates[0]).cast("timestamp_ntz"))
+                                  & (raw < F.lit(dates[-1] + _dt.timedelta(days=1))
+                                     .cast("timestamp_ntz")))
     untouched = history.where(~touched)
     merged = keep_first(tag_sources(affected, incoming), resolved, order_by, strategy)
     if not keep_src:

@@ -31,21 +31,53 @@ def run_summary(counts: DataFrame) -> DataFrame:
         *[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(c) for c in cols])
 
 
-def date_status(counts: DataFrame) -> DataFrame:
+KINDS = ["options", "futures", "spot"]
+
+
+def expected_kinds(days: DataFrame, kinds=KINDS, date_col: str = "trading_date") -> DataFrame:
+    """(date, kind) of every kind on every day (a generator over a fixed list)."""
+    return days.select(F.col(date_col).alias("date"),
+                       F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind")).distinct()
+
+
+def date_status(counts: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """Per date: failed when no kind produced rows, partial when some kind
     produced nothing, else downloaded (failed contracts alone do not make a
-    date partial)."""
-    produced = F.col("rows") > 0
-    errored = ~produced
-    s = counts.groupBy("date").agg(
+    date partial). ``expected`` (date, kind): a kind that is expected and has no
+    row in ``counts`` produced nothing either."""
+    rows = counts.select("date", "kind", "rows")
+    if expected is not None:
+        rows = expected.select("date", "kind").join(rows, ["date", "kind"], "left")
+    produced = F.coalesce(F.col("rows"), F.lit(0)) > 0
+    s = rows.groupBy("date").agg(
         F.count_if(produced).alias("kinds_produced"),
-        F.count_if(errored).alias("kinds_with_errors"))
+        F.count_if(~produced).alias("kinds_with_errors"))
     status = (F.when(F.col("kinds_produced") == 0, F.lit(FAILED_DATE))
                .when(F.col("kinds_with_errors") > 0, F.lit(PARTIAL))
                .otherwise(F.lit(DOWNLOADED)))
     return s.withColumn("status", status)
 
 
+def pending_kinds(days: DataFrame, produced: DataFrame, exchanges: DataFrame) -> DataFrame:
+    """(trading_date, kind) still to be collected. Options are done when every
+    exchange has valid rows for the day, futures when the day has its file; spot is
+    always collected again.
+
+    ``produced``: trading_date, kind, exchange (null but for options), valid.
+    ``exchanges``: exchange."""
+    n = exchanges.select("exchange").distinct().agg(F.count(F.lit(1)).alias("n_exchanges"))
+    options = (produced.where("kind = 'options' and valid")
+               .join(exchanges.select("exchange").distinct(), "exchange", "left_semi")
+               .groupBy("trading_date").agg(F.count_distinct("exchange").alias("m")))
+    # the number of exchanges as a scalar: one row, joined by value
+    done = (options.join(n, F.col("m") == F.col("n_exchanges"))
+            .select("trading_date", F.lit("options").alias("kind")))
+    done = done.union(produced.where("kind = 'futures'")
+                      .select("trading_date", "kind").distinct())
+    return (expected_kinds(days).withColumnRenamed("date", "trading_date")
+            .join(done, ["trading_date", "kind"], "left_anti"))
+
+
 def run_verdict(statuses: DataFrame) -> DataFrame:
     """Dates by status and the exit code (1 only when some date failed)."""
     st = F.col("status")

@@ -18,8 +18,8 @@ def exchange_dim(spark: SparkSession, mapping: dict[str, str] | None = None) ->
 
 def route_exchange(df: DataFrame, exchanges: DataFrame) -> DataFrame:
     """Adds ``exchange`` by Underlying (inner: unknown indexes are not routed).
-    The dimension is the fixed index list: a proven-small broadcast."""
-    return df.join(F.broadcast(exchanges), "Underlying", "inner")
+    The optimizer broadcasts the dimension when its size is small."""
+    return df.join(exchanges, "Underlying", "inner")
 
 
 def exchange_split_counts(routed: DataFrame, date_col: str = "Date") -> DataFrame:
@@ -48,6 +48,13 @@ def spot_target(index: Column) -> Column:
     return F.try_element_at(names, index)
 
 
+def feed_target(feed: Column, date: Column, index: Column) -> Column:
+    """Target of a row of ``feed`` (options_nse, options_bse, futures or spot):
+    yearly by its date, or the index's cumulative file for spot."""
+    return F.when(feed == "spot", spot_target(index)).when(
+        date.isNotNull(), year_target_of(feed, date))
+
+
 def row_date(df: DataFrame) -> Column:
     """The date a row belongs to: ``Date`` if present, else the date of
     ``timestamp``; NULL if neither column exists (decided at plan time)."""

@@ -19,12 +19,17 @@ from marketbars.operators import bars as B
 from marketbars.operators import contracts as C
 from marketbars.operators.calendar import TRADING, classify_days, date_span, holidays
 from marketbars.operators.quality import quality_report
-from marketbars.operators.report import date_status, outcome_counts
+from marketbars.operators.report import (
+    KINDS, date_status, expected_kinds, outcome_counts, pending_kinds,
+)
 from marketbars.operators.routing import exchange_dim, route_exchange
-from marketbars.schemas import DEFAULT_UNDERLYINGS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS
-from marketbars.sinks.writers import PART_COL, write_csv, write_parquet
+from marketbars.schemas import (
+    DEFAULT_UNDERLYINGS, FUTURES_COLUMNS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS,
+)
+from marketbars.session import remove_path, scratch_path
+from marketbars.sinks.writers import PART_COL, move_partitions, stage_and_publish, verified_write
 from marketbars.sources.catalog import index_dim
-from marketbars.sources.readers import partition_dirs
+from marketbars.sources.readers import partition_dirs, valid_table
 
 
 def run_dates(spark: SparkSession, start: str, end: str, holiday_table: DataFrame | None = None) -> DataFrame:
@@ -49,57 +54,93 @@ def build_run(spark: SparkSession, *, start: str, end: str,
               option_payloads: DataFrame, futures_payloads: DataFrame, spot_payloads: DataFrame,
               chain_listing: DataFrame, chains: DataFrame, master_cells: DataFrame,
               selected: Sequence[str] | None = None,
-              source_label: str = FUTURES_SOURCE_LABEL) -> dict[str, DataFrame]:
-    """All tables of a run. ``selected`` restricts every kind to those indexes."""
+              source_label: str = FUTURES_SOURCE_LABEL,
+              pending: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All tables of a run. ``selected`` restricts every kind to those indexes, in
+    the tables and in the counters. ``pending`` (trading_date, kind; see
+    ``pending_work``): the days still to be collected of each kind; default all."""
     if selected:
         unknown = set(selected) - set(UNDERLYINGS)
         if unknown:
             raise ValueError(f"unknown underlyings: {sorted(unknown)}")
     days = trading_dates(spark, start, end)
+    work = expected_kinds(days).withColumnRenamed("date", "trading_date")
+    if pending is not None:
+        work = work.join(pending.select("trading_date", "kind").distinct(),
+                         ["trading_date", "kind"], "left_semi")
+    days_of = {k: work.where(F.col("kind") == k).select("trading_date") for k in KINDS}
+    first, last = _dt.date.fromisoformat(start), _dt.date.fromisoformat(end)
 
-    def on_days(df: DataFrame) -> DataFrame:
-        return df.join(days, "trading_date", "left_semi")
+    def on_days(df: DataFrame, kind: str) -> DataFrame:
+        # the literal range reaches the scan; the join drops days within it
+        return (df.where(F.col("trading_date").between(first, last))
+                .join(days_of[kind], "trading_date", "left_semi"))
 
     # options: expiry targets -> per-expiry chains -> contracts of each (index, date)
-    targets = C.expiry_targets(on_days(_only(C.expiry_items(chain_listing), "underlying", selected)))
-    items = on_days(_only(C.chain_items(chains), "underlying", selected))
+    targets = C.expiry_targets(on_days(_only(C.expiry_items(chain_listing), "underlying", selected),
+                                       "options"))
+    items = on_days(_only(C.chain_items(chains), "underlying", selected), "options")
     rows = C.chain_rows(C.tag_requested_expiry(items, targets), C.prefix_dim(spark))
     contracts = C.option_contracts(rows)
-    options = B.options_bars(on_days(option_payloads), contracts)
+    option_answers = on_days(option_payloads, "options")
+    options = B.options_bars(option_answers, contracts)
 
     # futures: near/next/far per (index, date), then bars of those symbols
     specs = _only(C.futures_spec_dim(spark), "underlying", selected)
-    fut_contracts = C.resolve_futures_range(master_cells, days, specs)
-    futures = B.futures_bars(on_days(futures_payloads), fut_contracts)
+    fut_contracts = C.resolve_futures_range(master_cells, days_of["futures"], specs)
+    future_answers = on_days(futures_payloads, "futures")
+    futures = B.futures_bars(future_answers, fut_contracts, source_label)
 
     # spot: vendor index symbol -> index
     idx = _only(index_dim(spark), "index", selected).select("symbol", F.col("index").alias("Index"))
-    spot = B.spot_bars(on_days(spot_payloads), idx)
+    spot_answers = on_days(spot_payloads, "spot")
+    spot = B.spot_bars(spot_answers, idx)
 
     # one discovery row per requested index and trading day (a generator over
     # the fixed index list, no join): days without expiries or contracts fail
     wanted = list(selected) if selected else list(DEFAULT_UNDERLYINGS)
-    index_days = days.select("trading_date", F.explode(F.array(*[F.lit(u) for u in wanted])).alias("underlying"))
+    index_days = days_of["options"].select(
+        "trading_date", F.explode(F.array(*[F.lit(u) for u in wanted])).alias("underlying"))
     discovery = C.discovery_status(index_days, targets, contracts, C.failed_requests(items))
+    spot_symbols = [UNDERLYINGS[u][0] for u in (selected or UNDERLYINGS)]
+    spot_asked = days_of["spot"].select(
+        "trading_date", F.explode(F.array(*[F.lit(x) for x in spot_symbols])).alias("symbol"))
 
-    outcomes = (B.payload_outcomes(on_days(option_payloads), "options", 7)
+    # counted over what was asked for, and over the rows that the tables keep
+    outcomes = (B.payload_outcomes(option_answers, "options", 7,
+                                   contracts.select("trading_date", F.col("Ticker").alias("symbol")))
                 .unionByName(C.discovery_outcomes(discovery))
-                .unionByName(B.payload_outcomes(on_days(futures_payloads), "futures", 7))
-                .unionByName(B.payload_outcomes(on_days(spot_payloads), "spot", 6)))
+                .unionByName(B.payload_outcomes(future_answers, "futures", 7,
+                                                fut_contracts.select("trading_date", "symbol")))
+                .unionByName(B.payload_outcomes(spot_answers, "spot", 6, spot_asked,
+                                                B.spot_rows_kept(spot_answers, idx))))
     counts = outcome_counts(outcomes)
+    off_date = (B.off_date_rows(B.explode_bars(option_answers, 7)).withColumn("kind", F.lit("options"))
+                .unionByName(B.off_date_rows(B.explode_bars(future_answers, 7))
+                             .withColumn("kind", F.lit("futures")))
+                .unionByName(B.off_date_rows(B.explode_bars(spot_answers, 6))
+                             .withColumn("kind", F.lit("spot"))))
     return {"options": options, "futures": futures, "spot": spot, "contracts": contracts,
             "futures_contracts": fut_contracts, "expiry_stats": C.expiry_stats(rows),
-            "discovery": discovery, "outcomes": outcomes, "counts": counts, "status": date_status(counts)}
+            "discovery": discovery, "outcomes": outcomes, "counts": counts,
+            "unresolved": C.unresolved_by_day(days_of["futures"], specs, fut_contracts),
+            "spot_rows": B.rows_per_index(spot, F.col("Index")), "off_date": off_date,
+            "status": date_status(counts, work.withColumnRenamed("trading_date", "date"))}
 
 
 class ValidationError(RuntimeError):
     pass
 
 
+def options_verdicts(routed: DataFrame) -> DataFrame:
+    """The quality verdict of every (exchange, date) subset, one row each."""
+    return quality_report(routed.select(*OPTIONS_COLUMNS, "exchange"), group_by=["exchange", "Date"])
+
+
 def check_options_split(routed: DataFrame) -> DataFrame:
     """Verdict per (exchange, date) subset; raises when a subset fails or when
     no exchange has any row. Only verdict rows reach the driver."""
-    rep = quality_report(routed.select(*OPTIONS_COLUMNS, "exchange"), group_by=["exchange", "Date"])
+    rep = options_verdicts(routed)
     verdicts = rep.select("exchange", "Date", "rows", "ok", "errors").collect()
     if not verdicts:
         raise ValidationError("no options rows to save for any exchange")
@@ -109,52 +150,112 @@ def check_options_split(routed: DataFrame) -> DataFrame:
     return rep
 
 
+WRITTEN_SCHEMA = "kind string, exchange string, date date, rows bigint, status string, message string"
+
+
+def _write_options(spark: SparkSession, options: DataFrame, out_dir: str, validate: bool) -> list:
+    """Stage all subsets, judge the staged rows, publish the subsets that pass."""
+    routed = route_exchange(options, exchange_dim(spark))
+    staging = scratch_path(spark, "options")
+    rows = verified_write(spark, routed.select(*OPTIONS_COLUMNS, "exchange", F.col("Date").alias(PART_COL)),
+                          staging, ["exchange", PART_COL],
+                          sort_within=["Underlying", "Expiry", "Strike", "OptionType", "Time"])
+    if not rows:
+        return [("options", None, None, 0, "empty", "no options rows for any exchange")]
+    staged = spark.read.parquet(staging).drop(PART_COL)
+    # a few exchanges times the days of the run
+    verdicts = options_verdicts(staged).select("exchange", "Date", "rows", "ok", "errors").collect()
+    good = {(f"exchange={v['exchange']}", f"{PART_COL}={v['Date']}")
+            for v in verdicts if v["ok"] or not validate}
+    move_partitions(spark, staging, f"{out_dir}/options", 2, good)
+    remove_path(spark, staging)
+    return [("options", v["exchange"], v["Date"], v["rows"],
+             "written" if v["ok"] or not validate else "invalid", "; ".join(v["errors"]) or None)
+            for v in verdicts]
+
+
+def _write_days(spark: SparkSession, kind: str, rows: DataFrame, date, out_dir: str,
+                partition_by, sort_within, fmt: str) -> list:
+    dated = rows.withColumn(PART_COL, date)
+    staging = scratch_path(spark, kind)
+    if not stage_and_publish(spark, dated, staging, f"{out_dir}/{kind}", partition_by,
+                             sort_within, fmt):
+        return [(kind, None, None, 0, "empty", f"no {kind} rows")]
+    counted = rows.groupBy(date.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return [(kind, None, r["d"], r["n"], "written", None) for r in counted]
+
+
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,
-                  validate: bool = True) -> None:
+                  validate: bool = True) -> DataFrame:
     """Options split by exchange and date, futures by date (Parquet, zstd);
-    spot by index and date (CSV). Only the dates present are replaced. With
-    ``validate`` every options (exchange, date) subset must pass the quality
-    report first; an exchange without rows is simply not written."""
-    routed = route_exchange(tables["options"], exchange_dim(spark))
-    if validate:
-        check_options_split(routed)
-    write_parquet(routed.select(*OPTIONS_COLUMNS, "exchange", F.col("Date").alias(PART_COL)),
-                  f"{out_dir}/options", ["exchange", PART_COL], "overwrite",
-                  sort_within=["Underlying", "Expiry", "Strike", "OptionType", "Time"])
-    write_parquet(tables["futures"].withColumn(PART_COL, F.col("Date")), f"{out_dir}/futures",
-                  [PART_COL], "overwrite", sort_within=["Underlying", "ContractSeries", "Time"])
-    write_csv(tables["spot"].withColumn(PART_COL, F.to_date("timestamp")),
-              f"{out_dir}/spot", ["Index", PART_COL], "overwrite", sort_within=["timestamp"])
+    spot by index and date (CSV). Only the dates present are replaced.
 
+    Every subset stands alone: with ``validate``, an options (exchange, date) subset
+    that fails the quality report is not written, and the others are; a kind that
+    fails does not keep the others from being written. Returns one row per
+    subset: kind, exchange, date, rows, status (written, invalid, empty, error),
+    message.
+    """
+    writers = {
+        "options": lambda: _write_options(spark, tables["options"], out_dir, validate),
+        "futures": lambda: _write_days(spark, "futures", tables["futures"], F.col("Date"), out_dir,
+                                       [PART_COL], ["Underlying", "ContractSeries", "Time"], "parquet"),
+        "spot": lambda: _write_days(spark, "spot", tables["spot"], F.to_date("timestamp"), out_dir,
+                                    ["Index", PART_COL], ["timestamp"], "csv"),
+    }
+    out = []
+    for kind, write in writers.items():
+        try:
+            out += write()
+        except Exception as error:  # noqa: BLE001 - isolate this kind
+            out.append((kind, None, None, None, "error", str(error)))
+    return spark.createDataFrame(out, WRITTEN_SCHEMA)
+
+
+def _valid_day(spark: SparkSession, path: str, columns: Sequence[str]) -> bool:
+    """One day's files: readable, the exact columns, not empty."""
+    try:
+        return valid_table(spark.read.parquet(path), columns)
+    except Exception:  # noqa: BLE001 - unreadable files are collected again
+        return False
 
-def completed_dates(spark: SparkSession, out_dir: str, start: str | None = None,
-                    end: str | None = None) -> DataFrame:
-    """Dates (within ``start``..``end``) whose options output exists and is
-    non-empty for every exchange.
 
-    Only the ``exchange=`` and ``trade_date=`` directories are listed, and only
-    the days of the range are read, so the check does not grow with the
-    stored history.
+def produced_work(spark: SparkSession, out_dir: str, start: str | None = None,
+                  end: str | None = None) -> DataFrame:
+    """(trading_date, kind, exchange, valid) of the outputs within ``start``..``end``.
+
+    Only the ``exchange=`` and ``trade_date=`` directories are listed, and of the
+    days in the range the footers and one row are read, so the check does not
+    grow with the stored history.
     """
-    n_exchanges = len({v[1] for v in UNDERLYINGS.values()})
-    base = f"{out_dir}/options"
-    empty = spark.createDataFrame([], "trading_date date")
-    exchanges = partition_dirs(spark, base, "exchange")
-    if not exchanges:
-        return empty
-    dirs = []
-    for ex_dir in exchanges.values():
-        for day, day_dir in (partition_dirs(spark, ex_dir, PART_COL) or {}).items():
-            if (start is None or day >= start) and (end is None or day <= end):
-                dirs.append(day_dir)
-    if not dirs:
-        return empty
-    done = spark.read.option("basePath", base).parquet(*dirs)
-    return (done.groupBy(PART_COL).agg(F.count_distinct("exchange").alias("n"))
-                .where(F.col("n") == n_exchanges).select(F.col(PART_COL).cast("date").alias("trading_date")))
+    def days(base: str) -> dict[str, str]:
+        return {day: path for day, path in (partition_dirs(spark, base, PART_COL) or {}).items()
+                if (start is None or day >= start) and (end is None or day <= end)}
+    out = []
+    for exchange, base in (partition_dirs(spark, f"{out_dir}/options", "exchange") or {}).items():
+        out += [(_dt.date.fromisoformat(day), "options", exchange,
+                 _valid_day(spark, path, OPTIONS_COLUMNS)) for day, path in days(base).items()]
+    out += [(_dt.date.fromisoformat(day), "futures", None, _valid_day(spark, path, FUTURES_COLUMNS))
+            for day, path in days(f"{out_dir}/futures").items()]
+    return spark.createDataFrame(out, "trading_date date, kind string, exchange string, valid boolean")
+
+
+def pending_work(spark: SparkSession, start: str, end: str, out_dir: str) -> DataFrame:
+    """(trading_date, kind) of the range that still need collecting."""
+    return pending_kinds(trading_dates(spark, start, end), produced_work(spark, out_dir, start, end),
+                         exchange_dim(spark))
+
+
+def completed_dates(spark: SparkSession, out_dir: str, start: str | None = None,
+                    end: str | None = None) -> DataFrame:
+    """Dates (within ``start``..``end``) whose options output is valid for every exchange."""
+    produced = produced_work(spark, out_dir, start, end)
+    days = produced.select("trading_date").distinct()
+    return days.join(pending_kinds(days, produced, exchange_dim(spark)).where("kind = 'options'"),
+                     "trading_date", "left_anti")
 
 
 def pending_dates(spark: SparkSession, start: str, end: str, out_dir: str) -> DataFrame:
-    """Trading dates of the range that still need collecting."""
-    return trading_dates(spark, start, end).join(completed_dates(spark, out_dir, start, end),
-                                                 "trading_date", "left_anti")
+    """Trading dates of the range whose options still need collecting."""
+    return (pending_work(spark, start, end, out_dir).where("kind = 'options'")
+            .select("trading_date"))

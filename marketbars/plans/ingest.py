@@ -2,9 +2,11 @@
 
 One job decides every (target, date) of the incoming rows (ledger check,
 count reconcile), merges only the affected history partitions (existing rows
-win), stages and verifies them, publishes with dynamic partition overwrite,
-and only then records the dates in the ledger, so a crash between the two
-leaves "rows present, ledger missing", which the next run detects and repairs.
+win, then the first arrival), stages and verifies them, publishes them, and only
+then records the dates in the ledger, so a crash between the two leaves "rows
+present, ledger missing", which the next run detects and repairs. Rows that can't
+be merged (no date, or a day that history holds differently) go to quarantine:
+no incoming row is dropped without a row in the decisions and a copy on disk.
 """
 
 from __future__ import annotations
@@ -12,14 +14,16 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketbars.operators import ledger as L
-from marketbars.operators.merge import merge_first_wins
+from marketbars.operators.bars import ARRIVAL
+from marketbars.operators.merge import merge_first_wins, resolve_keys
 from marketbars.operators.routing import row_date
-from marketbars.session import scratch_path
+from marketbars.session import remove_path, scratch_path
 from marketbars.sinks.writers import PART_COL, archive_raw, stage_and_publish, write_parquet
 from marketbars.sources.readers import partition_dirs, read_ledger
 
@@ -28,7 +32,8 @@ def _as_dates(values):
     return [_dt.date.fromisoformat(v) for v in values if v is not None]
 
 
-def _read_history(spark: SparkSession, path: str, dates: Sequence[str]) -> DataFrame | None:
+def read_history(spark: SparkSession, path: str, dates: Sequence[str], fmt: str = "parquet",
+                 schema: T.StructType | None = None) -> DataFrame | None:
     """The history partitions of ``dates`` only, or None when there is no history.
 
     Only the partition directories of the days being ingested are read
@@ -42,52 +47,108 @@ def _read_history(spark: SparkSession, path: str, dates: Sequence[str]) -> DataF
         return None
     wanted = [parts[d] for d in sorted(set(dates)) if d in parts]
     reader = spark.read.option("basePath", path)
-    if wanted:
-        return reader.parquet(*wanted)
-    return reader.parquet(parts[max(parts)]).where(F.lit(False))
+    if fmt == "csv":
+        reader = (reader.option("header", True)
+                  .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss"))
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields,
+                                             T.StructField(PART_COL, T.DateType())]))
+    rows = reader.format(fmt).load(wanted or [parts[max(parts)]])
+    return rows if wanted else rows.where(F.lit(False))
+
+
+def conform_to(incoming: DataFrame, types: T.StructType, keep: Sequence[str]) -> DataFrame:
+    """``incoming`` cast to the declared or stored types; columns that those don't
+    have stay as they are, ``keep`` too."""
+    declared = {f.name: f.dataType for f in types.fields if f.name not in keep}
+    return incoming.select(*[F.col(c).cast(declared[c]).alias(c) if c in declared else F.col(c)
+                             for c in incoming.columns])
 
 
 def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_path: str,
            target: str, keys: Sequence[str], dry_run: bool = False, repair: bool = False,
            repair_only: bool = False, archive_path: str | None = None,
-           sort_within: Sequence[str] = (), date_of=None,
-           quarantine_path: str | None = None) -> DataFrame:
+           sort_within: Sequence[str] = (), date_of: Column | None = None,
+           quarantine_path: str | None = None, order_by: Sequence[str] | None = None,
+           schema: T.StructType | None = None, fmt: str = "parquet",
+           merge_ledgered: bool = False, batch_id: str = "batch") -> DataFrame:
     """Ingest ``incoming`` into ``history_path``; returns one decision row per date.
 
     ``date_of``: the row's date (default: ``Date``, else the date of ``timestamp``).
-    ``quarantine_path``: incoming rows of a date refused as ``mismatch`` (the
-    history already holds a different number of rows for it) are appended
-    there, partitioned by date, instead of being dropped; history is untouched.
+    ``order_by``: columns that give the order of arrival; they are dropped on write.
+    Default: the position of the row in the incoming frame (file and row order).
+    ``schema``: types to conform to (default: those of the history).
+    ``merge_ledgered``: rows of a date that the ledger has are merged by key too
+    (status ``updated`` if that adds rows): for streams, where a day can come in
+    several batches.
+    ``quarantine_path`` (default: beside the history): incoming rows without a date
+    (status ``undated``), and those of a date refused as ``mismatch`` (the history
+    holds another number of rows for it), are written there under target, batch
+    and date; a batch that is replayed replaces its own. History is untouched.
     """
+    quarantine_path = quarantine_path or f"{history_path.rstrip('/')}_quarantine"
+    if order_by is None and ARRIVAL in incoming.columns:
+        order_by = [ARRIVAL]
+    if order_by is None:
+        order_by = ["_position"]
+        incoming = incoming.withColumn("_position", F.monotonically_increasing_id())
+    order_by = list(order_by)
     incoming = incoming.withColumn(PART_COL, row_date(incoming) if date_of is None else date_of)
+    if schema is not None:
+        incoming = conform_to(incoming, schema, [PART_COL, *order_by])
     ledger_dates = L.parse_ledger(read_ledger(spark, ledger_path)).where(F.col("target") == target)
 
-    inc_counts = (incoming.groupBy(F.col(PART_COL).cast("string").alias("date"))
-                  .agg(F.count(F.lit(1)).alias("incoming_rows"))
-                  .withColumn("target", F.lit(target)))
+    # the rows are read for the counts, the merge and the archive: kept instead of
+    # computed each time (a lost block is recomputed)
+    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _ingest(spark, incoming, history_path, ledger_path, target, keys, ledger_dates,
+                       order_by, schema, fmt, dry_run, repair, repair_only, archive_path,
+                       sort_within, quarantine_path, merge_ledgered, batch_id)
+    finally:
+        incoming.unpersist()
+
+
+def _ingest(spark, incoming, history_path, ledger_path, target, keys, ledger_dates, order_by,
+            schema, fmt, dry_run, repair, repair_only, archive_path, sort_within,
+            quarantine_path, merge_ledgered, batch_id) -> DataFrame:
+    counts = (incoming.groupBy(F.col(PART_COL).cast("string").alias("date"))
+              .agg(F.count(F.lit(1)).alias("incoming_rows"))
+              .withColumn("target", F.lit(target)))
+    counted = counts.collect()                  # bounded: days in this run
+    undated = sum(r["incoming_rows"] for r in counted if r["date"] is None)
+    dates = [r["date"] for r in counted if r["date"] is not None]
+    inc_counts = spark.createDataFrame([tuple(r) for r in counted if r["date"] is not None],
+                                       counts.schema)
     # only the dates being ingested are read and counted in history
-    dates = [r["date"] for r in inc_counts.select("date").collect()]   # bounded: days in this run
-    history = _read_history(spark, history_path, [d for d in dates if d is not None])
+    history = read_history(spark, history_path, dates, fmt, schema)
     if history is not None:
-        hist_counts = (history.where(F.col(PART_COL).isin(_as_dates(dates)))
-                       .groupBy(F.col(PART_COL).cast("string").alias("date"))
+        history = history.where(F.col(PART_COL).isin(_as_dates(dates)))
+        hist_counts = (history.groupBy(F.col(PART_COL).cast("string").alias("date"))
                        .agg(F.count(F.lit(1)).alias("history_rows"))
                        .withColumn("target", F.lit(target)))
         targets = spark.createDataFrame([(target,)], "target string")
+        if schema is None:
+            incoming = conform_to(incoming, history.schema, [PART_COL, *order_by])
     else:
         hist_counts = spark.createDataFrame([], "date string, history_rows bigint, target string")
         targets = spark.createDataFrame([], "target string")
     decisions = L.reconcile(inc_counts, hist_counts, ledger_dates, targets,
                             dry_run=dry_run, repair=repair, repair_only=repair_only)
     decided = decisions.collect()      # one row per date of this run
-    merge_statuses = (L.CREATED, L.UPDATED) + ((L.DRY_RUN,) if dry_run else ())
+    merge_statuses = [L.CREATED, L.UPDATED]
+    if dry_run:
+        merge_statuses.append(L.DRY_RUN)
+    if merge_ledgered and not repair_only:
+        merge_statuses.append(L.ALREADY)
     merge_dates = [r["date"] for r in decided if r["status"] in merge_statuses]
     repaired = [r["date"] for r in decided if r["status"] == L.REPAIRED]
     refused = [r["date"] for r in decided if r["status"] == L.MISMATCH]
-    if quarantine_path is not None and refused and not dry_run:
-        write_parquet(incoming.where(F.col(PART_COL).isin(_as_dates(refused)))
-                              .withColumn("target", F.lit(target)),
-                      quarantine_path, ["target", PART_COL], "append")
+    if (refused or undated) and not dry_run and not repair_only:
+        held = F.col(PART_COL).isNull() | F.col(PART_COL).isin(_as_dates(refused))
+        write_parquet(incoming.where(held).drop(*order_by).withColumn("target", F.lit(target))
+                      .withColumn("batch", F.lit(batch_id)),
+                      quarantine_path, ["target", "batch", PART_COL], "overwrite")
 
     after: dict[str, int] = {}
     if merge_dates:
@@ -95,50 +156,80 @@ def ingest(spark: SparkSession, incoming: DataFrame, history_path: str, ledger_p
         affected = None
         if history is not None:
             affected = history.where(F.col(PART_COL).isin(_as_dates(merge_dates)))   # partition pruning
-        merged = merge_first_wins(affected, todo, keys)
+            # the incoming frame orders its own rows; history rows come first anyway
+            affected = affected.withColumns({c: F.lit(None).cast(todo.schema[c].dataType)
+                                             for c in order_by})
+        own = [c for c in (incoming if history is None else history).columns if c not in order_by]
+        merged = merge_first_wins(affected, todo, resolve_keys(keys, own),
+                                  order_by=order_by).drop(*order_by)
+        by_date = F.col(PART_COL).cast("string").alias("d")
         if dry_run:       # compute the merge and its statistics, write nothing
-            counted = merged
+            rows = merged.groupBy(by_date).agg(F.count(F.lit(1)).alias("n"))
         else:
             staging = scratch_path(spark, "stage")
-            stage_and_publish(spark, merged, staging, history_path, sort_within=sort_within)
-            counted = spark.read.parquet(staging)
-        after = {r["d"]: r["n"] for r in counted.groupBy(F.col(PART_COL).cast("string").alias("d"))
-                 .agg(F.count(F.lit(1)).alias("n")).collect()}
+            stage_and_publish(spark, merged, staging, history_path, sort_within=sort_within, fmt=fmt)
+            rows = (read_history(spark, history_path, merge_dates, fmt, schema)
+                    .groupBy(by_date).agg(F.count(F.lit(1)).alias("n")))
+        after = {r["d"]: r["n"] for r in rows.collect()}
     if not dry_run and (merge_dates or repaired):
-        new_ledger = L.repaired_ledger(
-            L.parse_ledger(read_ledger(spark, ledger_path)),
-            spark.createDataFrame([(target, d, L.UPDATED) for d in merge_dates + repaired],
-                                  "target string, date string, status string"))
-        staged = scratch_path(spark, "ledger")
-        new_ledger.coalesce(1).write.json(staged)
-        spark.read.json(staged).write.mode("overwrite").json(ledger_path)
+        _record(spark, ledger_path, target, merge_dates + repaired)
         if archive_path is not None and merge_dates:
-            archive_raw(incoming.where(F.col(PART_COL).cast("string").isin(merge_dates)).drop(PART_COL),
-                        archive_path, _dt.date.today())
+            archive_raw(incoming.where(F.col(PART_COL).isin(_as_dates(merge_dates)))
+                        .drop(*order_by), archive_path)
     out = []
     for r in decided:
         rows_after = after.get(r["date"])
         added = None if rows_after is None else rows_after - r["history_rows"]
-        out.append(tuple(r) + (rows_after, added))
-    schema = decisions.schema.add("rows_after", T.LongType()).add("rows_added", T.LongType())
-    return spark.createDataFrame(out, schema)
+        row = r.asDict()
+        if row["status"] == L.ALREADY and added:
+            row["status"] = L.UPDATED           # late rows of a recorded day
+        out.append((*row.values(), rows_after, added))
+    if undated:
+        row = dict.fromkeys(decisions.columns) | {
+            "target": target, "incoming_rows": undated, "history_rows": 0,
+            "target_exists": history is not None, "in_ledger": False, "status": L.UNDATED}
+        out.append((*row.values(), None, None))
+    result = decisions.schema.add("rows_after", T.LongType()).add("rows_added", T.LongType())
+    return spark.createDataFrame(out, result)
+
+
+def _record(spark: SparkSession, ledger_path: str, target: str, dates: Sequence[str]) -> None:
+    """Add the dates to the ledger: staged first, as it is read while it is replaced."""
+    new_ledger = L.repaired_ledger(
+        L.parse_ledger(read_ledger(spark, ledger_path)),
+        spark.createDataFrame([(target, d, L.UPDATED) for d in dates],
+                              "target string, date string, status string"))
+    staged = scratch_path(spark, "ledger")
+    new_ledger.coalesce(1).write.json(staged)
+    spark.read.json(staged).write.mode("overwrite").json(ledger_path)
+    remove_path(spark, staged)
+
+
+SYNC_SCHEMA = ("target string, date string, status string, rows_before bigint, rows_after bigint, "
+               "rows_added bigint, archived boolean, message string")
 
 
 def sync_date(spark: SparkSession, feeds: Sequence[dict], **flags) -> DataFrame:
     """Ingest every feed of a run, isolating failures per target.
 
-    ``feeds``: dicts with incoming, history_path, ledger_path, target, keys (and
-    optionally date_of, archive_path). A failing target is reported with status
-    ``error`` and its message; the others proceed. Returns target, date,
-    status, message for every decision (one row per failed target).
+    ``feeds``: dicts with incoming, history_path, ledger_path, target, keys and
+    optionally any other argument of ``ingest`` (see ``plans.feeds.build_feeds``).
+    A failing target is reported with status ``error`` and its message; the
+    others proceed. Returns one row per decision (one per failed target) with its
+    row statistics. Feeds that share a ledger are ingested one after the other,
+    so each adds to what the one before has recorded.
     """
     out = []
     for feed in feeds:           # a handful of feeds per run; each is a Spark job
         try:
-            d = ingest(spark, feed["incoming"], feed["history_path"], feed["ledger_path"],
-                       feed["target"], feed["keys"], date_of=feed.get("date_of"),
-                       archive_path=feed.get("archive_path"), **flags)
-            out += [(r["target"], r["date"], r["status"], None) for r in d.collect()]
+            merged = ("created", "updated")
+            archived = feed.get("archive_path") is not None and not flags.get("dry_run", False)
+            for r in ingest(spark, **feed, **flags).collect():
+                known = r["rows_after"] is not None
+                out.append((r["target"], r["date"], r["status"], r["history_rows"],
+                            r["rows_after"] if known else r["history_rows"],
+                            r["rows_added"] if known else 0,
+                            archived and r["status"] in merged, None))
         except Exception as error:  # noqa: BLE001 - isolate this target
-            out.append((feed["target"], None, "error", str(error)[:1000]))
-    return spark.createDataFrame(out, "target string, date string, status string, message string")
+            out.append((feed["target"], None, "error", None, None, None, False, str(error)))
+    return spark.createDataFrame(out, SYNC_SCHEMA)

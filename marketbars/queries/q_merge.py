@@ -25,7 +25,7 @@ def _event_slices(spark, sf):
 def merged_events(spark, sf):
     hist, new = _event_slices(spark, sf)
     # key (ts) determines the date -> only the overlapping history dates shuffle
-    return hist, new, merge_first_wins(hist, new, ["ts"], date_of=F.to_date("ts"))
+    return hist, new, merge_first_wins(hist, new, ["ts"], date_of=F.to_date("ts"), raw_date_col="ts")
 
 
 _MERGE_SRC = f"""
@@ -114,7 +114,7 @@ SELECT {EVENT_COLS} FROM ranked WHERE rn = 1
 def q_merge_schema_conform(spark, sf):
     hist, new = _event_slices(spark, sf)
     new = new.drop("props")      # the new day lacks a column: NULL-filled by name
-    return merge_first_wins(hist, new, ["ts"], date_of=F.to_date("ts"))
+    return merge_first_wins(hist, new, ["ts"], date_of=F.to_date("ts"), raw_date_col="ts")
 
 
 @query("dedup_keep_first", f"""

@@ -9,16 +9,30 @@ from pyspark.sql import functions as F
 
 from marketbars.functions.timefmt import ntz_epoch_seconds
 from marketbars.operators import bars as B
-from marketbars.operators.report import date_status, outcome_counts, run_summary, run_verdict
+from marketbars.operators.report import (
+    date_status, expected_kinds, outcome_counts, run_summary, run_verdict,
+)
 from marketbars.queries import query, table
 from marketbars.functions.symbols import continuous_ticker
-from marketbars.sources.readers import parse_bar_payload_text
+from marketbars.sources.readers import parse_bar_payload_text, parse_candles
 
 
-def _land(payloads):
-    """Serialise to JSON text and parse back: what a landed response file holds."""
-    text = F.to_json(F.struct("symbol", "trading_date", "s", "message", "candles"))
-    return payloads.select(parse_bar_payload_text(text).alias("p")).select("p.*")
+def _land(payloads, candles, broken=None):
+    """Serialise to JSON text and parse back: what a landed response file holds.
+    ``candles`` are cell texts: responses of even ``k`` carry them as JSON numbers
+    (a cell that is no number as null), the others as quoted text. ``broken``
+    responses carry an object in the place of the list."""
+    fields = ("symbol", "trading_date", "s", "message")
+    numbers = F.transform(candles, lambda c: F.transform(c, lambda x: x.try_cast("double")))
+    empty = F.struct(F.lit("x").alias("x"))
+
+    def line(cells):
+        return F.to_json(F.struct(*fields, cells.alias("candles")), {"ignoreNullFields": "false"})
+    text = F.when(F.col("k") % 2 == 0, line(numbers)).otherwise(line(candles))
+    if broken is not None:
+        text = F.when(broken, line(empty)).otherwise(text)
+    raw = payloads.select(parse_bar_payload_text(text).alias("p")).select("p.*")
+    return parse_candles(raw)
 
 
 def _faults(k):
@@ -58,17 +72,25 @@ def _payloads(bars, candle):
 
 
 def _finish(p, faults, fields):
+    """Bad cells in every response: no number as the volume of every fifth count of
+    ticks, and no epoch in the first bar of responses with k = 9 (which fails them).
+    With ``faults``, an empty list (k = 3), a short first bar (k = 4), an object in
+    the place of the list (k = 7) and the answers of ``_faults`` too."""
     k = F.col("k")
+    cells = F.transform("candles", lambda c, i: F.transform(c, lambda x, j: F.when(
+        (j == 5) & (x % 5 == 0), F.lit("n/a")).when(
+        (j == 0) & (i == 0) & (k == 9), F.lit(None).cast("string")).otherwise(x.cast("string"))))
     if faults:
         s, msg = _faults(k)
-        candles = (F.when(k == 3, F.array().cast("array<array<double>>"))
-                    .when(k == 4, F.transform("candles", lambda c, i: F.when(i == 0, F.slice(c, 1, fields - 1))
-                                              .otherwise(c)))
-                    .otherwise(F.col("candles")))
+        cells = (F.when(k == 3, F.array().cast("array<array<string>>"))
+                  .when(k == 4, F.transform(cells, lambda c, i: F.when(i == 0, F.slice(c, 1, fields - 1))
+                                            .otherwise(c)))
+                  .otherwise(cells))
+        broken = k == 7
     else:
-        s, msg, candles = F.lit("ok"), F.lit(""), F.col("candles")
-    return _land(p.select("symbol", "trading_date", s.alias("s"), msg.alias("message"),
-                          candles.alias("candles")))
+        s, msg, broken = F.lit("ok"), F.lit(""), None
+    return _land(p.select("symbol", "trading_date", "k", s.alias("s"), msg.alias("message"),
+                          cells.alias("candles")), F.col("candles"), broken)
 
 
 def option_payloads(spark, sf, faults=False):
@@ -102,12 +124,14 @@ def customer_contracts(spark, sf):
 
 
 MINUTE_BARS = """mb AS (
-  SELECT user_id, event_type, m, arg_min(value, event_id) AS o, max(value) AS h, min(value) AS l,
-         arg_max(value, event_id) AS c, count(*) AS v, max(event_id) AS oi
+  SELECT {key}, m, arg_min(value, event_id) AS o, max(value) AS h, min(value) AS l,
+         arg_max(value, event_id) AS c, count(*) AS n, max(event_id) AS oi, min(event_id) AS first_id
   FROM (SELECT *, date_trunc('minute', ts) AS m FROM events) GROUP BY {key}, m),
-ev AS (SELECT *, (to_timestamp(epoch_us(m) // 1000000) AT TIME ZONE 'Asia/Kolkata') AS w FROM mb)"""
-USER_BARS = MINUTE_BARS.replace("user_id, event_type, m,", "user_id, m,").format(key="user_id")
-TYPE_BARS = MINUTE_BARS.replace("user_id, event_type, m,", "event_type, m,").format(key="event_type")
+ev AS (SELECT *, (to_timestamp(epoch_us(m) // 1000000) AT TIME ZONE 'Asia/Kolkata') AS w,
+         CASE WHEN n % 5 <> 0 THEN n END AS v,
+         min(first_id) OVER (PARTITION BY {key}, CAST(m AS DATE)) % 10 AS k FROM mb)"""
+USER_BARS = MINUTE_BARS.format(key="user_id")
+TYPE_BARS = MINUTE_BARS.format(key="event_type")
 
 
 @query("bars_from_payload", f"""
@@ -118,7 +142,7 @@ SELECT 'U' || e.user_id AS Ticker, CAST(w AS DATE) AS Date, strftime(w, '%H:%M:%
   c.c_mktsegment AS Underlying, CAST(DATE '2024-01-25' + c.c_nationkey AS DATE) AS Expiry,
   CAST(c.c_nationkey * 100 + 100 AS INTEGER) AS Strike,
   CASE WHEN c.c_custkey % 2 = 0 THEN 'CE' ELSE 'PE' END AS OptionType
-FROM ev e JOIN customer c ON e.user_id = c.c_custkey
+FROM ev e JOIN customer c ON e.user_id = c.c_custkey WHERE e.k <> 9
 """)
 def q_bars_from_payload(spark, sf):
     return B.options_bars(option_payloads(spark, sf), customer_contracts(spark, sf))
@@ -132,7 +156,7 @@ SELECT c.c_mktsegment || '-' || (['I', 'II', 'III'])[c.c_nationkey % 3 + 1] || '
   CAST(e.v AS BIGINT) AS Volume, CAST(e.oi AS BIGINT) AS OpenInterest,
   'daily_extraction' AS SourceFile, c.c_mktsegment AS Underlying,
   (['I', 'II', 'III'])[c.c_nationkey % 3 + 1] AS ContractSeries
-FROM ev e JOIN customer c ON e.user_id = c.c_custkey
+FROM ev e JOIN customer c ON e.user_id = c.c_custkey WHERE e.k <> 9
 """)
 def q_futures_bars(spark, sf):
     c = table(spark, sf, "customer")
@@ -147,53 +171,82 @@ def q_futures_bars(spark, sf):
 WITH {TYPE_BARS}
 SELECT upper(event_type) AS "Index", w AS timestamp, o AS Open, h AS High, l AS Low, c AS Close,
        CAST(v AS BIGINT) AS Volume
-FROM ev
+FROM ev WHERE k <> 9
 """)
 def q_spot_bars(spark, sf):
-    p = spot_payloads(spark, sf)
-    idx = (table(spark, sf, "events").select("event_type").distinct()
-           .select(F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol"),
-                   F.upper("event_type").alias("Index")))
-    return B.spot_bars(p, idx)
+    return B.spot_bars(spot_payloads(spark, sf), spot_index(spark, sf))
+
+
+def spot_index(spark, sf):
+    return (table(spark, sf, "events").select("event_type").distinct()
+            .select(F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol"),
+                    F.upper("event_type").alias("Index")))
 
 
 def all_outcomes(spark, sf):
-    o = B.payload_outcomes(option_payloads(spark, sf, faults=True), "options", 7)
-    s = B.payload_outcomes(spot_payloads(spark, sf, faults=True), "spot", 6)
+    """Outcomes over what was asked for. Options: users of every seventh number
+    were not asked for although they answered, and N-contracts of every eleventh
+    user never answered. Spot: on every ninth day of the month nothing was asked
+    for or landed, and on every fifth the CLICK index did not answer."""
+    ev = table(spark, sf, "events").select("user_id", "event_type", F.to_date("ts").alias("trading_date"))
+    pairs = ev.select("user_id", "trading_date").distinct()
+    name = F.col("user_id").cast("string")
+    asked = (pairs.where("user_id % 7 <> 3").select("trading_date", F.concat(F.lit("U"), name).alias("symbol"))
+             .union(pairs.where("user_id % 11 = 0")
+                    .select("trading_date", F.concat(F.lit("N"), name).alias("symbol"))))
+    day = F.dayofmonth("trading_date")
+    spot = (spot_payloads(spark, sf, faults=True)
+            .where((day % 9 != 0) & ((day % 5 != 0) | (F.col("symbol") != "IDX:CLICK"))))
+    spot_asked = (ev.select("event_type", "trading_date").distinct().where(day % 9 != 0)
+                  .select("trading_date", F.concat(F.lit("IDX:"), F.upper("event_type")).alias("symbol")))
+    o = B.payload_outcomes(option_payloads(spark, sf, faults=True), "options", 7, asked)
+    s = B.payload_outcomes(spot, "spot", 6, spot_asked, B.spot_rows_kept(spot, spot_index(spark, sf)))
     return o.unionByName(s)
 
 
+def status_of_days(spark, sf):
+    days = table(spark, sf, "events").select(F.to_date("ts").alias("trading_date")).distinct()
+    return date_status(outcome_counts(all_outcomes(spark, sf)), expected_kinds(days, ["options", "spot"]))
+
+
 OUTCOME_SQL = """
 m AS (
   SELECT user_id, event_type, CAST(ts AS DATE) AS d, date_trunc('minute', ts) AS m, event_id AS first_id
   FROM events),
 g AS (
-  SELECT d, 'options' AS kind, count(*) AS n, min(first_id) % 10 AS k
+  SELECT d, 'options' AS kind, 'U' || user_id AS symbol, count(*) AS n, min(first_id) % 10 AS k
   FROM (SELECT user_id, d, m, min(first_id) AS first_id FROM m GROUP BY ALL) GROUP BY user_id, d
   UNION ALL
-  SELECT d, 'spot', count(*) + count(*) FILTER (WHERE v % 2 = 0), min(first_id) % 10
-  FROM (SELECT event_type, d, m, min(first_id) AS first_id, count(*) AS v FROM m GROUP BY ALL)
-  GROUP BY event_type, d),
-f AS (
-  SELECT d, kind, n,
-    CASE WHEN k = 0 THEN 'no_data' WHEN k IN (1, 2) THEN 'error' WHEN k = 5 THEN NULL
-         WHEN k = 6 THEN 'OK' ELSE 'ok' END AS s,
-    CASE WHEN k = 1 THEN 'No data for this symbol' WHEN k = 2 THEN 'rate limited'
-         WHEN k = 5 THEN 'no candles in range' ELSE '' END AS message,
-    CASE WHEN k = 3 THEN 0 ELSE n END AS ncandles, k = 4 AS short_bar FROM g),
-o AS (
-  SELECT d, kind, n, CASE
-    WHEN s = 'ok' THEN CASE WHEN ncandles = 0 THEN 'no_data' WHEN short_bar THEN 'failed' ELSE 'ok' END
-    WHEN lower(coalesce(s, '')) = 'no_data' OR lower(coalesce(message, '')) LIKE '%no data%'
-         OR lower(coalesce(message, '')) LIKE '%no candle%' THEN 'no_data'
-    ELSE 'failed' END AS outcome FROM f),
+  SELECT d, 'spot', 'IDX:' || upper(event_type), count(*), min(first_id) % 10
+  FROM (SELECT event_type, d, m, min(first_id) AS first_id FROM m GROUP BY ALL) GROUP BY event_type, d),
+asked AS (
+  SELECT DISTINCT d, 'options' AS kind, 'U' || user_id AS symbol FROM m WHERE user_id % 7 <> 3
+  UNION ALL SELECT DISTINCT d, 'options', 'N' || user_id FROM m WHERE user_id % 11 = 0
+  UNION ALL SELECT DISTINCT d, 'spot', 'IDX:' || upper(event_type) FROM m WHERE day(d) % 9 <> 0),
+answer AS (
+  SELECT asked.d, asked.kind, g.n, CASE
+    WHEN g.k IS NULL OR (asked.kind = 'spot' AND day(asked.d) % 5 = 0 AND asked.symbol = 'IDX:CLICK')
+      THEN 'failed'                                          -- no answer
+    WHEN g.k IN (0, 1, 3, 5) THEN 'no_data'                  -- status, message, empty list, message
+    WHEN g.k IN (2, 4, 6, 7, 9) THEN 'failed'                -- error, short bar, 'OK', no list, no epoch
+    ELSE 'ok' END AS outcome
+  FROM asked LEFT JOIN g ON asked.d = g.d AND asked.kind = g.kind AND asked.symbol = g.symbol),
 counts AS (
   SELECT d AS date, kind, CAST(count(*) AS BIGINT) AS contracts,
     CAST(count(*) FILTER (WHERE outcome = 'ok') AS BIGINT) AS successful,
     CAST(count(*) FILTER (WHERE outcome = 'no_data') AS BIGINT) AS no_data,
     CAST(count(*) FILTER (WHERE outcome = 'failed') AS BIGINT) AS failed,
     CAST(coalesce(sum(CASE WHEN outcome = 'ok' THEN n ELSE 0 END), 0) AS BIGINT) AS rows
-  FROM o GROUP BY d, kind)"""
+  FROM answer GROUP BY d, kind),
+days AS (SELECT date, kind, coalesce(rows, 0) AS rows
+         FROM (SELECT DISTINCT d AS date FROM m) CROSS JOIN (VALUES ('options'), ('spot')) t(kind)
+         LEFT JOIN counts USING (date, kind)),
+statuses AS (
+  SELECT date, CAST(count(*) FILTER (WHERE rows > 0) AS BIGINT) AS kinds_produced,
+    CAST(count(*) FILTER (WHERE NOT rows > 0) AS BIGINT) AS kinds_with_errors,
+    CASE WHEN count(*) FILTER (WHERE rows > 0) = 0 THEN 'failed'
+         WHEN count(*) FILTER (WHERE NOT rows > 0) > 0 THEN 'partial' ELSE 'downloaded' END AS status
+  FROM days GROUP BY date)"""
 
 
 @query("payload_outcomes", "WITH " + OUTCOME_SQL + " SELECT * FROM counts")
@@ -211,27 +264,17 @@ def q_run_summary(spark, sf):
     return run_summary(outcome_counts(all_outcomes(spark, sf)))
 
 
-@query("date_status", "WITH " + OUTCOME_SQL + """
-SELECT date, CAST(count(*) FILTER (WHERE rows > 0) AS BIGINT) AS kinds_produced,
-  CAST(count(*) FILTER (WHERE NOT rows > 0) AS BIGINT) AS kinds_with_errors,
-  CASE WHEN count(*) FILTER (WHERE rows > 0) = 0 THEN 'failed'
-       WHEN count(*) FILTER (WHERE NOT rows > 0) > 0 THEN 'partial' ELSE 'downloaded' END AS status
-FROM counts GROUP BY date
-""")
+@query("date_status", "WITH " + OUTCOME_SQL + " SELECT * FROM statuses")
 def q_date_status(spark, sf):
-    return date_status(outcome_counts(all_outcomes(spark, sf)))
+    return status_of_days(spark, sf)
 
 
-@query("run_verdict", "WITH " + OUTCOME_SQL + """,
-ds AS (SELECT date, CASE WHEN count(*) FILTER (WHERE rows > 0) = 0 THEN 'failed'
-                         WHEN count(*) FILTER (WHERE NOT rows > 0) > 0 THEN 'partial'
-                         ELSE 'downloaded' END AS status
-       FROM counts GROUP BY date)
+@query("run_verdict", "WITH " + OUTCOME_SQL + """
 SELECT CAST(count(*) FILTER (WHERE status = 'downloaded') AS BIGINT) AS dates_downloaded,
        CAST(count(*) FILTER (WHERE status = 'partial') AS BIGINT) AS dates_partial,
        CAST(count(*) FILTER (WHERE status = 'failed') AS BIGINT) AS dates_failed,
        CASE WHEN count(*) FILTER (WHERE status = 'failed') > 0 THEN 1 ELSE 0 END AS exit_code
-FROM ds
+FROM statuses
 """)
 def q_run_verdict(spark, sf):
-    return run_verdict(date_status(outcome_counts(all_outcomes(spark, sf))))
+    return run_verdict(status_of_days(spark, sf))

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketbars.functions.text import ledger_name, spot_stem_from_name
+from marketbars.operators.bars import rows_per_index
 from marketbars.operators.calendar import date_span
 from marketbars.operators.report import duplicate_targets, feed_presence, file_summary
 from marketbars.operators.routing import rows_per_date, spot_target, year_target_of
@@ -95,8 +96,7 @@ def q_day_summary(spark, sf):
 SELECT upper(event_type) AS "Index", CAST(count(*) AS BIGINT) AS rows FROM events GROUP BY event_type
 """)
 def q_rows_per_index(spark, sf):
-    ev = table(spark, sf, "events")
-    return ev.groupBy(F.upper("event_type").alias("Index")).agg(F.count(F.lit(1)).alias("rows"))
+    return rows_per_index(table(spark, sf, "events"), F.upper("event_type"))
 
 
 @query("ambiguous_targets", """

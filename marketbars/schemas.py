@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 # ---------------------------------------------------------------------------
 # Fixed values. These must stay exactly as written for results to line up with
 # existing histories: column orders, natural keys, index dimensions, routing,
-# file-name patterns, the contract-series labels, the month abbreviations, the
-# expiry window, the epoch plausibility range and the 2026 F&O holiday list.
+# file-name patterns and labels, the option types, the futures-symbol pattern, the
+# contract-series labels, the month abbreviations, the expiry window, the epoch
+# plausibility range, the 2026 F&O holiday list, the validation messages and the
+# ingest statuses that alerts and ledgers read.
 # ---------------------------------------------------------------------------
 
 MARKET_TZ = "Asia/Kolkata"
@@ -30,7 +32,7 @@ SPOT_COLUMNS = ["timestamp", "Open", "High", "Low", "Close", "Volume"]
 DEDUP_KEYS = {
     "options": ["Ticker", "Date", "Time"],
     "futures": ["Ticker", "Date", "Time"],
-    "spot": ["timestamp"],
+    "spot": ["Index", "timestamp"],     # one file per index has no Index column
 }
 
 OPTION_TYPES = ["CE", "PE"]
@@ -159,8 +161,12 @@ BAR_PAYLOAD_SCHEMA = T.StructType([
     T.StructField("trading_date", T.DateType()),
     T.StructField("s", T.StringType()),
     T.StructField("message", T.StringType()),
-    T.StructField("candles", T.ArrayType(T.ArrayType(T.DoubleType()))),
+    # cells as text: one bad cell must not cost the parser the whole response
+    T.StructField("candles", T.ArrayType(T.ArrayType(T.StringType()))),
 ])
+# The same with ``candles`` as raw JSON text, as read from a file.
+BAR_PAYLOAD_RAW_SCHEMA = T.StructType(
+    [*BAR_PAYLOAD_SCHEMA.fields[:-1], T.StructField("candles", T.StringType())])
 
 EXPIRY_ITEM = T.StructType([
     T.StructField("date", T.StringType()),
@@ -169,7 +175,7 @@ EXPIRY_ITEM = T.StructType([
 CHAIN_ITEM = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("option_type", T.StringType()),
-    T.StructField("strike_price", T.DoubleType()),
+    T.StructField("strike_price", T.StringType()),      # a number or quoted text
 ])
 # One landed option-chain response. ``requested_expiry`` is the epoch sent with
 # the request (empty for the listing call); contracts are tagged with it.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -34,21 +35,18 @@ DEFAULT_CONF = {
 PARTITION_BYTES = 128 * 1024 * 1024
 
 
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
+def scale_conf(input_bytes: int, cores: int, most_partitions: int = 100_000) -> dict[str, str]:
     """Shuffle sizing for a job reading ``input_bytes`` on ``cores`` task slots.
 
     AQE can merge small shuffle partitions but cannot split a large one (only
     skewed join sides and rebalances), so the initial partition count is sized
     from the input: about one partition per 128 MB, never fewer than two per
     core. Map-status metadata on the driver grows with maps x reducers, so the
-    count stops at 100k: at 100 TB that is ~1 GB of input per partition before
-    projection and partial aggregation, which sort and aggregation spill handle.
-    AQE coalesces the partitions towards 128 MB each at run time.
+    count stops at ``most_partitions``: with the default, 100 TB give ~1 GB of
+    input per partition before projection and partial aggregation, which sorts and
+    aggregates spill; raise it with the driver's memory. It drops nothing. AQE coalesces the partitions towards 128 MB each at run time.
     """
-    n = min(MAX_SHUFFLE_PARTITIONS, max(2 * cores, -(-input_bytes // PARTITION_BYTES)))
+    n = min(most_partitions, max(2 * cores, -(-input_bytes // PARTITION_BYTES)))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
@@ -79,8 +77,9 @@ def get_session(master: str | None = None, app: str = "marketbars",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only when it is unset (local tests)
-    is a folder of our own created and registered.
+    The setting is read from the session. Only when it is unset in local mode
+    (tests) is a folder of our own created and registered: on a cluster the
+    executors would not see it, so there it must be set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -88,6 +87,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="marketbars-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -97,3 +98,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for staged writes and stream state."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on any Hadoop file system (staging that has been published)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,20 +1,22 @@
 """Partitioned writers with read-back verification.
 
-Publishing follows stage -> verify -> publish: rows are first written to a
-staging path under the shared checkpoint folder, the staged row count is
-checked against the count observed while writing, and only then are the
-affected date partitions replaced in the target with dynamic partition
-overwrite (untouched partitions are never rewritten).
+Publishing follows stage -> verify -> publish: rows are written once, to a
+staging path under the shared checkpoint folder; the staged row count is checked
+against the count observed while writing; then the verified partition directories
+are moved into the target in place of the old ones (untouched partitions are never
+rewritten), the published partitions are counted again, and the staging is removed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.functions.timefmt import bar_timestamp_text
+from marketbars.session import remove_path, scratch_path
 
 PART_COL = "trade_date"
 
@@ -63,32 +65,110 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     writer.csv(path)
 
 
+_WRITERS = {"parquet": write_parquet, "csv": write_csv}
+
+
+def count_rows(spark: SparkSession, path: str, fmt: str = "parquet",
+               dirs: Sequence[str] | None = None) -> int:
+    reader = spark.read.option("basePath", path)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    return reader.format(fmt).load(list(dirs) if dirs else path).count()
+
+
 def verified_write(spark: SparkSession, df: DataFrame, path: str,
                    partition_by: Sequence[str] = (), mode: str = "errorifexists",
-                   sort_within: Sequence[str] = ()) -> int:
-    """Write while observing the row count, read back, compare. Returns rows."""
+                   sort_within: Sequence[str] = (), fmt: str = "parquet") -> int:
+    """Write while observing the row count, read back, compare. Returns rows.
+
+    Replacing partitions goes through staging, so that the read-back covers the
+    partitions of this write and nothing else of the target."""
+    if mode == "overwrite" and partition_by:
+        return stage_and_publish(spark, df, scratch_path(spark, "stage"), path, partition_by,
+                                 sort_within, fmt)
     obs = Observation("written")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_parquet(observed, path, partition_by, mode, sort_within)
-    written = int(obs.get["rows"])
-    read_back = spark.read.parquet(path).count()
+    _WRITERS[fmt](observed, path, partition_by, mode, sort_within)
+    try:
+        written = int(obs.get["rows"])
+    except Py4JError:           # an input known to be empty is planned without it
+        written = 0
+    read_back = count_rows(spark, path, fmt) if written else 0
     if mode != "append" and read_back != written:
         raise WriteError(f"read-back mismatch for {path}: {read_back} != {written}")
     return written
 
 
+def _partitions(fs, root, depth: int) -> Iterator[tuple[list[str], object]]:
+    """(names, path) of the ``column=value`` directories ``depth`` levels down."""
+    if not depth:
+        yield [], root
+        return
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name:
+            for names, path in _partitions(fs, status.getPath(), depth - 1):
+                yield [name, *names], path
+
+
+def move_partitions(spark: SparkSession, staging: str, target: str, depth: int,
+                    only: set[tuple[str, ...]] | None = None) -> list[str]:
+    """Move the staged partition directories (those named in ``only``) into
+    ``target``, where the old one is set aside until the new one stands. Returns
+    the published directories."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    new_path = jvm.org.apache.hadoop.fs.Path
+    source, root = new_path(staging), new_path(target)
+    fs, from_fs = root.getFileSystem(conf), source.getFileSystem(conf)
+    if fs.getUri().toString() != from_fs.getUri().toString():
+        raise WriteError(f"{staging} and {target} are on different file systems")
+    published = []
+    for names, path in _partitions(from_fs, source, depth):
+        if only is not None and tuple(names) not in only:
+            continue
+        place = new_path("/".join([target.rstrip("/"), *names]))
+        aside = new_path("/".join([target.rstrip("/"), *names[:-1], "_old." + names[-1]]))
+        fs.mkdirs(place.getParent())
+        fs.delete(aside, True)
+        if fs.exists(place) and not fs.rename(place, aside):
+            raise WriteError(f"could not set {place} aside")
+        if not fs.rename(path, place):
+            raise WriteError(f"could not publish {place}")
+        fs.delete(aside, True)
+        published.append(place.toString())
+    return published
+
+
 def stage_and_publish(spark: SparkSession, df: DataFrame, staging: str, target: str,
                       partition_by: Sequence[str] = (PART_COL,),
-                      sort_within: Sequence[str] = ()) -> int:
-    """Stage, verify, then replace only the staged partitions in ``target``."""
-    rows = verified_write(spark, df, staging, partition_by, "errorifexists", sort_within)
-    staged = spark.read.parquet(staging)
-    write_parquet(staged, target, partition_by, "overwrite", sort_within)
+                      sort_within: Sequence[str] = (), fmt: str = "parquet",
+                      keep_staging: bool = False) -> int:
+    """Stage, verify, then replace only the staged partitions in ``target`` and
+    verify them there. Where staging and target are on different file systems, the
+    staged rows are written again instead of moved."""
+    rows = verified_write(spark, df, staging, partition_by, "errorifexists", sort_within, fmt)
+    if rows:
+        try:
+            published = move_partitions(spark, staging, target, len(partition_by))
+        except WriteError as error:
+            if "different file systems" not in str(error):
+                raise
+            reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+            _WRITERS[fmt](reader.format(fmt).load(staging), target, partition_by, "overwrite",
+                          sort_within)
+            published = None
+        if published is not None:
+            stored = count_rows(spark, target, fmt, published)
+            if stored != rows:
+                raise WriteError(f"published {stored} rows to {target}, not {rows}")
+    if not keep_staging:
+        remove_path(spark, staging)
     return rows
 
 
-def archive_raw(df: DataFrame, archive_path: str, ingest_date) -> None:
-    """Append the incoming rows unchanged under ``ingest_date=YYYY-MM-DD``."""
-    (_layout(df.withColumn("ingest_date", F.lit(str(ingest_date))), ["ingest_date"], ())
-       .write.mode("append").option("compression", "zstd")
-       .partitionBy("ingest_date").parquet(archive_path))
+def archive_raw(df: DataFrame, archive_path: str, date_col: str = PART_COL) -> None:
+    """The incoming rows unchanged under ``ingest_date=YYYY-MM-DD``, their trading
+    date: a day that is delivered again replaces its archive."""
+    named = df.withColumn("ingest_date", F.col(date_col).cast("string")).drop(date_col)
+    write_parquet(named, archive_path, ["ingest_date"], "overwrite")

@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketbars.schemas import (
-    BAR_PAYLOAD_SCHEMA, CHAIN_PAYLOAD_SCHEMA, LEDGER_SCHEMA, SCHEMAS,
+    BAR_PAYLOAD_RAW_SCHEMA, BAR_PAYLOAD_SCHEMA, CHAIN_PAYLOAD_SCHEMA, LEDGER_SCHEMA, SCHEMAS,
 )
 
-# A comma outside double quotes (RFC 4180 cells; quotes are balanced per line).
-_CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# one cell and what ends it: a quoted cell (doubled quotes inside) with blanks
+# around, else everything up to the next comma, stray quotes included
+_CELL = r'\s*"(?:[^"]|"")*"\s*(?=,|$)|[^,]*'
+_QUOTED = r'(?s)^\s*"(.*)"\s*$'
+
+
+def parse_candles(raw: DataFrame) -> DataFrame:
+    """Payload rows with ``candles`` as JSON text -> as a list of lists of cell
+    texts, and ``readable``: false where there is a text that isn't such a list."""
+    kind = BAR_PAYLOAD_SCHEMA["candles"].dataType
+    text = F.col("candles")
+    parsed = F.from_json(text, kind)
+    missing = text.isNull() | (F.btrim(text) == "null")
+    return (raw.withColumn("_parsed", parsed)
+            .withColumn("readable", missing | F.col("_parsed").isNotNull())
+            .withColumn("candles", F.col("_parsed")).drop("_parsed"))
 
 
 def read_bar_payloads(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines, one history response per line (request columns + payload)."""
-    return spark.read.schema(BAR_PAYLOAD_SCHEMA).json(path)
+    return parse_candles(spark.read.schema(BAR_PAYLOAD_RAW_SCHEMA).json(path))
 
 
 def read_chain_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -24,12 +38,13 @@ def read_chain_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def csv_cells(line):
-    """A CSV text line -> array of cells of any width (quotes respected,
-    doubled quotes unescaped)."""
-    raw = F.split(line, _CSV_SPLIT)
+    """A CSV text line -> array of cells of any width (quotes respected, doubled
+    quotes unescaped; a quote inside an unquoted cell is an ordinary character).
+    One pass over the line: every match starts where the last one ended."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(f",({_CELL})"), F.lit(1))
     return F.transform(raw, lambda c: F.when(
-        c.rlike(r'^\s*".*"\s*$'),
-        F.replace(F.regexp_extract(c, r'^\s*"(.*)"\s*$', 1), F.lit('""'), F.lit('"'))
+        c.rlike(_QUOTED),
+        F.replace(F.regexp_extract(c, _QUOTED, 1), F.lit('""'), F.lit('"'))
     ).otherwise(c))
 
 
@@ -42,11 +57,11 @@ def read_symbol_master(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """(target, dates_json) rows; a missing ledger is an empty table."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).json(path)
-    except Exception:  # noqa: BLE001 - absent path: nothing ingested yet
+    """(target, dates_json) rows; a missing ledger is an empty table. Any other
+    failure is raised: a ledger that can't be read must not pass for an empty one."""
+    if not path_exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).json(path)
 
 
 def read_bars(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -> DataFrame:
@@ -70,10 +85,15 @@ def valid_table(df: DataFrame, expected_columns) -> bool:
     return list(df.columns) == list(expected_columns) and not df.isEmpty()
 
 
-def parse_bar_payload_text(text) -> "Column":
-    """A landed JSON payload held in a string column -> BAR_PAYLOAD_SCHEMA struct
-    (same parser and schema as ``read_bar_payloads``)."""
-    return F.from_json(text, BAR_PAYLOAD_SCHEMA)
+def parse_bar_payload_text(text: Column) -> Column:
+    """A landed JSON payload held in a string column -> BAR_PAYLOAD_RAW_SCHEMA
+    struct, whose ``candles`` ``parse_candles`` reads (as ``read_bar_payloads`` does)."""
+    return F.from_json(text, BAR_PAYLOAD_RAW_SCHEMA)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
 
 
 def partition_dirs(spark: SparkSession, path: str, column: str) -> dict[str, str] | None:

@@ -4,9 +4,12 @@ A file-source stream picks up only files it has not seen (tracked in the
 checkpoint), ``trigger(availableNow=True)`` processes everything landed so
 far and stops, and each micro-batch runs the exact batch merge (existing rows
 win, history-wide per natural key) through ``foreachBatch``. Running the
-stream twice adds nothing the second time. A late file for a day that history
-already holds with a different row count is refused (``mismatch``) and its
-rows go to ``quarantine_path``, never merged silently. Executor loss is covered by the
+stream twice adds nothing the second time. A day may come in any number of files
+and batches: rows of a day that the ledger has are merged by key like the first
+ones. Rows without a date, and those of a day that history holds with another row
+count while the ledger lacks it (``mismatch``), go to ``quarantine_path``. A batch
+that is replayed after its rows were published, but not recorded, repairs the
+ledger. Executor loss is covered by the
 checkpoint: a batch that did not commit is replayed, and the merge is
 idempotent.
 """
@@ -15,7 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -39,15 +41,10 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
     stream = reader.load(source_path)
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the ingest reads the batch several times (counts, merge, archive):
-        # keep it instead of re-reading the files; a lost block is recomputed
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not batch.isEmpty():
-                ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
-                       quarantine_path=quarantine_path)
-        finally:
-            batch.unpersist()
+        if not batch.isEmpty():
+            ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
+                   quarantine_path=quarantine_path, repair=True, merge_ledgered=True,
+                   batch_id=str(epoch_id))
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint_path)

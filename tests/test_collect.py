@@ -18,7 +18,7 @@ def epoch(d, hh=9, mm=15):   # exchange wall clock -> epoch seconds
 
 
 def bar(d, n=7, mm=15):
-    return [epoch(d, 9, mm), 10.0, 12.0, 9.0, 11.0, 100.0, 50.0][:n]
+    return [str(x) for x in [epoch(d, 9, mm), 10.0, 12.0, 9.0, 11.0, 100.0, 50.0][:n]]
 
 
 def inputs(spark):
@@ -28,7 +28,7 @@ def inputs(spark):
 
     def chain(u, d, e, opts):
         return (u, d, e, "ok", "", {"expiryData": None, "optionsChain": [
-            {"symbol": s, "option_type": t, "strike_price": k} for s, t, k in opts]})
+            {"symbol": s, "option_type": t, "strike_price": str(k)} for s, t, k in opts]})
     chain_listing = spark.createDataFrame([listing("NIFTY", MON), listing("NIFTY", TUE),
                                            listing("SENSEX", TUE)], CHAIN_PAYLOAD_SCHEMA)
     chains = spark.createDataFrame([
@@ -140,11 +140,18 @@ def test_sync_date_isolates_failures(spark):
     feeds = [
         dict(incoming=t["futures"], history_path=os.path.join(base, "fut"),
              ledger_path=os.path.join(base, "fut.led"), target="INDEX_FUTURES_2026", keys=DEDUP_KEYS["futures"]),
-        dict(incoming=t["options"].withColumn("Date", F.lit("x")), history_path=os.path.join(base, "bad"),
-             ledger_path=os.path.join(base, "bad.led"), target="BROKEN", keys=DEDUP_KEYS["options"]),
+        dict(incoming=t["options"].withColumn("Volume", F.expr("1 div (Volume - Volume)")),
+             history_path=os.path.join(base, "bad"), ledger_path=os.path.join(base, "bad.led"),
+             target="BROKEN", keys=DEDUP_KEYS["options"]),
+        dict(incoming=t["options"].withColumn("Date", F.lit("x")), history_path=os.path.join(base, "und"),
+             ledger_path=os.path.join(base, "und.led"), target="UNDATED", keys=DEDUP_KEYS["options"]),
     ]
-    res = {(r["target"], r["status"]) for r in sync_date(spark, feeds).collect()}
-    assert ("INDEX_FUTURES_2026", "created") in res and ("BROKEN", "error") in res
+    rows = {(r["target"], r["status"]): r for r in sync_date(spark, feeds).collect()}
+    made = rows[("INDEX_FUTURES_2026", "created")]
+    assert (made["rows_before"], made["rows_after"], made["rows_added"], made["archived"]) == (0, 1, 1, False)
+    assert "DIVIDE_BY_ZERO" in rows[("BROKEN", "error")]["message"]
+    assert rows[("UNDATED", "undated")]["date"] is None
+    assert spark.read.parquet(os.path.join(base, "und_quarantine")).count() == 5
 
 
 def _brute_force_range(master, specs, days):

@@ -56,7 +56,8 @@ def test_partitioned_write_rebalances_and_keeps_order(spark):
 
 
 def test_scale_conf_sizes_shuffles_from_the_input():
-    from marketbars.session import MAX_SHUFFLE_PARTITIONS, scale_conf
+    from marketbars.session import scale_conf
     assert scale_conf(10**6, 8)["spark.sql.shuffle.partitions"] == "16"          # two per core at least
     assert scale_conf(64 * 2**30, 8)["spark.sql.shuffle.partitions"] == "512"    # ~128 MB each
-    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == str(MAX_SHUFFLE_PARTITIONS)
+    assert scale_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "100000"
+    assert scale_conf(100 * 2**40, 8000, 500_000)["spark.sql.shuffle.partitions"] == "500000"

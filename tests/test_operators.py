@@ -10,11 +10,11 @@ from marketbars.operators.report import date_status, file_summary, outcome_count
 from marketbars.schemas import BAR_PAYLOAD_SCHEMA, CHAIN_PAYLOAD_SCHEMA
 
 D = dt.date(2026, 8, 25)
-E = 1787652600.0   # 2026-08-25 15:40 IST
+E = "1787652600.0"   # 2026-08-25 15:40 IST
 
 
 def test_response_outcomes(spark):
-    bar7 = [E, 1.0, 2.0, 0.5, 1.5, 10.0, 5.0]
+    bar7 = [E, "1.0", "2.0", "0.5", "1.5", "10.0", "5.0"]
     data = [
         ("a", D, "ok", "", [bar7]),                       # ok
         ("b", D, "ok", "", []),                           # ok but empty -> no_data
@@ -40,7 +40,7 @@ def test_response_outcomes(spark):
 
 
 def test_options_bars_projection(spark):
-    p = spark.createDataFrame([("NSE:X", D, "ok", "", [[E, 1.0, 2.0, 0.5, 1.5, 10.0, 5.0]])], BAR_PAYLOAD_SCHEMA)
+    p = spark.createDataFrame([("NSE:X", D, "ok", "", [[E, "1.0", "2.0", "0.5", "1.5", "10.0", "5.0"]])], BAR_PAYLOAD_SCHEMA)
     c = spark.createDataFrame([("NSE:X", "NIFTY", D, 100, "CE")],
                               "Ticker string, Underlying string, Expiry date, Strike int, OptionType string")
     r = B.options_bars(p, c).first()
@@ -68,7 +68,7 @@ def test_expiry_window_boundaries(spark):
 def test_option_contracts_filters_and_last_wins(spark):
     def chain(epoch, status, options):
         return ("NIFTY", D, epoch, status, "", {"expiryData": None, "optionsChain": options})
-    o = lambda s, t, k: {"symbol": s, "option_type": t, "strike_price": k}
+    o = lambda s, t, k: {"symbol": s, "option_type": t, "strike_price": None if k is None else str(k)}
     data = [
         chain("e1", "ok", [o("NSE:NIFTY1CE", "CE", 100.0), o("NSE:NIFTY2PE", "PE", 100.7),
                            o("NSE:BANKNIFTY1CE", "CE", 100.0), o("", "CE", 1.0), o("NSE:NIFTY3XX", "XX", 1.0),
