@@ -9,7 +9,9 @@ counts of all documents' repeated shingles; the order has no effect on results.
 
 *Skipping in lists.* The entries of a list fall into blocks by set size and by
 the shingle's position; pairs of blocks whose sizes and positions rule out the
-overlap that a link needs are skipped as a whole, then pairs of entries.
+overlap that a link needs are skipped as a whole, then pairs of entries. What is
+left passes a sketch of each set, whose differing bits bound the sets' difference,
+before the sets themselves are read and compared.
 
 *Deriving answers.* Highly similar sets share lists, so their answers are derived
 from one of them: first every set is verified against the leaders of its lists
@@ -17,8 +19,8 @@ only. Sets that linked to a leader form a group, and a link within a group adds
 nothing. A list of one group is done. In the others, pairs between groups are
 verified, but for those that the leaders' computed similarities rule out: Jaccard
 distance is a metric, so sets whose distances to one leader differ by more than
-``1 - t`` can't link. While the pairs left would outgrow the index, further rounds of
-other leaders come first. No pair between groups is left out, so no link between
+``1 - t`` can't link. While leaders still link many sets, further rounds of other
+leaders come first. No pair between groups is left out, so no link between
 different texts is lost, and a group of any size costs a few pairs per member.
 
 Words are the runs of ``[^\\x20\\x09-\\x0D]`` after lower-casing A-Z. Shingles are
@@ -47,10 +49,14 @@ from marketbars.llm.common import binary_rows, space_words, stage
 from marketbars.llm.components import components
 
 WORDS, PERCENT = 4, 85
+SKETCH_BITS = 1024
 FREQUENT = 1 << 18              # shingles whose counts order the index, at most
-COUNT_CHUNK = 2_000_000         # shingles counted at once in a task
+COUNT_CHUNK = 1_000_000         # shingles counted at once in a task
+BATCH_SHINGLES = 500_000        # of one record batch
 POSITION_BLOCK = 8
 ROUNDS = 6                      # of leaders, at most
+WORTH = 0.02                    # links per open set below which the rounds end
+BROADCAST_SETS = 1_000_000      # (key, doc_id) pairs, 16 bytes each, that may be broadcast
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D,
           0x369DEA0F31A53F85, 0x27BB2EE687B0B0FD, 0x1B873593CC9E2D51)
 
@@ -118,14 +124,22 @@ def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarr
 
 # ---- sets and their index ------------------------------------------------------
 
-SETS = "doc_id long, n int, k long, k2 long, prefix array<long>"
+SETS = "doc_id long, n int, k long, k2 long, sketch array<long>, prefix array<long>"
+
+
+def odd_sketch(found: np.ndarray) -> np.ndarray:
+    """A bit per hash slot: whether the set has an odd number of shingles there. The
+    bits in which two sketches differ are at most the shingles in which the sets do."""
+    odd = np.bincount((found & np.uint64(SKETCH_BITS - 1)).astype(np.int64),
+                      minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
 def _index(shared, words: int, percent: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, counts = shared.value
         for batch in batches:
-            sizes, keys, keys2, prefixes = [], [], [], []
+            sizes, keys, keys2, sketches, prefixes = [], [], [], [], []
             for text in binary_rows(batch, "text"):
                 found = shingles(text, words)
                 n = len(found)
@@ -133,6 +147,7 @@ def _index(shared, words: int, percent: int, seed: int):
                 sizes.append(n)
                 keys.append(xxhash.xxh3_64_intdigest(data, seed) - (1 << 63))
                 keys2.append(xxhash.xxh64_intdigest(data, seed + 1) - (1 << 63))
+                sketches.append(odd_sketch(found))
                 rarity = np.zeros(n, np.int64)
                 if n and len(values):
                     at = np.minimum(np.searchsorted(values, found), len(values) - 1)
@@ -141,8 +156,9 @@ def _index(shared, words: int, percent: int, seed: int):
                 prefixes.append(found[np.lexsort((found, rarity))[:listed]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.int64()),
-                 pa.array(keys2, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "k", "k2", "prefix"])
+                 pa.array(keys2, pa.int64()), pa.array(sketches, pa.list_(pa.int64())),
+                 pa.array(prefixes, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "k", "k2", "sketch", "prefix"])
     return run
 
 
@@ -160,41 +176,39 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
 
 
 def _contents(words: int, seed: int):
+    schema = pa.schema([("k", pa.int64()), ("data", pa.list_(pa.int64()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, data = [], []
+            keys, data, size = [], [], 0
+
+            def out() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), pa.array(data, pa.list_(pa.int64()))],
+                    schema=schema)
             for k, text in zip(batch.column(0).to_pylist(), binary_rows(batch, "text")):
-                found = shingles(text, words).tobytes()
-                if xxhash.xxh3_64_intdigest(found, seed) - (1 << 63) == k:
+                found = shingles(text, words)
+                if xxhash.xxh3_64_intdigest(found.tobytes(), seed) - (1 << 63) == k:
                     keys.append(k)
-                    data.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()),
-                                              pa.array(data, pa.binary())], names=["k", "data"])
+                    data.append(found.view(np.int64))
+                    size += len(found)
+                if size >= BATCH_SHINGLES:
+                    yield out()
+                    keys, data, size = [], [], 0
+            yield out()
     return run
 
 
 # ---- verification ----------------------------------------------------------------
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        common, sizes = [], []
-        for a, b in zip(batch.column(2), batch.column(3)):
-            x = np.frombuffer(a.as_buffer(), np.uint64)
-            y = np.frombuffer(b.as_buffer(), np.uint64)
-            i = len(np.intersect1d(x, y, assume_unique=True))
-            common.append(i)
-            sizes.append(len(x) + len(y) - i)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(common, pa.int64()),
-             pa.array(sizes, pa.int64())], names=["a", "b", "common", "total"])
-
-
 def verify(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     """(a, b, common, total, link) of the distinct pairs."""
     left = contents.select(F.col("k").alias("a"), F.col("data").alias("x"))
     right = contents.select(F.col("k").alias("b"), F.col("data").alias("y"))
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-            .mapInArrow(_overlaps, "a long, b long, common long, total long")
+    common = F.size(F.array_intersect("x", "y")).cast("long")
+    return (pairs.join(left, "a").join(right, "b")
+            .select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("both"))
+            .select("a", "b", "common", (F.col("both") - F.col("common")).alias("total"))
             .withColumn("link", F.col("common") * 100 >= F.col("total") * percent))
 
 
@@ -214,30 +228,49 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
 
 
-def _leader_pairs(entries: DataFrame, classes: DataFrame, order: int, first: bool) -> DataFrame:
-    """Every set of a list with the list's leaders: the sets that come first and
-    last in the round's order, and at first the earliest document's."""
+def _size_block(n: Column, percent: int) -> Column:
+    """Sets whose sizes allow a link are in the same block or in adjacent ones."""
+    return F.floor(F.log(n) / F.log(F.lit(100.0 / percent)))
+
+
+def _leader_pairs(entries: DataFrame, order: int, percent: int) -> DataFrame:
+    """Every set of a list with leaders of its size blocks: the earliest document's
+    set, and those that come first and last in the round's order; without the
+    pairs that sizes or positions rule out."""
     turned = F.col("k").bitwiseXOR(F.lit(order))
-    leaders = entries.groupBy("token").agg(F.min(turned).alias("lo"), F.max(turned).alias("hi"),
-                                           F.min("doc").alias("least"))
-    met = entries.join(leaders, "token")
-    pairs = [met.select(F.col("k").alias("a"),
-                        F.explode(F.array(F.col("lo").bitwiseXOR(F.lit(order)),
-                                          F.col("hi").bitwiseXOR(F.lit(order)))).alias("b"))]
-    if first:
-        early = classes.select(F.col("k").alias("b"), F.col("doc").alias("least"))
-        pairs.append(met.select("k", "least").distinct().join(early, "least")
-                     .select(F.col("k").alias("a"), "b"))
-    out = pairs[0]
-    for more in pairs[1:]:
-        out = out.union(more)
-    return _ordered(out)
+    key = ["token", "block"]
+    blocked = entries.withColumn("block", _size_block(F.col("n"), percent))
+    own = F.struct("k", "n", "pos")
+    leaders = blocked.groupBy(*key).agg(
+        F.min(F.struct(F.col("doc").alias("o"), own.alias("s"))).alias("x"),
+        F.min(F.struct(turned.alias("o"), own.alias("s"))).alias("y"),
+        F.max(F.struct(turned.alias("o"), own.alias("s"))).alias("z"))
+    # and of the next smaller block, which joins the groups across its border
+    both = blocked.withColumn("block", F.explode(F.array("block", F.col("block") - 1)))
+    met = (both.join(leaders, key)
+           .select("k", "n", "pos", F.explode(F.array("x.s", "y.s", "z.s")).alias("l")))
+    return _ordered(
+        met.where((F.col("k") != F.col("l.k")) & _sizes_allow(F.col("n"), F.col("l.n"), percent)
+                  & (F.least(F.col("n") - F.col("pos"), F.col("l.n") - F.col("l.pos"))
+                     >= _needed(F.col("n"), F.col("l.n"), percent)))
+        .select(F.col("k").alias("a"), F.col("l.k").alias("b")))
+
+
+def _near_groups(verified: DataFrame) -> DataFrame:
+    """(k, g): the sets that links join in two steps, under a common name. Groups may
+    be smaller than the components; that costs pairs, and loses none."""
+    links = verified.where("link").select("a", "b")
+    both = links.union(links.select("b", "a"))
+    near = stage(both.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
+                 .select("k", F.least("k", "m").alias("g")), "groups")
+    further = near.select(F.col("k").alias("g"), F.col("g").alias("g2"))
+    return near.join(further, "g", "left").select("k", F.coalesce("g2", "g").alias("g"))
 
 
 def _grouped(entries: DataFrame, groups: DataFrame) -> DataFrame:
     """The entries with their set's group, of the lists that hold several groups."""
-    named = (entries.join(groups.select(F.col("node").alias("k"), "component"), "k", "left")
-             .withColumn("g", F.coalesce("component", "k")).drop("component"))
+    named = (entries.join(groups.withColumnRenamed("g", "_g"), "k", "left")
+             .withColumn("g", F.coalesce("_g", "k")).drop("_g"))
     several = (named.groupBy("token").agg(F.min("g").alias("x"), F.max("g").alias("y"))
                .where("x <> y").select("token"))
     return named.join(several, "token", "left_semi")
@@ -253,10 +286,9 @@ def _main_groups(named: DataFrame) -> DataFrame:
 
 def _pairs_between(named: DataFrame, mains: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different groups that a list's blocks and positions allow."""
-    base = F.log(F.lit(100.0 / percent))
     blocked = (named.join(mains.select("token", "main"), "token")
                .withColumn("rest", F.col("n") - F.col("pos"))
-               .withColumn("size_block", F.floor(F.log(F.col("n")) / base))
+               .withColumn("size_block", _size_block(F.col("n"), percent))
                .withColumn("pos_block", F.floor(F.col("pos") / POSITION_BLOCK)))
     key = ["token", "size_block", "pos_block"]
     blocks = blocked.groupBy(*key).agg(
@@ -303,6 +335,44 @@ def _not_ruled_out(pairs: DataFrame, verified: DataFrame, percent: int) -> DataF
             .select("a", "b"))
 
 
+class _Verifier:
+    """Verifies pairs on the sets of the texts they name; each set is read once."""
+
+    def __init__(self, docs: DataFrame, sets: DataFrame, met: DataFrame, words: int,
+                 percent: int, seed: int):
+        small = F.broadcast(met) if met.count() <= BROADCAST_SETS else met
+        own = small.withColumnRenamed("doc", "doc_id")
+        self.sketches = stage(sets.select("k", "doc_id", "n", "sketch").join(own, ["k", "doc_id"])
+                              .dropDuplicates(["k"]).select("k", "n", "sketch"), "sketches")
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text"))
+        self.met, self.words, self.percent, self.seed = met, words, percent, seed
+        self.contents: DataFrame | None = None
+
+    def _close(self, pairs: DataFrame) -> DataFrame:
+        """Without the pairs whose sketches differ in more bits than linked sets can
+        differ in shingles."""
+        x, y = (self.sketches.select(F.col("k").alias(c), F.col("n").alias(f"n{c}"),
+                                     F.col("sketch").alias(f"s{c}")) for c in "ab")
+        apart = F.aggregate(F.zip_with("sa", "sb", lambda s, t: F.bit_count(s.bitwiseXOR(t))),
+                            F.lit(0), lambda total, bits: total + bits)
+        most = F.col("na") + F.col("nb") - 2 * _needed(F.col("na"), F.col("nb"), self.percent)
+        return pairs.join(x, "a").join(y, "b").where(apart <= most).select("a", "b")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        pairs = stage(self._close(pairs), "pairs")
+        needed = pairs.select(F.col("a").alias("k")).union(pairs.select("b")).distinct()
+        if self.contents is not None:
+            needed = needed.join(self.contents.select("k"), "k", "left_anti")
+        needed = stage(needed.join(self.met, "k").select("k", "doc"), "needed")
+        small = needed.count() <= BROADCAST_SETS
+        read = (self.docs.join(F.broadcast(needed) if small else needed, "doc").select("k", "text")
+                .mapInArrow(_contents(self.words, self.seed), "k long, data array<long>")
+                .dropDuplicates(["k"]))
+        new = stage(read, "contents")
+        self.contents = new if self.contents is None else self.contents.union(new)
+        return stage(verify(pairs, self.contents, self.percent), "verified")
+
+
 def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id, component_id."""
     sets, seed = shingle_sets(docs, words, percent)
@@ -314,35 +384,25 @@ def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     several = listed.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     entries = stage(listed.join(several.select("token"), "token", "left_semi"), "index")
     met = stage(entries.groupBy("k").agg(F.min("doc").alias("doc")), "met")
-    contents = stage(
-        docs.select(F.col("doc_id").cast("long").alias("doc"), F.col("text"))
-        .join(met, "doc").select("k", "text")
-        .mapInArrow(_contents(words, seed), "k long, data binary").dropDuplicates(["k"]),
-        "contents")
-
-    verified = None
-    groups = None
+    check = _Verifier(docs, sets, met, words, percent, seed)
+
+    verified = named = None
     for turn in range(ROUNDS):
-        open_lists = entries if groups is None else named
-        pairs = _leader_pairs(open_lists, met, ORDERS[turn], first=turn == 0)
+        pairs = _leader_pairs(entries if named is None else named, ORDERS[turn], percent)
         if verified is not None:
             pairs = pairs.join(verified.select("a", "b"), ["a", "b"], "left_anti")
-        new = stage(verify(pairs, contents, percent), "verified")
+        new = check(pairs)
         verified = new if verified is None else verified.union(new)
-        groups = components(verified.where("link").select(F.col("a").alias("u"),
-                                                          F.col("b").alias("v")))
-        named = stage(_grouped(entries, groups), "open-lists")
-        mains = _main_groups(named)
-        left = mains.agg(F.sum((F.col("n") - F.col("m")) * F.col("n")),
-                         F.sum("n")).first()
-        if not left[0] or left[0] <= 4 * left[1]:
+        named = stage(_grouped(entries, _near_groups(verified)), "open-lists")
+        # another round pays while it still links many of the sets that are open
+        open_sets = named.select("k").distinct().count()
+        if new.where("link").count() < WORTH * open_sets or not open_sets:
             break
-    if left[0]:
-        rest = _not_ruled_out(_pairs_between(named, mains, percent), verified, percent)
-        last = stage(verify(rest, contents, percent), "verified").where("link")
-        if last.limit(1).count():
-            links = verified.where("link").select("a", "b").union(last.select("a", "b"))
-            groups = components(links.toDF("u", "v"))
+    if open_sets:
+        between = _pairs_between(named, _main_groups(named), percent)
+        verified = verified.union(check(_not_ruled_out(between, verified, percent)))
+    groups = components(verified.where("link").select(F.col("a").alias("u"),
+                                                      F.col("b").alias("v")))
     named_groups = (groups.join(met.select(F.col("k").alias("node"), "doc"), "node")
                     .withColumnRenamed("node", "k"))
     least = named_groups.groupBy("component").agg(F.min("doc").alias("component_id"))
