@@ -54,8 +54,8 @@ FREQUENT = 1 << 18              # shingles whose counts order the index, at most
 COUNT_CHUNK = 1_000_000         # shingles counted at once in a task
 BATCH_SHINGLES = 500_000        # of one record batch
 POSITION_BLOCK = 8
-ROUNDS = 6                      # of leaders, at most
-WORTH = 0.02                    # links per open set below which the rounds end
+ROUNDS = 3                      # of leaders, at most
+WORTH = 0.05                    # links per open set below which the rounds end
 BROADCAST_SETS = 1_000_000      # (key, doc_id) pairs, 16 bytes each, that may be broadcast
 ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D,
           0x369DEA0F31A53F85, 0x27BB2EE687B0B0FD, 0x1B873593CC9E2D51)
@@ -223,9 +223,13 @@ def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def _needed(a: Column, b: Column, percent: int) -> Column:
-    """The overlap that sets of these sizes need to link."""
-    return F.ceil((a + b) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
+def _overlap_allows(rest: Column, both: Column, percent: int) -> Column:
+    """Linked sets overlap in t / (1 + t) of their sizes' sum, or more."""
+    return rest * (100 + percent) >= both * percent
+
+
+def _difference_allows(apart: Column, both: Column, percent: int) -> Column:
+    return apart * (100 + percent) <= both * (100 - percent)
 
 
 def _size_block(n: Column, percent: int) -> Column:
@@ -251,20 +255,25 @@ def _leader_pairs(entries: DataFrame, order: int, percent: int) -> DataFrame:
            .select("k", "n", "pos", F.explode(F.array("x.s", "y.s", "z.s")).alias("l")))
     return _ordered(
         met.where((F.col("k") != F.col("l.k")) & _sizes_allow(F.col("n"), F.col("l.n"), percent)
-                  & (F.least(F.col("n") - F.col("pos"), F.col("l.n") - F.col("l.pos"))
-                     >= _needed(F.col("n"), F.col("l.n"), percent)))
+                  & _overlap_allows(F.least(F.col("n") - F.col("pos"),
+                                            F.col("l.n") - F.col("l.pos")),
+                                    F.col("n") + F.col("l.n"), percent))
         .select(F.col("k").alias("a"), F.col("l.k").alias("b")))
 
 
 def _near_groups(verified: DataFrame) -> DataFrame:
-    """(k, g): the sets that links join in two steps, under a common name. Groups may
-    be smaller than the components; that costs pairs, and loses none."""
+    """(k, g): sets that links join in a few steps, under a common name: the least
+    set two links away, and from that on once more. Groups may be smaller than the
+    components; that costs pairs, and loses none."""
     links = verified.where("link").select("a", "b")
-    both = links.union(links.select("b", "a"))
-    near = stage(both.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
-                 .select("k", F.least("k", "m").alias("g")), "groups")
-    further = near.select(F.col("k").alias("g"), F.col("g").alias("g2"))
-    return near.join(further, "g", "left").select("k", F.coalesce("g2", "g").alias("g"))
+    both = stage(links.union(links.select("b", "a")), "links")
+    one = (both.groupBy(F.col("a").alias("k")).agg(F.min("b").alias("m"))
+           .select("k", F.least("k", "m").alias("g")))
+    one = stage(one, "groups")
+    two = stage(both.join(one.withColumnRenamed("k", "b"), "b").select(F.col("a").alias("k"), "g")
+                .union(one).groupBy("k").agg(F.min("g").alias("g")), "groups")
+    further = two.select(F.col("k").alias("g"), F.col("g").alias("g2"))
+    return two.join(further, "g", "left").select("k", F.coalesce("g2", "g").alias("g"))
 
 
 def _grouped(entries: DataFrame, groups: DataFrame) -> DataFrame:
@@ -284,9 +293,22 @@ def _main_groups(named: DataFrame) -> DataFrame:
               .select("token", F.col("top.g").alias("main"), F.col("top.m").alias("m"), "n")
 
 
-def _pairs_between(named: DataFrame, mains: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different groups that a list's blocks and positions allow."""
+def _folded(sketches: DataFrame) -> DataFrame:
+    """(k, f): the sketch folded to 256 bits, which are as good a bound."""
+    def fold(i: int) -> Column:
+        out = F.col("sketch")[i]
+        for j in range(i + 4, SKETCH_BITS // 64, 4):
+            out = out.bitwiseXOR(F.col("sketch")[j])
+        return out
+    return sketches.select("k", *[fold(i).alias(f"f{i}") for i in range(4)])
+
+
+def _pairs_between(named: DataFrame, mains: DataFrame, sketches: DataFrame,
+                   percent: int) -> DataFrame:
+    """Pairs of sets of different groups that a list's blocks and positions allow,
+    and the sets' folded sketches."""
     blocked = (named.join(mains.select("token", "main"), "token")
+               .join(_folded(sketches), "k")
                .withColumn("rest", F.col("n") - F.col("pos"))
                .withColumn("size_block", _size_block(F.col("n"), percent))
                .withColumn("pos_block", F.floor(F.col("pos") / POSITION_BLOCK)))
@@ -298,24 +320,28 @@ def _pairs_between(named: DataFrame, mains: DataFrame, percent: int) -> DataFram
     allowed = (x.where("odd").join(y, "token")
                .where((F.col("x.least") * percent <= F.col("y.most") * 100)
                       & (F.col("y.least") * percent <= F.col("x.most") * 100)
-                      & (F.least("x.rest", "y.rest")
-                         >= _needed(F.col("x.least"), F.col("y.least"), percent)))
+                      & _overlap_allows(F.least("x.rest", "y.rest"),
+                                        F.col("x.least") + F.col("y.least"), percent))
                .select("token", F.col("x.size_block").alias("xs"),
                        F.col("x.pos_block").alias("xp"), F.col("y.size_block").alias("ys"),
                        F.col("y.pos_block").alias("yp")))
     left = blocked.where("g <> main").select(
         "token", F.col("size_block").alias("xs"), F.col("pos_block").alias("xp"),
         F.col("k").alias("a"), F.col("g").alias("ga"), F.col("n").alias("na"),
-        F.col("rest").alias("ra"))
+        F.col("rest").alias("ra"), *[F.col(f"f{i}").alias(f"a{i}") for i in range(4)])
     right = blocked.select(
         "token", F.col("size_block").alias("ys"), F.col("pos_block").alias("yp"),
         F.col("k").alias("b"), F.col("g").alias("gb"), F.col("n").alias("nb"),
-        F.col("rest").alias("rb"))
+        F.col("rest").alias("rb"), *[F.col(f"f{i}").alias(f"b{i}") for i in range(4)])
+    apart = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(1, 4)),
+                F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))))
+    both = F.col("na") + F.col("nb")
     return _ordered(
         left.join(allowed, ["token", "xs", "xp"]).join(right, ["token", "ys", "yp"])
         .where((F.col("ga") != F.col("gb"))
                & _sizes_allow(F.col("na"), F.col("nb"), percent)
-               & (F.least("ra", "rb") >= _needed(F.col("na"), F.col("nb"), percent))))
+               & _overlap_allows(F.least("ra", "rb"), both, percent)
+               & _difference_allows(apart, both, percent)))
 
 
 def _not_ruled_out(pairs: DataFrame, verified: DataFrame, percent: int) -> DataFrame:
@@ -355,8 +381,8 @@ class _Verifier:
                                      F.col("sketch").alias(f"s{c}")) for c in "ab")
         apart = F.aggregate(F.zip_with("sa", "sb", lambda s, t: F.bit_count(s.bitwiseXOR(t))),
                             F.lit(0), lambda total, bits: total + bits)
-        most = F.col("na") + F.col("nb") - 2 * _needed(F.col("na"), F.col("nb"), self.percent)
-        return pairs.join(x, "a").join(y, "b").where(apart <= most).select("a", "b")
+        near = _difference_allows(apart, F.col("na") + F.col("nb"), self.percent)
+        return pairs.join(x, "a").join(y, "b").where(near).select("a", "b")
 
     def __call__(self, pairs: DataFrame) -> DataFrame:
         pairs = stage(self._close(pairs), "pairs")
@@ -399,7 +425,7 @@ def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         if new.where("link").count() < WORTH * open_sets or not open_sets:
             break
     if open_sets:
-        between = _pairs_between(named, _main_groups(named), percent)
+        between = _pairs_between(named, _main_groups(named), check.sketches, percent)
         verified = verified.union(check(_not_ruled_out(between, verified, percent)))
     groups = components(verified.where("link").select(F.col("a").alias("u"),
                                                       F.col("b").alias("v")))
