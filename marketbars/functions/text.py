@@ -16,11 +16,6 @@ def ledger_name(target: Column) -> Column:
     return F.concat(F.lit("."), target, F.lit(".dates.json"))
 
 
-def archive_name(date: Column, file_name: Column) -> Column:
-    """Raw-day archive copy name: ``{date}_{file}``."""
-    return F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("_"), file_name)
-
-
 def spot_stem_from_name(name: Column) -> Column:
     """``spot_Nifty 50.csv`` -> ``Nifty 50``."""
     return F.regexp_extract(name, r"^spot_(.*)\.csv$", 1)

@@ -1,8 +1,9 @@
 """One-pass quality report for bar tables (missing values, invalid option types,
 duplicate keys, OHLC invariants, non-positive strikes) with the verdict.
 
-All checks are aggregates of a single ``agg`` (or ``groupBy(...).agg``), so the
-table is scanned once and each check is a partial aggregate before the shuffle.
+The checks are aggregates of a single ``agg`` (or ``groupBy(...).agg``), each
+partial before the shuffle; only the invalid option types, of which there can be
+any number, are counted by value in a grouped aggregate of their own.
 Checks apply to the columns that are present, so the same report serves the
 options, futures and spot tables.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,13 +48,52 @@ def _py_set_text(values: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(quoted, ", "), F.lit("}"))
 
 
+LISTED_TYPES = 100
+
+
+def invalid_type_counts(df: DataFrame, group_by: Sequence[str] = (), col: str = "OptionType",
+                        allowed: Sequence[str] = tuple(OPTION_TYPES)) -> DataFrame:
+    """Every invalid value per group, with its rows: [group columns], ``col``, rows."""
+    bad = F.col(col).isNotNull() & ~F.col(col).isin(*allowed)
+    return df.where(bad).groupBy(*group_by, col).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _listed_types(df: DataFrame, group_by: Sequence[str], col: str = "OptionType",
+                  allowed: Sequence[str] = tuple(OPTION_TYPES),
+                  listed: int = LISTED_TYPES) -> DataFrame:
+    """[group columns], invalid_types: the first ``listed`` invalid values of each
+    group in order. Dirty free text can have any number of values, so they are
+    counted in a distributed way and only a bounded list is put into one row."""
+    counts = invalid_type_counts(df, group_by, col, allowed)
+    if not group_by:
+        first = counts.orderBy(col).limit(listed)
+        return first.agg(F.array_sort(F.collect_list(col)).alias("invalid_types"))
+    w = Window.partitionBy(*group_by).orderBy(col)
+    first = counts.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= listed)
+    return first.groupBy(*group_by).agg(F.array_sort(F.collect_list(col)).alias("invalid_types"))
+
+
+def with_invalid_types(report: DataFrame, df: DataFrame, group_by: Sequence[str] = (),
+                       col: str = "OptionType",
+                       allowed: Sequence[str] = tuple(OPTION_TYPES)) -> DataFrame:
+    """``report`` (one row per group of ``df``) with ``invalid_types``, empty if none."""
+    types = _listed_types(df, list(group_by), col, allowed)
+    if not group_by:
+        return report.withColumn("invalid_types", types.scalar())
+    named = types.select(*[F.col(g).alias(f"_{g}") for g in group_by], "invalid_types")
+    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group_by]
+    return (report.join(named, on, "left").drop(*[f"_{g}" for g in group_by])
+            .withColumn("invalid_types", F.coalesce("invalid_types", F.array().cast("array<string>"))))
+
+
 def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLUMNS,
                    keys: Sequence[str] = DEDUP_KEYS["options"],
                    group_by: Sequence[str] | None = None) -> DataFrame:
     """Counts of every check plus ``ok`` and the ordered ``errors`` list.
 
     Output columns: [group columns], rows, missing_<col> for each expected column
-    present, invalid_types (sorted array), duplicate_rows, ohlc_violations,
+    present, invalid_types (sorted array, at most ``LISTED_TYPES``; see
+    ``invalid_type_counts`` for all of them), duplicate_rows, ohlc_violations,
     nonpositive_strikes, ok, errors (array of messages in check order).
     With ``group_by`` the verdict is computed per group in the same job.
     """
@@ -65,10 +105,6 @@ def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLU
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.count_if(_missing(df, c)).alias(f"missing_{c}") for c in present]
     has_type = "OptionType" in df.columns
-    if has_type:
-        ot = F.col("OptionType")
-        aggs.append(F.array_sort(F.collect_set(
-            F.when(ot.isNotNull() & ~ot.isin(*OPTION_TYPES), ot))).alias("invalid_types"))
     key_cols = [k for k in keys if k in df.columns]
     if key_cols:
         # struct(...) so that keys containing NULLs are still counted as values
@@ -82,6 +118,8 @@ def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLU
         aggs.append(F.count_if(F.col("Strike") <= 0).alias("nonpositive_strikes"))
 
     rep = df.groupBy(*group_by).agg(*aggs) if group_by else df.agg(*aggs)
+    if has_type:
+        rep = with_invalid_types(rep, df, group_by)
 
     rows = F.col("rows")
     msgs = []

@@ -22,6 +22,19 @@ def route_exchange(df: DataFrame, exchanges: DataFrame) -> DataFrame:
     return df.join(exchanges, "Underlying", "inner")
 
 
+def known_selected(df: DataFrame, dims: list, names: list[str], by: str, selected) -> DataFrame:
+    """``df`` looked up in dimensions (table, own key, its key) one after the other,
+    with ``known`` (every one of ``names`` was found) and ``selected`` (``by`` is one
+    of the selection; an unknown row never is)."""
+    for dim, left, right in dims:
+        df = df.join(dim, F.col(left) == F.col(right), "left")
+    known = F.lit(True)
+    for name in names:
+        known = known & F.col(name).isNotNull()
+    return (df.withColumn("known", known)
+            .withColumn("selected", F.coalesce(F.col(by).isin(*selected), F.lit(False))))
+
+
 def exchange_split_counts(routed: DataFrame, date_col: str = "Date") -> DataFrame:
     """Rows per (exchange, date) and the per-day file each lands in."""
     names = F.create_map(*[x for k, v in OPTIONS_FILENAMES.items() for x in (F.lit(k), F.lit(v))])

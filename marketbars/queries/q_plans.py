@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from marketbars.operators import bars as B
 from marketbars.operators import contracts as C
 from marketbars.operators.report import pending_kinds
+from marketbars.plans.collect import write_outputs
 from marketbars.plans.feeds import routed
 from marketbars.plans.ingest import ingest
 from marketbars.queries import query, table
 from marketbars.queries.q_contracts import (
     CHAIN_DATE, CHAIN_SQL, LISTING_DATE, MASTER_SQL, chain_parts, listing_items, master_rows,
 )
-from marketbars.queries.q_payloads import TYPE_BARS, spot_index, spot_payloads
+from marketbars.queries.q_payloads import (
+    TYPE_BARS, USER_BARS, option_payloads, spot_index, spot_payloads,
+)
 from marketbars.schemas import CHAIN_PAYLOAD_SCHEMA
 from marketbars.session import scratch_path
 from marketbars.sinks.writers import PART_COL, verified_write, write_csv
@@ -217,3 +220,42 @@ def q_csv_bars(spark, sf):
     path = scratch_path(spark, "spot-csv")
     write_csv(B.spot_bars(spot_payloads(spark, sf), spot_index(spark, sf)), path)
     return read_bars(spark, path, "spot", "csv")
+
+
+@query("written_outputs", f"""
+WITH u AS (WITH {USER_BARS}
+  SELECT CAST(w AS DATE) AS date, c.c_custkey FROM ev e JOIN customer c ON e.user_id = c.c_custkey WHERE e.k <> 9),
+s AS (WITH {TYPE_BARS} SELECT CAST(w AS DATE) AS date FROM ev WHERE k <> 9)
+SELECT 'options' AS kind, CASE WHEN c_custkey % 2 = 0 THEN 'NSE' ELSE 'BSE' END AS exchange, date,
+       CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS stored FROM u GROUP BY 2, 3
+UNION ALL SELECT 'futures', NULL, date, count(*), count(*) FROM u GROUP BY date
+UNION ALL SELECT 'spot', NULL, date, count(*), count(*) FROM s GROUP BY date
+""")
+def q_written_outputs(spark, sf):
+    """A run's tables written by exchange, index and day: the writer's report, and the
+    rows read back per subset."""
+    payloads = option_payloads(spark, sf)
+    even = F.col("c_custkey") % 2 == 0
+    c = table(spark, sf, "customer")
+    name = F.concat(F.lit("U"), F.col("c_custkey").cast("string"))
+    under = F.when(even, F.lit("NIFTY")).otherwise(F.lit("SENSEX"))
+    options = B.options_bars(payloads, c.select(
+        name.alias("Ticker"), under.alias("Underlying"), F.lit(dt.date(2024, 2, 29)).alias("Expiry"),
+        F.lit(100).alias("Strike"), F.lit("CE").alias("OptionType")))
+    futures = B.futures_bars(payloads, c.select(
+        name.alias("symbol"), name.alias("ticker"), F.lit("I").alias("contract_series"),
+        under.alias("underlying")))
+    spot = B.spot_bars(spot_payloads(spark, sf), spot_index(spark, sf))
+    out = scratch_path(spark, "outputs")
+    report = write_outputs(spark, {"options": options, "futures": futures, "spot": spot}, out, validate=False)
+    none = F.lit(None).cast("string")
+    back = (spark.read.parquet(f"{out}/options").groupBy("exchange", PART_COL).agg(F.count(F.lit(1)).alias("stored"))
+            .select(F.lit("options").alias("kind"), "exchange", F.col(PART_COL).alias("date"), "stored"))
+    for kind, fmt in (("futures", "parquet"), ("spot", "csv")):
+        rows = spark.read.option("header", True).format(fmt).load(f"{out}/{kind}")
+        back = back.union(rows.groupBy(PART_COL).agg(F.count(F.lit(1)).alias("stored"))
+                          .select(F.lit(kind), none, F.col(PART_COL), "stored"))
+    b = back.toDF("b_kind", "b_exchange", "b_date", "stored")
+    return (report.where("status = 'written'")
+            .join(b, F.expr("kind = b_kind and exchange <=> b_exchange and date = b_date"))
+            .select("kind", "exchange", "date", "rows", "stored"))

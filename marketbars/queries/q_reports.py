@@ -9,7 +9,8 @@ from marketbars.functions.text import ledger_name, spot_stem_from_name
 from marketbars.operators.bars import rows_per_index
 from marketbars.operators.calendar import date_span
 from marketbars.operators.report import duplicate_targets, feed_presence, file_summary
-from marketbars.operators.routing import rows_per_date, spot_target, year_target_of
+from marketbars.operators.quality import with_invalid_types
+from marketbars.operators.routing import known_selected, rows_per_date, spot_target, year_target_of
 from marketbars.queries import query, table
 from marketbars.queries.q_quality import TYPE_INDEX
 from marketbars.schemas import SPOT_FILENAME_PATTERN, SPOT_FILES, SPOT_STEMS
@@ -49,32 +50,32 @@ FROM events GROUP BY CAST(ts AS DATE)
 """)
 def q_invalid_types(spark, sf):
     ev = table(spark, sf, "events")
-    allowed = F.array(*[F.lit(t) for t in ALLOWED_TYPES])
-    bad = ~F.col("event_type").isin(*ALLOWED_TYPES)
-    return ev.groupBy(F.to_date("ts").alias("date")).agg(
-        F.array_join(F.array_sort(F.array_except(F.collect_set("event_type"), allowed)), ",")
-         .alias("invalid_types"),
-        F.count_if(bad).alias("invalid_rows"))
+    ev = ev.select(F.to_date("ts").alias("date"), "event_type")
+    rows = ev.groupBy("date").agg(
+        F.count_if(~F.col("event_type").isin(*ALLOWED_TYPES)).alias("invalid_rows"))
+    out = with_invalid_types(rows, ev, ["date"], "event_type", ALLOWED_TYPES)
+    return out.select("date", F.array_join("invalid_types", ",").alias("invalid_types"),
+                      "invalid_rows")
 
 
 _SEL_SQL = ", ".join(f"'{r}'" for r in SELECTED_REGIONS)
 
 
 @query("index_lookup", f"""
-SELECT s_suppkey, s_name, n_name, r_name, n_name IS NOT NULL AND r_name IS NOT NULL AS known
-FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-WHERE r_name IN ({_SEL_SQL})
+SELECT s_suppkey, s_name, n_name, r_name, n_name IS NOT NULL AND r_name IS NOT NULL AS known,
+       coalesce(r_name IN ({_SEL_SQL}), false) AS selected
+FROM supplier LEFT JOIN nation ON CASE WHEN s_suppkey % 7 = 0 THEN 99 ELSE s_nationkey END = n_nationkey
+LEFT JOIN region ON n_regionkey = r_regionkey
 """)
 def q_index_lookup(spark, sf):
     sup = table(spark, sf, "supplier")
     nat = table(spark, sf, "nation")
     reg = table(spark, sf, "region")
-    # nation (25) and region (5) are fixed-size dimensions: proven-small broadcasts
-    j = (sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey, "left")
-            .join(F.broadcast(reg), F.col("n_regionkey") == reg.r_regionkey, "left"))
-    known = F.col("n_name").isNotNull() & F.col("r_name").isNotNull()
-    return (j.where(F.col("r_name").isin(*SELECTED_REGIONS))
-             .select("s_suppkey", "s_name", "n_name", "r_name", known.alias("known")))
+    # every seventh supplier has a key that the dimension does not know
+    sup = sup.withColumn("key", F.when(F.col("s_suppkey") % 7 == 0, 99).otherwise(F.col("s_nationkey")))
+    out = known_selected(sup, [(nat, "key", "n_nationkey"), (reg, "n_regionkey", "r_regionkey")],
+                         ["n_name", "r_name"], "r_name", SELECTED_REGIONS)
+    return out.select("s_suppkey", "s_name", "n_name", "r_name", "known", "selected")
 
 
 @query("day_summary", """

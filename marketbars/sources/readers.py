@@ -75,11 +75,6 @@ def read_bars(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -
     return df.select(*[f.name for f in schema.fields])
 
 
-def parquet_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names from the footer (no job over the rows)."""
-    return spark.read.parquet(path).columns
-
-
 def valid_table(df: DataFrame, expected_columns) -> bool:
     """Readable, exact ordered columns, and not empty (one row fetched at most)."""
     return list(df.columns) == list(expected_columns) and not df.isEmpty()
