@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -50,10 +51,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, so
     a lost executor costs the tasks at hand and nothing upstream."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with arrow_rows(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ARROW_ROWS = 2_000
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
+    """Python gets whole texts in batches of fewer rows than usual: with long texts,
+    a batch and what is made of it would take most of a small executor's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

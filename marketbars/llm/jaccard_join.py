@@ -209,6 +209,7 @@ def verify(pairs: DataFrame, contents: DataFrame, percent: int) -> DataFrame:
     return (pairs.join(left, "a").join(right, "b")
             .select("a", "b", common.alias("common"), (F.size("x") + F.size("y")).alias("both"))
             .select("a", "b", "common", (F.col("both") - F.col("common")).alias("total"))
+            .distinct()
             .withColumn("link", F.col("common") * 100 >= F.col("total") * percent))
 
 
@@ -392,9 +393,8 @@ class _Verifier:
         needed = stage(needed.join(self.met, "k").select("k", "doc"), "needed")
         small = needed.count() <= BROADCAST_SETS
         read = (self.docs.join(F.broadcast(needed) if small else needed, "doc").select("k", "text")
-                .mapInArrow(_contents(self.words, self.seed), "k long, data array<long>")
-                .dropDuplicates(["k"]))
-        new = stage(read, "contents")
+                .mapInArrow(_contents(self.words, self.seed), "k long, data array<long>"))
+        new = stage(read, "contents")       # a row more where rows repeat an id
         self.contents = new if self.contents is None else self.contents.union(new)
         return stage(verify(pairs, self.contents, self.percent), "verified")
 
