@@ -127,8 +127,10 @@ class Scorer:
             else:
                 x = c * self.other
             square += x * x
-        top = max(range(len(scores)), key=lambda i: (scores[i], -i))
-        return self.names[top], scores[top] / sqrt(square) if square else 0.0
+        # rounded: equal texts score equally, however their terms were added up
+        found = [round(s / sqrt(square), 12) if square else 0.0 for s in scores]
+        top = max(range(len(found)), key=lambda i: (found[i], -i))
+        return self.names[top], found[top]
 
 
 def words_of(text: bytes) -> list[str]:

@@ -26,7 +26,6 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
-import json
 import re
 import struct
 import uuid
@@ -49,7 +48,7 @@ from marketbars.session import scratch_path
 END_ID = 0
 FRAME_IDS = 1 << 22
 LEVEL = 3
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 CACHED_LENGTH = 64              # longer pieces are not kept
 
 # fixed values of the seekable zstandard format
@@ -106,15 +105,14 @@ class Encoder:
     """Texts to the bytes of their ids, with a bounded memory of pieces."""
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        parts = json.loads(self.tokenizer.to_str())
-        before = parts.get("pre_tokenizer") or {}
-        self.by_piece = (parts.get("normalizer") is None and before.get("type") == "ByteLevel"
-                         and not before.get("add_prefix_space", True)
-                         and before.get("use_regex", True)
-                         and parts["model"]["type"] == "BPE")
-        self.special = [t["content"] for t in parts.get("added_tokens", [])]
+        from tokenizers import Tokenizer, models, pre_tokenizers
+        self.tokenizer = own = Tokenizer.from_file(tokenizer_file)
+        before = own.pre_tokenizer
+        self.by_piece = (own.normalizer is None
+                         and isinstance(before, pre_tokenizers.ByteLevel)
+                         and not before.add_prefix_space and before.use_regex
+                         and isinstance(own.model, models.BPE))
+        self.special = [t.content for t in own.get_added_tokens_decoder().values()]
         self.known = _Pieces(self.tokenizer)
 
     def encode(self, text: str) -> bytes:

@@ -34,7 +34,7 @@ def brute(rows, templates=ls.TEMPLATES, threshold=ls.THRESHOLD):
 
     def cosine(a, b):
         size = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
-        return sum(x * b.get(w, 0) for w, x in a.items()) / size if size else 0.0
+        return round(sum(x * b.get(w, 0) for w, x in a.items()) / size, 12) if size else 0.0
     own = {}
     for i, c in found:
         scores = [(cosine(vector(c), vector(t)), -k) for k, (_, t) in enumerate(templates)]
