@@ -29,7 +29,7 @@ def tables(spark, tmp_path_factory):
             text = " ".join(w + "&&&" for w in text.split())
         rows.append((i, text, "en", f"s{i % 4}", len(text)))
         if i % 2:
-            labels.append((i, int(i % 7 != 0), 0))
+            labels.append((i, int("&&&" not in text), 0))
     rows += [(500, None, None, None, None), (501, "", "en", "s1", 0)]
     path = str(tmp_path_factory.mktemp("tables"))
     for name, data, schema in (("documents", rows, DOCS), ("benchmark", items, "item_id long, text string"),
