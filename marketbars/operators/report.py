@@ -65,12 +65,11 @@ def pending_kinds(days: DataFrame, produced: DataFrame, exchanges: DataFrame) ->
 
     ``produced``: trading_date, kind, exchange (null but for options), valid.
     ``exchanges``: exchange."""
-    n = exchanges.select("exchange").distinct().agg(F.count(F.lit(1)).alias("n_exchanges"))
-    options = (produced.where("kind = 'options' and valid")
-               .join(exchanges.select("exchange").distinct(), "exchange", "left_semi")
-               .groupBy("trading_date").agg(F.count_distinct("exchange").alias("m")))
-    # the number of exchanges as a scalar: one row, joined by value
-    done = (options.join(n, F.col("m") == F.col("n_exchanges"))
+    # the exchanges are a short fixed list: one array, as a scalar
+    wanted = exchanges.agg(F.collect_set("exchange")).scalar()
+    done = (produced.where("kind = 'options' and valid")
+            .groupBy("trading_date").agg(F.collect_set("exchange").alias("have"))
+            .where(F.size(F.array_except(wanted, "have")) == 0)
             .select("trading_date", F.lit("options").alias("kind")))
     done = done.union(produced.where("kind = 'futures'")
                       .select("trading_date", "kind").distinct())

@@ -91,10 +91,11 @@ def test_bars_are_exploded_after_the_join(spark):
 
 def test_merge_pushes_the_date_range_to_a_flat_history(spark):
     base = tempfile.mkdtemp(prefix="mb-range-")
-    rows = [(i, dt.datetime(2026, 8, 1 + i % 20, 9, 15)) for i in range(100)]
-    spark.createDataFrame(rows, "k bigint, ts timestamp_ntz").write.parquet(os.path.join(base, "h"))
+    rows = [(i, dt.datetime(2026, 8, 1 + i % 20, 9, 15), 1.0) for i in range(100)]
+    spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, v double").write.parquet(os.path.join(base, "h"))
     h = spark.read.parquet(os.path.join(base, "h"))
-    inc = spark.createDataFrame([(1000, dt.datetime(2026, 8, 5, 9, 16))], "k bigint, ts timestamp_ntz")
+    inc = spark.createDataFrame([(1000, dt.datetime(2026, 8, 5, 9, 16), 2.0)],
+                                "k bigint, ts timestamp_ntz, v double")
     merged = merge_first_wins(h, inc, ["k", "ts"], date_of=F.to_date("ts"), raw_date_col="ts")
     plan = merged._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(ts,2026-08-05T00:00)" in plan and "LessThan(ts,2026-08-06T00:00)" in plan
