@@ -48,7 +48,7 @@ from marketbars.session import scratch_path
 END_ID = 0
 FRAME_IDS = 1 << 22
 LEVEL = 3
-CACHED_PIECES = 200_000
+CACHED_PIECES = 300_000
 CACHED_LENGTH = 64              # longer pieces are not kept
 
 # fixed values of the seekable zstandard format
