@@ -6,7 +6,9 @@ TF-IDF vectors over the templates' words: term counts times
 ``log((1 + N) / (1 + df)) + 1``, with df counted over all candidates of all files.
 A file's own licence is the template of the highest cosine, if that reaches the
 threshold. Words outside the templates count in a candidate's length, so long
-prose that mentions a licence scores low.
+prose that mentions a licence scores low. Their df is counted too with ``all_words``,
+as the registered query has it, so that weights follow the words' shares of the
+candidates; without, it is taken as 0, and their weight grows with N.
 
 A file without a licence of its own inherits from the nearest directory above it
 (its own first) whose licence file has one: distinct directories are expanded
@@ -29,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import LOWER_BYTES, alnum_words, binary_rows, record_batches, stage
+from marketbars.llm.common import (LOWER_BYTES, alnum_words, ascii_lower, binary_rows,
+                                   record_batches, stage)
 
 THRESHOLD = 0.55
 LICENSE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.\-_].*)?$"
@@ -99,11 +102,11 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Scorer:
-    """Cosines to the templates, with idf from the candidates' counts."""
+    """Cosines to the templates, with idf from the candidates' counts; the square
+    length of a candidate's words that no template has is given."""
 
     def __init__(self, templates, total: int, df: dict[str, int]):
         self.idf = lambda w: log((1 + total) / (1 + df.get(w, 0))) + 1
-        self.other = log(1 + total) + 1         # words that no template has
         self.names = [name for name, _ in templates]
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for i, (_, text) in enumerate(templates):
@@ -115,55 +118,89 @@ class Scorer:
     def _weights(self, counts: Counter) -> dict[str, float]:
         return {w: c * self.idf(w) for w, c in counts.items()}
 
-    def best(self, text: bytes) -> tuple[str, float]:
-        counts = Counter(words_of(text))
+    def others(self, text: bytes) -> dict[str, int]:
+        """The words that no template has, with their counts."""
+        return {w: c for w, c in Counter(words_of(text)).items() if w not in self.postings}
+
+    def best(self, text: bytes, others: float) -> tuple[str, float]:
         scores = [0.0] * len(self.names)
-        square = 0.0
-        for word, c in counts.items():
+        square = others
+        for word, c in Counter(words_of(text)).items():
             if word in self.postings:
                 x = c * self.idf(word)
+                square += x * x
                 for i, y in self.postings[word]:
                     scores[i] += x * y
-            else:
-                x = c * self.other
-            square += x * x
         # rounded: equal texts score equally, however their terms were added up
         found = [round(s / sqrt(square), 12) if square else 0.0 for s in scores]
         top = max(range(len(found)), key=lambda i: (found[i], -i))
         return self.names[top], found[top]
 
+    def at_most(self, text: bytes) -> float:
+        """No less than the best score: no word weighs less than 1."""
+        return self.best(text, float(sum(c * c for c in self.others(text).values())))[1]
+
 
 def words_of(text: bytes) -> list[str]:
     return [w.decode() for w in alnum_words(text)]
 
 
-def own_licenses(files: DataFrame, templates=TEMPLATES,
-                 threshold: float = THRESHOLD) -> DataFrame:
+def own_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
+                 all_words: bool = False) -> DataFrame:
     """(path, id, license, score): each file's best candidate that reaches the
-    threshold; ``files(path, id, text)``."""
+    threshold; ``files(path, id, text)``.
+
+    The words of all candidates stay on Spark: only the templates' words are
+    collected, and only the other words of candidates that can still reach the
+    threshold are joined to their counts."""
     spark = files.sparkSession
     found = stage(files.select("path", F.col("id").cast("long"),
                                F.coalesce(is_license_file(F.col("path")), F.lit(False))
                                .alias("whole"), F.col("text"))
-                  .mapInArrow(_find, "path string, id long, text string"), "license-lines")
+                  .mapInArrow(_find, "path string, id long, text string")
+                  .withColumn("c", F.monotonically_increasing_id()), "license-lines")
     vocabulary = sorted({w for _, t in templates for w in words_of(t.encode())})
-    lower = F.lower("text")
-    words = F.array_distinct(F.regexp_extract_all(lower, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"),
+    words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")),
+                                                  F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"),
                                                   F.lit(1)))
-    counts = (found.select(F.explode(words).alias("w")).where(F.col("w").isin(vocabulary))
-              .groupBy("w").agg(F.count(F.lit(1)).alias("df")).collect())  # the templates' words
-    scorer = spark.sparkContext.broadcast(
-        (templates, found.count(), {row.w: row.df for row in counts}))
+    counts = found.select(F.explode(words).alias("w"))
+    if not all_words:
+        counts = counts.where(F.col("w").isin(vocabulary))
+    counts = stage(counts.groupBy("w").agg(F.count(F.lit(1)).alias("df")), "license-words")
+    total = found.count()
+    known = counts.where(F.col("w").isin(vocabulary)).collect()         # the templates' words
+    scorer = spark.sparkContext.broadcast((templates, total, {row.w: row.df for row in known}))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Scorer(*scorer.value)
+        for batch in batches:
+            yield batch.filter(pa.array([own.at_most(t) >= threshold - 1e-9
+                                         for t in binary_rows(batch, "text")], pa.bool_()))
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Scorer(*scorer.value)
+        schema = pa.schema([("c", pa.int64()), ("w", pa.string()), ("n", pa.int64())])
+        yield from record_batches(((c, w, n) for batch in batches
+                                   for c, t in zip(batch.column(0).to_pylist(),
+                                                   binary_rows(batch, "text"))
+                                   for w, n in own.others(t).items()), schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Scorer(*scorer.value)
         for batch in batches:
-            best = [own.best(t) for t in binary_rows(batch, "text")]
+            best = [own.best(t, x) for t, x in zip(binary_rows(batch, "text"),
+                                                   batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([b[0] for b in best], pa.string()),
                  pa.array([b[1] for b in best], pa.float64())],
                 names=["path", "id", "license", "score"])
-    return (found.mapInArrow(score, "path string, id long, license string, score double")
+    kept = stage(found.mapInArrow(near, found.schema), "license-near")
+    weight = F.col("n") * (F.log((1 + total) / (1 + F.coalesce("df", F.lit(0)))) + 1)
+    square = (kept.select("c", "text").mapInArrow(others, "c long, w string, n long")
+              .join(counts, "w", "left").groupBy("c").agg(F.sum(weight * weight).alias("others")))
+    return (kept.join(square, "c", "left")
+            .select("path", "id", "text", F.coalesce("others", F.lit(0.0)).alias("others"))
+            .mapInArrow(score, "path string, id long, license string, score double")
             .where(F.col("score") >= threshold).groupBy("path", "id")
             .agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
             .select("path", "id", F.col("b.license").alias("license"),
@@ -185,11 +222,11 @@ def nearest_directories(dirs: DataFrame, licensed: DataFrame) -> DataFrame:
                     F.col("n.from_dir").alias("from_dir")))
 
 
-def scan_licenses(files: DataFrame, templates=TEMPLATES,
-                  threshold: float = THRESHOLD) -> DataFrame:
+def scan_licenses(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
+                  all_words: bool = False) -> DataFrame:
     """One row per file: id, path, own (licence or null), score, license (own, else
     inherited, else null), from_dir (where it is inherited from)."""
-    own = stage(own_licenses(files, templates, threshold), "own-licenses")
+    own = stage(own_licenses(files, templates, threshold, all_words), "own-licenses")
     licensed = (own.where(is_license_file(F.col("path")))
                 .groupBy(directory(F.col("path")).alias("dir"))
                 .agg(F.min(F.struct((-F.col("score")).alias("s"), "path", "license")).alias("b"))

@@ -184,7 +184,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketbars.llm.license_scan import scan_licenses
     files = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), document_path().alias("path"), "text")
-    return scan_licenses(files).select(
+    return scan_licenses(files, all_words=True).select(
         F.col("id").alias("doc_id"), "path", "own", F.round("score", 9).alias("score"),
         "license", "from_dir")
 

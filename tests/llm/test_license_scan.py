@@ -85,3 +85,24 @@ def test_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert ls.scan_licenses(files_of(spark, [])).collect() == []
+
+
+def test_common_words_weigh_by_share_not_by_table_size(spark):
+    notice = "Licensed under the Apache License, Version 2.0, see LICENSE for copyright years"
+
+    def score(n):
+        rows = [(f"s/{i}.c", notice if i % 4 else "copyright years of the license, see " + prose(i, 6))
+                for i in range(n)]
+        out = ls.scan_licenses(files_of(spark, rows).repartition(4), all_words=True).collect()
+        scores = {r.score for r in out if r.id % 4}
+        assert len(scores) == 1 and all(r.own == "Apache-2.0" for r in out if r.id % 4)
+        return scores.pop()
+    assert score(2_000) == pytest.approx(score(40), abs=0.02)
+
+
+def test_all_words_against_brute_force(spark):
+    words = sorted({w for _, t in ROWS for w in ls.words_of((t or "").encode())})
+    counted = ls.TEMPLATES + tuple(("none", w) for w in words)
+    out = ls.scan_licenses(files_of(spark, ROWS).repartition(4), all_words=True).collect()
+    got = sorted((r.id, r.own, r.score, r.license, r.from_dir) for r in out)
+    assert got == brute(ROWS, counted)      # templates of one word, never the best, count every word
