@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +48,6 @@ def _py_set_text(values: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(quoted, ", "), F.lit("}"))
 
 
-LISTED_TYPES = 100
-
-
 def invalid_type_counts(df: DataFrame, group_by: Sequence[str] = (), col: str = "OptionType",
                         allowed: Sequence[str] = tuple(OPTION_TYPES)) -> DataFrame:
     """Every invalid value per group, with its rows: [group columns], ``col``, rows."""
@@ -59,18 +56,12 @@ def invalid_type_counts(df: DataFrame, group_by: Sequence[str] = (), col: str =
 
 
 def _listed_types(df: DataFrame, group_by: Sequence[str], col: str = "OptionType",
-                  allowed: Sequence[str] = tuple(OPTION_TYPES),
-                  listed: int = LISTED_TYPES) -> DataFrame:
-    """[group columns], invalid_types: the first ``listed`` invalid values of each
-    group in order. Dirty free text can have any number of values, so they are
-    counted in a distributed way and only a bounded list is put into one row."""
+                  allowed: Sequence[str] = tuple(OPTION_TYPES)) -> DataFrame:
+    """[group columns], invalid_types: all invalid values of each group in order.
+    Dirty free text can have any number of values, so the rows are first brought
+    down to one a value in a distributed way; a group's row holds each value once."""
     counts = invalid_type_counts(df, group_by, col, allowed)
-    if not group_by:
-        first = counts.orderBy(col).limit(listed)
-        return first.agg(F.array_sort(F.collect_list(col)).alias("invalid_types"))
-    w = Window.partitionBy(*group_by).orderBy(col)
-    first = counts.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= listed)
-    return first.groupBy(*group_by).agg(F.array_sort(F.collect_list(col)).alias("invalid_types"))
+    return counts.groupBy(*group_by).agg(F.array_sort(F.collect_list(col)).alias("invalid_types"))
 
 
 def with_invalid_types(report: DataFrame, df: DataFrame, group_by: Sequence[str] = (),
@@ -92,8 +83,8 @@ def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLU
     """Counts of every check plus ``ok`` and the ordered ``errors`` list.
 
     Output columns: [group columns], rows, missing_<col> for each expected column
-    present, invalid_types (sorted array, at most ``LISTED_TYPES``; see
-    ``invalid_type_counts`` for all of them), duplicate_rows, ohlc_violations,
+    present, invalid_types (sorted array of all of them; ``invalid_type_counts`` has
+    a row for each), duplicate_rows, ohlc_violations,
     nonpositive_strikes, ok, errors (array of messages in check order).
     With ``group_by`` the verdict is computed per group in the same job.
     """
