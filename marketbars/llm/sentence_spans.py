@@ -9,8 +9,15 @@ within a document by position.
 
 Runs are compared by the words of their sentences (runs of characters other than
 ASCII punctuation and spaces, A-Z lower-cased) through 64-bit hashes. Sentences
-end at ``.``, ``!`` or ``?`` before white space, and at line breaks; those without
-words count as none.
+end at ``.``, ``!`` or ``?`` before white space, at the full stops and question and
+exclamation marks of other scripts, and at line breaks; those without words count
+as none.
+
+A sentence of more than ``LONG`` words counts as several: it is cut before the word
+of the least hash of every ``WINDOW`` words in a row, the last one of equals. A cut
+depends on fewer than ``WINDOW`` words on either side, and no piece has more than
+``WINDOW`` words, so of 51 words in a row that two long sentences share, there is
+always a run of whole pieces that both have.
 
 Defined cases: null and empty texts have no sentences; a null doc_id comes after
 all others; rows that repeat a doc_id count as one document, whose runs are
@@ -23,37 +30,71 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import alnum_words, binary_rows, record_batches, stage
+from marketbars.llm.common import WORD_BYTES, alnum_words, binary_rows, record_batches, stage
 
 SENTENCES = 2
 MIN_WORDS = 20
+LONG = MIN_WORDS
+WINDOW = 8
 LAST = (1 << 63) - 1
 
-_ENDS = re.compile(rb"[.!?]+(?=[ \t\r\x0b\x0c\n]|\Z)[ \t\r\x0b\x0c]*\n*|\n+")
+_OTHER_ENDS = "|".join("\u3002 \uff01 \uff1f \uff0e \uff61 \u061f \u06d4 \u0964 \u0965 \u1362 \u1367".split())
+_ENDS = re.compile(rb"(?:[.!?]+(?=[ \t\r\x0b\x0c\n]|\Z)|(?:" + _OTHER_ENDS.encode() + rb")+)"
+                   rb"[ \t\r\x0b\x0c]*\n*|\n+")
+_WORD = re.compile(rb"[^ ]+")
 
 RUNS = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("length", pa.int32()),
                   ("hash", pa.int64()), ("again", pa.bool_())])
 _RUNS = "doc long, start int, length int, hash long, again boolean"
 
 
+def _picked(words: list[bytes]) -> Iterator[int]:
+    """The place of the word of the least hash of every ``WINDOW`` words in a row."""
+    hashes = [xxhash.xxh3_64_intdigest(w) for w in words]
+    least = -1
+    for start in range(len(words) - WINDOW + 1):
+        last = start + WINDOW - 1
+        if least < start:
+            window = hashes[start:last + 1]
+            least = last - window[::-1].index(min(window))
+        elif hashes[last] <= hashes[least]:
+            least = last
+        else:
+            continue
+        yield least
+
+
+def _pieces(text: bytes, start: int, end: int,
+            words: list[bytes]) -> Iterator[tuple[int, int, list[bytes]]]:
+    """The sentence from ``start`` to ``end``, cut if it is long."""
+    if len(words) <= LONG:
+        yield start, end, words
+        return
+    places = [start + m.start() for m in _WORD.finditer(text[start:end].translate(WORD_BYTES))]
+    cuts = [0, *(i for i in _picked(words) if i), len(words)]
+    for i, j in pairwise(cuts):
+        yield (places[i] if i else start, places[j] if j < len(words) else end, words[i:j])
+
+
 def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
-    """(from, to, words) of the sentences that have words; ``to`` includes the
-    white space after a sentence."""
+    """(from, to, words) of the sentences that have words, long ones in pieces; ``to``
+    includes the white space after a sentence."""
     out, at = [], 0
     for end in _ENDS.finditer(text):
         words = alnum_words(text[at:end.end()])
         if words:
-            out.append((at, end.end(), words))
+            out += _pieces(text, at, end.end(), words)
             at = end.end()
     words = alnum_words(text[at:])
     if words:
-        out.append((at, len(text), words))
+        out += _pieces(text, at, len(text), words)
     return out
 
 

@@ -81,3 +81,43 @@ def test_null_and_repeated_ids_and_empty(spark, documents):
     got = sorted((str(r.doc_id), r.n_removed > 0) for r in ss.span_report(documents(rows)).collect())
     assert got == [("5", False), ("5", False), ("None", True)]
     assert ss.span_report(documents([])).collect() == []
+
+
+def plain(seed, n):
+    rng = random.Random(seed)
+    return " ".join(f"v{rng.randrange(4000):x}" for _ in range(n))
+
+
+def test_passages_inside_one_sentence_go(spark, documents):
+    rows, after = [], 1000
+    for i in range(40):
+        passage = plain(i, 51 + i)
+        rows += [(i, f"{plain(100 + i, 9)} {passage} {plain(200 + i, 12)}."),
+                 (after + i, f"{plain(300 + i, 30)} {passage}, {plain(400 + i, 5)}")]
+    rows += [(3000, rows[0][1]), (3001, plain(500, 300)), (3002, plain(500, 300))]
+    kept = {r.doc_id: alnum_words(r.text.encode()) for r in ss.remove_repeats(documents(rows)).collect()}
+    for i in range(40):
+        assert kept[i] == alnum_words(dict(rows)[i].encode())
+        passage = alnum_words(plain(i, 51 + i).encode())
+        left = b" ".join(kept[after + i])
+        assert b" ".join(passage) not in left
+        assert len(kept[after + i]) <= 35 + len(passage) - 20
+    assert kept[3000] == [] and kept[3001] == alnum_words(plain(500, 300).encode())
+    assert kept[3002] == []
+
+
+def test_long_sentences_are_cut_by_content():
+    for text in (plain(1, 400), "no end " * 300, "a, (b) c; " * 50 + "d!", plain(2, 21) + ". " + plain(3, 20)):
+        raw = text.encode()
+        parts = ss.sentences(raw)
+        assert [w for _, _, words in parts for w in words] == alnum_words(raw)
+        assert parts[0][0] == 0 and parts[-1][1] == len(raw)
+        assert all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
+        assert all(alnum_words(raw[a:b]) == words for a, b, words in parts)
+        assert max(len(words) for _, _, words in parts) <= ss.LONG
+    assert len(ss.sentences(plain(3, 20).encode())) == 1
+
+
+def test_sentence_ends_of_other_scripts():
+    text = "\u4e00\u4e8c\u3002\u4e09\uff01\u0915 \u0916\u0964 \u0917"
+    assert [len(words) for _, _, words in ss.sentences(text.encode())] == [1, 1, 2, 1]
