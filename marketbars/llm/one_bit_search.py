@@ -160,6 +160,12 @@ class _Best:
         all_q = np.concatenate([np.repeat(touched, self.k), q])
         all_id = np.concatenate([self.found[touched].ravel(), ids])
         all_score = np.concatenate([self.scores[touched].ravel(), score])
+        # an id with several vectors takes one place, at its best score
+        order = np.lexsort((-all_score, all_id, all_q))
+        all_q, all_id, all_score = all_q[order], all_id[order], all_score[order]
+        again = (all_q[1:] == all_q[:-1]) & (all_id[1:] == all_id[:-1]) & (all_score[1:] > -np.inf)
+        keep = np.concatenate([[True], ~again])
+        all_q, all_id, all_score = all_q[keep], all_id[keep], all_score[keep]
         order = np.lexsort((all_id, -all_score, all_q))
         all_q, all_id, all_score = all_q[order], all_id[order], all_score[order]
         start = np.searchsorted(all_q, touched)

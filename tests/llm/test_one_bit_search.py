@@ -80,3 +80,15 @@ def test_blocks_of_queries_and_empty_tables(spark, monkeypatch):
     assert run(spark, rows, list(range(0, 120, 10))) == one
     assert run(spark, rows[:3], [0]) and len(run(spark, rows[:3], [0])[0]) == 2
     assert run(spark, [], []) == {}
+
+
+def test_an_id_with_several_near_vectors_takes_one_place(spark):
+    rng = np.random.default_rng(11)
+    base = rng.standard_normal(16)
+    near = [(9, (base + 0.01 * rng.standard_normal(16)).tolist()) for _ in range(30)]
+    near += [(8, (base + 0.02 * rng.standard_normal(16)).tolist()) for _ in range(30)]
+    far = [(100 + i, rng.standard_normal(16).tolist()) for i in range(30)]
+    rows = [(1, base.tolist()), *near, *far]
+    expected, got = brute(rows, [1, 8], 5), run(spark, rows, [1, 8])
+    for q in (1, 8):
+        assert len(got[q]) == 5 and [i for i, _ in got[q]] == [i for i, _ in expected[q]]
