@@ -195,3 +195,53 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from marketbars.llm.sentence_spans import span_report
     return span_report(table(spark, sf_dir, "documents"))
+
+
+# ---- 11: collocations --------------------------------------------------------------------
+
+@query("op11_collocations", r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT lang, unnest(string_split_regex(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+sized AS (SELECT lang, ws, unnest([1, 2, 3, 4]) AS k FROM pieces WHERE len(ws) > 0),
+grams AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM sized WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 30),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, l.a AS l, r.a AS r, 2000000 * c.a // (l.a + r.a) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:c.cut], ' ')
+              JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[c.cut + 1:c.k], ' ')),
+least_cut AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i:i + size - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, a, k, ws, size, unnest(range(1, k - size + 2)) AS i
+        FROM (SELECT *, unnest(range(2, k)) AS size FROM c)) GROUP BY 1, 2),
+kept AS (
+  SELECT s.* FROM least_cut s LEFT JOIN inside i USING (lang, phrase)
+  WHERE i.longer IS NULL OR 100 * i.longer < 80 * s.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+""")
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+# ---- 13: cross-tokenizer alignment -----------------------------------------------------------
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.token_alignment import alignment_report
+    return alignment_report(table(spark, sf_dir, "documents"), tokenizer_file(),
+                            tokenizer_file("piece_bpe_32k.model"))
