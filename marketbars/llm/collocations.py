@@ -6,17 +6,18 @@ words inside a piece, has a Rabin-Karp fingerprint: polynomials over a batch's b
 numpy prefix sums give the words' fingerprints, and polynomials over those, again as
 prefix sums, the phrases' (modulo 2^64; the bases are odd, so they have inverses).
 
-Phrases are counted by length. A batch first adds up its own equal phrases, a shuffle
-aggregates (language, fingerprint): the count, the place of an occurrence (the hash of
-its text, the offset and length there), and the least and greatest of a second,
-independent fingerprint. Only phrases with ``least`` occurrences are kept, and only phrases
-whose two shorter ends were kept are counted at the next length (no phrase occurs more
-often than its parts). The tasks test that in a bitmap of fixed size
-(``bits`` bits): false positives cost rows, never results.
-
-The kept phrases alone are spelt out, from the places of their occurrences. Spelt texts must
-give both fingerprints back; where a fingerprint's second one is not the same everywhere,
-different phrases have met in it, and its phrases are counted again by their texts.
+Phrases are counted by length. A batch first adds up its own equal phrases; a shuffle
+aggregates by fingerprint (mixed with the language) and a second, independent fingerprint
+the count and the place of an occurrence: the least hash of a text that holds the
+phrase. Only phrases with ``least`` occurrences are kept, and only phrases whose two shorter
+ends were kept are counted at the next length (no phrase occurs more often than its
+parts). The tasks test that in a bitmap of fixed size (``bits`` bits): false positives
+cost rows, never results.
+
+The kept phrases alone are spelt out, from the texts at the places of their occurrences:
+the words that give both fingerprints back there. Phrases that meet in one fingerprint are
+told apart by the other, and words of over ``LONG_WORD`` bytes, among which polynomials
+modulo 2^64 have known collisions, are hashed by xxHash.
 
 Scores and the comparison of counts are integer arithmetic in decimals of 38 digits.
 
@@ -42,7 +43,8 @@ LONGEST = 4
 LEAST = 30
 TOP = 2000
 BITS = 27               # bitmap of kept fingerprints: 2^27 bits, 16 MB
-CHUNK_BYTES = 2 << 20   # texts fingerprinted at once (a longer text is taken alone)
+CHUNK_BYTES = 1 << 20   # texts fingerprinted at once (a longer text is taken alone)
+LONG_WORD = 256
 NO_LANG = "und"
 
 PIECE_END = np.zeros(256, bool)
@@ -70,8 +72,8 @@ class Polynomial:
         self.power = self.back = np.ones(1, np.uint64)
 
     def _powers(self, n: int) -> None:
-        if len(self.power) <= n:
-            size = max(n + 1, 2 * len(self.power))
+        if len(self.power) <= n or len(self.power) > 4 * max(n, CHUNK_BYTES):
+            size = 1 << n.bit_length()
             for name, step in (("power", self.base), ("back", self.inverse)):
                 steps = np.full(size, step, np.uint64)
                 steps[0] = 1
@@ -98,8 +100,13 @@ class Fingerprints:
         self.mask = np.uint64((1 << width) - 1)
 
     def of_words(self, data: np.ndarray, starts, ends) -> list[np.ndarray]:
-        return [_mix(p.runs(table[data], starts, ends) + (ends - starts).astype(np.uint64))
-                for p, table in self.bytes]
+        out = [_mix(p.runs(table[data], starts, ends) + (ends - starts).astype(np.uint64))
+               for p, table in self.bytes]
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            word = data[starts[i]:ends[i]].tobytes()
+            for seed, words in enumerate(out):
+                words[i] = xxhash.xxh64_intdigest(word, seed + 1)
+        return out
 
     def of_phrases(self, words: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray]:
         """(first, second) of the ``n`` words from each word on."""
@@ -162,8 +169,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
 
 
 def _mixed(first: np.ndarray, names: list[str] | np.ndarray, lang: np.ndarray) -> np.ndarray:
-    """Fingerprints mixed with their language (a place in ``names``): what the bitmap
-    holds."""
+    """Fingerprints mixed with their language (a place in ``names``)."""
     own = np.array([xxhash.xxh64_intdigest(name.encode()) for name in names], np.uint64)
     return first.view(np.uint64) * np.uint64(_ODD[0]) ^ own[lang]
 
@@ -192,9 +198,7 @@ def _parts(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Kept(bits)
         for batch in batches:
-            langs = batch.column(0).dictionary_encode()
-            own.add(_mixed(batch.column(1).to_numpy(), langs.dictionary.to_pylist(),
-                           langs.indices.to_numpy()))
+            own.add(batch.column(0).to_numpy().view(np.uint64))
         at = np.flatnonzero(own.words)
         for i in range(0, len(at), 10_000):
             yield pa.RecordBatch.from_pydict({
@@ -204,9 +208,9 @@ def _parts(bits: int):
 
 
 def kept_bitmap(rows: DataFrame, bits: int = BITS) -> Kept:
-    """Bitmap of the fingerprints of ``rows(lang, fp)``: every task makes its own, a
+    """Bitmap of the fingerprints of ``rows(fp)``: every task makes its own, a
     shuffle joins them by word, and the driver gets the result of 2^bits bits."""
-    words = (rows.select("lang", "fp").mapInArrow(_parts(bits), "at long, word long")
+    words = (rows.select("fp").mapInArrow(_parts(bits), "at long, word long")
              .groupBy("at").agg(F.bit_or("word").alias("word")).toArrow())
     out = Kept(bits)
     out.words[words.column("at").to_numpy()] = words.column("word").to_numpy().view(np.uint64)
@@ -215,13 +219,13 @@ def kept_bitmap(rows: DataFrame, bits: int = BITS) -> Kept:
 
 # ---- counting ----------------------------------------------------------------
 
-_COUNTED = ("lang string, n int, fp long, a long, low long, high long, "
-            "text_key long, at int, size int")
-_SPELT = "lang string, n int, fp long, phrase string, a long"
+_COUNTED = "fp long, second long, a long, text_key long"
+_SPELT = "lang string, n int, phrase string, a long"
 
 
 def _occurrences(chunk: Words, prints: Fingerprints, n: int, kept: Kept | None):
-    """(word, fingerprint, second) of the phrases of ``n`` words that may be frequent."""
+    """(word, fingerprint with the language, second one) of the phrases of ``n`` words that
+    may be frequent."""
     words = prints.of_words(chunk.data, chunk.starts, chunk.ends)
     some = chunk.phrases(n)
     if kept is not None and some.any():
@@ -230,7 +234,7 @@ def _occurrences(chunk: Words, prints: Fingerprints, n: int, kept: Kept | None):
         some &= there[:len(some)] & there[1:len(some) + 1]
     first, second = prints.of_phrases(words, n)
     at = np.flatnonzero(some)
-    return at, first[at], second[at]
+    return at, _mixed(first[at], chunk.names, chunk.lang[at]).view(np.int64), second[at]
 
 
 def _count(n: int, shared, width: int):
@@ -240,63 +244,59 @@ def _count(n: int, shared, width: int):
             at, first, second = _occurrences(chunk, prints, n, kept)
             if not len(at):
                 continue
-            # equal (language, fingerprint) next to each other, in the texts' order
-            order = np.lexsort((first, chunk.lang[at])) if len(chunk.names) > 1 \
-                else np.argsort(first, kind="stable")
+            # equal fingerprints next to each other
+            order = np.lexsort((second, first))
             at, first, second = at[order], first[order], second[order]
-            lang = chunk.lang[at]
-            new = np.append(True, (first[1:] != first[:-1]) | (lang[1:] != lang[:-1]))
-            cut = np.flatnonzero(new)
-            rep = at[cut]
-            text = chunk.text[rep]
+            cut = np.flatnonzero(np.append(True, (first[1:] != first[:-1])
+                                           | (second[1:] != second[:-1])))
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.DictionaryArray.from_arrays(
-                    pa.array(lang[cut], pa.int32()),
-                    pa.array(chunk.names, pa.string())).cast(pa.string()),
-                "n": pa.array(np.full(len(cut), n, np.int32)),
-                "fp": pa.array(first[cut]),
+                "fp": pa.array(first[cut]), "second": pa.array(second[cut]),
                 "a": pa.array(np.diff(np.append(cut, len(first)))),
-                "low": pa.array(np.minimum.reduceat(second, cut)),
-                "high": pa.array(np.maximum.reduceat(second, cut)),
-                "text_key": pa.array(chunk.keys[text]),
-                "at": pa.array((chunk.starts[rep] - chunk.text_start[text]).astype(np.int32)),
-                "size": pa.array((chunk.ends[rep + n - 1] - chunk.starts[rep]).astype(np.int32)),
-            })
+                "text_key": pa.array(np.minimum.reduceat(chunk.keys[chunk.text[at]], cut))})
     return run
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("text"), F.coalesce("lang", F.lit(NO_LANG)).alias("lang"),
-                       F.xxhash64("text").alias("text_key"))
+    """(text, lang, hash of both)."""
+    lang = F.coalesce("lang", F.lit(NO_LANG)).alias("lang")
+    return docs.select(F.col("text"), lang, F.xxhash64("text", lang).alias("text_key"))
 
 
 def count_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST,
-                  bits: int = BITS, width: int = 64) -> tuple[DataFrame, DataFrame]:
-    """((lang, n): words of each language; kept fingerprints of 1 to ``longest`` words
-    with counts, range of second fingerprints and the place of an occurrence)."""
+                  bits: int = BITS, width: int = 64) -> DataFrame:
+    """(n, fp, second, a, text_key): the fingerprints of the phrases of 1 to ``longest``
+    words with ``least`` occurrences, their counts and a text that holds them."""
     spark = docs.sparkSession
-    texts, shared, totals, levels = _texts(docs), None, None, []
+    texts, shared, levels = _texts(docs), None, []
     for n in range(1, longest + 1):
-        rows = texts.mapInArrow(_count(n, shared, width), _COUNTED)
-        all_rows = (rows.groupBy("lang", "n", "fp")
-                    .agg(F.sum("a").alias("a"), F.min("low").alias("low"),
-                         F.max("high").alias("high"),
-                         F.min(F.struct("text_key", "at", "size")).alias("place")))
-        if n == 1:          # every word is counted, kept or not
-            all_rows = stage(all_rows, "words")
-            totals = all_rows.groupBy("lang").agg(F.sum("a").alias("n"))
-        levels.append(stage(all_rows.where(F.col("a") >= least), f"phrases-{n}"))
+        # columns of fixed width: Spark aggregates them by hash, first in the map tasks
+        rows = (texts.mapInArrow(_count(n, shared, width), _COUNTED)
+                .groupBy("fp", "second").agg(F.sum("a").alias("a"),
+                                             F.min("text_key").alias("text_key"))
+                .where(F.col("a") >= least).withColumn("n", F.lit(n)))
+        levels.append(stage(rows, f"phrases-{n}"))
+        if shared is not None:
+            shared.destroy()
+            shared = None
         if n < longest:
-            kept = kept_bitmap(levels[-1], bits)
-            if shared is not None:
-                shared.destroy()
-            shared = spark.sparkContext.broadcast(kept)     # 2^bits bits
-    if shared is not None:
-        shared.unpersist()
+            shared = spark.sparkContext.broadcast(kept_bitmap(levels[-1], bits))
     counted = levels[0]
     for level in levels[1:]:
         counted = counted.unionByName(level)
-    return totals, counted
+    return counted
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk in _chunks(batches):
+        yield pa.RecordBatch.from_pydict({
+            "lang": pa.array(chunk.names, pa.string()),
+            "n": pa.array(np.bincount(chunk.lang, minlength=len(chunk.names)).astype(np.int64))})
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(lang, n): all words of each language."""
+    return (_texts(docs).mapInArrow(_totals, "lang string, n long")
+            .groupBy("lang").agg(F.sum("n").alias("n")))
 
 
 # ---- spelling ----------------------------------------------------------------
@@ -306,66 +306,39 @@ def _spell(width: int):
         prints = Fingerprints(width)
         for batch in batches:
             out = []
-            for text, places in zip(batch.column(0), batch.column(1)):
+            for text, lang, phrases in zip(*(batch.column(i) for i in range(3))):
                 data = text.as_py().encode().translate(LOWER_BYTES)
-                for p in places.as_py():
-                    own = Words([data[p["at"]:p["at"] + p["size"]]], [p["lang"]], [0])
-                    found = prints.of_phrases(
-                        prints.of_words(own.data, own.starts, own.ends), p["n"])
-                    # a text with another's hash doesn't give both fingerprints back
-                    if (len(own.starts) == p["n"] and int(found[0][0]) == p["fp"]
-                            and p["low"] <= int(found[1][0]) <= p["high"]):
-                        out.append((p["lang"], p["n"], p["fp"], own.spelt(0, p["n"]), p["a"]))
+                chunk = Words([data], [lang.as_py()], [0])
+                wanted: dict[int, dict] = {}
+                for p in phrases.as_py():
+                    wanted.setdefault(p["n"], {})[p["fp"], p["second"]] = p["a"]
+                for n, counts in wanted.items():
+                    at, first, second = _occurrences(chunk, prints, n, None)
+                    some = np.flatnonzero(np.isin(first, [fp for fp, _ in counts]))
+                    for i in some.tolist():
+                        a = counts.pop((int(first[i]), int(second[i])), None)
+                        if a is not None:
+                            out.append((lang.as_py(), n, chunk.spelt(int(at[i]), n), a))
             if out:
                 yield pa.RecordBatch.from_pydict(dict(zip(
-                    ("lang", "n", "fp", "phrase", "a"),
+                    ("lang", "n", "phrase", "a"),
                     (pa.array(c, t) for c, t in zip(zip(*out), (
-                        pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64()))))))
-    return run
-
-
-def _respell(longest: int, shared, width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prints, met = Fingerprints(width), shared.value
-        for chunk in _chunks(batches):
-            for n in range(1, longest + 1):
-                at, first, _ = _occurrences(chunk, prints, n, None)
-                some = np.flatnonzero(
-                    met.has(_mixed(first, chunk.names, chunk.lang[at]))) if len(at) else []
-                for i in range(0, len(some), 20_000):
-                    part = some[i:i + 20_000]
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array(chunk.names[chunk.lang[at[part]]], pa.string()),
-                        "n": pa.array(np.full(len(part), n, np.int32)),
-                        "fp": pa.array(first[part]),
-                        "phrase": pa.array([chunk.spelt(int(at[j]), n) for j in part], pa.string()),
-                        "a": pa.array(np.ones(len(part), np.int64))})
+                        pa.string(), pa.int32(), pa.string(), pa.int64()))))))
     return run
 
 
-def spell_phrases(docs: DataFrame, counted: DataFrame, longest: int = LONGEST,
-                  least: int = LEAST, bits: int = BITS, width: int = 64) -> DataFrame:
-    """(lang, n, phrase, a) of the counted fingerprints, exact."""
-    sure, met = counted.where("low = high"), counted.where("low <> high")
-    places = (sure.select("place.*", "lang", "n", "fp", "a", "low", "high")
-              .groupBy("text_key")      # a text's own frequent phrases
-              .agg(F.collect_list(F.struct("at", "size", "lang", "n", "fp", "a", "low", "high"))
-                   .alias("places")))
-    places = stage(places, "places")        # of known size: small, it is broadcast
-    named = docs.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("text_key"))
-    spelt = (named.join(places, "text_key").groupBy("text_key")
-             .agg(F.any_value("text").alias("text"), F.any_value("places").alias("places"))
-             .select("text", "places").mapInArrow(_spell(width), _SPELT))
-    out = stage(spelt.distinct(), "spelt")
-    if met.isEmpty():
-        return out.drop("fp")
-    shared = docs.sparkSession.sparkContext.broadcast(
-        kept_bitmap(met, bits))
-    again = (_texts(docs).mapInArrow(_respell(longest, shared, width), _SPELT)
-             .join(met.select("lang", "n", "fp"), ["lang", "n", "fp"], "left_semi")
-             .groupBy("lang", "n", "phrase").agg(F.sum("a").alias("a"))
-             .where(F.col("a") >= least))
-    return stage(out.drop("fp").unionByName(again), "spelt-again")
+def spell_phrases(docs: DataFrame, counted: DataFrame, width: int = 64) -> DataFrame:
+    """(lang, n, phrase, a) of the counted fingerprints."""
+    places = stage(counted.groupBy("text_key")      # a text's own frequent phrases
+                   .agg(F.collect_list(F.struct("n", "fp", "second", "a")).alias("phrases")),
+                   "places")                        # of known size: small, it is broadcast
+    # equal texts give equal phrases: one of them stays
+    spelt = (_texts(docs.where("text IS NOT NULL")).join(places, "text_key")
+             .groupBy("text_key").agg(F.any_value("text").alias("text"),
+                                      F.any_value("lang").alias("lang"),
+                                      F.any_value("phrases").alias("phrases"))
+             .select("text", "lang", "phrases").mapInArrow(_spell(width), _SPELT))
+    return stage(spelt, "spelt")
 
 
 # ---- scoring -----------------------------------------------------------------
@@ -418,6 +391,6 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     """The ``top`` collocations of each language of ``docs(text, lang)``: lang, rank,
     phrase, a, l and r (of the lowest-scoring cut), n, score."""
     with arrow_rows(docs.sparkSession):
-        totals, counted = count_phrases(docs, longest, least, bits, width)
-        phrases = spell_phrases(docs, counted, longest, least, bits, width)
+        totals = stage(count_words(docs), "word-totals")
+        phrases = spell_phrases(docs, count_phrases(docs, longest, least, bits, width), width)
     return score_phrases(totals, phrases, longest, top)
