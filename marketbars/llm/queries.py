@@ -238,6 +238,14 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+# ---- 12: HTML extraction --------------------------------------------------------------------
+
+@query("op12_main_text")
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from marketbars.llm.page_template import extract_pages
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 # ---- 13: cross-tokenizer alignment -----------------------------------------------------------
 
 @query("op13_alignment")

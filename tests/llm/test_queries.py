@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 SMALL = "/root/testdata/sf0.001"
 NAMES = ["op1_line_dedup", "op2_decontaminate", "op3_quality", "op4_nearest", "op5_token_files",
          "op6_jaccard_join", "op7_license_scan", "op8_sentence_spans", "op9_mixing",
-         "op10_url_filter", "op11_collocations", "op13_alignment", "pipeline"]
+         "op10_url_filter", "op11_collocations", "op12_main_text", "op13_alignment", "pipeline"]
 
 
 def test_every_operator_is_registered_once():
