@@ -19,9 +19,9 @@ from marketbars.schemas import (
     FUTURES_COLUMNS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, OPTIONS_SCHEMA,
     FUTURES_SCHEMA, SPOT_SCHEMA,
 )
+from marketbars.sources.readers import ARRIVAL
 
 OK, NO_DATA, FAILED = "ok", "no_data", "failed"
-ARRIVAL = "_arrival"            # a row's place in its response, dropped on write
 
 
 def is_no_data(s: Column, message: Column) -> Column:

@@ -17,6 +17,8 @@ DRY_RUN = "dry_run"
 CREATED = "created"
 UPDATED = "updated"
 UNDATED = "undated"              # rows without a date: quarantined
+UNROUTED = "unrouted"            # rows that no target takes: dead letters
+RELEASED = "released"            # quarantined rows, accepted and merged
 
 
 def parse_ledger(ledger: DataFrame, text_col: str = "dates_json") -> DataFrame:

@@ -26,8 +26,8 @@ from marketbars.operators.routing import exchange_dim, route_exchange
 from marketbars.schemas import (
     DEFAULT_UNDERLYINGS, FUTURES_COLUMNS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS,
 )
-from marketbars.session import remove_path, scratch_path
-from marketbars.sinks.writers import PART_COL, move_partitions, stage_and_publish, verified_write
+from marketbars.sinks.journal import staging_path
+from marketbars.sinks.writers import PART_COL, stage_and_publish
 from marketbars.sources.catalog import index_dim
 from marketbars.sources.readers import partition_dirs, valid_table
 
@@ -156,19 +156,19 @@ WRITTEN_SCHEMA = "kind string, exchange string, date date, rows bigint, status s
 def _write_options(spark: SparkSession, options: DataFrame, out_dir: str, validate: bool) -> list:
     """Stage all subsets, judge the staged rows, publish the subsets that pass."""
     routed = route_exchange(options, exchange_dim(spark))
-    staging = scratch_path(spark, "options")
-    rows = verified_write(spark, routed.select(*OPTIONS_COLUMNS, "exchange", F.col("Date").alias(PART_COL)),
-                          staging, ["exchange", PART_COL],
-                          sort_within=["Underlying", "Expiry", "Strike", "OptionType", "Time"])
-    if not rows:
+    target, verdicts = f"{out_dir}/options", []
+
+    def passed(staging: str) -> list[tuple[str, str]]:
+        staged = spark.read.parquet(staging).drop(PART_COL)
+        # a few exchanges times the days of the run
+        verdicts.extend(options_verdicts(staged).select("exchange", "Date", "rows", "ok", "errors").collect())
+        return [(f"exchange={v['exchange']}", f"{PART_COL}={v['Date']}")
+                for v in verdicts if v["ok"] or not validate]
+    if not stage_and_publish(
+            spark, routed.select(*OPTIONS_COLUMNS, "exchange", F.col("Date").alias(PART_COL)),
+            staging_path(spark, target, "options"), target, ["exchange", PART_COL],
+            ["Underlying", "Expiry", "Strike", "OptionType", "Time"], only=passed):
         return [("options", None, None, 0, "empty", "no options rows for any exchange")]
-    staged = spark.read.parquet(staging).drop(PART_COL)
-    # a few exchanges times the days of the run
-    verdicts = options_verdicts(staged).select("exchange", "Date", "rows", "ok", "errors").collect()
-    good = {(f"exchange={v['exchange']}", f"{PART_COL}={v['Date']}")
-            for v in verdicts if v["ok"] or not validate}
-    move_partitions(spark, staging, f"{out_dir}/options", 2, good)
-    remove_path(spark, staging)
     return [("options", v["exchange"], v["Date"], v["rows"],
              "written" if v["ok"] or not validate else "invalid", "; ".join(v["errors"]) or None)
             for v in verdicts]
@@ -177,8 +177,8 @@ def _write_options(spark: SparkSession, options: DataFrame, out_dir: str, valida
 def _write_days(spark: SparkSession, kind: str, rows: DataFrame, date, out_dir: str,
                 partition_by, sort_within, fmt: str) -> list:
     dated = rows.withColumn(PART_COL, date)
-    staging = scratch_path(spark, kind)
-    if not stage_and_publish(spark, dated, staging, f"{out_dir}/{kind}", partition_by,
+    target = f"{out_dir}/{kind}"
+    if not stage_and_publish(spark, dated, staging_path(spark, target, kind), target, partition_by,
                              sort_within, fmt):
         return [(kind, None, None, 0, "empty", f"no {kind} rows")]
     counted = rows.groupBy(date.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()

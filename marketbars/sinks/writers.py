@@ -1,31 +1,62 @@
 """Partitioned writers with read-back verification.
 
 Publishing follows stage -> verify -> publish: rows are written once, to a
-staging path under the shared checkpoint folder; the staged row count is checked
-against the count observed while writing; then the verified partition directories
-are moved into the target in place of the old ones (untouched partitions are never
-rewritten), the published partitions are counted again, and the staging is removed.
+staging path under the shared checkpoint folder; the staged rows are read back, and their
+number and content checksum compared with those observed while writing; then the verified
+partition directories are moved into the target under a journal (``sinks.journal``),
+compared again there, and the staging removed.
+
+The checksum is a sum over the rows' hashes, so it doesn't depend on their order, and
+values that change, or change places between rows, change it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from py4j.protocol import Py4JError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketbars.functions.timefmt import bar_timestamp_text
-from marketbars.session import remove_path, scratch_path
+from marketbars.session import remove_path
+from marketbars.sinks.journal import WriteError, publish, staging_path
 
 PART_COL = "trade_date"
 
 
-class WriteError(RuntimeError):
-    pass
-
-
-def _layout(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[str]) -> DataFrame:
+def _hashed(schema: T.StructType, fmt: str, partition_by: Sequence[str]) -> Column:
+    """The hash of a row. In CSV, a value is its text, and a missing one is the empty
+    text; time stamps with a zone have a format of their own there and are left out."""
+    out = []
+    for f in schema.fields:
+        value = F.col(f"`{f.name}`")
+        if fmt == "csv" and f.name not in partition_by:
+            if f.dataType == T.TimestampType():
+                continue
+            value = F.coalesce(value.cast("string"), F.lit(""))
+        elif isinstance(f.dataType, T.MapType):
+            value = F.array_sort(F.map_entries(value))
+        out.append(value)
+    return F.xxhash64(*out) if out else F.lit(0).cast("bigint")
+
+
+def content_sum(schema: T.StructType, fmt: str = "parquet",
+                partition_by: Sequence[str] = ()) -> list[Column]:
+    """Aggregates that give a table's rows and its checksum: the sums of the three
+    parts of 21 bits and more of each row's hash (no sum of fewer than 2^42 rows
+    overflows)."""
+    h = _hashed(schema, fmt, partition_by)
+    part = (1 << 21) - 1
+    return [F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(h.bitwiseAND(F.lit(part))), F.lit(0)).alias("low"),
+            F.coalesce(F.sum(F.shiftright(h, 21).bitwiseAND(F.lit(part))), F.lit(0)).alias("middle"),
+            F.coalesce(F.sum(F.shiftrightunsigned(h, 42)), F.lit(0)).alias("high")]
+
+
+def _layout(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[str],
+            observe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows laid out for a partitioned write.
 
     ``rebalance`` on the partition columns (not ``repartition``): a day that
@@ -33,33 +64,48 @@ def _layout(df: DataFrame, partition_by: Sequence[str], sort_within: Sequence[st
     landing in one, and small days are merged. Each task then sorts by the
     partition columns first, which is the order the file writer needs (so it
     adds no sort of its own that would undo ``sort_within``).
+
+    ``observe`` sees the rows behind that shuffle, in the tasks that write: map tasks
+    that a lost executor has repeated would be observed twice.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    if observe is not None:
+        df = observe(df)
     order = [*partition_by, *sort_within]
     return df.sortWithinPartitions(*order) if order else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                  mode: str = "errorifexists", sort_within: Sequence[str] = ()) -> None:
+                  mode: str = "errorifexists", sort_within: Sequence[str] = (),
+                  observe: Callable[[DataFrame], DataFrame] | None = None) -> None:
     """zstd Parquet. ``errorifexists`` is the no-clobber guard; ``overwrite``
     with dynamic partition overwrite replaces only the partitions written.
     ``sort_within`` clusters rows inside each file (better row-group stats)."""
-    writer = (_layout(df, partition_by, sort_within).write.mode(mode).option("compression", "zstd")
+    writer = (_layout(df, partition_by, sort_within, observe).write.mode(mode)
+              .option("compression", "zstd")
               .option("partitionOverwriteMode", "dynamic"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-              mode: str = "errorifexists", sort_within: Sequence[str] = ()) -> None:
-    """CSV with header; NTZ timestamps as ``yyyy-MM-dd HH:mm:ss``."""
-    out = _layout(df, partition_by, sort_within)
-    out = out.select(*[bar_timestamp_text(F.col(f.name)).alias(f.name)
+def _csv_text(df: DataFrame) -> DataFrame:
+    """NTZ timestamps as ``yyyy-MM-dd HH:mm:ss``."""
+    return df.select(*[bar_timestamp_text(F.col(f.name)).alias(f.name)
                        if f.dataType.typeName() == "timestamp_ntz" else F.col(f.name)
                        for f in df.schema.fields])
-    writer = out.write.mode(mode).option("header", True).option("partitionOverwriteMode", "dynamic")
+
+
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+              mode: str = "errorifexists", sort_within: Sequence[str] = (),
+              observe: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """CSV with header; NTZ timestamps as ``yyyy-MM-dd HH:mm:ss``; blanks around a
+    value are kept."""
+    out = _csv_text(_layout(df, partition_by, sort_within, observe))
+    writer = (out.write.mode(mode).option("header", True)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+              .option("partitionOverwriteMode", "dynamic"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -68,103 +114,104 @@ def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 _WRITERS = {"parquet": write_parquet, "csv": write_csv}
 
 
-def count_rows(spark: SparkSession, path: str, fmt: str = "parquet",
-               dirs: Sequence[str] | None = None) -> int:
+def read_back(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+              partition_by: Sequence[str] = (), dirs: Sequence[str] | None = None) -> tuple:
+    """Rows and checksum of what is stored under ``path`` (of ``dirs`` only, if given)."""
     reader = spark.read.option("basePath", path)
     if fmt == "csv":
+        # the file's columns are texts, in the order of the table without its partitions
+        schema = T.StructType(
+            [T.StructField(f.name, T.StringType()) for f in schema.fields if f.name not in partition_by]
+            + [f for f in schema.fields if f.name in partition_by])
         reader = reader.option("header", True)
-    return reader.format(fmt).load(list(dirs) if dirs else path).count()
+    stored = reader.schema(schema).format(fmt).load(list(dirs) if dirs else path)
+    return tuple(stored.agg(*content_sum(_hash_order(schema, partition_by), fmt, partition_by)).first())
+
+
+def _hash_order(schema: T.StructType, partition_by: Sequence[str]) -> T.StructType:
+    """The order in which files give columns back: partition columns last."""
+    return T.StructType([f for f in schema.fields if f.name not in partition_by]
+                        + [schema[c] for c in partition_by])
+
+
+def _observed_write(spark: SparkSession, df: DataFrame, path: str, partition_by, mode,
+                    sort_within, fmt: str) -> tuple:
+    """Write; rows and checksum as the writing tasks saw them."""
+    seen = Observation("written")
+    texts = _csv_text(df).schema if fmt == "csv" else df.schema
+    sums = content_sum(_hash_order(texts, partition_by), fmt, partition_by)
+
+    def observe(rows: DataFrame) -> DataFrame:
+        if fmt != "csv":
+            return rows.observe(seen, *sums)
+        # the sums are over the texts that are written
+        plain = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
+        named = rows.withColumns({f"_text_{i}": bar_timestamp_text(F.col(c)) for i, c in enumerate(plain)})
+        fields = [T.StructField(f"_text_{plain.index(f.name)}", T.StringType())
+                  if f.name in plain and f.name not in partition_by else f
+                  for f in _hash_order(df.schema, partition_by).fields]
+        return (named.observe(seen, *content_sum(T.StructType(fields), fmt, partition_by))
+                .select(*rows.columns))
+    _WRITERS[fmt](df, path, partition_by, mode, sort_within, observe)
+    try:
+        return tuple(seen.get[c] for c in ("rows", "low", "middle", "high"))
+    except Py4JError:           # an input known to be empty is planned without it
+        return 0, 0, 0, 0
+
+
+def _compare(what: str, path: str, stored: tuple, written: tuple) -> None:
+    if stored[0] != written[0]:
+        raise WriteError(f"{what} mismatch for {path}: {stored[0]} rows, not {written[0]}")
+    if stored != written:
+        raise WriteError(f"{what} mismatch for {path}: the rows' contents differ")
 
 
 def verified_write(spark: SparkSession, df: DataFrame, path: str,
                    partition_by: Sequence[str] = (), mode: str = "errorifexists",
                    sort_within: Sequence[str] = (), fmt: str = "parquet") -> int:
-    """Write while observing the row count, read back, compare. Returns rows.
+    """Write while observing the rows' number and checksum, read back, compare. Returns
+    the number of rows.
 
     Replacing partitions goes through staging, so that the read-back covers the
     partitions of this write and nothing else of the target."""
     if mode == "overwrite" and partition_by:
-        return stage_and_publish(spark, df, scratch_path(spark, "stage"), path, partition_by,
+        return stage_and_publish(spark, df, staging_path(spark, path), path, partition_by,
                                  sort_within, fmt)
-    obs = Observation("written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    _WRITERS[fmt](observed, path, partition_by, mode, sort_within)
-    try:
-        written = int(obs.get["rows"])
-    except Py4JError:           # an input known to be empty is planned without it
-        written = 0
-    read_back = count_rows(spark, path, fmt) if written else 0
-    if mode != "append" and read_back != written:
-        raise WriteError(f"read-back mismatch for {path}: {read_back} != {written}")
-    return written
-
-
-def _partitions(fs, root, depth: int) -> Iterator[tuple[list[str], object]]:
-    """(names, path) of the ``column=value`` directories ``depth`` levels down."""
-    if not depth:
-        yield [], root
-        return
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and "=" in name:
-            for names, path in _partitions(fs, status.getPath(), depth - 1):
-                yield [name, *names], path
-
-
-def move_partitions(spark: SparkSession, staging: str, target: str, depth: int,
-                    only: set[tuple[str, ...]] | None = None) -> list[str]:
-    """Move the staged partition directories (those named in ``only``) into
-    ``target``, where the old one is set aside until the new one stands. Returns
-    the published directories."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    new_path = jvm.org.apache.hadoop.fs.Path
-    source, root = new_path(staging), new_path(target)
-    fs, from_fs = root.getFileSystem(conf), source.getFileSystem(conf)
-    if fs.getUri().toString() != from_fs.getUri().toString():
-        raise WriteError(f"{staging} and {target} are on different file systems")
-    published = []
-    for names, path in _partitions(from_fs, source, depth):
-        if only is not None and tuple(names) not in only:
-            continue
-        place = new_path("/".join([target.rstrip("/"), *names]))
-        aside = new_path("/".join([target.rstrip("/"), *names[:-1], "_old." + names[-1]]))
-        fs.mkdirs(place.getParent())
-        fs.delete(aside, True)
-        if fs.exists(place) and not fs.rename(place, aside):
-            raise WriteError(f"could not set {place} aside")
-        if not fs.rename(path, place):
-            raise WriteError(f"could not publish {place}")
-        fs.delete(aside, True)
-        published.append(place.toString())
-    return published
+    written = _observed_write(spark, df, path, partition_by, mode, sort_within, fmt)
+    if mode != "append" and written[0]:
+        _compare("read-back", path, read_back(spark, path, df.schema, fmt, partition_by), written)
+    return written[0]
 
 
 def stage_and_publish(spark: SparkSession, df: DataFrame, staging: str, target: str,
                       partition_by: Sequence[str] = (PART_COL,),
                       sort_within: Sequence[str] = (), fmt: str = "parquet",
-                      keep_staging: bool = False) -> int:
-    """Stage, verify, then replace only the staged partitions in ``target`` and
-    verify them there. Where staging and target are on different file systems, the
-    staged rows are written again instead of moved."""
-    rows = verified_write(spark, df, staging, partition_by, "errorifexists", sort_within, fmt)
-    if rows:
-        try:
-            published = move_partitions(spark, staging, target, len(partition_by))
-        except WriteError as error:
-            if "different file systems" not in str(error):
-                raise
-            reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-            _WRITERS[fmt](reader.format(fmt).load(staging), target, partition_by, "overwrite",
-                          sort_within)
-            published = None
-        if published is not None:
-            stored = count_rows(spark, target, fmt, published)
-            if stored != rows:
-                raise WriteError(f"published {stored} rows to {target}, not {rows}")
-    if not keep_staging:
+                      note: dict | None = None, record: Callable[[dict], None] | None = None,
+                      only: Callable[[str], Iterable[tuple[str, ...]]] | None = None) -> int:
+    """Stage, verify, then replace only the staged partitions in ``target`` and verify
+    them there; whatever a crash leaves, ``journal.recover`` finishes or takes back.
+
+    ``only(staging)``: which of the staged partitions to publish (default: all; the
+    others are dropped with the staging). ``note`` and ``record``: see ``journal.publish``.
+    Returns the number of staged rows."""
+    written = _observed_write(spark, df, staging, partition_by, "errorifexists", sort_within, fmt)
+    if not written[0]:
         remove_path(spark, staging)
-    return rows
+        return 0
+    _compare("read-back", staging, read_back(spark, staging, df.schema, fmt, partition_by), written)
+    some = None if only is None else list(only(staging))
+    expected = written
+    if some is not None:
+        dirs = ["/".join([staging.rstrip("/"), *names]) for names in some]
+        expected = (read_back(spark, staging, df.schema, fmt, partition_by, dirs) if dirs
+                    else (0, 0, 0, 0))
+
+    def verify(places: list[str]) -> None:
+        if places:
+            _compare("published", target,
+                     read_back(spark, target, df.schema, fmt, partition_by, places), expected)
+    publish(spark, staging, target, len(partition_by), some, note, verify, record)
+    return written[0]
 
 
 def archive_raw(df: DataFrame, archive_path: str, date_col: str = PART_COL) -> None:

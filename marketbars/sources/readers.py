@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,6 +59,61 @@ def read_symbol_master(spark: SparkSession, path: str) -> DataFrame:
                  .select(csv_cells(F.col("value")).alias("cells")))
 
 
+ARRIVAL = "_arrival"            # a row's place in the order of arrival, dropped on write
+
+
+def with_arrival(df: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """``df``, read from files, with ``ARRIVAL``: when its file was written, the file's
+    path, and the row's place in the file. Spark deals files to tasks by size, so the order
+    of its rows says nothing about that of their arrival.
+
+    Parquet tells a row's place in its file; for other formats it is that of the
+    block, and ``place_in_block`` adds the place there."""
+    file = F.col("_metadata")
+    place = F.lit(0).cast("bigint") if fmt != "parquet" else file["row_index"]
+    return df.select("*", F.struct(
+        file["file_modification_time"].alias("time"), file["file_path"].alias("path"),
+        (F.lit(0).cast("bigint") if fmt == "parquet" else file["file_block_start"]).alias("block"),
+        place.alias("place")).alias(ARRIVAL))
+
+
+def place_in_block(df: DataFrame) -> DataFrame:
+    """``df`` of ``with_arrival``, straight from its files, with the rows of a block in
+    their order (a block is read by one task from its start to its end)."""
+    return df.withColumn(ARRIVAL, F.col(ARRIVAL).withField("place", F.monotonically_increasing_id()))
+
+
+@contextmanager
+def footer_counts(spark: SparkSession) -> Iterator[None]:
+    """Parquet tables read and counted in here, grouped by their partition columns or not
+    at all, are counted from the files' footers: Spark's newer Parquet reader takes
+    aggregates, and no column is read."""
+    own = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+           "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def partition_counts(spark: SparkSession, path: str, dirs: list[str], columns: list[str],
+                     fmt: str = "parquet") -> list[tuple]:
+    """(partition values as text..., rows) of the partition directories ``dirs`` of the
+    table at ``path``, which is partitioned by ``columns``."""
+    if not dirs:
+        return []
+    kinds = ", ".join(f"`{c}` {'date' if c == 'trade_date' else 'string'}" for c in columns)
+    reader = spark.read.option("basePath", path).option("header", fmt == "csv").schema(kinds)
+    with footer_counts(spark):
+        rows = (reader.format(fmt).load(dirs)
+                .groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).collect())
+    return [(*(None if v is None else str(v) for v in r[:-1]), r["n"]) for r in rows]
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """(target, dates_json) rows; a missing ledger is an empty table. Any other
     failure is raised: a ledger that can't be read must not pass for an empty one."""

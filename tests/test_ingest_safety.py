@@ -253,11 +253,12 @@ def test_feeds_by_exchange_year_and_index(spark, base):
     feeds = build_feeds(spark, {"options": options, "futures": futures, "spot": spot}, base, archive=True)
     assert [f["target"] for f in feeds] == [
         "BSE_INDEX_OPTIONS_2026.parquet", "NSE_INDEX_OPTIONS_2026.parquet", "NSE_INDEX_OPTIONS_2027.parquet",
-        "INDEX_FUTURES_2026.parquet", "Nifty 50.csv", "Sensex.csv"]
+        None, "INDEX_FUTURES_2026.parquet", "Nifty 50.csv", "Sensex.csv"]
     first = {(r["target"], r["status"], r["rows_added"], r["archived"]) for r in sync_date(spark, feeds).collect()}
-    assert ("NSE_INDEX_OPTIONS_2026.parquet", "created", 2, True) in first and len(first) == 6
+    assert ("NSE_INDEX_OPTIONS_2026.parquet", "created", 2, True) in first and len(first) == 7
+    assert (None, "unrouted", 0, False) in first
     again = {r["status"] for r in sync_date(spark, feeds).collect()}
-    assert again == {"already_ingested"}
+    assert again == {"already_ingested", "unrouted"}
     # a later day is appended to the CSV history of its index
     later = spot.withColumn("timestamp", F.expr("timestamp + interval 1 day"))
     out = sync_date(spark, build_feeds(spark, {"spot": later}, base)).collect()
