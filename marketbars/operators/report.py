@@ -58,21 +58,23 @@ def date_status(counts: DataFrame, expected: DataFrame | None = None) -> DataFra
     return s.withColumn("status", status)
 
 
-def pending_kinds(days: DataFrame, produced: DataFrame, exchanges: DataFrame) -> DataFrame:
+def pending_kinds(days: DataFrame, produced: DataFrame, exchanges: DataFrame,
+                  indexes: DataFrame) -> DataFrame:
     """(trading_date, kind) still to be collected. Options are done when every
-    exchange has valid rows for the day, futures when the day has its file; spot is
-    always collected again.
-
-    ``produced``: trading_date, kind, exchange (null but for options), valid.
-    ``exchanges``: exchange."""
-    # the exchanges are a short fixed list: one array, as a scalar
-    wanted = exchanges.agg(F.collect_set("exchange")).scalar()
-    done = (produced.where("kind = 'options' and valid")
-            .groupBy("trading_date").agg(F.collect_set("exchange").alias("have"))
-            .where(F.size(F.array_except(wanted, "have")) == 0)
-            .select("trading_date", F.lit("options").alias("kind")))
-    done = done.union(produced.where("kind = 'futures'")
-                      .select("trading_date", "kind").distinct())
+    exchange has valid rows for the day, futures when the day has its file, spot when
+    every index has its file of the day.
+
+    ``produced``: trading_date, kind, exchange (of options; the index of spot, else
+    null), valid. ``exchanges``: exchange. ``indexes``: index."""
+    def whole(kind: str, parts: DataFrame, where: str) -> DataFrame:
+        # the exchanges or indexes are a short fixed list: one array, as a scalar
+        wanted = parts.agg(F.collect_set(parts.columns[0])).scalar()
+        return (produced.where(f"kind = '{kind}' and {where}")
+                .groupBy("trading_date").agg(F.collect_set("exchange").alias("have"))
+                .where(F.size(F.array_except(wanted, "have")) == 0)
+                .select("trading_date", F.lit(kind).alias("kind")))
+    done = (whole("options", exchanges, "valid").union(whole("spot", indexes, "true"))
+            .union(produced.where("kind = 'futures'").select("trading_date", "kind").distinct()))
     return (expected_kinds(days).withColumnRenamed("date", "trading_date")
             .join(done, ["trading_date", "kind"], "left_anti"))
 

@@ -237,13 +237,15 @@ def produced_work(spark: SparkSession, out_dir: str, start: str | None = None,
                  _valid_day(spark, path, OPTIONS_COLUMNS)) for day, path in days(base).items()]
     out += [(_dt.date.fromisoformat(day), "futures", None, _valid_day(spark, path, FUTURES_COLUMNS))
             for day, path in days(f"{out_dir}/futures").items()]
+    for index, base in (partition_dirs(spark, f"{out_dir}/spot", "Index") or {}).items():
+        out += [(_dt.date.fromisoformat(day), "spot", index, True) for day in days(base)]
     return spark.createDataFrame(out, "trading_date date, kind string, exchange string, valid boolean")
 
 
 def pending_work(spark: SparkSession, start: str, end: str, out_dir: str) -> DataFrame:
     """(trading_date, kind) of the range that still need collecting."""
     return pending_kinds(trading_dates(spark, start, end), produced_work(spark, out_dir, start, end),
-                         exchange_dim(spark))
+                         exchange_dim(spark).select("exchange"), index_dim(spark).select("index"))
 
 
 def completed_dates(spark: SparkSession, out_dir: str, start: str | None = None,
@@ -251,8 +253,9 @@ def completed_dates(spark: SparkSession, out_dir: str, start: str | None = None,
     """Dates (within ``start``..``end``) whose options output is valid for every exchange."""
     produced = produced_work(spark, out_dir, start, end)
     days = produced.select("trading_date").distinct()
-    return days.join(pending_kinds(days, produced, exchange_dim(spark)).where("kind = 'options'"),
-                     "trading_date", "left_anti")
+    pending = pending_kinds(days, produced, exchange_dim(spark).select("exchange"),
+                            index_dim(spark).select("index"))
+    return days.join(pending.where("kind = 'options'"), "trading_date", "left_anti")
 
 
 def pending_dates(spark: SparkSession, start: str, end: str, out_dir: str) -> DataFrame:

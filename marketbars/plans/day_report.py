@@ -30,7 +30,7 @@ def _read_day(spark: SparkSession, base: str, outer: str | None, day: str,
         return None
     reader = spark.read.option("basePath", base)
     if fmt == "csv":
-        return reader.option("header", True).csv(*dirs)
+        return reader.option("header", True).csv(dirs)
     return reader.parquet(*dirs)
 
 

@@ -320,7 +320,7 @@ def _record(spark: SparkSession, ledger_path: str, dates: dict[str, list[str]])
 def quarantined(spark: SparkSession, quarantine_path: str) -> DataFrame:
     """(target, batch, trade_date, reason, rows) of what is held."""
     kind = "target string, batch string, trade_date date, reason string, rows bigint"
-    if not path_exists(spark, quarantine_path) or not partition_dirs(spark, quarantine_path, TARGET):
+    if not partitions(Storage(spark, quarantine_path), quarantine_path.rstrip("/"), 3):
         return spark.createDataFrame([], kind)
     return (spark.read.option("mergeSchema", True).parquet(quarantine_path)
             .groupBy(F.col(TARGET).cast("string"), F.col("batch").cast("string"),
@@ -361,6 +361,9 @@ def release(spark: SparkSession, quarantine_path: str, history_path: str, ledger
     done = uuid.uuid4().hex
     for names, place in zip(parts, dirs):
         storage.move(place, "/".join([base, "_released", done, *names]))
+        for above in (names[:2], names[:1]):
+            if not storage.names("/".join([base, *above])):
+                storage.remove("/".join([base, *above]))
     return out
 
 

@@ -29,6 +29,6 @@ def load_all() -> dict:
     # importing the modules fills REGISTRY
     from marketbars.queries import (  # noqa: F401
         q_merge, q_quality, q_payloads, q_calendar, q_contracts, q_ledger, q_reports, q_io,
-        q_plans,
+        q_plans, q_sync,
     )
     return REGISTRY

@@ -31,21 +31,25 @@ from marketbars.streaming.ingest_stream import stream_ingest
 
 # ------------------------------------------------------------------ ingest
 
+BATCHES = 4         # micro-batches
+
+
 @query("stream_split_days", """
 SELECT event_id, ts, user_id, event_type, value, props,
        CASE WHEN event_id % 17 = 0 THEN 'quarantine' ELSE 'history' END AS stored
 FROM events
 """)
 def q_stream_split_days(spark, sf):
-    """Every day is spread over all landed files, one file to a micro-batch, so all
+    """Every day is spread over all landed files, a quarter of them to a micro-batch, so all
     days come in parts; rows without a date go to quarantine. No row is lost."""
     ev = table(spark, sf, "events")
     landing, history = scratch_path(spark, "landing"), scratch_path(spark, "history")
     ledger, quarantine = scratch_path(spark, "ledger"), scratch_path(spark, "quarantine")
-    ev.repartition(4).write.parquet(landing)
+    files = max(BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))     # sized from the input
+    ev.repartition(files).write.parquet(landing)
     dated = F.when(F.col("event_id") % 17 != 0, F.to_date("ts"))
     stream_ingest(spark, landing, ev.schema, history, ledger, scratch_path(spark, "stream-ckpt"),
-                  "events", ["event_id"], max_files_per_trigger=1, date_of=dated,
+                  "events", ["event_id"], max_files_per_trigger=-(-files // BATCHES), date_of=dated,
                   quarantine_path=quarantine)
     return (spark.read.parquet(history).select(*ev.columns, F.lit("history").alias("stored"))
             .union(spark.read.parquet(quarantine)
@@ -103,11 +107,11 @@ WITH d AS (SELECT CAST(ts AS DATE) AS trading_date, min(event_id) AS a, max(even
            FROM events GROUP BY 1)
 SELECT trading_date, 'options' AS kind FROM d WHERE a % 3 = 0 OR b % 4 = 0
 UNION ALL SELECT trading_date, 'futures' FROM d WHERE n % 2 = 1
-UNION ALL SELECT trading_date, 'spot' FROM d
+UNION ALL SELECT trading_date, 'spot' FROM d WHERE b % 2 = 1
 """)
 def q_pending_by_kind(spark, sf):
     """Work left per kind: options need valid rows of both exchanges, futures any
-    file of the day, spot is always collected."""
+    file of the day, spot those of all indexes."""
     ev = table(spark, sf, "events")
     d = ev.groupBy(F.to_date("ts").alias("trading_date")).agg(
         F.min("event_id").alias("a"), F.max("event_id").alias("b"), F.count(F.lit(1)).alias("n"))
@@ -116,9 +120,11 @@ def q_pending_by_kind(spark, sf):
         return d.where(where).select("trading_date", F.lit(kind).alias("kind"),
                                      F.lit(exchange).cast("string").alias("exchange"), valid.alias("valid"))
     produced = (made("options", "NSE", F.col("a") % 3 != 0).union(made("options", "BSE", F.lit(True), "b % 4 <> 0"))
-                .union(made("options", "XXX", F.lit(True))).union(made("futures", None, F.lit(True), "n % 2 = 0")))
+                .union(made("options", "XXX", F.lit(True))).union(made("futures", None, F.lit(True), "n % 2 = 0"))
+                .union(made("spot", "NIFTY", F.lit(True))).union(made("spot", "SENSEX", F.lit(True), "b % 2 = 0")))
     exchanges = spark.createDataFrame([("NSE",), ("BSE",)], "exchange string")
-    return pending_kinds(d.select("trading_date"), produced, exchanges)
+    indexes = spark.createDataFrame([("NIFTY",), ("SENSEX",)], "index string")
+    return pending_kinds(d.select("trading_date"), produced, exchanges, indexes)
 
 
 # ----------------------------------------------------------------- readers

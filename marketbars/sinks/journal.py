@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +32,7 @@ from marketbars.session import scratch_path
 from marketbars.sinks.storage import Storage, partitions
 
 JOURNAL = "_publish"
+MOVES = 16              # partitions moved at once
 _ASIDE = "_old."        # how earlier versions set partitions aside, beside their place
 
 
@@ -73,13 +75,16 @@ class _Publish:
 
     def move(self) -> list[str]:
         """Move what isn't moved yet; the places of all partitions."""
-        for names, had in self.parts:
+        def one(names) -> None:
             staged, place, old = self._paths(names)
             if not self.storage.exists(staged):
-                continue                        # moved before a crash
+                return                          # moved before a crash
             if self.storage.exists(place):
                 self.storage.move(place, old)
             self.storage.move(staged, place)
+        with ThreadPoolExecutor(MOVES) as pool:     # waits for all, then raises
+            for done in [pool.submit(one, names) for names, _ in self.parts]:
+                done.result()
         return [self._paths(names)[1] for names, _ in self.parts]
 
     def take_back(self) -> None:
@@ -114,7 +119,7 @@ def publish(spark: SparkSession, staging: str, target: str, depth: int,
     storage, target, staging = Storage(spark, target), target.rstrip("/"), staging.rstrip("/")
     if not storage.same_as(staging):
         raise WriteError(f"{staging} and {target} are on different file systems")
-    recover(spark, target, depth, record)
+    recover(spark, target, depth, record, keep=staging)
     wanted = None if only is None else set(only)
     parts = [(names, storage.exists("/".join([target, *names])))
              for names in partitions(storage, staging, depth)
@@ -137,13 +142,17 @@ def publish(spark: SparkSession, staging: str, target: str, depth: int,
 
 
 def recover(spark: SparkSession, target: str, depth: int = 1,
-            record: Callable[[dict], None] | None = None) -> list[tuple[str, str]]:
-    """Finish or take back what a crash has left of earlier publishes into ``target``.
+            record: Callable[[dict], None] | None = None,
+            keep: str | None = None) -> list[tuple[str, str]]:
+    """Finish or take back what a crash has left of earlier publishes into ``target``
+    (``keep``: staged rows that are about to be published).
     Returns (what was done, place) pairs: ``finished``, ``taken back``, ``restored``."""
     storage, target = Storage(spark, target), target.rstrip("/")
     out = []
     for name in storage.names(f"{target}/{JOURNAL}", folders=True):
         entry = f"{target}/{JOURNAL}/{name}"
+        if entry == keep:
+            continue
         if not storage.exists(f"{entry}/intent.json"):
             storage.remove(entry)       # done, or staged rows without an intent
             continue

@@ -78,12 +78,12 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType,
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if fmt != "parquet" and redelivered_within is None:
             batch = place_in_block(batch)
-        if not batch.isEmpty():
-            # the stream's own id, kept in its checkpoint: no two streams share a batch
-            meta = Storage(spark, checkpoint_path).read(f"{checkpoint_path.rstrip('/')}/metadata")
-            ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
-                   quarantine_path=quarantine_path, repair=True, merge_ledgered=True,
-                   batch_id=f"{json.loads(meta)['id']}-{epoch_id}")
+        # evaluated once, by the ingest, which keeps it: state is not read again.
+        # The stream's own id, from its checkpoint: no two streams share a batch
+        meta = Storage(spark, checkpoint_path).read(f"{checkpoint_path.rstrip('/')}/metadata")
+        ingest(spark, batch, history_path, ledger_path, target, keys, date_of=date_of,
+               quarantine_path=quarantine_path, repair=True, merge_ledgered=True,
+               batch_id=f"{json.loads(meta)['id']}-{epoch_id}")
 
     q = (stream.writeStream.foreachBatch(merge_batch)
          .option("checkpointLocation", checkpoint_path)
