@@ -381,9 +381,10 @@ def score_phrases(totals: DataFrame, phrases: DataFrame, longest: int = LONGEST,
     ranked = (lowest.join(inside, ["lang", "phrase"], "left")
               .where(~F.coalesce(covered, F.lit(False)))
               .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
-              .withColumn("rank", F.row_number().over(own).cast("long"))
-              .where(F.col("rank") <= top))
-    return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+              .withColumn("rank", F.row_number().over(own))
+              .where(F.col("rank") <= top))        # limited per language before the shuffle too
+    return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"),
+                                              "phrase", "a", "l", "r", "n", "score")
 
 
 def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, top: int = TOP,
