@@ -44,6 +44,7 @@ from marketbars.llm.common import arrow_rows, ascii_lower, stage
 MIN_PAGES = 3           # different pages of a host that make a template
 MIN_LABEL_PAGES = 8     # different pages that make a repeated text a label
 PAGE_ROWS = 500         # whole pages in a batch
+KNOWN_HOSTS = 200       # templates that a task keeps
 
 # ---- fixed values of HTML -------------------------------------------------------
 
@@ -122,6 +123,7 @@ class Page:
     (0 for tags), and for runs ``texts`` and the number of the block they belong to."""
 
     _known: dict[tuple[str, str], tuple[int, str]] = {}
+    _places: dict[tuple[int, str], int] = {}        # keys of tags, by path
 
     def __init__(self, source: str):
         self.keys: list[int] = []
@@ -136,25 +138,34 @@ class Page:
         self.last_block = [0]
         self._read(source)
 
-    def _add(self, key: int, flags: int, text: str | None = None) -> None:
+    def _add(self, key: int, flags: int, text: str | None = None, words: int = 0) -> None:
         self.keys.append(key)
         self.flags.append(flags)
-        self.words.append(0 if text is None else len(text.split()))
+        self.words.append(words)
         self.texts.append(text)
         self.blocks.append(self.block)
 
+    def _place(self, path: int, name: str) -> int:
+        key = self._places.get((path, name))
+        if key is None:
+            if len(self._places) > 50_000:
+                self._places.clear()
+            key = self._places[path, name] = _key(path, name)
+        return key
+
     def _text(self, raw: str) -> None:
         if not raw:
             return
         text = entities.unescape(raw) if "&" in raw else raw
         _, path, flags = self.stack[-1]
-        if text.isspace():      # parts words, but is no token
+        words = text.split()
+        if not words:           # parts words, but is no token
             if self.texts and self.blocks[-1] == self.block and self.texts[-1] is not None:
                 self.texts[-1] += " "
             else:
                 self._space()
             return
-        self._add(_key(path, "text", " ".join(text.split())), flags, text)
+        self._add(_key(path, "text", " ".join(words)), flags, text, len(words))
 
     def _space(self) -> None:
         """White space between tags of one block."""
@@ -218,7 +229,7 @@ class Page:
             own |= BOILER
         if name in BLOCK:
             self.block += 1
-        place = _key(path, spelt)
+        place = self._place(path, spelt)
         self._add(place, inside | own)
         if name not in VOID:
             self.open.setdefault(name, []).append(len(self.stack))
@@ -238,7 +249,7 @@ class Page:
             return None         # an inline element doesn't close the block inside it
         _, path, flags = self.stack[at[-1]]
         self._pop_to(at[-1])
-        self._add(_key(path, "end"), flags)
+        self._add(self._place(path, "/"), flags)
         return None
 
 
@@ -250,12 +261,13 @@ class Template:
     def __init__(self, rows):
         self.place = {r["token"]: (r["class"], r["place"]) for r in rows}
         self.size: dict[int, int] = {}
+        self.names: dict[tuple[int, int], int] = {}
         for group, _ in self.place.values():
             self.size[group] = self.size.get(group, 0) + 1
 
     def slots(self, keys: list[int]) -> list[int | None]:
         """The innermost slot around each token; None outside the template."""
-        out, stack = [], []
+        out, stack, here = [], [], None
         for key in keys:
             found = self.place.get(key)
             if found is not None:
@@ -266,9 +278,15 @@ class Template:
                     stack.pop()
                 if place < self.size[group] - 1:
                     stack.append((group, place))
-            out.append(_key(*stack[-1]) if stack else None)
+                here = self._slot(stack[-1]) if stack else None
+            out.append(here)
         return out
 
+    def _slot(self, gap: tuple[int, int]) -> int:
+        if gap not in self.names:
+            self.names[gap] = _key(*gap)
+        return self.names[gap]
+
 
 def _orders(keys: list[int], group_of: dict[int, int]) -> dict[int, tuple[bool, int, int]]:
     """Per class on one page: (its tokens repeat in one order, that order, the gap of the
@@ -371,13 +389,30 @@ def equivalence_classes(read: DataFrame) -> DataFrame:
             .select("host", "token", F.xxhash64("vector", "pages").alias("class"), "pages", "of"))
 
 
+def _by_host(batch: pa.RecordBatch, make, known: dict) -> Iterator[tuple]:
+    """(host, what ``make`` gives of its template's tokens, row number): rows of one host
+    come with the same tokens, which are read once."""
+    tokens = batch.column("tokens")
+    for i, host in enumerate(batch.column("host").to_pylist()):
+        if host not in known:
+            if len(known) >= KNOWN_HOSTS:
+                known.clear()
+            known[host] = make(tokens[i].as_py())
+        yield host, known[host], i
+
+
+def _groups(tokens: list[dict]) -> dict[int, int]:
+    return {t["token"]: t["class"] for t in tokens}
+
+
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict = {}
     for batch in batches:
         out = []
-        for row in batch.to_pylist():
-            group_of = {t["token"]: t["class"] for t in row["tokens"]}
-            for group, (regular, order, around) in _orders(row["keys"], group_of).items():
-                out.append((row["host"], group, regular, order, around))
+        keys = batch.column("keys")
+        for host, group_of, i in _by_host(batch, _groups, known):
+            for group, (regular, order, around) in _orders(keys[i].as_py(), group_of).items():
+                out.append((host, group, regular, order, around))
         if out:
             yield pa.RecordBatch.from_pydict(dict(zip(
                 ("host", "class", "regular", "order", "around"),
@@ -386,20 +421,26 @@ def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The place of every token in its class, from any one page of its host."""
+    """The place of every token in its class, which is the same on all pages that have the
+    class: a batch tells it once."""
+    known: dict = {}
     for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            group_of = {t["token"]: t["class"] for t in row["tokens"]}
+        out: dict[tuple[int, int], tuple] = {}
+        keys = batch.column("keys")
+        seen: set[tuple[int, int]] = set()
+        for host, group_of, i in _by_host(batch, _groups, known):
             next_place: dict[int, int] = {}
-            for key in dict.fromkeys(k for k in row["keys"] if k in group_of):
+            own = [k for k in keys[i].as_py() if k in group_of]
+            for key in dict.fromkeys(own):
                 group = group_of[key]
-                next_place[group] = next_place.get(group, -1) + 1
-                out.append((row["host"], key, group, next_place[group]))
+                if (host, group) not in seen:
+                    place = next_place[group] = next_place.get(group, -1) + 1
+                    out[host, key] = host, key, group, place
+            seen.update((host, group) for group in next_place)
         if out:
             yield pa.RecordBatch.from_pydict(dict(zip(
                 ("host", "token", "class", "place"),
-                (pa.array(c, t) for c, t in zip(zip(*out), (
+                (pa.array(c, t) for c, t in zip(zip(*out.values()), (
                     pa.int64(), pa.int64(), pa.int64(), pa.int32()))))))
 
 
@@ -429,23 +470,25 @@ def valid_classes(read: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict = {}
     for batch in batches:
-        out = []
-        for row in batch.to_pylist():
-            template = Template(row["tokens"])
-            totals: dict[int, list[int]] = {}
-            for slot, flags, words in zip(template.slots(row["keys"]), row["flags"], row["words"]):
-                if slot is not None and words:
-                    t = totals.setdefault(slot, [0] * 6)
-                    t[0] += words
-                    boiler = bool(flags & BOILER)
-                    t[1] += words * boiler
-                    t[2] += words * bool(flags & ARTICLE and not boiler)
-                    t[3] += words * bool(flags & NAMED and not boiler)
-                    t[4] += words * bool(flags & LINK)
-                    t[5] += words * bool(flags & HEADING)
-            out += [(row["host"], slot, *t) for slot, t in totals.items()]
-        if out:
+        totals: dict[tuple[int, int], list[int]] = {}
+        keys, flags, words = (batch.column(c) for c in ("keys", "flags", "words"))
+        for host, template, i in _by_host(batch, Template, known):
+            for slot, flag, n in zip(template.slots(keys[i].as_py()), flags[i].as_py(),
+                                     words[i].as_py()):
+                if n and slot is not None:
+                    t = totals.setdefault((host, slot), [0] * 6)
+                    t[0] += n
+                    if flag & BOILER:
+                        t[1] += n
+                    else:
+                        t[2] += n * bool(flag & ARTICLE)
+                        t[3] += n * bool(flag & NAMED)
+                    t[4] += n * bool(flag & LINK)
+                    t[5] += n * bool(flag & HEADING)
+        if totals:
+            out = [(*where, *t) for where, t in totals.items()]
             names = ("host", "slot", "words", "boiler", "article", "named", "link", "heading")
             yield pa.RecordBatch.from_pydict(dict(zip(names, (
                 pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 8)))))
@@ -529,7 +572,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             host = hosts[i].as_py()
             if host not in known:
-                if len(known) >= 200:
+                if len(known) >= KNOWN_HOSTS:
                     known.clear()
                 rows = tokens[i].as_py()
                 known[host] = () if rows is None else (
