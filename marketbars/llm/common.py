@@ -57,19 +57,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 ARROW_ROWS = 2_000
+ARROW_BYTES = 4 << 20
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS) -> Iterator[None]:
-    """Python gets whole texts in batches of fewer rows than usual: with long texts,
-    a batch and what is made of it would take most of a small executor's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+def arrow_rows(spark: SparkSession, rows: int = ARROW_ROWS,
+               size: int = ARROW_BYTES) -> Iterator[None]:
+    """Python gets whole texts in batches of fewer rows and bytes than usual: with long
+    texts, a batch and what is made of it would take most of a small executor's memory.
+    A row of any size still comes whole."""
+    own = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows,
+           "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {key: spark.conf.get(key) for key in own}
+    for key, most in own.items():
+        old = int(before[key].rstrip("b")) if before[key] else 0
+        spark.conf.set(key, str(min(most, old) if old > 0 else most))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -31,8 +31,8 @@ Defined cases: a text of fewer words than a shingle is one shingle; a null, empt
 or wordless text has an empty set and links with nothing; a text without a doc_id
 belongs to its equal texts' component, and is alone (component null) if none has
 an id; rows that repeat a doc_id are separate texts under one name; columns other
-than doc_id and text pass through ``keep_one`` as they are, and so do rows without
-a doc_id.
+than doc_id and text pass through ``keep_one`` as they are, which decides on rows: see
+there.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import binary_rows, space_words, stage
+from marketbars.llm.common import arrow_rows, binary_rows, space_words, stage
 from marketbars.llm.components import components
 
 WORDS, PERCENT = 4, 85
@@ -114,9 +114,10 @@ def _count(words: int):
 def frequent_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
     """The most repeated shingles (sorted) and their counts: of all documents,
     summed on Spark; ``FREQUENT`` rows come back."""
-    rows = (docs.select("text").mapInArrow(_count(words), "shingle long, n long")
-            .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 2")
-            .orderBy(F.col("n").desc(), "shingle").limit(FREQUENT).toArrow())
+    with arrow_rows(docs.sparkSession):
+        rows = (docs.select("text").mapInArrow(_count(words), "shingle long, n long")
+                .groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 2")
+                .orderBy(F.col("n").desc(), "shingle").limit(FREQUENT).toArrow())
     values = rows.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(values)
     return values[order], rows.column("n").to_numpy()[order]
@@ -171,6 +172,7 @@ def shingle_sets(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame,
         sets = stage(rows.mapInArrow(_index(rare, words, percent, seed), SETS), "shingle-sets")
         if not (sets.groupBy("k").agg(F.min("k2").alias("a"), F.max("k2").alias("b"))
                 .where("a <> b").limit(1).count()):
+            rare.destroy()
             return sets, seed
         seed += 2
 
@@ -442,9 +444,36 @@ def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
 
+_KEY = "_text_key"
+
+
+def _row_key() -> Column:
+    """What decisions go by: the doc_id and the text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), "text")
+
+
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of every component: the one that names it.
-    Documents that link with nothing all stay."""
-    gone = (link_texts(docs, words, percent).where("doc_id <> component_id")
-            .select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """``docs`` with one document of every component: that of the smallest doc_id (rows
+    without one come last). Documents that link with nothing all stay.
+
+    Rows, not ids, are kept or dropped: different texts under one doc_id, or without one,
+    are different documents. Of rows that agree in doc_id and text, all of which link
+    with each other, one stays; those whose texts have no words link with nothing, and all
+    stay."""
+    keyed = docs.withColumn(_KEY, _row_key())
+    linked = (link_texts(keyed.select(F.col(_KEY).alias("doc_id"), "text"), words, percent)
+              .where("n_shingles > 0").select(F.col("doc_id").alias(_KEY), "component_id"))
+    # the keys of components of several rows, with the rows' ids
+    several = linked.groupBy("component_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    named = stage(linked.join(several, "component_id").groupBy(_KEY, "component_id")
+                  .agg(F.count(F.lit(1)).alias("m")), "linked-rows")
+    ids = (keyed.select(_KEY, F.col("doc_id").cast("long").alias("_id")).join(named, _KEY)
+           .select(_KEY, "_id", "component_id").distinct())
+    first = ids.groupBy("component_id").agg(F.min(F.struct(
+        F.col("_id").isNull().alias("absent"), F.col("_id").alias("i"), F.col(_KEY).alias("k"))).alias("f"))
+    kept = first.select(F.col("f.k").alias(_KEY))
+    gone = stage(named.select(_KEY).join(kept, _KEY, "left_anti"), "gone-rows")
+    again = stage(named.where("m > 1").join(kept, _KEY, "left_semi").select(_KEY), "repeated-rows")
+    rest = keyed.join(gone, _KEY, "left_anti")
+    return (rest.join(again, _KEY, "left_anti")
+            .unionByName(rest.join(again, _KEY, "left_semi").dropDuplicates([_KEY])).drop(_KEY))

@@ -93,3 +93,21 @@ def test_keep_one(spark, documents):
 def test_empty_table(spark, documents):
     assert jj.link_texts(documents([])).collect() == []
     assert result(jj.link_texts(documents([(1, None), (2, "")]))) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_rows_are_kept_or_dropped_not_ids(spark, documents):
+    a, b, c = prose(50, 60), prose(51, 60), prose(52, 60)
+    near = a.replace(a.split()[30], "changed", 1)
+    rows = [(7, b), (7, a), (1, a), (None, a), (None, a), (None, c), (8, ""), (8, ""), (9, b), (3, near),
+            (5, c), (5, c), (None, None), (4, "one two"), (4, "one two")]
+    kept = jj.keep_one(documents(rows, {"component_id": "x", "k": "y"}), words=3, percent=70)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "component_id", "k"]
+    got = sorted(((r.doc_id or 0), r.text or "") for r in kept.collect())
+    assert got == sorted([(1, a), (7, b), (5, c), (8, ""), (8, ""), (0, ""), (4, "one two")])
+
+
+def test_very_long_texts_link(spark, documents):
+    long = prose(60, 40_000)
+    rows = [(1, long), (2, long + " more words at its end"), (3, prose(61, 40_000)), (4, "z" * 200_000)]
+    got = {r.doc_id: r.component_id for r in jj.link_texts(documents(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
