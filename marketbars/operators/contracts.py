@@ -331,9 +331,8 @@ def unresolved_indexes(specs: DataFrame, resolved: DataFrame) -> DataFrame:
 def unresolved_by_day(days: DataFrame, specs: DataFrame, resolved: DataFrame) -> DataFrame:
     """(trading_date, underlying, reason) of the indexes that a run has to skip.
     The configured indexes are a short list: each day is exploded into them."""
-    names = specs.agg(F.sort_array(F.collect_set("underlying")).alias("names"))
-    wanted = (days.withColumn("_one", F.lit(1)).join(names.withColumn("_one", F.lit(1)), "_one")
-              .select("trading_date", F.explode("names").alias("underlying")))
+    names = specs.agg(F.sort_array(F.collect_set("underlying"))).scalar()
+    wanted = days.select("trading_date", F.explode(names).alias("underlying"))
     return (wanted.join(resolved.select("trading_date", "underlying").distinct(),
                         ["trading_date", "underlying"], "left_anti")
             .select("trading_date", "underlying",

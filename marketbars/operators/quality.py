@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,26 +55,35 @@ def invalid_type_counts(df: DataFrame, group_by: Sequence[str] = (), col: str =
     return df.where(bad).groupBy(*group_by, col).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _listed_types(df: DataFrame, group_by: Sequence[str], col: str = "OptionType",
-                  allowed: Sequence[str] = tuple(OPTION_TYPES)) -> DataFrame:
-    """[group columns], invalid_types: all invalid values of each group in order.
-    Dirty free text can have any number of values, so the rows are first brought
-    down to one a value in a distributed way; a group's row holds each value once."""
-    counts = invalid_type_counts(df, group_by, col, allowed)
-    return counts.groupBy(*group_by).agg(F.array_sort(F.collect_list(col)).alias("invalid_types"))
+LISTED = 100        # invalid values that a report names; the others are counted
 
 
 def with_invalid_types(report: DataFrame, df: DataFrame, group_by: Sequence[str] = (),
                        col: str = "OptionType",
                        allowed: Sequence[str] = tuple(OPTION_TYPES)) -> DataFrame:
-    """``report`` (one row per group of ``df``) with ``invalid_types``, empty if none."""
-    types = _listed_types(df, list(group_by), col, allowed)
+    """``report`` (one row per group of ``df``) with ``invalid_values``, the number of
+    different invalid values, and ``invalid_types``, the first ``LISTED`` of them in order.
+
+    Dirty free text can have any number of values: they are brought down to one row each
+    (``invalid_type_counts``, which is the whole result), and only the first few of a
+    group, found before the shuffle by group, come into its row."""
+    group_by = list(group_by)
+    counts = invalid_type_counts(df, group_by, col, allowed)
+    some = Window.partitionBy(*group_by).orderBy(col)
+    first = (counts.withColumn("_n", F.row_number().over(some)).where(F.col("_n") <= LISTED)
+             .groupBy(*group_by).agg(F.array_sort(F.collect_list(col)).alias("invalid_types")))
+    total = counts.groupBy(*group_by).agg(F.count(F.lit(1)).alias("invalid_values"))
+    no_types, no_values = F.array().cast("array<string>"), F.lit(0).cast("bigint")
     if not group_by:
-        return report.withColumn("invalid_types", types.scalar())
-    named = types.select(*[F.col(g).alias(f"_{g}") for g in group_by], "invalid_types")
-    on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group_by]
-    return (report.join(named, on, "left").drop(*[f"_{g}" for g in group_by])
-            .withColumn("invalid_types", F.coalesce("invalid_types", F.array().cast("array<string>"))))
+        return report.withColumns({
+            "invalid_types": F.coalesce(first.select("invalid_types").scalar(), no_types),
+            "invalid_values": F.coalesce(total.select("invalid_values").scalar(), no_values)})
+    for part, column, none in ((first, "invalid_types", no_types), (total, "invalid_values", no_values)):
+        named = part.select(*[F.col(g).alias(f"_{g}") for g in group_by], column)
+        on = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group_by]
+        report = (report.join(named, on, "left").drop(*[f"_{g}" for g in group_by])
+                  .withColumn(column, F.coalesce(column, none)))
+    return report
 
 
 def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLUMNS,
@@ -83,9 +92,9 @@ def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLU
     """Counts of every check plus ``ok`` and the ordered ``errors`` list.
 
     Output columns: [group columns], rows, missing_<col> for each expected column
-    present, invalid_types (sorted array of all of them; ``invalid_type_counts`` has
-    a row for each), duplicate_rows, ohlc_violations,
-    nonpositive_strikes, ok, errors (array of messages in check order).
+    present, invalid_types (sorted array of the first ``LISTED``), invalid_values (how many
+    there are; ``invalid_type_counts`` has a row for each), duplicate_rows,
+    ohlc_violations, nonpositive_strikes, ok, errors (array of messages in check order).
     With ``group_by`` the verdict is computed per group in the same job.
     """
     group_by = list(group_by or [])
@@ -119,8 +128,11 @@ def quality_report(df: DataFrame, expected_columns: Sequence[str] = OPTIONS_COLU
     msgs += [F.when(F.col(f"missing_{c}") > 0, F.lit(f"Missing values in {c}."))
              for c in present]
     if has_type:
-        msgs.append(F.when(F.size("invalid_types") > 0,
-                           F.concat(F.lit("Invalid OptionType: "), _py_set_text(F.col("invalid_types")))))
+        left = F.col("invalid_values") - F.size("invalid_types")
+        msgs.append(F.when(F.size("invalid_types") > 0, F.concat(
+            F.lit("Invalid OptionType: "), _py_set_text(F.col("invalid_types")),
+            F.when(left > 0, F.concat(F.lit(" and "), left.cast("string"), F.lit(" more")))
+            .otherwise(F.lit("")))))
     if key_cols:
         msgs.append(F.when(F.col("duplicate_rows") > 0,
                            F.concat(F.lit("Duplicate rows: "), F.col("duplicate_rows").cast("string"))))

@@ -89,6 +89,7 @@ def _report_sql(group: str | None, source: str) -> str:
   CAST(count(*) FILTER (WHERE Strike <= 0) AS BIGINT) AS nonpositive_strikes
   FROM {source} {"GROUP BY " + group if group else ""})
 SELECT * EXCLUDE (bad, errors_list), coalesce(array_to_string(bad, ','), '') AS invalid_types,
+       CAST(coalesce(len(bad), 0) AS BIGINT) AS invalid_values,
        errors_list AS errors, errors_list = '' AS ok
 FROM (SELECT *, concat_ws('; ', {msgs},
   CASE WHEN len(coalesce(bad, [])) > 0 THEN 'Invalid OptionType: {{' ||

@@ -103,21 +103,23 @@ def test_duplicate_count_null_keys_equal(spark):
     assert (r["rows"], r["distinct_keys"], r["duplicate_rows"]) == (4, 3, 1)
 
 
-def test_invalid_types_are_all_listed(spark):
-    from marketbars.operators.quality import quality_report, with_invalid_types
+def test_invalid_types_are_rows_and_a_short_list(spark):
+    from marketbars.operators.quality import LISTED, invalid_type_counts, quality_report, with_invalid_types
     bad = sorted(f"T{i}" for i in range(250))
-    rows = [(d, t) for d in ("a", "b", None) for t in (*bad[:250 if d == "a" else 120], "CE", None)]
+    rows = [(d, t) for d in ("a", "b", None) for t in (*bad[:250 if d == "a" else 90], "CE", None)]
     df = spark.createDataFrame(rows + rows[:40], "grp string, OptionType string").repartition(5)
-    want = {"a": bad, "b": bad[:120], None: bad[:120]}
+    want = {"a": bad, "b": bad[:90], None: bad[:90]}
+    counted = {(r.grp, r.OptionType): r.rows for r in invalid_type_counts(df, ["grp"]).collect()}
+    assert counted == {(g, t): 1 + (g == "a" and t in bad[:40]) for g, some in want.items() for t in some}
     groups = df.groupBy("grp").count()
-    got = {r.grp: r.invalid_types for r in with_invalid_types(groups, df, ["grp"]).collect()}
-    assert got == want
+    got = {r.grp: (r.invalid_types, r.invalid_values) for r in with_invalid_types(groups, df, ["grp"]).collect()}
+    assert got == {g: (some[:LISTED], len(some)) for g, some in want.items()}
     report = quality_report(df, expected_columns=["OptionType"], keys=[], group_by=["grp"])
     for r in report.collect():
-        listed = ", ".join(f"'{t}'" for t in want[r.grp])
-        assert r.invalid_types == want[r.grp]
-        assert f"Invalid OptionType: {{{listed}}}" in r.errors
+        listed = ", ".join(f"'{t}'" for t in want[r.grp][:LISTED])
+        more = " and 150 more" if r.grp == "a" else ""
+        assert f"Invalid OptionType: {{{listed}}}{more}" in r.errors
     whole = quality_report(df.drop("grp"), expected_columns=["OptionType"], keys=[]).first()
-    assert whole.invalid_types == bad and not whole.ok
+    assert whole.invalid_types == bad[:LISTED] and whole.invalid_values == 250 and not whole.ok
     empty = quality_report(df.drop("grp").limit(0), expected_columns=["OptionType"], keys=[]).first()
     assert empty.invalid_types == [] and empty.rows == 0
