@@ -21,9 +21,10 @@ from marketbars.schemas import (
 
 _SEP = "\u0001"
 _BLANKS = r"[ \t\n\r\x0b\x0c]*"
-_SYMBOL = FUT_SYMBOL_PATTERN.strip("^$").replace("(", "").replace(")", "")
-# what stands before the first cell that is a symbol, and the symbol
-_SYMBOL_CELL = rf"(?s)^((?:.*?{_SEP})??){_BLANKS}({_SYMBOL}){_BLANKS}(?:{_SEP}|\z)"
+_PART = "\u0002"
+# a line: what stands before the first cell that is a symbol, the symbol's parts, the rest
+_SYMBOL_LINE = (rf"(?s)^((?:.*?{_SEP})??){_BLANKS}{FUT_SYMBOL_PATTERN.strip('^$')}{_BLANKS}"
+                rf"(?:{_SEP}.*)?\z")
 _LAST_CELL = rf"([^{_SEP}]*){_SEP}\z"
 _DIGIT_CELL = rf"(?:^|{_SEP}){_BLANKS}([0-9]+){_BLANKS}(?={_SEP}|\z)"
 
@@ -204,13 +205,16 @@ def master_candidates(cells: DataFrame, specs: DataFrame | None = None) -> DataF
     """
     extra = [c for c in cells.columns if c != "cells"]
     line = F.array_join("cells", _SEP, "")
-    a = (cells.select(*extra, line.alias("line")).where(F.col("line").contains("FUT"))
-         .withColumn("before", F.regexp_extract("line", _SYMBOL_CELL, 1))
-         .withColumn("symbol", F.regexp_extract("line", _SYMBOL_CELL, 2))
-         .where(F.col("symbol") != ""))
-    parts = [F.regexp_extract("symbol", FUT_SYMBOL_PATTERN, i) for i in (1, 2, 3, 4)]
-    b = a.select(*extra, "line", "before", "symbol", parts[0].alias("exch"),
-                 parts[1].alias("root"), parts[2].alias("yy"), parts[3].alias("mon"))
+    # one pass of the pattern a line gives what stands before the symbol and the symbol's
+    # parts; a line without a symbol stays as it is, in one part. Generated rows, so that
+    # the filter isn't pushed below the pattern, which would run it again
+    parts = F.split(F.regexp_replace("line", _SYMBOL_LINE, _PART.join(("$1", "$2", "$3", "$4", "$5"))), _PART)
+    p = F.col("p")
+    b = (cells.select(*extra, F.translate(line, _PART, "\u0003").alias("line"))
+         .where(F.col("line").contains("FUT"))
+         .select(*extra, "line", F.explode(F.array(parts)).alias("p")).where(F.size("p") == 5)
+         .select(*extra, "line", p[0].alias("before"), F.concat(p[1], F.lit(":"), p[2], p[3], p[4], F.lit("FUT"))
+                 .alias("symbol"), p[1].alias("exch"), p[2].alias("root"), p[3].alias("yy"), p[4].alias("mon")))
     more = []
     if specs is not None:
         more = [c for c in specs.columns if c not in ("root", "exch")]

@@ -26,10 +26,11 @@ from marketbars.operators.routing import exchange_dim, route_exchange
 from marketbars.schemas import (
     DEFAULT_UNDERLYINGS, FUTURES_COLUMNS, FUTURES_SOURCE_LABEL, OPTIONS_COLUMNS, UNDERLYINGS,
 )
+from marketbars.session import written_once
 from marketbars.sinks.journal import staging_path
 from marketbars.sinks.writers import PART_COL, stage_and_publish
 from marketbars.sources.catalog import index_dim
-from marketbars.sources.readers import partition_dirs, valid_table
+from marketbars.sources.readers import partition_counts, partition_dirs, valid_table
 
 
 def run_dates(spark: SparkSession, start: str, end: str, holiday_table: DataFrame | None = None) -> DataFrame:
@@ -55,10 +56,14 @@ def build_run(spark: SparkSession, *, start: str, end: str,
               chain_listing: DataFrame, chains: DataFrame, master_cells: DataFrame,
               selected: Sequence[str] | None = None,
               source_label: str = FUTURES_SOURCE_LABEL,
-              pending: DataFrame | None = None) -> dict[str, DataFrame]:
+              pending: DataFrame | None = None, keep_answers: bool = False) -> dict[str, DataFrame]:
     """All tables of a run. ``selected`` restricts every kind to those indexes, in
     the tables and in the counters. ``pending`` (trading_date, kind; see
-    ``pending_work``): the days still to be collected of each kind; default all."""
+    ``pending_work``): the days still to be collected of each kind; default all.
+    ``keep_answers``: the run's parsed answers, contracts and futures are written once to
+    the shared folder, and tables, outcomes and counts read them there: for a run that
+    uses several of its tables."""
+    keep = written_once if keep_answers else (lambda df, name: df)
     if selected:
         unknown = set(selected) - set(UNDERLYINGS)
         if unknown:
@@ -81,19 +86,19 @@ def build_run(spark: SparkSession, *, start: str, end: str,
                                        "options"))
     items = on_days(_only(C.chain_items(chains), "underlying", selected), "options")
     rows = C.chain_rows(C.tag_requested_expiry(items, targets), C.prefix_dim(spark))
-    contracts = C.option_contracts(rows)
-    option_answers = on_days(option_payloads, "options")
+    contracts = keep(C.option_contracts(rows), "contracts")
+    option_answers = keep(on_days(option_payloads, "options"), "option-answers")
     options = B.options_bars(option_answers, contracts)
 
     # futures: near/next/far per (index, date), then bars of those symbols
     specs = _only(C.futures_spec_dim(spark), "underlying", selected)
-    fut_contracts = C.resolve_futures_range(master_cells, days_of["futures"], specs)
-    future_answers = on_days(futures_payloads, "futures")
+    fut_contracts = keep(C.resolve_futures_range(master_cells, days_of["futures"], specs), "futures")
+    future_answers = keep(on_days(futures_payloads, "futures"), "future-answers")
     futures = B.futures_bars(future_answers, fut_contracts, source_label)
 
     # spot: vendor index symbol -> index
     idx = _only(index_dim(spark), "index", selected).select("symbol", F.col("index").alias("Index"))
-    spot_answers = on_days(spot_payloads, "spot")
+    spot_answers = keep(on_days(spot_payloads, "spot"), "spot-answers")
     spot = B.spot_bars(spot_answers, idx)
 
     # one discovery row per requested index and trading day (a generator over
@@ -178,11 +183,15 @@ def _write_days(spark: SparkSession, kind: str, rows: DataFrame, date, out_dir:
                 partition_by, sort_within, fmt: str) -> list:
     dated = rows.withColumn(PART_COL, date)
     target = f"{out_dir}/{kind}"
+    places: list[str] = []
     if not stage_and_publish(spark, dated, staging_path(spark, target, kind), target, partition_by,
-                             sort_within, fmt):
+                             sort_within, fmt, places=places):
         return [(kind, None, None, 0, "empty", f"no {kind} rows")]
-    counted = rows.groupBy(date.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
-    return [(kind, None, r["d"], r["n"], "written", None) for r in counted]
+    days: dict[str | None, int] = {}        # of all indexes, from the published files
+    for *_, day, n in partition_counts(spark, target, places, partition_by, fmt):
+        days[day] = days.get(day, 0) + n
+    return [(kind, None, None if day is None else _dt.date.fromisoformat(day), n, "written", None)
+            for day, n in sorted(days.items(), key=str)]
 
 
 def write_outputs(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str,

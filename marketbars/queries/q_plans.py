@@ -23,7 +23,7 @@ from marketbars.queries.q_payloads import (
     TYPE_BARS, USER_BARS, option_payloads, spot_index, spot_payloads,
 )
 from marketbars.schemas import CHAIN_PAYLOAD_SCHEMA
-from marketbars.session import scratch_path
+from marketbars.session import scratch_path, written_once
 from marketbars.sinks.writers import PART_COL, verified_write, write_csv
 from marketbars.sources.readers import read_bars, read_symbol_master
 from marketbars.streaming.ingest_stream import stream_ingest
@@ -240,7 +240,7 @@ UNION ALL SELECT 'spot', NULL, date, count(*), count(*) FROM s GROUP BY date
 def q_written_outputs(spark, sf):
     """A run's tables written by exchange, index and day: the writer's report, and the
     rows read back per subset."""
-    payloads = option_payloads(spark, sf)
+    payloads = written_once(option_payloads(spark, sf), "answers")      # of options and futures
     even = F.col("c_custkey") % 2 == 0
     c = table(spark, sf, "customer")
     name = F.concat(F.lit("U"), F.col("c_custkey").cast("string"))

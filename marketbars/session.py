@@ -7,7 +7,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE turns sort-merge joins into broadcast joins
 # only when the runtime size of a side is below the threshold (the size check
@@ -100,6 +100,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read from there by all that use it, instead
+    of being computed by each of them (and again for every executor lost)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder on any Hadoop file system (staging that has been published)."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

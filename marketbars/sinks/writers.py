@@ -187,12 +187,14 @@ def stage_and_publish(spark: SparkSession, df: DataFrame, staging: str, target:
                       partition_by: Sequence[str] = (PART_COL,),
                       sort_within: Sequence[str] = (), fmt: str = "parquet",
                       note: dict | None = None, record: Callable[[dict], None] | None = None,
-                      only: Callable[[str], Iterable[tuple[str, ...]]] | None = None) -> int:
+                      only: Callable[[str], Iterable[tuple[str, ...]]] | None = None,
+                      places: list[str] | None = None) -> int:
     """Stage, verify, then replace only the staged partitions in ``target`` and verify
     them there; whatever a crash leaves, ``journal.recover`` finishes or takes back.
 
     ``only(staging)``: which of the staged partitions to publish (default: all; the
-    others are dropped with the staging). ``note`` and ``record``: see ``journal.publish``.
+    others are dropped with the staging). ``places`` gets the published directories.
+    ``note`` and ``record``: see ``journal.publish``.
     Returns the number of staged rows."""
     written = _observed_write(spark, df, staging, partition_by, "errorifexists", sort_within, fmt)
     if not written[0]:
@@ -206,11 +208,13 @@ def stage_and_publish(spark: SparkSession, df: DataFrame, staging: str, target:
         expected = (read_back(spark, staging, df.schema, fmt, partition_by, dirs) if dirs
                     else (0, 0, 0, 0))
 
-    def verify(places: list[str]) -> None:
-        if places:
+    def verify(published: list[str]) -> None:
+        if published:
             _compare("published", target,
-                     read_back(spark, target, df.schema, fmt, partition_by, places), expected)
-    publish(spark, staging, target, len(partition_by), some, note, verify, record)
+                     read_back(spark, target, df.schema, fmt, partition_by, published), expected)
+    done = publish(spark, staging, target, len(partition_by), some, note, verify, record)
+    if places is not None:
+        places += done
     return written[0]
 
 
