@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketbars.session import scratch_path
@@ -56,6 +56,39 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW = "_row_id"
+_AFTER = 1 << 62        # row ids from here on are those of rows without an id of their own
+
+
+def row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``ROW``, a long that tells rows apart, so that what is decided of one
+    row isn't done to another: the doc_id, if no other row has it. Of rows that share a
+    doc_id, one keeps it; the others, and rows without a doc_id, get ids behind all
+    others, made from doc_id, text and, for rows that agree in both, their number.
+
+    Only rows that share an id or have none are shuffled with their texts. Tables of
+    unique ids cost one count of the ids."""
+    own = docs.withColumn(ROW, F.col("doc_id").cast("long"))
+    tag = F.xxhash64("text")
+    shared = stage(own.groupBy(ROW).agg(F.count(F.lit(1)).alias("_n"), F.min(tag).alias("_first"))
+                   .where(F.col(ROW).isNull() | (F.col("_n") > 1)), "shared-ids")
+    if shared.isEmpty():
+        return own
+    # a null id is written as another long that no id of a shared one is: joins drop nulls
+    none = F.lit(-1 << 63)
+    names = shared.select(F.coalesce(ROW, none).alias("_id"), F.col(ROW).isNull().alias("_null"), "_first")
+    keyed = own.withColumn("_id", F.coalesce(ROW, none)).withColumn("_null", F.col(ROW).isNull())
+    alone = keyed.join(names, ["_id", "_null"], "left_anti")
+    equal = Window.partitionBy("_id", "_null", "_tag").orderBy(F.lit(0))
+    others = (keyed.join(names, ["_id", "_null"]).withColumn("_tag", tag)
+              .withColumn("_copy", F.row_number().over(equal)))
+    made = (F.xxhash64(ROW, "_tag", "_copy").bitwiseAND(F.lit(_AFTER - 1)).bitwiseOR(F.lit(_AFTER)))
+    keeps = ~F.col("_null") & (F.col("_tag") == F.col("_first")) & (F.col("_copy") == 1)
+    others = others.withColumn(ROW, F.when(keeps, F.col(ROW)).otherwise(made))
+    return (alone.drop("_id", "_null")
+            .unionByName(others.drop("_id", "_null", "_first", "_tag", "_copy")))
+
+
 ARROW_ROWS = 2_000
 ARROW_BYTES = 4 << 20
 
