@@ -58,9 +58,11 @@ def compact(spark: SparkSession, path: str) -> str:
     text = "".join(Storage(spark, staged).read(f"{staged}/{n}") for n in parts)
     storage.write(f"{path}/{name}", text)
     for listed in old:
-        if storage.exists(f"{path}/{listed}"):      # else its snapshot was never written
-            for covered in json.loads(storage.read(f"{path}/{COVERED}/{listed}")):
+        cover = f"{path}/{COVERED}/{listed}"
+        # without its snapshot it covers nothing; another compaction may have been here
+        if storage.exists(f"{path}/{listed}") and storage.exists(cover):
+            for covered in json.loads(storage.read(cover)):
                 storage.remove(f"{path}/{covered}")
-        storage.remove(f"{path}/{COVERED}/{listed}")
+        storage.remove(cover)
     remove_path(spark, staged)
     return name

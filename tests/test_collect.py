@@ -201,3 +201,11 @@ def test_range_resolution_matches_brute_force_on_messy_masters(spark):
         got = {(r["underlying"], r["trading_date"], r["symbol"], r["expiry"], r["rank"])
                for r in C.resolve_futures_range(cells, day_df, spec_df).collect()}
         assert got == _brute_force_range(master, specs, days), trial
+
+
+def test_a_range_that_ends_before_it_starts_is_an_error(spark):
+    import pytest
+    from marketbars.plans.collect import trading_dates
+    with pytest.raises(ValueError):
+        trading_dates(spark, "2026-08-25", "2026-08-24")
+    assert [str(r[0]) for r in trading_dates(spark, "2026-08-24", "2026-08-24").collect()] == ["2026-08-24"]
