@@ -1,11 +1,13 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences; from every sentence on, the shortest run of at
-least ``SENTENCES`` consecutive sentences with at least ``MIN_WORDS`` words is
-hashed. The hashes of all texts meet in one aggregate that finds each run's first
-document, and a join marks the runs that stand elsewhere too. Sentences covered by
-any run that is not its first occurrence are removed: of the documents by id, and
-within a document by position.
+A text is cut into sentences. Every run of ``SENTENCES`` and more consecutive
+sentences with ``MIN_WORDS`` and more words counts: what any of them covers, the
+shortest ones cover too, namely the shortest from each sentence on and the shortest up to
+each sentence (the former reach every sentence of a repeated run but those of its
+end, the latter those). These are hashed. The hashes of all texts meet in one aggregate
+that finds each run's first document, and a join marks the runs that stand elsewhere
+too. Sentences covered by any run that is not its first occurrence are removed: of the
+documents by id, and within a document by position.
 
 Runs are compared by the words of their sentences (runs of characters other than
 ASCII punctuation and spaces, A-Z lower-cased) through 64-bit hashes. Sentences
@@ -19,40 +21,41 @@ depends on fewer than ``WINDOW`` words on either side, and no piece has more tha
 ``WINDOW`` words, so of 51 words in a row that two long sentences share, there is
 always a run of whole pieces that both have.
 
-Defined cases: null and empty texts have no sentences; a null doc_id comes after
-all others; rows that repeat a doc_id count as one document, whose runs are
-repeats only where they repeat within a row; texts too short for a run lose
-nothing; other columns pass through ``remove_repeats`` as they are, whatever their
-names.
+Defined cases: null and empty texts have no sentences; rows are documents of their own,
+whatever their doc_id: those that repeat one, or have none, come after all others
+(``row_ids``); texts too short for a run lose nothing; other columns pass through
+``remove_repeats`` as they are.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketbars.llm.common import WORD_BYTES, alnum_words, binary_rows, record_batches, stage
+from marketbars.llm.common import (
+    ROW, WORD_BYTES, alnum_words, binary_rows, record_batches, row_ids, stage,
+)
 
 SENTENCES = 2
 MIN_WORDS = 20
 LONG = MIN_WORDS
 WINDOW = 8
-LAST = (1 << 63) - 1
+LENGTH_BITS = 24        # a run as one long: its first sentence above, its length below
 
 _OTHER_ENDS = "|".join("\u3002 \uff01 \uff1f \uff0e \uff61 \u061f \u06d4 \u0964 \u0965 \u1362 \u1367".split())
 _ENDS = re.compile(rb"(?:[.!?]+(?=[ \t\r\x0b\x0c\n]|\Z)|(?:" + _OTHER_ENDS.encode() + rb")+)"
                    rb"[ \t\r\x0b\x0c]*\n*|\n+")
 _WORD = re.compile(rb"[^ ]+")
 
-RUNS = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("length", pa.int32()),
-                  ("hash", pa.int64()), ("again", pa.bool_())])
-_RUNS = "doc long, start int, length int, hash long, again boolean"
+RUNS = pa.schema([("doc", pa.int64()), ("span", pa.int64()), ("hash", pa.int64()),
+                  ("again", pa.bool_())])
+_RUNS = "doc long, span long, hash long, again boolean"
 
 
 def _picked(words: list[bytes]) -> Iterator[int]:
@@ -98,22 +101,29 @@ def sentences(text: bytes) -> list[tuple[int, int, list[bytes]]]:
     return out
 
 
-def runs(parts: list[list[bytes]], least: int = SENTENCES,
-         min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int]]:
-    """(start, length, hash) of the run that starts at each sentence."""
-    ends, total = [], 0
-    for words in parts:
-        total += len(words)
-        ends.append(total)
-    joined = [b" ".join(words) for words in parts]
+def _shortest(ends: list[int], least: int, min_words: int) -> Iterator[tuple[int, int]]:
+    """(start, stop) of the shortest run from each sentence on; ``ends``: words so far."""
     stop = 0
-    for start in range(len(parts)):
-        before = ends[start - 1] if start else 0
+    for start in range(len(ends) - 1):
         stop = max(stop, start + least)
-        while stop <= len(parts) and ends[stop - 1] - before < min_words:
+        while stop < len(ends) and ends[stop] - ends[start] < min_words:
             stop += 1
-        if stop > len(parts):
+        if stop >= len(ends):
             return
+        yield start, stop
+
+
+def runs(parts: list[list[bytes]], least: int = SENTENCES,
+         min_words: int = MIN_WORDS) -> Iterator[tuple[int, int, int]]:
+    """(start, length, hash) of the shortest runs from each sentence on and up to each
+    sentence, in order."""
+    ends = list(accumulate((len(words) for words in parts), initial=0))
+    n, total = len(parts), ends[-1]
+    back = [total - e for e in reversed(ends)]
+    spans = set(_shortest(ends, least, min_words))
+    spans.update((n - stop, n - start) for start, stop in _shortest(back, least, min_words))
+    joined = [b" ".join(words) for words in parts]
+    for start, stop in sorted(spans):
         digest = xxhash.xxh3_64_intdigest(b"\n".join(joined[start:stop]))
         yield start, stop - start, digest - (1 << 63)
 
@@ -123,10 +133,10 @@ def _list_runs(least: int, min_words: int):
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), binary_rows(batch, "text")):
                 parts = [words for _, _, words in sentences(text or b"")]
-                yield doc, len(parts), 0, None, False
+                yield doc, len(parts), None, False
                 seen = set()
                 for start, length, digest in runs(parts, least, min_words):
-                    yield doc, start, length, digest, digest in seen
+                    yield doc, start << LENGTH_BITS | length, digest, digest in seen
                     seen.add(digest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,33 +144,33 @@ def _list_runs(least: int, min_words: int):
     return run
 
 
-def _doc():
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-
-
 def list_runs(docs: DataFrame, least: int = SENTENCES, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every run of every text, written; and a row per text without a hash that
-    holds its number of sentences in ``start``."""
-    return stage(docs.select(_doc().alias("doc"), F.col("text"))
+    """Every run of every text of ``row_ids``, written: ``doc`` is the row id. A row
+    without a hash per text holds its number of sentences in ``span``."""
+    return stage(docs.select(F.col(ROW).alias("doc"), F.col("text"))
                  .mapInArrow(_list_runs(least, min_words), _RUNS), "sentence-runs")
 
 
 def repeated_runs(listed: DataFrame) -> DataFrame:
-    """(doc, start, length) of the runs that are not their first occurrence."""
+    """(doc, span) of the runs that are not their first occurrence."""
     found = listed.where("hash is not null")
-    shared = (found.where("not again").groupBy("hash")
-              .agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-              .where("first < last").select("hash", "first"))
-    elsewhere = found.join(shared, "hash").where("doc <> first")
-    return (elsewhere.select("doc", "start", "length")
-            .union(found.where("again").select("doc", "start", "length")))
+    # written: the join's sides then come straight from a shuffle each, so that AQE can
+    # split the rows of a hash that very many texts hold
+    shared = stage(found.where("not again").groupBy("hash")
+                   .agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+                   .where("first < last").select("hash", "first"), "shared-runs")
+    elsewhere = found.select("doc", "span", "hash").join(shared, "hash").where("doc <> first")
+    return (elsewhere.select("doc", "span")
+            .union(found.where("again").select("doc", "span")))
 
 
 def _covered(spans: DataFrame) -> DataFrame:
     """(doc, gone): the sentences that the spans cover, ascending."""
-    return (spans.distinct().groupBy("doc")
-            .agg(F.collect_list(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1))
-                 .alias("s"))
+    start = F.shiftright("span", LENGTH_BITS).cast("int")
+    length = F.col("span").bitwiseAND(F.lit((1 << LENGTH_BITS) - 1)).cast("int")
+    # a text has each of its runs once
+    return (spans.select("doc", F.sequence(start, start + length - 1).alias("s"))
+            .groupBy("doc").agg(F.collect_list("s").alias("s"))
             .select("doc", F.sort_array(F.array_distinct(F.flatten("s"))).alias("gone")))
 
 
@@ -168,14 +178,14 @@ def span_report(docs: DataFrame, least: int = SENTENCES,
                 min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: doc_id, n_sentences, n_removed, removed (numbers from
     0 of the sentences with words, ascending, comma-joined)."""
-    listed = list_runs(docs, least, min_words)
-    gone = _covered(repeated_runs(listed))
-    counts = listed.where("hash is null").select("doc", F.col("start").alias("n"))
-    here = F.filter(F.col("gone"), lambda i: i < F.col("n"))
-    return (counts.join(gone, "doc", "left")
-            .withColumn("gone", F.coalesce(here, F.array().cast("array<int>")))
-            .select(F.when(F.col("doc") != LAST, F.col("doc")).alias("doc_id"),
-                    F.col("n").cast("long").alias("n_sentences"),
+    keyed = row_ids(docs)
+    listed = list_runs(keyed, least, min_words)
+    counts = listed.where("hash is null").select("doc", F.col("span").alias("n"))
+    names = keyed.select(F.col(ROW).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"))
+    gone = F.coalesce("gone", F.array().cast("array<int>"))
+    return (names.join(counts, "doc").join(_covered(repeated_runs(listed)), "doc", "left")
+            .withColumn("gone", gone)
+            .select("doc_id", F.col("n").cast("long").alias("n_sentences"),
                     F.size("gone").cast("long").alias("n_removed"),
                     F.array_join("gone", ",").alias("removed")))
 
@@ -183,9 +193,10 @@ def span_report(docs: DataFrame, least: int = SENTENCES,
 def remove_repeats(docs: DataFrame, least: int = SENTENCES,
                    min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the sentences that repeated runs cover."""
-    gone = _covered(repeated_runs(list_runs(docs, least, min_words)))
-    joined = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                          _doc().alias("doc"), F.col("text"))
+    keyed = row_ids(docs)
+    gone = _covered(repeated_runs(list_runs(keyed, least, min_words)))
+    joined = (keyed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                           F.col(ROW).alias("doc"), F.col("text"))
               .join(gone, "doc", "left").select("row", "text", "gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,6 @@ def spans(text, least=2, min_words=20):
         for j in range(i + least, len(parts) + 1):
             if sum(map(len, parts[i:j])) >= min_words:
                 out.append((i, j, tuple(map(tuple, parts[i:j]))))
-                break
     return len(parts), out
 
 
@@ -39,8 +38,8 @@ def corpus(seed=1):
             parts += [rng.choice(passages), prose(rng.random(), rng.randrange(3, 40))]
         rows.append((i, rng.choice([" ", "\n", " is "]).join(parts)))
     rows += [(200 + i, rows[i][1]) for i in range(10)]
-    return rows + [(300, None), (301, ""), (302, "One. Two. Three."), (303, "no end " * 9000),
-                   (304, ".\n.\n!"), (305, passages[0] + " " + passages[0]), (306, "A. " * 500)]
+    return rows + [(300, None), (301, ""), (302, "One. Two. Three."), (303, "no end " * 900),
+                   (304, ".\n.\n!"), (305, passages[0] + " " + passages[0]), (306, "A. " * 120)]
 
 
 def test_sentences_cover_the_text():
@@ -79,7 +78,7 @@ def test_null_and_repeated_ids_and_empty(spark, documents):
     text = prose(1, 60)
     rows = [(None, text), (5, text), (5, text)]
     got = sorted((str(r.doc_id), r.n_removed > 0) for r in ss.span_report(documents(rows)).collect())
-    assert got == [("5", False), ("5", False), ("None", True)]
+    assert got == [("5", False), ("5", True), ("None", True)]
     assert ss.span_report(documents([])).collect() == []
 
 
@@ -121,3 +120,28 @@ def test_long_sentences_are_cut_by_content():
 def test_sentence_ends_of_other_scripts():
     text = "\u4e00\u4e8c\u3002\u4e09\uff01\u0915 \u0916\u0964 \u0917"
     assert [len(words) for _, _, words in ss.sentences(text.encode())] == [1, 1, 2, 1]
+
+
+def test_the_whole_of_a_repeated_passage_goes(spark, documents):
+    shared = " ".join(f"{plain(70 + i, n)}." for i, n in enumerate((15, 15, 5, 3)))
+    rows = [(1, f"{shared} {plain(90, 30)}."), (2, f"{plain(91, 30)}. {shared} {plain(92, 30)}.")]
+    kept = {r.doc_id: r.text for r in ss.remove_repeats(documents(rows)).collect()}
+    assert kept[1] == rows[0][1]
+    assert alnum_words(kept[2].encode()) == alnum_words(f"{plain(91, 30)} {plain(92, 30)}".encode())
+
+
+def test_rows_are_cut_not_ids(spark, documents):
+    a, b, c = (f"{plain(95 + i, 30)}. {plain(195 + i, 30)}." for i in range(3))
+    rows = [(1, a), (7, a), (7, b), (None, c), (None, c), (9, b), (None, None)]
+    docs = documents(rows, {"_id": "x"})
+    kept = sorted((r.doc_id or 0, r.text or "") for r in ss.remove_repeats(docs).collect())
+    assert (1, a) in kept and sorted(t for _, t in kept if t) == sorted([a, b, c])
+    report = ss.span_report(docs).collect()
+    assert sorted(r.doc_id or 0 for r in report) == sorted(i or 0 for i, _ in rows)
+
+
+def test_very_long_texts(spark, documents):
+    long = "no end " * 9000
+    got = {r.doc_id: r for r in ss.span_report(documents([(1, long), (2, long), (3, "x" * 300_000)])).collect()}
+    assert got[2].n_removed == got[2].n_sentences > 100 and got[1].n_removed < got[1].n_sentences
+    assert got[3].n_removed == 0
