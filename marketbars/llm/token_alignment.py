@@ -67,6 +67,7 @@ class Tokens:
                                else token.encode())
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces_file)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.a_size, self.b_size = _sizes(self.a_bytes), _sizes(self.b_bytes)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -78,13 +79,21 @@ class Tokens:
         """A and B ids per text; None where they don't spell a space and the text."""
         for text, b_ids in zip(texts, self.b.encode(texts, num_threads=1)):
             data = b" " + text.encode()
-            a_ids = np.frombuffer(self.a.encode(" " + text), "<u4").astype(np.int64) \
-                if text else np.empty(0, np.int64)
-            if (not text or b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) != data
-                    or b"".join(map(self.b_bytes.__getitem__, b_ids)) != data):
+            if not text or b"".join(map(self.b_bytes.__getitem__, b_ids)) != data:
                 yield None
-            else:
+                continue
+            a_ids = np.frombuffer(self.a.encode(" " + text), "<u4").astype(np.int64)
+            if self._spells(a_ids, data):
                 yield a_ids, np.array(b_ids, np.int64)
+            else:
+                yield None
+
+    def _spells(self, a_ids: np.ndarray, data: bytes) -> bool:
+        """Byte-level BPE without a normaliser writes every byte as one character and
+        joins neighbours: its tokens spell the text if they have its length."""
+        if self.a.by_piece:
+            return int(self.a_size[a_ids].sum()) == len(data)
+        return b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) == data
 
 
 @lru_cache(maxsize=2)
@@ -94,12 +103,19 @@ def tokens(byte_level_file: str, pieces_file: str) -> Tokens:
 
 # ---- alignment ---------------------------------------------------------------
 
+def ended(ends: np.ndarray) -> np.ndarray:
+    """By offset: how many tokens have ended there or before."""
+    marks = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int64)
+    marks[ends] = 1
+    return np.cumsum(marks)
+
+
 def group_labels(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The group of each A and each B token, named by the B token that ends it. The
     ends ascend and finish at the same offset."""
     n_a = len(a_ends)
-    over_a = np.searchsorted(b_ends, a_ends)       # the B token holding an A token's last byte
-    over_b = np.searchsorted(a_ends, b_ends)
+    over_a = ended(b_ends)[a_ends - 1]      # the B token holding an A token's last byte
+    over_b = ended(a_ends)[b_ends - 1]
     own = np.arange(len(b_ends))
     # an A token's farthest-right overlap is that B token; a B token's is the A token
     # holding its last byte, if that one ends later, else the B token itself
@@ -114,24 +130,25 @@ def group_labels(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np
 
 def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(A token, B token) of every overlap of byte ranges, by A token."""
-    a_starts = np.concatenate([[0], a_ends[:-1]])
-    first = np.searchsorted(b_ends, a_starts, side="right")
-    n = np.searchsorted(b_ends, a_ends) - first + 1
+    before = ended(b_ends)
+    first = before[np.concatenate([[0], a_ends[:-1]])]
+    n = before[a_ends - 1] - first + 1
     a = np.repeat(np.arange(len(a_ends)), n)
     return a, np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
 
 
 class Spelling:
     """Ids as decimal text with what follows them in a digest: a comma inside a group's
-    side, a bar after its A ids, a semicolon after its B ids."""
+    side, a bar after its A ids, a semicolon after its B ids; a row of bytes each."""
 
     def __init__(self, a_ids: int, b_ids: int):
-        self.b_start = 2 * a_ids
-        self.text = ([f"{i},".encode() for i in range(a_ids)]
-                     + [f"{i}|".encode() for i in range(a_ids)]
-                     + [f"{i},".encode() for i in range(b_ids)]
-                     + [f"{i};".encode() for i in range(b_ids)])
-        self.a_ids, self.b_ids = a_ids, b_ids
+        self.a_ids, self.b_ids, self.b_start = a_ids, b_ids, 2 * a_ids
+        text = [f"{i}{end}".encode() for ends, n in ((",|", a_ids), (",;", b_ids))
+                for end in ends for i in range(n)]
+        self.size = np.array([len(t) for t in text], np.int64)
+        width = int(self.size.max())
+        self.table = np.frombuffer(b"".join(t.ljust(width, b"\0") for t in text),
+                                   np.uint8).reshape(-1, width)
 
     def codes(self, a_ids, b_ids, a_label, b_label) -> np.ndarray:
         """All tokens, group by group with the A tokens first, as places in ``text``."""
@@ -148,10 +165,10 @@ class Spelling:
             self.b_start + b_ids + self.b_ids * b_last)
         return out
 
-    def digest(self, codes: np.ndarray) -> str:
-        """SHA-256 of ``a1,a2|b1;a3|b2,b3``."""
-        text = b"".join(map(self.text.__getitem__, codes.tolist()))
-        return hashlib.sha256(memoryview(text)[:-1]).hexdigest()
+    def spelt(self, codes: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """``a1,a2|b1;a3|b2,b3;`` of all documents, and where each code ends in it."""
+        wide = self.table[codes]
+        return memoryview(wide[wide != 0]), np.cumsum(self.size[codes])
 
 
 def align(coded: list[tuple[np.ndarray, np.ndarray] | None], a_size: np.ndarray,
@@ -170,7 +187,8 @@ def align(coded: list[tuple[np.ndarray, np.ndarray] | None], a_size: np.ndarray,
     a, b = overlaps(a_ends, b_ends)
     link_cut = np.searchsorted(a, a_cut)
     pairs = (a_ids[a] << SHIFT) | b_ids[b]
-    codes = spelling.codes(a_ids, b_ids, a_label, b_label)
+    text, ends = spelling.spelt(spelling.codes(a_ids, b_ids, a_label, b_label))
+    text_cut = np.concatenate([[0], ends[a_cut[1:] + b_cut[1:] - 1]])
     out, k = [], 0
     for c in coded:
         if c is None:
@@ -180,8 +198,7 @@ def align(coded: list[tuple[np.ndarray, np.ndarray] | None], a_size: np.ndarray,
         gb = b_label[b_cut[k]:b_cut[k + 1]]
         out.append((len(c[0]), len(c[1]), int(np.count_nonzero(gb[1:] != gb[:-1])) + 1,
                     int(link_cut[k + 1] - link_cut[k]),
-                    spelling.digest(codes[a_cut[k] + b_cut[k]:a_cut[k + 1] + b_cut[k + 1]]),
-                    mine, times))
+                    hashlib.sha256(text[text_cut[k]:text_cut[k + 1] - 1]).hexdigest(), mine, times))
         k += 1
     return out
 
@@ -207,7 +224,7 @@ def _some(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 def _align(byte_level_file: str, pieces_file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokens(byte_level_file, pieces_file)
-        a_size, b_size = _sizes(both.a_bytes), _sizes(both.b_bytes)
+        a_size, b_size = both.a_size, both.b_size
         spelling = Spelling(len(a_size), len(b_size))
         for batch in batches:
             for first, texts in _some(batch.column(1)):
