@@ -61,8 +61,9 @@ _AFTER = 1 << 62        # row ids from here on are those of rows without an id o
 
 
 def row_ids(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``ROW``, a long that tells rows apart, so that what is decided of one
-    row isn't done to another: the doc_id, if no other row has it. Of rows that share a
+    """``docs`` (doc_id, text, and at most a struct ``row``: other names might clash with
+    those used here) with ``ROW``, a long that tells rows apart, so that what is decided of
+    one row isn't done to another: the doc_id, if no other row has it. Of rows that share a
     doc_id, one keeps it; the others, and rows without a doc_id, get ids behind all
     others, made from doc_id, text and, for rows that agree in both, their number.
 

@@ -178,7 +178,7 @@ def span_report(docs: DataFrame, least: int = SENTENCES,
                 min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: doc_id, n_sentences, n_removed, removed (numbers from
     0 of the sentences with words, ascending, comma-joined)."""
-    keyed = row_ids(docs)
+    keyed = row_ids(docs.select("doc_id", "text"))
     listed = list_runs(keyed, least, min_words)
     counts = listed.where("hash is null").select("doc", F.col("span").alias("n"))
     names = keyed.select(F.col(ROW).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"))
@@ -193,10 +193,10 @@ def span_report(docs: DataFrame, least: int = SENTENCES,
 def remove_repeats(docs: DataFrame, least: int = SENTENCES,
                    min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` without the sentences that repeated runs cover."""
-    keyed = row_ids(docs)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = row_ids(docs.select(row, "doc_id", "text"))
     gone = _covered(repeated_runs(list_runs(keyed, least, min_words)))
-    joined = (keyed.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                           F.col(ROW).alias("doc"), F.col("text"))
+    joined = (keyed.select("row", F.col(ROW).alias("doc"), F.col("text"))
               .join(gone, "doc", "left").select("row", "text", "gone"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
