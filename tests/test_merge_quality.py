@@ -123,3 +123,15 @@ def test_invalid_types_are_rows_and_a_short_list(spark):
     assert whole.invalid_types == bad[:LISTED] and whole.invalid_values == 250 and not whole.ok
     empty = quality_report(df.drop("grp").limit(0), expected_columns=["OptionType"], keys=[]).first()
     assert empty.invalid_types == [] and empty.rows == 0
+
+
+def test_invalid_types_has_every_day_and_all_values(spark, tmp_path):
+    import datetime as dt
+    from marketbars.queries.q_reports import ALLOWED_TYPES, q_invalid_types
+    bad = sorted(f"T{i}" for i in range(250))
+    clean, dirty = dt.datetime(2024, 1, 1, 9), dt.datetime(2024, 1, 2, 9)
+    rows = [(clean, ALLOWED_TYPES[0]), (clean, None), (None, "X"), (dirty, ALLOWED_TYPES[0])]
+    rows += [(dirty, b) for b in bad] * 2
+    spark.createDataFrame(rows, "ts timestamp_ntz, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.date: (r.invalid_types, r.invalid_rows) for r in q_invalid_types(spark, str(tmp_path)).collect()}
+    assert got == {clean.date(): ("", 0), dirty.date(): (",".join(bad), 500), None: ("X", 1)}
