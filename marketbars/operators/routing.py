@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketbars.functions.timefmt import lenient_date
 from marketbars.schemas import OPTIONS_FILENAMES, SPOT_FILES, UNDERLYINGS, YEARLY_FILES
@@ -72,6 +73,8 @@ def row_date(df: DataFrame) -> Column:
     """The date a row belongs to: ``Date`` if present, else the date of
     ``timestamp``; NULL if neither column exists (decided at plan time)."""
     if "Date" in df.columns:
+        if isinstance(df.schema["Date"].dataType, T.DateType):
+            return F.col("Date")
         return lenient_date(F.col("Date"))
     if "timestamp" in df.columns:
         return lenient_date(F.col("timestamp"))

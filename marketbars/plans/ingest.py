@@ -95,22 +95,26 @@ def ingest_targets(spark: SparkSession, incoming: DataFrame, history_path: str,
                    quarantine_path: str | None = None, dead_letter_path: str | None = None,
                    order_by: Sequence[str] | None = None, schema: T.StructType | None = None,
                    fmt: str = "parquet", merge_ledgered: bool = False,
-                   batch_id: str | None = None, accept: bool = False) -> DataFrame:
+                   batch_id: str | None = None, accept: bool = False,
+                   keep_rows: bool = True) -> DataFrame:
     """``ingest`` for the many targets named by the column ``target``: histories are one
     table partitioned by target and date, in which a key is unique per target. One job
     each counts, reconciles, merges and writes all of them.
 
     Rows without a target (status ``unrouted``, one decision) are written to
-    ``dead_letter_path`` (default: beside the history) under their batch."""
+    ``dead_letter_path`` (default: beside the history) under their batch.
+    ``keep_rows``: False, if the rows are cheaper to read again than to keep: the counts
+    then need no more than the targets and dates, and days that are ingested already
+    no more than that."""
     dead_letter_path = dead_letter_path or f"{history_path.rstrip('/')}_dead_letter"
     return _run(spark, incoming, history_path, ledger_path, None, keys, dry_run, repair,
                 repair_only, archive_path, sort_within, date_of, quarantine_path,
-                dead_letter_path, order_by, schema, fmt, merge_ledgered, batch_id, accept)
+                dead_letter_path, order_by, schema, fmt, merge_ledgered, batch_id, accept, keep_rows)
 
 
 def _run(spark, incoming, history_path, ledger_path, target, keys, dry_run, repair, repair_only,
          archive_path, sort_within, date_of, quarantine_path, dead_letter_path, order_by, schema,
-         fmt, merge_ledgered, batch_id, accept) -> DataFrame:
+         fmt, merge_ledgered, batch_id, accept, keep_rows=True) -> DataFrame:
     depth = 1 if target is not None else 2
     if path_exists(spark, history_path):
         recover(spark, history_path, depth, lambda note: _record(spark, note["ledger_path"], note["dates"]))
@@ -127,14 +131,16 @@ def _run(spark, incoming, history_path, ledger_path, target, keys, dry_run, repa
         incoming = conform_to(incoming, schema, [TARGET, PART_COL, *order_by])
     # the rows are read for the counts, the merge and the archive: kept instead of
     # computed each time (a lost block is recomputed)
-    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+    if keep_rows:
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _ingest(spark, incoming, history_path.rstrip("/"), ledger_path, target, keys, order_by,
                        schema, fmt, dry_run, repair, repair_only, archive_path, sort_within,
                        quarantine_path, dead_letter_path, merge_ledgered,
                        batch_id or uuid.uuid4().hex, accept)
     finally:
-        incoming.unpersist()
+        if keep_rows:
+            incoming.unpersist()
 
 
 def _of(pairs: Iterable[tuple[str, str]], target: str | None) -> Column:

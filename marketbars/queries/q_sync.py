@@ -141,8 +141,8 @@ def q_sync_all_targets(spark, sf):
     """A run that crosses the year, synced twice: rows and days per target and status,
     the rows that no target takes included."""
     tables, root = _bars(table(spark, sf, "events")), scratch_path(spark, "sync")
-    first = sync_tables(spark, tables, root)
-    again = sync_tables(spark, tables, root).where("status = 'already_ingested'")
+    first = sync_tables(spark, tables, root, keep_rows=False)
+    again = sync_tables(spark, tables, root, keep_rows=False).where("status = 'already_ingested'")
     lost = None
     for kind in ("options", "spot"):
         one = dead_letters(spark, root, kind).select("batch")

@@ -340,3 +340,36 @@ def test_the_shared_folder_must_be_named_on_a_cluster(spark):
                 return default
     with pytest.raises(ValueError):
         shared_dir(Session())
+
+
+def test_rows_of_a_sync_are_not_dealt_by_index(spark):
+    import datetime as dt
+    from marketbars.plans.feeds import routed
+    rows = spark.createDataFrame(
+        [(u, dt.date(2024, 1, 2)) for u in ("NIFTY", "SENSEX", "OTHER", None)] + [("NIFTY", None)],
+        "Underlying string, Date date")
+    out = routed(spark, "options", rows)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    assert [r.target for r in out.collect()] == [
+        "NSE_INDEX_OPTIONS_2024.parquet", "BSE_INDEX_OPTIONS_2024.parquet", None, None, None]
+
+
+def test_sync_of_rows_that_are_not_kept(spark, tmp_path):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from marketbars.plans.feeds import dead_letters, sync_tables
+    from marketbars.schemas import FUTURES_SCHEMA
+    day = dt.date(2024, 1, 2)
+    some = spark.range(40).select(*[
+        (F.lit(day) if f.name == "Date" else F.lit("09:15:00") if f.name == "Time"
+         else F.concat(F.lit("T"), F.col("id") % 20) if f.name == "Ticker" else F.lit(1))
+        .cast(f.dataType).alias(f.name) for f in FUTURES_SCHEMA.fields])
+    lost = some.limit(3).withColumn("Date", F.lit(None).cast("date"))
+    tables = {"futures": some.unionByName(lost)}
+    for status, added in (("created", 20), ("already_ingested", 0)):
+        got = {(r.target, r.status): r.rows_added
+               for r in sync_tables(spark, tables, str(tmp_path), keep_rows=False).collect()}
+        assert got[("INDEX_FUTURES_2024.parquet", status)] == added
+    assert dead_letters(spark, str(tmp_path), "futures").count() == 6
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
