@@ -9,8 +9,8 @@ source meet the source's target. The rates are those closest to one copy each
 The multipliers maximise the convex dual, one per source. Newton's iterations
 run on Spark: rates depend on a document's source and size only, so each
 iteration sums over the (source, size) histogram, grouped by source, and keeps
-a bracket to fall back on. Nothing of it is collected but a count of the
-sources that have not met their target.
+a bracket to fall back on. Nothing of it is collected but whether a source has
+not met its target.
 
 Rounding into copies is systematic: along the sizes of a source, largest first,
 every class of equal size gets the whole number of copies that keeps the
@@ -105,38 +105,35 @@ def solve_rates(histogram: DataFrame, targets: DataFrame, cap: float = CAP) -> D
              .withColumn("lam", F.when(F.col("full"), F.lit(None).cast("double"))
                          .when(F.col("hi") < 0, F.col("hi")).otherwise(F.col("lo")))
              .withColumn("done", F.col("full")))
-    state = state.checkpoint()
+    # small tables written out: their known size lets joins broadcast them from the start,
+    # and every step is planned on its own
+    state = stage(state, "mix-rates")
+    carried = ["source", "target", "mean", "full", "lo", "hi", "lam"]
     for _ in range(MAX_STEPS):
-        if state.where("not done").limit(1).count() == 0:
+        if state.where("not done").isEmpty():
             break
-        x = F.col("h.size") / F.col("mean")
-        tilt = F.exp(F.least(F.col("lam") * x, F.lit(50.0)))
+        x = F.col("h.size") / F.col("s.mean")
+        tilt = F.exp(F.least(F.col("s.lam") * x, F.lit(50.0)))
         words = F.col("h.n") * F.col("h.size")
         sums = (state.alias("s").where("not done")
                 .join(histogram.alias("h"), F.expr("s.source <=> h.source"))
-                .groupBy("s.source")
+                .groupBy(*[F.col(f"s.{c}") for c in carried])
                 .agg(F.sum(words * F.least(F.lit(cap), tilt)).alias("f"),
                      F.sum(F.when(tilt < cap, words * tilt * x).otherwise(F.lit(0.0)))
                      .alias("slope")))
         off = F.col("f") - F.col("target")
-        lo = F.when(off < 0, F.col("lam")).otherwise(F.col("lo"))
-        hi = F.when(off > 0, F.col("lam")).otherwise(F.col("hi"))
         newton = F.col("lam") - F.try_divide(off, F.col("slope"))
         moved = (F.when((newton > F.col("lo2")) & (newton < F.col("hi2")), newton)
                  .otherwise((F.col("lo2") + F.col("hi2")) / 2))
-        met = F.col("f").isNull() | (F.abs(off) <= TOLERANCE) | (F.col("hi2") <= F.col("lo2"))
-        state = (state.alias("p").join(sums.alias("q"), F.expr("p.source <=> q.source"), "left")
-                 .select("p.*", "q.f", "q.slope")
-                 .withColumn("lo2", lo).withColumn("hi2", hi)
+        met = (F.abs(off) <= TOLERANCE) | (F.col("hi2") <= F.col("lo2"))
+        tried = (sums.withColumn("lo2", F.when(off < 0, F.col("lam")).otherwise(F.col("lo")))
+                 .withColumn("hi2", F.when(off > 0, F.col("lam")).otherwise(F.col("hi")))
                  .withColumn("met", met)
-                 .select("source", "target", "mean", "full",
-                         F.when(F.col("f").isNull(), F.col("lo")).otherwise(F.col("lo2"))
-                         .alias("lo"),
-                         F.when(F.col("f").isNull(), F.col("hi")).otherwise(F.col("hi2"))
-                         .alias("hi"),
+                 .select("source", "target", "mean", "full", F.col("lo2").alias("lo"),
+                         F.col("hi2").alias("hi"),
                          F.when(F.col("met"), F.col("lam")).otherwise(moved).alias("lam"),
-                         F.col("met").alias("done"))
-                 .checkpoint())
+                         F.col("met").alias("done")))
+        state = stage(state.where("done").unionByName(tried), "mix-rates")
     return state.select("source", "lam", "mean")
 
 
@@ -160,25 +157,22 @@ def class_copies(histogram: DataFrame, targets: DataFrame, rates: DataFrame,
              .select("source", "size", "n", "target",
                      F.greatest(F.lit(0), F.least((F.col("n") * F.lit(cap)).cast("long"),
                                                   F.col("whole") - F.col("before")))
-                     .cast("long").alias("copies"))
-             .checkpoint())
+                     .cast("long").alias("copies")))
+    # all corrections in one job: they need a source's classes only
+    own = Window.partitionBy("source")
     for _ in range(CORRECTIONS):
-        off = rated.groupBy("source").agg(
-            (F.max("target") - F.sum(F.col("copies") * F.col("size"))).alias("off"))
-        room = F.when(F.col("off") > 0, F.col("copies") < F.col("n") * F.lit(cap)) \
-                .otherwise(F.col("copies") > 0)
-        gap = F.abs(F.abs(F.col("off")) - F.col("size"))
-        change = (rated.alias("c").join(off.alias("o"), F.expr("c.source <=> o.source"))
-                  .where(room & (gap < F.abs(F.col("off"))))
-                  .groupBy("c.source")
-                  .agg(F.min(F.struct(gap.alias("gap"), F.col("c.size").alias("size"),
-                                      F.signum("off").cast("long").alias("step"))).alias("m")))
-        rated = (rated.alias("c")
-                 .join(change.alias("d"), F.expr("c.source <=> d.source and c.size = d.m.size"),
-                       "left")
-                 .select("c.source", "c.size", "c.n", "c.target",
-                         (F.col("c.copies") + F.coalesce("d.m.step", F.lit(0))).alias("copies"))
-                 .checkpoint())
+        off = F.col("off")
+        room = F.when(off > 0, F.col("copies") < F.col("n") * F.lit(cap)).otherwise(F.col("copies") > 0)
+        gap = F.abs(F.abs(off) - F.col("size"))
+        choice = F.when(room & (gap < F.abs(off)), F.struct(
+            gap.alias("gap"), F.col("size").alias("size"), F.signum(off).cast("long").alias("step")))
+        rated = (rated.withColumn("off", F.max("target").over(own)
+                                  - F.sum(F.col("copies") * F.col("size")).over(own))
+                 .withColumn("m", F.min(choice).over(own))
+                 .select("source", "size", "n", "target",
+                         (F.col("copies") + F.when(F.col("size") == F.col("m.size"), F.col("m.step"))
+                          .otherwise(F.lit(0))).alias("copies")))
+    rated = stage(rated, "mix-classes")
     return rated.select("source", "size", "n", "copies")
 
 
@@ -187,9 +181,9 @@ def mix_sources(docs: DataFrame, cycle=CYCLE, share: float = SHARE,
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
     sizes = stage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")),
                   "mix-sizes")
-    targets = source_targets(sizes, cycle, share, cap).checkpoint()
-    histogram = (sizes.where("size > 0").groupBy("source", "size")
-                 .agg(F.count(F.lit(1)).alias("n"))).checkpoint()
+    targets = stage(source_targets(sizes, cycle, share, cap), "mix-targets")
+    histogram = stage(sizes.where("size > 0").groupBy("source", "size")
+                      .agg(F.count(F.lit(1)).alias("n")), "mix-histogram")
     classes = class_copies(histogram, targets, solve_rates(histogram, targets, cap), cap)
 
     h = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.col("doc_id").isNull())

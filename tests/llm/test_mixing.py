@@ -91,3 +91,24 @@ def test_empty_and_wordless(spark, documents):
     assert mix_sources(documents([])).collect() == []
     rows = mix_sources(documents([(1, None), (2, " \n")])).collect()
     assert [(r.size, r.target, r.taken) for r in rows] == [(0, 0.0, 0), (0, 0.0, 0)]
+
+
+def test_corrections_are_one_job(spark):
+    """What a step adds to the driver is bounded: a source's corrections need its classes
+    only, so they are not jobs of their own."""
+    from marketbars.llm.mixing import class_copies, solve_rates, source_targets
+    sizes = spark.createDataFrame([(f"s{i % 3}", 1 + i % 40) for i in range(600)], "source string, size long")
+    targets = source_targets(sizes).localCheckpoint()
+    histogram = sizes.groupBy("source", "size").count().withColumnRenamed("count", "n").localCheckpoint()
+    rates = solve_rates(histogram, targets).localCheckpoint()
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("class-copies", "")
+    try:
+        classes = class_copies(histogram, targets, rates)
+        jobs = len(tracker.getJobIdsForGroup("class-copies"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    taken = {r.source: r.w for r in classes.selectExpr("source", "copies * size AS w")
+             .groupBy("source").sum("w").toDF("source", "w").collect()}
+    assert all(abs(taken[r.source] - r.target) <= 40 for r in targets.collect())
+    assert jobs <= 10
